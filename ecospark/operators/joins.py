@@ -151,7 +151,10 @@ def unique_by(df: DataFrame, by: Sequence[str], message: str) -> DataFrame:
     window never gathers a large group.
     """
     n = F.count(F.lit(1)).over(Window.partitionBy(*[F.col(k) for k in by]))
-    return df.filter(F.when(n > 1, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True)))
+    return (df.withColumn("__dup_n", n)
+            .filter(F.when(F.col("__dup_n") > 1, F.raise_error(F.lit(message)).cast("boolean"))
+                    .otherwise(F.lit(True)))
+            .drop("__dup_n"))
 
 
 def patch(x: DataFrame, y: DataFrame, by: Sequence[str], null_safe: bool = True) -> DataFrame:
