@@ -13,7 +13,7 @@ DMY_PREFIX = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
 
 def parse_dmy(c: ColumnOrName) -> Column:
     """``as.Date(x, format="%d/%m/%Y")``: NULL for junk or impossible dates (31/02)."""
-    return F.try_to_date(F.regexp_substr(_c(c), F.lit(DMY_PREFIX)), F.lit("d/M/yyyy"))
+    return F.try_to_date(F.regexp_substr(_c(c), F.lit(DMY_PREFIX)), "d/M/yyyy")
 
 
 def block_week(c: ColumnOrName) -> Column:

@@ -29,7 +29,7 @@ def replace_first(c: ColumnOrName, pattern: str, replacement: str) -> Column:
 
     Anchors a lazy prefix so ``regexp_replace`` (which replaces all matches) can fire at most once.
     """
-    anchored = f"(?s)^(?<ecopre>.*?)(?:{pattern})"
+    anchored = f"^(?<ecopre>(?s:.*?))(?:{pattern})"
     return F.regexp_replace(_c(c), anchored, "${ecopre}" + _java_literal_replacement(replacement))
 
 

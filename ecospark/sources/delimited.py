@@ -65,13 +65,19 @@ def read_fread(spark: SparkSession, path, sep: str = "\t", clean: bool = True) -
     return df.toDF(*clean_names(df.columns)) if clean else df
 
 
-def with_row_number(df: DataFrame, name: str = "_row") -> DataFrame:
-    """Consecutive 1-based row numbers in scan order, computed without a single-partition window.
+def with_row_number(df: DataFrame, name: str = "_row", order_by: Sequence[str] | None = None) -> DataFrame:
+    """Consecutive 1-based row numbers, computed without a single-partition window.
+
+    Without ``order_by`` the numbering follows scan order (apply it directly to the scan of one landed file).
+    With ``order_by`` the rows are first range-partitioned and sorted on those columns, so the numbering is
+    the global sort order and every partition stays bounded.
 
     ``monotonically_increasing_id`` keeps the partition index in the upper 31 bits and the position inside
     the partition in the lower 33 bits; per-partition row counts (one tiny aggregate) give each partition's
-    offset.  Must be applied directly to a scan.
+    offset.
     """
+    if order_by:
+        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     base = df.withColumn("__mid", F.monotonically_increasing_id())
     base = base.withColumn("__pid", F.shiftright(F.col("__mid"), 33)) \
                .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
