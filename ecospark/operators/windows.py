@@ -35,7 +35,9 @@ def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by:
     spark = df.sparkSession
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = list(group_by)
-    o = list(order_by)
+    # one sortable key, NULLs last in every order column (R row order after a full join: x rows, then y-only)
+    df = df.withColumn("__okey", order_key(order_by))
+    o = ["__okey"]
     ranged = df.repartitionByRange(n, *g, *o).withColumn("__chunk", F.spark_partition_id())
 
     keys = g + ["__chunk"]
@@ -66,6 +68,8 @@ def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by:
 
     out = []
     for c in df.columns:
+        if c == "__okey":
+            continue
         if c not in cols:
             out.append(F.col(c))
             continue
@@ -76,6 +80,14 @@ def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by:
     return joined.select(*out)
 
 
+def order_key(order_by: Sequence[str]):
+    """Struct that sorts like ``ORDER BY c1 ASC NULLS LAST, c2 ASC NULLS LAST, ...``."""
+    parts = []
+    for i, c in enumerate(order_by):
+        parts += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
+    return F.struct(*parts)
+
+
 def fill_window(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by: Sequence[str],
                 direction: str = "down") -> DataFrame:
     """Single-window ``fill`` for inputs whose groups are known to be small (one Exchange + Sort)."""
@@ -98,8 +110,7 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_by)],
-                      *[F.col(c) for c in rest])
+    packed = F.struct(order_key(order_by).alias("__o"), *[F.col(c) for c in rest])
     return (df.groupBy(*keys).agg(F.min(packed).alias("__first"))
             .select(*keys, *[F.col(f"__first.{c}").alias(c) for c in rest]))
 

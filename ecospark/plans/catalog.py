@@ -26,4 +26,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from ecospark.plans import queries_core, queries_exprs, queries_joins, queries_rows  # noqa: F401
+    from ecospark.plans import (queries_composite, queries_core, queries_exprs, queries_joins,  # noqa: F401
+                                queries_rows)

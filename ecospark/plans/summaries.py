@@ -16,7 +16,7 @@ from ecospark.operators.joins import left_join, natural_join
 
 def family_reads(counts: DataFrame, taxonomy: DataFrame, sample_traps: DataFrame, *, cluster: str = "cluster",
                  sample: str = "sample", reads: str = "reads", family: str = "family",
-                 trap: str = "trap") -> DataFrame:
+                 trap: str = "trap", sort: bool = True) -> DataFrame:
     """C20: per family, clusters with reads (``n_otu``), distinct traps (``n_obs``), total reads.
 
     Both distinct counts count NA as a value, as ``length(unique(x))`` does.
@@ -30,11 +30,11 @@ def family_reads(counts: DataFrame, taxonomy: DataFrame, sample_traps: DataFrame
            .groupBy(cluster, sample).agg(F.sum(reads).alias(reads)))
     occ = left_join(occ, sample_traps.select(sample, trap), [sample])
     occ = left_join(occ, taxonomy.select(cluster, family), [cluster])
-    return (occ.groupBy(family)
-            .agg(distinct_with_null(cluster).alias("n_otu"),
-                 distinct_with_null(trap).alias("n_obs"),
-                 F.sum(reads).cast("bigint").alias("reads"))
-            .orderBy(F.asc_nulls_last(family)))
+    out = (occ.groupBy(family)
+           .agg(distinct_with_null(cluster).alias("n_otu"),
+                distinct_with_null(trap).alias("n_obs"),
+                F.sum(reads).cast("bigint").alias("reads")))
+    return out.orderBy(F.asc_nulls_last(family)) if sort else out
 
 
 TRAIT_REPORT_COLS = ("length_min", "length_max", "main_feeding_niche_ronquist", "main_feeding_habitat_ronquist")

@@ -1,0 +1,183 @@
+"""Raw-shaped trait sources derived from the test data, for the composite queries.
+
+Every source is a per-key table (one row, or a bounded handful of rows, per (order, family)), as the real
+spreadsheets are; the values exercise the recipe: synonym spellings that only meet after recoding, trailing
+blanks, junk numbers, European decimals, composite 'Family-Subfamily' names, ';'-joined taxonomies, and
+orders that are back-filled.  ``SOURCES_SQL`` builds the same tables in DuckDB for the oracles.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ecospark import functions as ef
+from ecospark.plans import testdata as td
+
+# Fixed values of the analogue: brands stand in for orders (four of them under their real names so the
+# back-fill and synonym rules fire), and the body-size table spells two orders the old way.
+ORDER_NAMES = {"Brand#1": "Protura", "Brand#2": "Siphonaptera", "Brand#5": "Hemiptera", "Brand#6": "Blattodea"}
+BODY_ORDER_NAMES = {"Brand#1": "Protura", "Brand#2": "Siphonaptera", "Brand#5": "Heteroptera",
+                    "Brand#6": "Dictyoptera"}
+TYPE_NICHES = {"ECONOMY": "Phytophagous", "LARGE": "Predator", "MEDIUM": "Saprophagous", "PROMO": "General",
+               "SMALL": "Phytophate-parasitoid", "STANDARD": "Parasite"}
+SUBFAMILY_FAMILIES_TD = ["smallring", "redwidget", "bluebolt"]
+
+
+def _case_sql(col: str, mapping: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {col} {whens} ELSE {col} END"
+
+
+def _map(col: str, mapping: dict[str, str]):
+    return ef.recode(col, mapping)
+
+
+def _fam():
+    return F.replace(F.col("p_name"), F.lit(" "), F.lit(""))
+
+
+def _eu(x):
+    """Number -> European text ('12,5'); the value is a multiple of 0.25, so the text is exact."""
+    return F.replace(x.cast("string"), F.lit("."), F.lit(","))
+
+
+# --------------------------------------------------------------------------------------- Spark side
+def body_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = td.table(spark, sf_dir, "part").filter(F.col("p_size") <= 30)
+    g = p.groupBy("p_brand", "p_name").agg(F.min("p_size").alias("mn"), F.max("p_size").alias("mx"),
+                                           F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("_ord"))
+    txt_min = F.when(F.col("mn") % 7 == 0, F.lit("n/a")).otherwise(_eu(F.col("mn") / 4))
+    return g.select(F.concat_ws(" ", _map("p_brand", BODY_ORDER_NAMES), _fam()).alias("taxon"),
+                    ef.european_double(txt_min).alias("length_min"),
+                    ef.european_double(_eu(F.col("mx") / 2)).alias("length_max"),
+                    F.concat(F.lit("R"), F.col("n").cast("string")).alias("reference"), "_ord")
+
+
+def larval_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Promoted / cleaned larval sheet: 2 key columns, a note column, 8 score columns as text."""
+    p = td.table(spark, sf_dir, "part").filter(F.col("p_type").isin("ECONOMY", "MEDIUM", "STANDARD"))
+    k, s = F.col("p_partkey"), F.col("p_size")
+    g = p.groupBy("p_brand", "p_name").agg(
+        F.min("p_partkey").alias("_ord"),
+        (F.min(k % 10) / 10).alias("saprophagous"), (F.max(k % 7) / 7).alias("zoophagous"),
+        (F.max(s % 11) / 10).alias("phytophagous"), (F.min(k % 3) / 2).alias("larva_aquatic"),
+        (F.max(s % 5) / 4).alias("mycetophagous"), (F.min(k % 9) / 8).alias("coprophagous"),
+        (F.max(s % 6) / 5).alias("saproxylic"), (F.min(k % 8) / 7).alias("roots"))
+    scores = ["saprophagous", "zoophagous", "phytophagous", "larva_aquatic", "mycetophagous", "coprophagous",
+              "saproxylic", "roots"]
+    blank = F.when(F.col("_ord") % 5 == 0, F.lit(" \u00a0")).otherwise(F.lit(""))
+    return g.select(_map("p_brand", ORDER_NAMES).alias("higher_taxon"),
+                    F.concat(_fam(), blank).alias("family"), F.lit("note").alias("x3"),
+                    *[F.when(F.col("_ord") % 11 == 0, F.lit("?")).otherwise(F.col(c).cast("string")).alias(c)
+                      for c in scores], "_ord")
+
+
+def feeding_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = td.table(spark, sf_dir, "part").filter(F.col("p_size") > 10)
+    g = p.groupBy("p_brand", "p_name", "p_type").agg(F.min("p_partkey").alias("_ord"))
+    dyn = F.when(F.col("p_type").isin("PROMO", "SMALL"), F.concat(_fam(), F.lit("-"), F.col("p_type"))) \
+        .otherwise(_fam())
+    return g.select(_map("p_brand", ORDER_NAMES).alias("order"), dyn.alias("taxon_dyntaxa_2017"),
+                    F.when(F.col("_ord") % 4 != 0, _map("p_type", TYPE_NICHES)).alias("main_feeding_niche"),
+                    F.when(F.col("p_type") == "LARGE", F.lit("Water"))
+                    .when(F.col("p_type") == "MEDIUM", F.lit("Soil")).alias("main_feeding_habitat"), "_ord")
+
+
+def soil_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = td.table(spark, sf_dir, "part").filter(F.col("p_size").between(20, 45))
+    g = p.groupBy("p_brand", "p_name").agg(F.min("p_partkey").alias("k"), F.max("p_size").alias("s"))
+    cls = (F.when(F.col("p_name").contains("ring"), F.lit("Collembola"))
+           .when(F.col("p_name").contains("gear") | F.col("p_name").contains("bolt"), F.lit("Arachnida"))
+           .otherwise(F.lit("Insecta")))
+    phylum = F.when(F.col("s") > 42, F.lit("Chordata")).otherwise(F.lit("Arthropoda"))
+    fam = F.concat(_fam(), F.when(F.col("k") % 3 == 0, F.lit("_environmental_sample")).otherwise(F.lit("")))
+    taxonomy = F.concat_ws(";", F.lit("Animalia"), phylum, cls, _map("p_brand", ORDER_NAMES), fam,
+                           F.lit("g"), F.lit("s"))
+    flag = lambda m: F.when(F.col("k") % m == 0, F.lit("x"))
+    return g.select(taxonomy.alias("consensus_taconomical_identity"), F.lit("a").alias("x6"),
+                    F.lit("b").alias("x16"), F.lit("c").alias("all_inclusive"),
+                    flag(2).alias("fungi_feeder"), flag(3).alias("plant_feeder"), flag(5).alias("predator"),
+                    flag(7).alias("parasitic_on"), flag(4).alias("parasitoid"), F.col("k").alias("_ord"))
+
+
+def expert_general(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = td.table(spark, sf_dir, "part").filter(F.col("p_retailprice") > 1500)
+    g = p.groupBy("p_brand", "p_name").agg(F.min("p_size").alias("mn"), F.min("p_partkey").alias("k"),
+                                           F.count(F.lit(1)).alias("n"))
+    return g.select(_map("p_brand", ORDER_NAMES).alias("higher_taxon"), _fam().alias("family"),
+                    F.when(F.col("k") % 3 != 0, (F.col("mn") / 4).cast("string")).alias("length_min"),
+                    F.lit("99").alias("length_max"),
+                    F.when(F.col("k") % 2 == 0, F.lit("Predator")).alias("main_feeding_niche_ronquist"),
+                    F.when(F.col("k") % 5 == 0, F.lit("Soil")).alias("main_feeding_habitat_ronquist"),
+                    F.col("n").alias("n_otu"), F.col("n").alias("n_obs"), F.col("n").alias("reads"),
+                    F.lit("TRUE").alias("in_iba"))
+
+
+def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = td.taxa(spark, sf_dir)
+    return t.select("cluster", "phylum", "class", _map("order", ORDER_NAMES).alias("order"),
+                    F.replace(F.col("family"), F.lit(" "), F.lit("")).alias("family"), "genus")
+
+
+# ----------------------------------------------------------------------------------------- SQL side
+def _score_sql(expr: str, name: str) -> str:
+    return f"CASE WHEN min(p_partkey) % 11 = 0 THEN NULL ELSE {expr} END AS {name}"
+
+
+SOURCES_SQL = f"""
+body AS (
+  SELECT {_case_sql('p_brand', BODY_ORDER_NAMES)} AS raw_order, replace(p_name, ' ', '') AS family,
+         CASE WHEN min(p_size) % 7 = 0 THEN NULL ELSE min(p_size) / 4 END AS length_min,
+         max(p_size) / 2 AS length_max, 'R' || CAST(count(*) AS VARCHAR) AS mass_reference,
+         min(p_partkey) AS ord
+  FROM part WHERE p_size <= 30 GROUP BY p_brand, p_name),
+larval AS (
+  SELECT {_case_sql('p_brand', ORDER_NAMES)} AS higher_taxon,
+         replace(p_name, ' ', '') || CASE WHEN min(p_partkey) % 5 = 0 THEN ' ' || chr(160) ELSE '' END AS family,
+         {_score_sql('min(p_partkey % 10) / 10', 'saprophagous')}, {_score_sql('max(p_partkey % 7) / 7', 'zoophagous')},
+         {_score_sql('max(p_size % 11) / 10', 'phytophagous')}, {_score_sql('min(p_partkey % 3) / 2', 'larva_aquatic')},
+         {_score_sql('max(p_size % 5) / 4', 'mycetophagous')}, {_score_sql('min(p_partkey % 9) / 8', 'coprophagous')},
+         {_score_sql('max(p_size % 6) / 5', 'saproxylic')}, {_score_sql('min(p_partkey % 8) / 7', 'roots')},
+         min(p_partkey) AS ord
+  FROM part WHERE p_type IN ('ECONOMY', 'MEDIUM', 'STANDARD') GROUP BY p_brand, p_name),
+feeding AS (
+  SELECT {_case_sql('p_brand', ORDER_NAMES)} AS raw_order, replace(p_name, ' ', '') AS family,
+         CASE WHEN p_type IN ('PROMO', 'SMALL') THEN p_type END AS sub_family,
+         CASE WHEN min(p_partkey) % 4 = 0 THEN NULL ELSE {_case_sql('p_type', TYPE_NICHES)} END
+           AS main_feeding_niche_ronquist,
+         CASE WHEN p_type = 'LARGE' THEN 'Water' WHEN p_type = 'MEDIUM' THEN 'Soil' END
+           AS main_feeding_habitat_ronquist,
+         min(p_partkey) AS ord
+  FROM part WHERE p_size > 10 GROUP BY p_brand, p_name, p_type),
+soil_g AS (
+  SELECT p_brand, p_name, min(p_partkey) AS k, max(p_size) AS s,
+         CASE WHEN p_name LIKE '%ring%' THEN 'Collembola'
+              WHEN p_name LIKE '%gear%' OR p_name LIKE '%bolt%' THEN 'Arachnida' ELSE 'Insecta' END AS cls
+  FROM part WHERE p_size BETWEEN 20 AND 45 GROUP BY p_brand, p_name),
+soil_long AS (
+  SELECT {_case_sql('p_brand', ORDER_NAMES)} AS higher_taxon, replace(p_name, ' ', '') AS family, k AS ord,
+         niche_original
+  FROM (SELECT *, CASE WHEN k % 2 = 0 THEN 'x' END AS fungi_feeder, CASE WHEN k % 3 = 0 THEN 'x' END AS plant_feeder,
+               CASE WHEN k % 5 = 0 THEN 'x' END AS predator, CASE WHEN k % 7 = 0 THEN 'x' END AS parasitic_on,
+               CASE WHEN k % 4 = 0 THEN 'x' END AS parasitoid FROM soil_g
+        WHERE s <= 42 AND cls IN ('Arachnida', 'Collembola')) t
+  UNPIVOT (value FOR niche_original IN (fungi_feeder, plant_feeder, predator, parasitic_on, parasitoid))),
+soil AS (
+  SELECT higher_taxon, family,
+         CASE WHEN regexp_matches(niche_original, 'fungi|bacteriv|litter|root|algal') THEN 'Saprophagous'
+              WHEN regexp_matches(niche_original, 'plant') THEN 'Phytophagous'
+              WHEN regexp_matches(niche_original, 'predator') THEN 'Predator'
+              WHEN regexp_matches(niche_original, 'parasitic') THEN 'Parasite' END AS main_feeding_niche_ronquist,
+         ord
+  FROM soil_long),
+expert AS (
+  SELECT {_case_sql('p_brand', ORDER_NAMES)} AS higher_taxon, replace(p_name, ' ', '') AS family,
+         CASE WHEN min(p_partkey) % 3 = 0 THEN NULL ELSE min(p_size) / 4 END AS length_min,
+         99.0 AS length_max,
+         CASE WHEN min(p_partkey) % 2 = 0 THEN 'Predator' END AS main_feeding_niche_ronquist,
+         CASE WHEN min(p_partkey) % 5 = 0 THEN 'Soil' END AS main_feeding_habitat_ronquist
+  FROM part WHERE p_retailprice > 1500 GROUP BY p_brand, p_name),
+taxo AS (
+  SELECT cluster, phylum, class, {_case_sql('"order"', ORDER_NAMES)} AS "order",
+         replace(family, ' ', '') AS family, genus FROM taxa)"""
