@@ -40,17 +40,21 @@ def _cond(lcols: Sequence[Column], rcols: Sequence[Column], null_safe: bool) ->
 
 
 def join(left: DataFrame, right: DataFrame, on: KeySpec | str, how: str = "inner", null_safe: bool = True,
-         suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+         suffixes: tuple[str, str] = ("_x", "_y"), strategy: str = "split") -> DataFrame:
     """dplyr-style join: keys kept once (under the left name), NA keys match, clashing non-key columns suffixed.
 
     how: inner | left | right | full | semi | anti.
+    strategy (full joins only): ``split`` = LEFT JOIN + LEFT ANTI (skew-splittable, for inputs that grow with
+    the data); ``native`` = one FULL OUTER join (one shuffle per side, for tables with a proven size bound,
+    e.g. per-family reference tables, and for long chains where re-using each input twice would multiply
+    the plan).
     """
     pairs = _pairs(on)
     how = {"left_outer": "left", "outer": "full", "full_outer": "full", "right_outer": "right",
            "left_semi": "semi", "left_anti": "anti"}.get(how, how)
     if how == "right":
         swapped = [(r, l) for l, r in pairs]
-        out = join(right, left, swapped, "left", null_safe, (suffixes[1], suffixes[0]))
+        out = join(right, left, swapped, "left", null_safe, (suffixes[1], suffixes[0]), strategy)
         lkeys = [l for l, _ in pairs]
         rkeys = [r for _, r in pairs]
         # present keys under the left names, left columns first as dplyr does
@@ -87,6 +91,13 @@ def join(left: DataFrame, right: DataFrame, on: KeySpec | str, how: str = "inner
     if how != "full":
         raise ValueError(f"unsupported join type {how!r}")
 
+    if strategy == "native":
+        j = l.join(r, cond, "full")
+        return j.select(*[F.coalesce(F.col(k), F.col(t)).alias(k) for k, t in zip(lkeys, rtmp)],
+                        *out_cols[len(lkeys):])
+    if strategy != "split":
+        raise ValueError(f"unknown strategy {strategy!r}")
+
     # FULL OUTER = (l LEFT JOIN r)  UNION ALL  (r rows whose key has no partner in l)
     matched_or_left = l.join(r, cond, "left").select(*out_cols)
     ltmp = [f"__lk{i}" for i in range(len(pairs))]
@@ -103,9 +114,9 @@ def join(left: DataFrame, right: DataFrame, on: KeySpec | str, how: str = "inner
 
 
 def full_join(left: DataFrame, right: DataFrame, on: KeySpec | str, null_safe: bool = True,
-              suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+              suffixes: tuple[str, str] = ("_x", "_y"), strategy: str = "split") -> DataFrame:
     """``full_join(x, y, by = ...)`` incl. ``multiple = "all"``."""
-    return join(left, right, on, "full", null_safe, suffixes)
+    return join(left, right, on, "full", null_safe, suffixes, strategy)
 
 
 def left_join(left: DataFrame, right: DataFrame, on: KeySpec | str, null_safe: bool = True,
@@ -122,9 +133,10 @@ def common_keys(left: DataFrame, right: DataFrame) -> list[str]:
     return keys
 
 
-def natural_join(left: DataFrame, right: DataFrame, how: str = "full", null_safe: bool = True) -> DataFrame:
+def natural_join(left: DataFrame, right: DataFrame, how: str = "full", null_safe: bool = True,
+                 strategy: str = "split") -> DataFrame:
     """``full_join(x, y)`` without ``by``: keys are the shared column names."""
-    return join(left, right, common_keys(left, right), how, null_safe)
+    return join(left, right, common_keys(left, right), how, null_safe, strategy=strategy)
 
 
 def mark_join(df: DataFrame, members: DataFrame, on: KeySpec | str, flag: str,

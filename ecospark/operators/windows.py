@@ -24,14 +24,17 @@ _DIRECTIONS = ("down", "up", "downup", "updown")
 
 
 def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by: Sequence[str],
-         direction: str = "down", chunks: int | None = None) -> DataFrame:
+         direction: str = "down", chunks: int | None = None, strategy: str = "chunked") -> DataFrame:
     """``group_by(g) |> fill(cols, .direction = direction)`` with row order ``order_by``.
 
     ``order_by`` should be unique within a group (ties are filled in an arbitrary order, as any sort would).
-    Non-NULL cells are never changed.
+    Non-NULL cells are never changed.  ``strategy="window"`` uses one window per group instead of the chunked
+    scan; only for inputs whose groups have a proven size bound.
     """
     if direction not in _DIRECTIONS:
         raise ValueError(f"direction must be one of {_DIRECTIONS}")
+    if strategy == "window":
+        return fill_window(df, cols, group_by, order_by, direction)
     spark = df.sparkSession
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = list(group_by)
@@ -91,7 +94,7 @@ def order_key(order_by: Sequence[str]):
 def fill_window(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by: Sequence[str],
                 direction: str = "down") -> DataFrame:
     """Single-window ``fill`` for inputs whose groups are known to be small (one Exchange + Sort)."""
-    w = Window.partitionBy(*group_by).orderBy(*order_by)
+    w = Window.partitionBy(*group_by).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
     down_w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     up_w = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     out = df
@@ -99,7 +102,7 @@ def fill_window(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], ord
         down = F.last(c, ignorenulls=True).over(down_w)
         up = F.first(c, ignorenulls=True).over(up_w)
         expr = {"down": down, "up": up, "downup": F.coalesce(down, up), "updown": F.coalesce(up, down)}[direction]
-        out = out.withColumn(c, expr)
+        out = out.withColumn(c, F.coalesce(F.col(c), expr))
     return out
 
 

@@ -205,10 +205,12 @@ def merge_sources(body: DataFrame, larval: DataFrame, feeding: DataFrame, soil:
     def tag(df, name):
         return df.withColumnRenamed("_ord", f"_ord_{name}") if "_ord" in df.columns else df
 
-    j = joins.full_join(tag(body, "body"), tag(larval, "larval"), KEYS)
-    j = joins.full_join(j, tag(feeding, "feeding"), KEYS)
+    # per-family reference tables (bounded by the number of described families, not by sequencing volume):
+    # native FULL OUTER joins, one shuffle per side
+    j = joins.full_join(tag(body, "body"), tag(larval, "larval"), KEYS, strategy="native")
+    j = joins.full_join(j, tag(feeding, "feeding"), KEYS, strategy="native")
     if soil is not None:
-        j = joins.full_join(j, tag(soil, "soil"), KEYS + ["main_feeding_niche_ronquist"])
+        j = joins.full_join(j, tag(soil, "soil"), KEYS + ["main_feeding_niche_ronquist"], strategy="native")
     if not recipe.trim_before_join:
         j = _trim_keys(j)
     j = j.withColumns({
@@ -231,8 +233,9 @@ def backfill_sizes(merged: DataFrame, orders: Sequence[str] = tr.BACKFILL_ORDERS
     """Only the listed orders get lengths filled down-then-up within the order, in frame order."""
     order_by = order_columns(merged)
     s1 = filters.filter_not_in(merged, "higher_taxon", orders)
+    # groups are orders of the per-family table (families per order are bounded): one window per order
     s2 = windows.fill(filters.filter_in(merged, "higher_taxon", orders), ["length_min", "length_max"],
-                      ["higher_taxon"], order_by, "downup")
+                      ["higher_taxon"], order_by, "downup", strategy="window")
     return setops.bind_rows(s2, s1)
 
 
@@ -253,7 +256,7 @@ def compile_traits(body: DataFrame, larval: DataFrame, feeding: DataFrame, soil:
     fam_cols = ([F.col("class")] if recipe.with_class else []) + [F.col("order").alias("higher_taxon"),
                                                                    F.col("family")]
     families = taxa.select(*fam_cols).distinct()
-    out = joins.natural_join(traits, families, how="full")
+    out = joins.natural_join(traits, families, how="full", strategy="native")
     out = joins.mark_join(out, taxa, [("family", "family")], "in_IBA")
     for y in experts:
         out = joins.patch(out, y, KEYS)
