@@ -70,6 +70,10 @@ def test_occurrence_branches(spark):
     assert set(out.columns) >= {"sub_family", "subfamily", "feeding_niche"}
     assert rows(out, "cluster", "feeding_niche") == [("c1", "P"), ("c2", "Phytophagous"), ("c2", "Predator"),
                                                      ("c3", None)]
+    ref = occ.occurrence_traits_split(o, subs, feeding)
+    cols = sorted(ref.columns)
+    assert sorted(out.columns) == cols
+    assert rows(out, *cols) == rows(ref, *cols)
 
 
 def test_niche_richness_levels(spark):
