@@ -2,10 +2,10 @@
 
 Spark rows have no order, so every operator takes an explicit ``order_by``.
 
-* ``fill`` (tidyr ``fill``) is a distributed scan: rows are range-partitioned on (group, order) so a large
-  group is spread over many chunks; each chunk is filled locally, and the value that must cross a chunk
-  boundary comes from a small per-(group, chunk) summary.  A plain ``Window.partitionBy(group)`` would put a
-  group holding a third of the data into a single task.
+* ``fill`` (tidyr ``fill``) is a distributed scan: rows are cut into chunks contiguous in (group, order)
+  (``operators.chunks``), so a large group is spread over many chunks; each chunk is filled locally, and the
+  value that must cross a chunk boundary comes from a small per-(group, chunk) summary.  A plain
+  ``Window.partitionBy(group)`` would put a group holding a third of the data into a single task.
 * ``first_per_group`` (``slice(1)``) is an aggregation (``min`` of a struct led by the order key), combined
   map-side, not a ``row_number`` window.
 * ``with_group_extremes`` (grouped ``mutate(min(x))``) aggregates per group and joins the result back.
@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ecospark.operators.chunks import chunk_column, sort_key_columns
 from ecospark.operators.joins import left_join
 
 _DIRECTIONS = ("down", "up", "downup", "updown")
@@ -39,9 +40,10 @@ def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by:
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = list(group_by)
     # one sortable key, NULLs last in every order column (R row order after a full join: x rows, then y-only)
+    chunk = chunk_column(df, sort_key_columns(g, order_by), n)
     df = df.withColumn("__okey", order_key(order_by))
     o = ["__okey"]
-    ranged = df.repartitionByRange(n, *g, *o).withColumn("__chunk", F.spark_partition_id())
+    ranged = df.withColumn("__chunk", chunk)
 
     keys = g + ["__chunk"]
     w = Window.partitionBy(*keys).orderBy(*o)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ecospark.functions.numeric import european_double
+from ecospark.operators.chunks import chunk_column
 from ecospark.operators.columns import clean_names
 
 ORD = "_ord"
@@ -77,7 +78,7 @@ def with_row_number(df: DataFrame, name: str = "_row", order_by: Sequence[str] |
     offset.
     """
     if order_by:
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        return _ordered_row_number(df, name, list(order_by))
     base = df.withColumn("__mid", F.monotonically_increasing_id())
     base = base.withColumn("__pid", F.shiftright(F.col("__mid"), 33)) \
                .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
@@ -89,6 +90,20 @@ def with_row_number(df: DataFrame, name: str = "_row", order_by: Sequence[str] |
     return out.drop("__mid", "__pid", "__pos", "__off")
 
 
+def _ordered_row_number(df: DataFrame, name: str, order_by: list[str]) -> DataFrame:
+    """Row numbers in ``order_by`` order: deterministic order-preserving chunks, a row number inside each
+    chunk, and per-chunk offsets from a tiny count table."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunked = df.withColumn("__chunk", chunk_column(df, [F.col(c) for c in order_by], n))
+    counts = chunked.groupBy("__chunk").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select("__chunk", F.sum("__n").over(
+        Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("__off"))
+    pos = F.row_number().over(Window.partitionBy("__chunk").orderBy(*order_by))
+    out = chunked.withColumn("__pos", pos).join(offsets, "__chunk", "left")
+    out = out.withColumn(name, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__pos")).cast("bigint"))
+    return out.drop("__chunk", "__pos", "__off")
+
+
 def promote_header(df: DataFrame, row: int = 1, row_col: str = "_row") -> DataFrame:
     """janitor ``row_to_names(row)`` (S7): the given data row becomes the header; it and the rows above go.
 

@@ -60,3 +60,22 @@ def test_frequency_and_patterns(spark):
     df2 = spark.createDataFrame([(None, None), (None, 1), (1, None), (None, None)], "a int, b int")
     assert rows(aggregates.missing_patterns(df2, ["a", "b"])) == [(False, True, 1), (True, False, 1), (True, True, 2)]
     assert rows(aggregates.missing_share(df2, ["a", "b"])) == [(0.75, 0.75)]
+
+
+def test_fill_hot_group_partial_sample(spark):
+    # one group holds ~2/3 of the rows; 16 chunks sample ~1k of 12k keys, so bounds come from a partial sample
+    df = spark.range(0, 12000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("g"),
+        ((F.col("id") * 7919) % 12000).alias("o"),
+        F.when(F.col("id") % 97 == 0, F.col("id")).alias("v"))
+    a = windows.fill(df, ["v"], ["g"], ["o"], "downup", chunks=16)
+    b = windows.fill(df, ["v"], ["g"], ["o"], "downup", strategy="window")
+    assert rows(a) == rows(b)
+
+
+def test_ordered_row_numbers_partial_sample(spark):
+    from ecospark.sources.delimited import with_row_number
+    df = spark.range(0, 30000, 1, 5).select(((F.col("id") * 7919) % 30000).alias("k"))
+    got = with_row_number(df, "_row", order_by=["k"]).select("k", "_row")
+    assert got.filter(F.col("k") + 1 != F.col("_row")).count() == 0
+    assert got.count() == 30000
