@@ -69,6 +69,3 @@ def family_checklist(taxonomy: DataFrame, family: str = "family") -> DataFrame:
     """``table(taxonomy$Family)``: clusters per family, NA excluded, ascending."""
     return frequency_table(taxonomy, family, value_name=family, count_name="n_clusters")
 
-
-__all__ = ["family_reads", "missing_traits", "missing_traits_seq", "missing_summary_by_family",
-           "missing_summary_by_order", "family_checklist", "left_join"]

@@ -24,6 +24,8 @@ _DEFAULT_CONF = {
     # size-checked broadcast: the planner only broadcasts a side whose estimated / measured size is below this
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # plan construction only: skip Python call-site capture (several JVM round trips per Column function)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

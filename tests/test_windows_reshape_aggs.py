@@ -79,3 +79,12 @@ def test_ordered_row_numbers_partial_sample(spark):
     got = with_row_number(df, "_row", order_by=["k"]).select("k", "_row")
     assert got.filter(F.col("k") + 1 != F.col("_row")).count() == 0
     assert got.count() == 30000
+
+
+def test_unpivot_then_pivot_round_trips(spark):
+    rnd = random.Random(3)
+    data = [(i, *(rnd.choice([None, rnd.random()]) for _ in range(3))) for i in range(60)]
+    wide = spark.createDataFrame(data, "k int, a double, b double, c double")
+    long = reshape.unpivot_columns(wide, ["k"], ["a", "b", "c"], "name", "value")
+    back = reshape.pivot_fixed(long, ["k"], "name", "value", ["a", "b", "c"])
+    assert rows(back, "k", "a", "b", "c") == rows(wide, "k", "a", "b", "c")
