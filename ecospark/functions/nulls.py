@@ -39,5 +39,10 @@ def missing_count(cols: Iterable[ColumnOrName]) -> Column:
 
 
 def distinct_with_null(c: ColumnOrName) -> Column:
-    """``n_distinct(x)`` / ``length(unique(x))``: NULL counts as one value (A2); BIGINT."""
-    return F.count_distinct(F.struct(_c(c)))
+    """``n_distinct(x)`` / ``length(unique(x))``: NULL counts as one value (A2); BIGINT.
+
+    Distinct non-NULL values plus one if the group has a NULL.  Keeps the distinct key a primitive column
+    (compact rows in the Expand / shuffle of the distinct aggregation) instead of wrapping it in a struct.
+    """
+    col = _c(c)
+    return (F.count_distinct(col) + F.max(col.isNull().cast("long"))).alias("n_distinct")
