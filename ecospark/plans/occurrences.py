@@ -112,4 +112,6 @@ def niche_richness(all_data: DataFrame, levels: Sequence[str] = tr.NICHE_LEVELS,
     g = df.groupBy("feeding_niche", "week_year", "trap_id").agg(distinct_with_null("cluster").alias("n_OTU"))
     g = filters.drop_na(g, ["feeding_niche"])
     g = g.filter(~ef.detect("feeding_niche", exclude))
+    # report order of the grouped summary (group keys ascending, NA last); the result is small
+    g = g.orderBy(*[F.asc_nulls_last(c) for c in ("feeding_niche", "week_year", "trap_id")])
     return g.withColumn("feeding_niche", ef.as_level("feeding_niche", levels))

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from ecospark import functions as ef
 from ecospark.operators import aggregates, columns, filters, joins, reshape, setops, windows
+from ecospark.operators.columns import clean_names
 from ecospark.plans import trait_rules as tr
+from ecospark.sources.delimited import drop_row_range, promote_header, with_row_number
 
 KEYS = ["higher_taxon", "family"]
 
@@ -82,6 +84,24 @@ def tidy_body_size(raw: DataFrame, recipe: TraitRecipe = CURRENT) -> DataFrame:
 
 
 # ------------------------------------------------------------------------------------------- C2
+def land_larval_sheet(spark, path: str, dropped_column: int = tr.LARVAL_DROPPED_COLUMN,
+                      junk_rows: tuple[int, int] = tr.LARVAL_JUNK_ROWS) -> DataFrame:
+    """Landed larval-niche sheet (CSV, header in the first data row) -> the frame ``tidy_larval_niche`` takes:
+    ``select(-29) |> row_to_names(1) |> clean_names() |> slice(-587:-602)``, keeping file order in ``_ord``.
+
+    A single landed sheet is read in file order (consecutive row numbers without a single-task window).
+    """
+    raw = spark.read.option("header", False).option("nullValue", "NA").csv(path)
+    raw = raw.toDF(*[f"c{i}" for i in range(1, len(raw.columns) + 1)])
+    numbered = with_row_number(raw, "_row")
+    if dropped_column and dropped_column <= len(raw.columns):
+        numbered = numbered.drop(f"c{dropped_column}")
+    sheet = promote_header(numbered, 1)
+    sheet = sheet.toDF(*clean_names(sheet.columns[:-1]), "_row")
+    sheet = drop_row_range(sheet, *junk_rows)
+    return sheet.withColumnRenamed("_row", "_ord")
+
+
 def tidy_larval_niche(sheet: DataFrame, recipe: TraitRecipe = CURRENT,
                       score_positions: tuple[int, int] = tr.LARVAL_SCORE_COLUMNS,
                       key_positions: tuple[int, int] = tr.LARVAL_KEY_COLUMNS) -> DataFrame:

@@ -84,3 +84,22 @@ def test_niche_richness_levels(spark):
     df = df.withColumn("class", F.lit("Insecta")).withColumn("lab_sample_type", F.lit("sample"))
     out = occ.niche_richness(df)
     assert rows(out) == [(None, 2, 5, 1), ("Predator", 1, 5, 2)]
+
+
+def test_land_larval_sheet(spark, tmp_path):
+    # column 29 is dropped, row 1 is the header, data rows 587..602 (after the header) are junk
+    header = ["Higher Taxon", "Family", "Note"] + [f"Score {i}" for i in range(4, 29)] + ["Extra"]
+    lines = [",".join(header)]
+    for i in range(1, 611):
+        junk = 587 <= i <= 602
+        lines.append(",".join([f"O{i % 3}", "Total" if junk else f"F{i} ", "n"] +
+                              [("x" if junk else str((i * s) % 10 / 10)) for s in range(4, 29)] + ["e"]))
+    p = tmp_path / "larval.csv"
+    p.write_text("\n".join(lines) + "\n")
+    sheet = traits.land_larval_sheet(spark, str(p))
+    assert sheet.columns[:4] == ["higher_taxon", "family", "note", "score_4"] and "extra" not in sheet.columns
+    assert sheet.count() == 610 - 16
+    tidy = traits.tidy_larval_niche(sheet)
+    assert tidy.filter(F.col("family") == "Total").count() == 0
+    assert dict(tidy.dtypes)["score_4"] == "double"
+    assert rows(tidy.filter(F.col("family") == "F10"), "higher_taxon", "family", "score_5") == [("O1", "F10", 0.0)]
