@@ -24,18 +24,27 @@ from ecospark.operators.joins import left_join
 _DIRECTIONS = ("down", "up", "downup", "updown")
 
 
+def _directions(cols: Sequence[str], direction: str | dict[str, str]) -> dict[str, str]:
+    dirs = dict(direction) if isinstance(direction, dict) else {c: direction for c in cols}
+    for c in cols:
+        if dirs.get(c) not in _DIRECTIONS:
+            raise ValueError(f"direction for {c!r} must be one of {_DIRECTIONS}")
+    return dirs
+
+
 def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by: Sequence[str],
-         direction: str = "down", chunks: int | None = None, strategy: str = "chunked") -> DataFrame:
+         direction: str | dict[str, str] = "down", chunks: int | None = None,
+         strategy: str = "chunked") -> DataFrame:
     """``group_by(g) |> fill(cols, .direction = direction)`` with row order ``order_by``.
 
-    ``order_by`` should be unique within a group (ties are filled in an arbitrary order, as any sort would).
-    Non-NULL cells are never changed.  ``strategy="window"`` uses one window per group instead of the chunked
-    scan; only for inputs whose groups have a proven size bound.
+    ``direction`` may also map each column to its own direction (several ``fill`` calls over the same
+    grouping and order done in one scan).  ``order_by`` should be unique within a group (ties are filled in an
+    arbitrary order, as any sort would).  Non-NULL cells are never changed.  ``strategy="window"`` uses one
+    window per group instead of the chunked scan; only for inputs whose groups have a proven size bound.
     """
-    if direction not in _DIRECTIONS:
-        raise ValueError(f"direction must be one of {_DIRECTIONS}")
+    dirs = _directions(cols, direction)
     if strategy == "window":
-        return fill_window(df, cols, group_by, order_by, direction)
+        return fill_window(df, cols, group_by, order_by, dirs)
     spark = df.sparkSession
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = list(group_by)
@@ -80,7 +89,7 @@ def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by:
             continue
         down = F.coalesce(F.col(f"__d_{c}"), F.col(f"__cd_{c}"))
         up = F.coalesce(F.col(f"__u_{c}"), F.col(f"__cu_{c}"))
-        expr = {"down": down, "up": up, "downup": F.coalesce(down, up), "updown": F.coalesce(up, down)}[direction]
+        expr = {"down": down, "up": up, "downup": F.coalesce(down, up), "updown": F.coalesce(up, down)}[dirs[c]]
         out.append(F.coalesce(F.col(c), expr).cast(dict(df.dtypes)[c]).alias(c))
     return joined.select(*out)
 
@@ -94,8 +103,9 @@ def order_key(order_by: Sequence[str]):
 
 
 def fill_window(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by: Sequence[str],
-                direction: str = "down") -> DataFrame:
+                direction: str | dict[str, str] = "down") -> DataFrame:
     """Single-window ``fill`` for inputs whose groups are known to be small (one Exchange + Sort)."""
+    dirs = _directions(cols, direction)
     w = Window.partitionBy(*group_by).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
     down_w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     up_w = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -103,7 +113,7 @@ def fill_window(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], ord
     for c in cols:
         down = F.last(c, ignorenulls=True).over(down_w)
         up = F.first(c, ignorenulls=True).over(up_w)
-        expr = {"down": down, "up": up, "downup": F.coalesce(down, up), "updown": F.coalesce(up, down)}[direction]
+        expr = {"down": down, "up": up, "downup": F.coalesce(down, up), "updown": F.coalesce(up, down)}[dirs[c]]
         out = out.withColumn(c, F.coalesce(F.col(c), expr))
     return out
 

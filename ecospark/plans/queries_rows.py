@@ -42,8 +42,8 @@ def fill_down(spark: SparkSession, sf_dir: str):
     """W1 variants: down-only and up-only fills grouped by a nullable key (NA is a group)."""
     t = td.tm(spark, sf_dir).select("ord", "family", "niche", "length_max")
     t = t.withColumn("niche_down", F.col("niche")).withColumn("length_max_up", F.col("length_max"))
-    t = windows.fill(t, ["niche_down"], ["family"], ["ord"], "down")
-    t = windows.fill(t, ["length_max_up"], ["family"], ["ord"], "up")
+    t = windows.fill(t, ["niche_down", "length_max_up"], ["family"], ["ord"],
+                     {"niche_down": "down", "length_max_up": "up"})
     return t.drop("length_max")
 
 
