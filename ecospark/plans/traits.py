@@ -86,12 +86,14 @@ def tidy_body_size(raw: DataFrame, recipe: TraitRecipe = CURRENT) -> DataFrame:
 # ------------------------------------------------------------------------------------------- C2
 def land_larval_sheet(spark, path: str, dropped_column: int = tr.LARVAL_DROPPED_COLUMN,
                       junk_rows: tuple[int, int] = tr.LARVAL_JUNK_ROWS) -> DataFrame:
-    """Landed larval-niche sheet (CSV, header in the first data row) -> the frame ``tidy_larval_niche`` takes:
-    ``select(-29) |> row_to_names(1) |> clean_names() |> slice(-587:-602)``, keeping file order in ``_ord``.
+    """Landed larval-niche sheet -> the frame ``tidy_larval_niche`` takes:
+    ``read_xlsx |> select(-29) |> row_to_names(1) |> clean_names() |> slice(-587:-602)``, file order in ``_ord``.
 
-    A single landed sheet is read in file order (consecutive row numbers without a single-task window).
+    As with the spreadsheet reader, the first line of the sheet only names the columns (and is discarded by
+    the header promotion); the real header is the first *data* row, i.e. the second line.  A single landed
+    sheet is read in file order (consecutive row numbers without a single-task window).
     """
-    raw = spark.read.option("header", False).option("nullValue", "NA").csv(path)
+    raw = spark.read.option("header", True).option("nullValue", "NA").csv(path)
     raw = raw.toDF(*[f"c{i}" for i in range(1, len(raw.columns) + 1)])
     numbered = with_row_number(raw, "_row")
     if dropped_column and dropped_column <= len(raw.columns):

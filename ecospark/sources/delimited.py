@@ -9,6 +9,7 @@ lenient casts, so one bad cell becomes NULL rather than failing the whole scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,10 +26,16 @@ def _read(spark: SparkSession, path: str | Sequence[str], sep: str, header: bool
     reader = spark.read.option("sep", sep).option("header", header).option("nullValue", "NA") \
         .option("quote", '"').option("escape", '"').option("multiLine", False)
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", False)
-    return reader.csv(path)
+        return reader.schema(schema).csv(path)
+    df = reader.option("inferSchema", False).csv(path)
+    return _blank_headers(df) if header else df
+
+
+def _blank_headers(df: DataFrame) -> DataFrame:
+    """Spark names a blank header cell ``_c<index>``; it becomes ``__<position>``, which header cleaning turns
+    into ``x<position>`` as for a blank spreadsheet header.  (No dots: they would read as struct access.)"""
+    names = [f"__{int(c[2:]) + 1}" if re.fullmatch(r"_c\d+", c) else c for c in df.columns]
+    return df.toDF(*names) if names != df.columns else df
 
 
 def _blank_to_null(df: DataFrame) -> DataFrame:
@@ -115,7 +122,7 @@ def promote_header(df: DataFrame, row: int = 1, row_col: str = "_row") -> DataFr
     if hdr is None:
         raise ValueError(f"row {row} not present")
     names = [("" if v is None else str(v)) for v in hdr]
-    names = [n if n else f"...{i}" for i, n in enumerate(names, start=1)]
+    names = [n if n else f"__{i}" for i, n in enumerate(names, start=1)]
     out = df.filter(F.col(row_col) > row).withColumn(row_col, F.col(row_col) - row)
     return out.toDF(*names, row_col)
 

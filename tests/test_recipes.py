@@ -89,7 +89,7 @@ def test_niche_richness_levels(spark):
 def test_land_larval_sheet(spark, tmp_path):
     # column 29 is dropped, row 1 is the header, data rows 587..602 (after the header) are junk
     header = ["Higher Taxon", "Family", "Note"] + [f"Score {i}" for i in range(4, 29)] + ["Extra"]
-    lines = [",".join(header)]
+    lines = ["Sheet title" + "," * 29, ",".join(header)]
     for i in range(1, 611):
         junk = 587 <= i <= 602
         lines.append(",".join([f"O{i % 3}", "Total" if junk else f"F{i} ", "n"] +
