@@ -26,16 +26,18 @@ def unpivot_columns(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name
 
 def explode_wide(df: DataFrame, ids: Sequence[str], cols: Sequence[str] | None = None, names_to: str = "name",
                  values_to: str = "value", keep: Callable[[Column], Column] | None = None,
-                 value_type: str | None = None) -> DataFrame:
+                 value_type: str | None = None, rename: Callable[[str], str] | None = None) -> DataFrame:
     """Wide matrix with hundreds+ of value columns -> long (R3: ``melt`` / ``pivot_longer(11:ncol(.))``).
 
     One ``explode`` of an array of (name, value) structs, with ``keep`` applied to the array *before* the
-    explode, so zero counts never become rows.  ``unpivot`` would plan one Expand projection per column.
+    explode, so zero counts never become rows.  ``rename`` rewrites the column names once, on the driver,
+    instead of rewriting the same few names on every long row.
     """
     ids = list(ids)
     cols = [c for c in df.columns if c not in ids] if cols is None else list(cols)
     vt = value_type or dict(df.dtypes)[cols[0]]
-    arr = F.array(*[F.struct(F.lit(c).alias("n"), F.col(c).cast(vt).alias("v")) for c in cols])
+    label = rename or (lambda c: c)
+    arr = F.array(*[F.struct(F.lit(label(c)).alias("n"), F.col(c).cast(vt).alias("v")) for c in cols])
     if keep is not None:
         arr = F.filter(arr, lambda s: keep(s["v"]))
     return (df.select(*ids, F.explode(arr).alias("__kv"))

@@ -8,6 +8,7 @@ per-family tables that Spark broadcasts when their measured size allows and shuf
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -31,12 +32,14 @@ def read_counts_long(taxonomy: DataFrame, counts: DataFrame, *, wide: bool = Tru
     taxonomy, and the count filter runs inside the explode.
     """
     if wide:
-        long = reshape.explode_wide(counts, [cluster], None, sample, value, keep=lambda v: v > 0)
+        # sample ids are column headers: fix them once per column, not once per long row
+        long = reshape.explode_wide(counts, [cluster], None, sample, value, keep=lambda v: v > 0,
+                                    rename=lambda c: re.sub("p", "P", c, count=1))
     else:
-        long = counts.select(cluster, sample, value).filter(F.col(value) > 0)
+        long = counts.select(cluster, ef.replace_first(sample, "p", "P").alias(sample), value) \
+            .filter(F.col(value) > 0)
     taxa = taxonomy.filter(F.col("phylum") == F.lit(phylum))
-    out = joins.join(taxa, long, [cluster], "inner")
-    return out.withColumn(sample, ef.replace_first(sample, "p", "P"))
+    return joins.join(taxa, long, [cluster], "inner")
 
 
 def sample_meta(seq_meta: DataFrame, malaise_meta: DataFrame, trap_meta: DataFrame,
