@@ -23,11 +23,13 @@ def family_reads(counts: DataFrame, taxonomy: DataFrame, sample_traps: DataFrame
 
     The reference builds ``full_join(taxonomy, counts) -> pivot_longer -> full_join(meta) -> filter(reads > 0)``.
     The filter removes every row that exists only on the taxonomy or metadata side, so the plan is
-    ``counts LEFT JOIN traps LEFT JOIN taxonomy``, with the count filter and a partial (cluster, sample)
-    aggregation applied before anything is shuffled.
+    ``counts LEFT JOIN traps LEFT JOIN taxonomy`` with the count filter pushed into the scan.  The per-sample
+    and per-cluster tables are broadcast when their size allows (checked by the planner), so the count table
+    is shuffled once, by the final aggregate, after its map-side partial aggregation.  (An explicit
+    (cluster, sample) pre-aggregation would add a full shuffle and combine nothing: a count matrix has one
+    cell per pair.)
     """
-    occ = (counts.filter(F.col(reads) > 0)
-           .groupBy(cluster, sample).agg(F.sum(reads).alias(reads)))
+    occ = counts.filter(F.col(reads) > 0).select(cluster, sample, reads)
     occ = left_join(occ, sample_traps.select(sample, trap), [sample])
     occ = left_join(occ, taxonomy.select(cluster, family), [cluster])
     out = (occ.groupBy(family)
