@@ -41,6 +41,10 @@ def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by:
     grouping and order done in one scan).  ``order_by`` should be unique within a group (ties are filled in an
     arbitrary order, as any sort would).  Non-NULL cells are never changed.  ``strategy="window"`` uses one
     window per group instead of the chunked scan; only for inputs whose groups have a proven size bound.
+
+    The chunk bounds come from two small jobs over ``df`` (a count and a bounded key sample) run when the
+    plan is built; when ``df`` is the end of an expensive plan, write it out first (``session.materialize``)
+    so that it is not computed three times.
     """
     dirs = _directions(cols, direction)
     if strategy == "window":
