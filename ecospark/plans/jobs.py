@@ -5,6 +5,7 @@ between jobs (the compiled trait table read by the occurrence and summary jobs)
 output folder, which on a cluster must be a shared location.
 
     python -m ecospark.plans.jobs traits      config.json
+    python -m ecospark.plans.jobs traits_v1   config.json
     python -m ecospark.plans.jobs occurrences config.json
     python -m ecospark.plans.jobs summaries   config.json
     python -m ecospark.plans.jobs checklist   config.json
@@ -65,6 +66,22 @@ def trait_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     return all_traits
 
 
+def trait_job_v1(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
+    """The older trait compilation (C24): taxonomy (TSV), body_mass (;-CSV), feeding (sheet), larval (sheet);
+    no soil or expert tables, no phylum filter, keys trimmed after the joins.  Output: all_traits_v1."""
+    recipe = traits.V1
+    taxonomy = columns.clean_columns(delimited.read_tsv(spark, cfg["taxonomy"]))
+    body = traits.tidy_body_size(
+        delimited.with_row_number(delimited.read_csv2(spark, cfg["body_mass"], numeric=["length_min", "length_max"]),
+                                  "_ord"), recipe)
+    larval = traits.tidy_larval_niche(traits.land_larval_sheet(spark, cfg["larval"]), recipe)
+    feeding = traits.tidy_feeding_niche(_sheet(spark, cfg["feeding"]), recipe)
+    out = traits.compile_traits(body, larval, feeding, None, taxonomy, [], recipe)
+    out = sinks.handoff(out, _out(cfg, "all_traits_v1.parquet"))
+    sinks.write_csv(out, _out(cfg, "all_traits_v1.csv"))
+    return out
+
+
 def occurrence_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     """Occurrence assembly (C13-C19).  Inputs: taxonomy, clusters (wide counts), seq_meta, malaise_meta,
     trap_meta (all tab-separated, read like ``fread``), all_traits (parquet hand-off), classification
@@ -123,7 +140,8 @@ def checklist_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     return out
 
 
-JOBS = {"traits": trait_job, "occurrences": occurrence_job, "summaries": summary_job, "checklist": checklist_job}
+JOBS = {"traits": trait_job, "traits_v1": trait_job_v1, "occurrences": occurrence_job, "summaries": summary_job,
+        "checklist": checklist_job}
 
 
 def main(argv: list[str]) -> int:

@@ -71,6 +71,10 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert ("Mesostigmata", "Ascidae") not in at                               # unmatched patch rows are ignored
     assert os.path.isdir(os.path.join(out, "all_traits.csv"))
 
+    v1 = {(r.higher_taxon, r.family): r for r in jobs.trait_job_v1(spark, dict(cfg, out=os.path.join(d, "v1"))).collect()}
+    assert ("Heteroptera", "Miridae") in v1                                    # not recoded in the older recipe
+    assert ("Passeriformes", "Paridae") in v1                                  # no phylum filter
+
     occ_cfg = {
         "out": out, "all_traits": os.path.join(out, "all_traits.parquet"),
         "taxonomy": _write(d, "otu_taxa.tsv", ["cluster\tphylum\tclass\torder\tfamily\tgenus",
