@@ -154,7 +154,7 @@ def _ct_sql(body: str) -> str:
 @register("missing_life_history", _ct_sql("SELECT higher_taxon, family, larva_aquatic, in_IBA FROM ct WHERE in_IBA"))
 def missing_life_history(spark: SparkSession, sf_dir: str):
     """C11: life-history columns (regex selected) of sequenced families."""
-    return traits.missing_life_history(qc.trait_compile(spark, sf_dir))
+    return traits.missing_life_history(qc.compiled_traits(spark, sf_dir))
 
 
 _PATTERN_COLS = ["main_feeding_niche_ronquist", "length_min", "length_max", *qc.SCORES,
@@ -165,7 +165,7 @@ _PATTERN_COLS = ["main_feeding_niche_ronquist", "length_min", "length_max", *qc.
     "SELECT " + ", ".join(f"{c} IS NULL AS {c}" for c in _PATTERN_COLS) + ", count(*) AS n FROM ct GROUP BY ALL"))
 def trait_missing_patterns(spark: SparkSession, sf_dir: str):
     """Missingness patterns of the trait columns of the compiled table."""
-    return traits.trait_missing_patterns(qc.trait_compile(spark, sf_dir))
+    return traits.trait_missing_patterns(qc.compiled_traits(spark, sf_dir))
 
 
 @register("complete_case_families", _ct_sql(
@@ -173,7 +173,7 @@ def trait_missing_patterns(spark: SparkSession, sf_dir: str):
         f"{c} IS NOT NULL" for c in ["higher_taxon", "family", "mass_reference", "in_IBA", *_PATTERN_COLS])))
 def complete_case_families(spark: SparkSession, sf_dir: str):
     """``select(-sub_family) |> drop_na() |> pull(family)``."""
-    return traits.complete_case_families(qc.trait_compile(spark, sf_dir))
+    return traits.complete_case_families(qc.compiled_traits(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------------- occurrence steps
