@@ -116,7 +116,7 @@ def summary_job(spark: SparkSession, cfg: Mapping[str, str], trap: str = "trapID
     wide = wide.select("cluster", *[F.col(c).cast("long").alias(c) for c in samples])
     counts = explode_wide(wide, ["cluster"], samples, sample, "read_count", keep=lambda v: v > 0)
     meta = joins.natural_join(delimited.read_tsv(spark, cfg["seq_meta"]),
-                              delimited.read_tsv(spark, cfg["malaise_meta"]))
+                              delimited.read_tsv(spark, cfg["malaise_meta"]), strategy="native")
     meta = columns.select_matching(meta, ["sampleID", "trap"])
     reads = summaries.family_reads(counts, taxonomy.withColumnRenamed("Family", "family"), meta, sample=sample,
                                    reads="read_count", trap=trap, sort=False).withColumnRenamed("family", "Family")
