@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PER_CHUNK = 64
+# Literal bounds live in the plan (one struct literal per chunk): above this many chunks the rows are instead
+# range-partitioned once and checkpointed, so every branch reads the same stored chunk ids.
+MAX_LITERAL_CHUNKS = 4096
 
 
 def sort_key_columns(group_by: Sequence[str], order_by: Sequence[str]) -> list[Column]:
@@ -66,3 +69,20 @@ def chunk_column(df: DataFrame, key: Sequence[Column], n_chunks: int, seed: int
         return F.when(k <= lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
 
     return build(0, len(bounds)).cast("int")
+
+
+def with_chunks(df: DataFrame, key: Sequence[Column], n_chunks: int, name: str = "__chunk",
+                max_literal_chunks: int = MAX_LITERAL_CHUNKS) -> DataFrame:
+    """``df`` plus an INT chunk column, monotone in ``struct(*key)`` and identical in every branch that uses it.
+
+    Up to ``max_literal_chunks`` the chunk is a pure expression over sampled bounds (no extra I/O).  Beyond
+    that (inputs of many terabytes cut into ~200 MB chunks) the rows are range-partitioned once, tagged with
+    their partition index and checkpointed (reliably, to the shared checkpoint folder), which fixes the
+    assignment for all later reads and retries.
+    """
+    if n_chunks <= max_literal_chunks:
+        return df.withColumn(name, chunk_column(df, key, n_chunks))
+    names = [f"__k{i}" for i in range(len(key))]
+    keyed = df.withColumns({n: c for n, c in zip(names, key)})
+    ranged = keyed.repartitionByRange(n_chunks, *names).withColumn(name, F.spark_partition_id())
+    return ranged.drop(*names).checkpoint(eager=True)

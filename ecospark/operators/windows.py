@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ecospark.operators.chunks import chunk_column, sort_key_columns
+from ecospark.operators.chunks import MAX_LITERAL_CHUNKS, sort_key_columns, with_chunks
 from ecospark.operators.joins import left_join
 
 _DIRECTIONS = ("down", "up", "downup", "updown")
@@ -34,7 +34,7 @@ def _directions(cols: Sequence[str], direction: str | dict[str, str]) -> dict[st
 
 def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by: Sequence[str],
          direction: str | dict[str, str] = "down", chunks: int | None = None,
-         strategy: str = "chunked") -> DataFrame:
+         strategy: str = "chunked", max_literal_chunks: int = MAX_LITERAL_CHUNKS) -> DataFrame:
     """``group_by(g) |> fill(cols, .direction = direction)`` with row order ``order_by``.
 
     ``direction`` may also map each column to its own direction (several ``fill`` calls over the same
@@ -53,10 +53,9 @@ def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by:
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = list(group_by)
     # one sortable key, NULLs last in every order column (R row order after a full join: x rows, then y-only)
-    chunk = chunk_column(df, sort_key_columns(g, order_by), n)
-    df = df.withColumn("__okey", order_key(order_by))
+    ranged = with_chunks(df, sort_key_columns(g, order_by), n, "__chunk", max_literal_chunks)
+    ranged = ranged.withColumn("__okey", order_key(order_by))
     o = ["__okey"]
-    ranged = df.withColumn("__chunk", chunk)
 
     keys = g + ["__chunk"]
     w = Window.partitionBy(*keys).orderBy(*o)
@@ -86,8 +85,6 @@ def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by:
 
     out = []
     for c in df.columns:
-        if c == "__okey":
-            continue
         if c not in cols:
             out.append(F.col(c))
             continue

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ecospark.functions.numeric import european_double
-from ecospark.operators.chunks import chunk_column
+from ecospark.operators.chunks import with_chunks
 from ecospark.operators.columns import clean_names
 
 ORD = "_ord"
@@ -101,7 +101,7 @@ def _ordered_row_number(df: DataFrame, name: str, order_by: list[str]) -> DataFr
     """Row numbers in ``order_by`` order: deterministic order-preserving chunks, a row number inside each
     chunk, and per-chunk offsets from a tiny count table."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunked = df.withColumn("__chunk", chunk_column(df, [F.col(c) for c in order_by], n))
+    chunked = with_chunks(df, [F.col(c) for c in order_by], n, "__chunk")
     counts = chunked.groupBy("__chunk").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select("__chunk", F.sum("__n").over(
         Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("__off"))

@@ -88,3 +88,15 @@ def test_unpivot_then_pivot_round_trips(spark):
     long = reshape.unpivot_columns(wide, ["k"], ["a", "b", "c"], "name", "value")
     back = reshape.pivot_fixed(long, ["k"], "name", "value", ["a", "b", "c"])
     assert rows(back, "k", "a", "b", "c") == rows(wide, "k", "a", "b", "c")
+
+
+def test_fill_checkpointed_range_chunks(spark):
+    # more chunks than literal bounds allow: range partition once, checkpoint, read the stored chunk ids
+    df = spark.range(0, 6000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, F.lit("cold")).when(F.col("id") % 11 == 0, F.lit(None))
+        .otherwise(F.lit("hot")).alias("g"),
+        ((F.col("id") * 7919) % 6000).alias("o"),
+        F.when(F.col("id") % 89 == 0, F.col("id")).alias("v"))
+    a = windows.fill(df, ["v"], ["g"], ["o"], "downup", chunks=12, max_literal_chunks=4)
+    b = windows.fill(df, ["v"], ["g"], ["o"], "downup", strategy="window")
+    assert rows(a) == rows(b)
