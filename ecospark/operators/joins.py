@@ -191,3 +191,22 @@ def patch(x: DataFrame, y: DataFrame, by: Sequence[str], null_safe: bool = True)
     joined = x.join(yy, cond, "left")
     return joined.select(*[F.coalesce(F.col(c), F.col(vtmp[c])).alias(c) if c in vtmp else F.col(c)
                            for c in x.columns])
+
+
+def null_key_report(left: DataFrame, right: DataFrame, on: KeySpec | str) -> DataFrame:
+    """One-row diagnostic before a null-safe join: rows whose keys are all NULL on each side and the number of
+    (left, right) pairs those rows will produce, since NA matches NA (SURVEY 4.3.3).  One aggregate over the
+    two inputs' key flags; no join is run."""
+    pairs = _pairs(on)
+
+    def flags(df, keys, side):
+        return df.select(F.lit(side).alias("side"),
+                         reduce(and_, [F.col(k).isNull() for k in keys]).cast("long").alias("all_null"))
+
+    u = flags(left, [l for l, _ in pairs], "left").unionByName(flags(right, [r for _, r in pairs], "right"))
+    is_left, is_right = F.col("side") == "left", F.col("side") == "right"
+    out = u.agg(F.count(F.when(is_left, 1)).alias("left_rows"),
+                F.coalesce(F.sum(F.when(is_left, F.col("all_null"))), F.lit(0)).alias("left_null_key_rows"),
+                F.count(F.when(is_right, 1)).alias("right_rows"),
+                F.coalesce(F.sum(F.when(is_right, F.col("all_null"))), F.lit(0)).alias("right_null_key_rows"))
+    return out.withColumn("null_key_pairs", F.col("left_null_key_rows") * F.col("right_null_key_rows"))

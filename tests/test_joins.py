@@ -90,3 +90,11 @@ def test_full_join_row_count_property(spark):
     out = joins.full_join(a, b, "k")
     assert out.count() >= max(a.count(), b.count())
     assert rows(out) == rows(joins.full_join(a, b, "k", strategy="native"))
+
+
+def test_null_key_report(spark):
+    x = spark.createDataFrame([(None, "f1", 1), ("H", "f2", 2), (None, None, 3), (None, None, 4)], S)
+    y = spark.createDataFrame([(None, None, 9), (None, None, 8), ("Z", "z", 7)], "h string, f string, w int")
+    r = joins.null_key_report(x, y, ["h", "f"]).first()
+    assert (r.left_null_key_rows, r.right_null_key_rows, r.null_key_pairs, r.left_rows) == (2, 2, 4, 4)
+    assert joins.full_join(x, y, ["h", "f"]).filter("h IS NULL AND f IS NULL").count() == 4
