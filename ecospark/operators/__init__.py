@@ -7,8 +7,8 @@ from ecospark.operators.columns import (cast_by_type, cast_matching, clean_colum
                                         reorder_first, select_matching, select_ordinal, select_renamed)
 from ecospark.operators.filters import (drop_na, drop_na_except, filter_in, filter_not_in, keep_any_missing,
                                         keep_flag)
-from ecospark.operators.joins import (common_keys, full_join, join, left_join, mark_join, natural_join, patch,
-                                      unique_by)
+from ecospark.operators.joins import (common_keys, full_join, join, left_join, mark_join, natural_join,
+                                      null_key_report, patch, unique_by)
 from ecospark.operators.reshape import explode_wide, pivot_fixed, separate, unpivot_columns
 from ecospark.operators.setops import bind_rows
 from ecospark.operators.windows import fill, fill_window, first_per_group, with_group_extremes
