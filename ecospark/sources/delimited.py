@@ -68,11 +68,36 @@ def read_csv2(spark: SparkSession, path, numeric: Sequence[str] = (), clean: boo
 
 
 def read_fread(spark: SparkSession, path, sep: str = "\t", clean: bool = True) -> DataFrame:
-    """data.table ``fread`` (S5): ``NA`` is missing; quoted empty strings stay ''."""
-    df = _read(spark, path, sep, True)
+    """data.table ``fread`` (S5): only ``NA`` is missing; blank cells stay ''.
+
+    Tab-separated files are read as text lines split on the tab (Spark's CSV reader cannot tell an unquoted
+    blank from ``NA``); a field wrapped in double quotes loses the quotes and ``""`` becomes ``"``.  Quoted
+    fields holding tabs or line breaks need the CSV path (``sep`` other than a tab).
+    """
+    if sep != "\t":
+        df = _read(spark, path, sep, True)
+        return df.toDF(*clean_names(df.columns)) if clean else df
+    lines = spark.read.text(path)
+    header = lines.first()
+    if header is None:
+        raise ValueError(f"{path}: empty file")
+    names = [_unquote_text(h) for h in header.value.split("\t")]
+    names = [n if n else f"__{i}" for i, n in enumerate(names, start=1)]
+    fields = F.split(F.col("value"), "\t", -1)
+    cols = []
+    for i, n in enumerate(names, start=1):
+        raw = F.try_element_at(fields, F.lit(i))
+        unq = F.when(raw.rlike('^".*"$'),
+                     F.replace(F.regexp_extract(raw, '^"(.*)"$', 1), F.lit('""'), F.lit('"'))).otherwise(raw)
+        cols.append(F.when(raw != F.lit("NA"), unq).alias(n))
+    df = lines.filter(F.col("value") != F.lit(header.value)).select(*cols)
     return df.toDF(*clean_names(df.columns)) if clean else df
 
 
+def _unquote_text(s: str) -> str:
+    return s[1:-1].replace('""', '"') if len(s) >= 2 and s[0] == s[-1] == '"' else s
+
+
 def with_row_number(df: DataFrame, name: str = "_row", order_by: Sequence[str] | None = None) -> DataFrame:
     """Consecutive 1-based row numbers, computed without a single-partition window.
 

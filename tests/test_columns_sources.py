@@ -63,3 +63,11 @@ def test_csv_sink_roundtrip(spark):
     back = delimited.read_csv(spark, path)
     assert rows(back.select(F.col("k").cast("int"), "s", F.col("x").cast("double"))) == [(1, "a", None),
                                                                                          (2, None, 2.5)]
+
+
+def test_fread_keeps_blanks(spark, tmp_path):
+    p = tmp_path / "meta.tsv"
+    p.write_text('sampleID_NGI\tlab_sample_type\tnote\nP1\tsample\t\nP2\tNA\t"a ""b"""\nP3\t\tNA\n')
+    df = delimited.read_fread(spark, str(p))
+    assert df.columns == ["sample_id_ngi", "lab_sample_type", "note"]
+    assert rows(df) == [("P1", "sample", ""), ("P2", None, 'a "b"'), ("P3", "", None)]
