@@ -79,7 +79,8 @@ def join(left: DataFrame, right: DataFrame, on: KeySpec | str, how: str = "inner
     if clash:
         log.info("join: suffixing clashing columns %s", sorted(clash))
 
-    l = left.select(*[F.col(k) for k in lkeys], *[F.col(c).alias(lnames[c]) for c in lrest])
+    # re-project the left side only when a clashing column has to be renamed
+    l = left.select(*[F.col(k) for k in lkeys], *[F.col(c).alias(lnames[c]) for c in lrest]) if clash else left
     r = right.select(*[F.col(k).alias(t) for k, t in zip(rkeys, rtmp)],
                      *[F.col(c).alias(rnames[c]) for c in rrest])
     cond = _cond([l[k] for k in lkeys], [r[t] for t in rtmp], null_safe)
@@ -87,6 +88,7 @@ def join(left: DataFrame, right: DataFrame, on: KeySpec | str, how: str = "inner
 
     if how in ("inner", "left"):
         return l.join(r, cond, how).select(*out_cols)
+    # (full joins below also rely on l's column names: keys, then renamed rest)
 
     if how != "full":
         raise ValueError(f"unsupported join type {how!r}")
