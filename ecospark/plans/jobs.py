@@ -59,8 +59,8 @@ def trait_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     all_traits = traits.compile_traits(body, larval, feeding, soil, taxonomy, experts)
     # hand-off table, read back by everything downstream (cuts the lineage of the compilation)
     all_traits = sinks.handoff(all_traits, _out(cfg, "all_traits.parquet"))
-    sinks.write_csv(all_traits, _out(cfg, "all_traits.csv"))
-    sinks.write_csv(traits.missing_life_history(all_traits), _out(cfg, "missing_lh.csv"))
+    sinks.write_csv_r(all_traits, _out(cfg, "all_traits.csv"))
+    sinks.write_csv_r(traits.missing_life_history(all_traits), _out(cfg, "missing_lh.csv"))
     sinks.write_table(traits.trait_missing_patterns(all_traits), _out(cfg, "missing_patterns.parquet"))
     sinks.write_table(traits.complete_case_families(all_traits), _out(cfg, "complete_families.parquet"))
     return all_traits
@@ -78,7 +78,7 @@ def trait_job_v1(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     feeding = traits.tidy_feeding_niche(_sheet(spark, cfg["feeding"]), recipe)
     out = traits.compile_traits(body, larval, feeding, None, taxonomy, [], recipe)
     out = sinks.handoff(out, _out(cfg, "all_traits_v1.parquet"))
-    sinks.write_csv(out, _out(cfg, "all_traits_v1.csv"))
+    sinks.write_csv_r(out, _out(cfg, "all_traits_v1.csv"))
     return out
 
 
@@ -123,12 +123,12 @@ def summary_job(spark: SparkSession, cfg: Mapping[str, str], trap: str = "trapID
     all_traits = spark.read.parquet(cfg["all_traits"]).withColumnRenamed("family", "Family")
     missing = summaries.missing_traits(all_traits, key_cols=("higher_taxon", "Family"), flag="in_IBA")
     seq = summaries.missing_traits_seq(missing, reads, flag="in_IBA")
-    sinks.write_csv(seq, _out(cfg, "missing_traits_seq.csv"))
+    sinks.write_csv_r(seq, _out(cfg, "missing_traits_seq.csv"))
     # as shipped (D2): every family, zero-missing ones included, so counted on the unfiltered selection
     report = all_traits.select("higher_taxon", "Family", *summaries.TRAIT_REPORT_COLS, "in_IBA")
-    sinks.write_csv(summaries.missing_summary_by_family(report, ("higher_taxon", "Family")),
+    sinks.write_csv_r(summaries.missing_summary_by_family(report, ("higher_taxon", "Family")),
                     _out(cfg, "missing_traits_summary.csv"))
-    sinks.write_csv(summaries.missing_summary_by_order(missing), _out(cfg, "missing_traits_by_order.csv"))
+    sinks.write_csv_r(summaries.missing_summary_by_order(missing), _out(cfg, "missing_traits_by_order.csv"))
     return seq
 
 
@@ -136,7 +136,7 @@ def checklist_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     """Family checklist (C23).  Input: taxonomy (TSV, first column = cluster).  Output: families.csv."""
     taxonomy = columns.rename_ordinal(delimited.read_tsv(spark, cfg["taxonomy"]), 1, "cluster")
     out = summaries.family_checklist(taxonomy, "Family")
-    sinks.write_csv(out, _out(cfg, "families.csv"))
+    sinks.write_csv_r(out, _out(cfg, "families.csv"), order_by=["Family"])
     return out
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -23,3 +26,40 @@ def handoff(df: DataFrame, path: str) -> DataFrame:
     write_table(df, path)
     spark: SparkSession = df.sparkSession
     return spark.read.parquet(path)
+
+
+def _r_text(c: str, dtype: str) -> Column:
+    """One value as R's ``write.csv`` prints it; NULL stays NULL (written as a bare NA)."""
+    col = F.col(c)
+    if dtype == "string":
+        return F.concat(F.lit('"'), F.replace(col, F.lit('"'), F.lit('""')), F.lit('"'))
+    if dtype == "boolean":
+        return F.when(col, F.lit("TRUE")).when(~col, F.lit("FALSE"))
+    if dtype in ("double", "float"):
+        # whole numbers print without a decimal part (75, not 75.0)
+        return F.when(col == F.floor(col), F.floor(col).cast("bigint").cast("string")) \
+            .otherwise(col.cast("string"))
+    return col.cast("string")
+
+
+def write_csv_r(df: DataFrame, path: str, order_by: Sequence[str] | None = None, mode: str = "overwrite") -> None:
+    """``write.csv(df, path)`` as R writes it (K1): a leading quoted row-number column with an empty quoted
+    header, quoted strings (embedded quotes doubled), unquoted numbers, ``TRUE`` / ``FALSE``, bare ``NA``.
+
+    Row numbers are consecutive in ``order_by`` order.  Without ``order_by`` the frame is first written to the
+    shared checkpoint folder and numbered in scan order: numbering an arbitrary plan directly would let the
+    counting and the numbering branches partition a sorted input differently.  The output is a folder of part
+    files like every Spark sink, each with the header line.
+    """
+    from ecospark.session import materialize
+    from ecospark.sources.delimited import with_row_number
+
+    if order_by:
+        numbered = with_row_number(df, "__row", order_by=list(order_by))
+    else:
+        numbered = with_row_number(materialize(df, "csv-r"), "__row")
+    cols = [F.concat(F.lit('"'), F.col("__row").cast("string"), F.lit('"')).alias('""')]
+    cols += [_r_text(c, t).alias(f'"{c}"') for c, t in df.dtypes]
+    out = numbered.select(*cols)
+    (out.write.mode(mode).option("header", True).option("nullValue", "NA").option("quote", "")
+     .option("escape", "").csv(path))

@@ -71,3 +71,34 @@ def test_fread_keeps_blanks(spark, tmp_path):
     df = delimited.read_fread(spark, str(p))
     assert df.columns == ["sample_id_ngi", "lab_sample_type", "note"]
     assert rows(df) == [("P1", "sample", ""), ("P2", None, 'a "b"'), ("P3", "", None)]
+
+
+def test_write_csv_r_style(spark, tmp_path):
+    # the sample line of the shipped report (FIXTURES.md A): "1","Blattodea","Blaberidae",2.5,75,NA,NA,TRUE,1,1,10
+    df = spark.createDataFrame([("Blattodea", "Blaberidae", 2.5, 75.0, None, None, True, 1, 1, 10),
+                                ("Hymenoptera", 'Ichneu"monidae', 3.0, 40.0, "Predator", None, True, 3743, 199,
+                                 51514066)],
+                               "higher_taxon string, Family string, length_min double, length_max double, "
+                               "main_feeding_niche_ronquist string, main_feeding_habitat_ronquist string, "
+                               "in_IBA boolean, n_otu int, n_obs int, reads long")
+    path = str(tmp_path / "out")
+    sinks.write_csv_r(df, path, order_by=["reads"])
+    lines = []
+    for f in sorted(os.listdir(path)):
+        if f.endswith(".csv"):
+            lines += open(os.path.join(path, f)).read().splitlines()
+    header = [ln for ln in lines if ln.startswith('"",')]
+    body = sorted(ln for ln in lines if not ln.startswith('"",'))
+    assert header[0] == ('"","higher_taxon","Family","length_min","length_max","main_feeding_niche_ronquist",'
+                         '"main_feeding_habitat_ronquist","in_IBA","n_otu","n_obs","reads"')
+    assert body == ['"1","Blattodea","Blaberidae",2.5,75,NA,NA,TRUE,1,1,10',
+                    '"2","Hymenoptera","Ichneu""monidae",3,40,"Predator",NA,TRUE,3743,199,51514066']
+
+
+def test_write_csv_r_numbers_a_sorted_frame_consecutively(spark, tmp_path):
+    df = spark.range(0, 5000, 1, 7).select(((F.col("id") * 7919) % 5000).alias("k")).orderBy("k")
+    path = str(tmp_path / "sorted")
+    sinks.write_csv_r(df, path)
+    back = spark.read.option("header", True).csv(path)
+    nums = sorted(int(r[0]) for r in back.collect())
+    assert nums == list(range(1, 5001))
