@@ -275,8 +275,9 @@ def compile_traits(body: DataFrame, larval: DataFrame, feeding: DataFrame, soil:
     taxa = taxonomy
     if recipe.phylum_filter:
         taxa = taxa.filter(F.col("phylum") == F.lit(recipe.phylum_filter))
-    fam_cols = ([F.col("class")] if recipe.with_class else []) + [F.col("order").alias("higher_taxon"),
-                                                                   F.col("family")]
+    # explicit aliases: an uncleaned taxonomy (Class, Order, Family) must still yield the lower-case keys
+    fam_cols = ([F.col("class").alias("class")] if recipe.with_class else []) + [
+        F.col("order").alias("higher_taxon"), F.col("family").alias("family")]
     families = taxa.select(*fam_cols).distinct()
     out = joins.natural_join(traits, families, how="full", strategy="native")
     out = joins.mark_join(out, taxa, [("family", "family")], "in_IBA")

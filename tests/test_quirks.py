@@ -54,3 +54,11 @@ def test_d18_metadata_only_rows_survive(spark):
     meta = spark.createDataFrame([("P1", "T1"), ("P2", "T2")], "sample_id_ngi string, trap_id string")
     o = occ.occurrences(counts, meta)
     assert rows(o, "sample_id_ngi", "family", "trap_id") == [("P1", "Carabidae", "T1"), ("P2", None, "T2")]
+
+
+def test_uncleaned_taxonomy_headers_still_join_on_family(spark):
+    body, larval, feeding = _sources(spark, [("Coleoptera", "Carabidae")])
+    taxonomy = spark.createDataFrame([("Arthropoda", "Insecta", "Coleoptera", "Carabidae")],
+                                     "Phylum string, Class string, Order string, Family string")
+    out = traits.compile_traits(body, larval, feeding, None, taxonomy)
+    assert rows(out, "higher_taxon", "family", "class", "in_IBA") == [("Coleoptera", "Carabidae", "Insecta", True)]
