@@ -116,3 +116,17 @@ def test_jobs_end_to_end(spark, tmp_path):
 
     fams = jobs.checklist_job(spark, {"out": out, "taxonomy": sum_cfg["taxonomy"]})
     assert [tuple(r) for r in fams.collect()] == [("Carabidae", 1), ("Muscidae", 2)]
+
+
+def test_example_configs_name_every_input():
+    import json
+    import re
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "examples")
+    src = open(os.path.join(os.path.dirname(jobs.__file__), "jobs.py")).read()
+    for job, fn in [("traits", "trait_job"), ("traits_v1", "trait_job_v1"), ("occurrences", "occurrence_job"),
+                    ("summaries", "summary_job"), ("checklist", "checklist_job")]:
+        body = src[src.index(f"def {fn}("):]
+        body = body[:body.index("\ndef ", 1)] if "\ndef " in body[1:] else body
+        used = set(re.findall(r'cfg\["([a-z_]+)"\]', body)) | {"out"}
+        cfg = json.load(open(os.path.join(root, f"{job}.json")))
+        assert used == set(cfg), (job, used ^ set(cfg))
