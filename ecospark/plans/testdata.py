@@ -11,7 +11,6 @@ are manufactured identically on both sides with ``CASE WHEN key % n = 0 THEN NUL
 | taxa    | cluster taxonomy (phylum .. genus)  | part |
 | cl      | long read counts (cluster, sample, reads) | lineitem |
 | traps   | sequencing sample -> trap          | supplier |
-| sm      | malaise sample metadata with dd/mm/yyyy dates | events |
 """
 
 from __future__ import annotations
@@ -120,18 +119,8 @@ def traps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# ---------------------------------------------------------------- sm: malaise sample metadata
-SM_SQL = """SELECT event_id, user_id AS trap, strftime(ts, '%d/%m/%Y') AS collecting_date FROM events"""
-
-
-def sm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    return e.select("event_id", F.col("user_id").alias("trap"),
-                    F.date_format("ts", "dd/MM/yyyy").alias("collecting_date"))
-
-
 def with_views(sql_body: str, *views: str) -> str:
     """Prefix an oracle query with the named view definitions as CTEs."""
-    defs = {"tm": TM_SQL, "taxa": TAXA_SQL, "cl": CL_SQL, "traps": TRAPS_SQL, "sm": SM_SQL}
+    defs = {"tm": TM_SQL, "taxa": TAXA_SQL, "cl": CL_SQL, "traps": TRAPS_SQL}
     ctes = ",\n".join(f"{v} AS (\n{defs[v]}\n)" for v in views)
     return f"WITH {ctes}\n{sql_body}" if views else sql_body
