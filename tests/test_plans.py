@@ -21,3 +21,11 @@ def test_plan_shape(spark, name):
         assert udf not in plan, (name, udf)
     for m in re.finditer(r"BroadcastNestedLoopJoin", plan):
         assert "LocalLimit 1" in plan or "LocalLimit(1" in plan, name
+
+
+def test_flagship_scan_is_pruned_and_filtered(spark):
+    df = entry.queries()["family_reads"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = next(ln for ln in plan.splitlines() if "FileScan" in ln and "l_quantity" in ln)
+    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_quantity:double>" in scan, scan
+    assert "PushedFilters: [IsNotNull(l_quantity)" in scan, scan
