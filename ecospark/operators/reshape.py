@@ -26,16 +26,28 @@ def unpivot_columns(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name
 
 def explode_wide(df: DataFrame, ids: Sequence[str], cols: Sequence[str] | None = None, names_to: str = "name",
                  values_to: str = "value", keep: Callable[[Column], Column] | None = None,
-                 value_type: str | None = None, rename: Callable[[str], str] | None = None) -> DataFrame:
+                 value_type: str | None = None, rename: Callable[[str], str] | None = None,
+                 block_size: int | None = None) -> DataFrame:
     """Wide matrix with hundreds+ of value columns -> long (R3: ``melt`` / ``pivot_longer(11:ncol(.))``).
 
     One ``explode`` of an array of (name, value) structs, with ``keep`` applied to the array *before* the
     explode, so zero counts never become rows.  ``rename`` rewrites the column names once, on the driver,
     instead of rewriting the same few names on every long row.
+
+    ``block_size`` splits very wide matrices (tens of thousands of sample columns) into column blocks that are
+    exploded separately and unioned: each expression stays small enough for code generation, and with a
+    columnar (parquet) input each block reads only its own columns, so every cell is still read once.
     """
     ids = list(ids)
     cols = [c for c in df.columns if c not in ids] if cols is None else list(cols)
     vt = value_type or dict(df.dtypes)[cols[0]]
+    if block_size and len(cols) > block_size:
+        parts = [explode_wide(df, ids, cols[i:i + block_size], names_to, values_to, keep, vt, rename)
+                 for i in range(0, len(cols), block_size)]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
     label = rename or (lambda c: c)
     arr = F.array(*[F.struct(F.lit(label(c)).alias("n"), F.col(c).cast(vt).alias("v")) for c in cols])
     if keep is not None:

@@ -114,7 +114,7 @@ def summary_job(spark: SparkSession, cfg: Mapping[str, str], trap: str = "trapID
     wide = delimited.read_tsv(spark, cfg["clusters"])
     samples = [c for c in wide.columns if c != "cluster"]
     wide = wide.select("cluster", *[F.col(c).cast("long").alias(c) for c in samples])
-    counts = explode_wide(wide, ["cluster"], samples, sample, "read_count", keep=lambda v: v > 0)
+    counts = explode_wide(wide, ["cluster"], samples, sample, "read_count", keep=lambda v: v > 0, block_size=2000)
     meta = joins.natural_join(delimited.read_tsv(spark, cfg["seq_meta"]),
                               delimited.read_tsv(spark, cfg["malaise_meta"]), strategy="native")
     meta = columns.select_matching(meta, ["sampleID", "trap"])

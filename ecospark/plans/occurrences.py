@@ -24,7 +24,7 @@ META_COLUMNS = "sample_id_ngi|trap|type|date|lat|lon"
 
 def read_counts_long(taxonomy: DataFrame, counts: DataFrame, *, wide: bool = True, cluster: str = "cluster",
                      sample: str = "sample_id_ngi", value: str = "read_count",
-                     phylum: str = tr.ARTHROPOD_PHYLUM) -> DataFrame:
+                     phylum: str = tr.ARTHROPOD_PHYLUM, block_size: int = 2000) -> DataFrame:
     """``full_join(taxa, counts, "cluster") |> melt |> filter(read_count > 0, phylum == ..) |>
     mutate(sample = str_replace(sample, "p", "P"))``.
 
@@ -34,7 +34,7 @@ def read_counts_long(taxonomy: DataFrame, counts: DataFrame, *, wide: bool = Tru
     if wide:
         # sample ids are column headers: fix them once per column, not once per long row
         long = reshape.explode_wide(counts, [cluster], None, sample, value, keep=lambda v: v > 0,
-                                    rename=lambda c: re.sub("p", "P", c, count=1))
+                                    rename=lambda c: re.sub("p", "P", c, count=1), block_size=block_size)
     else:
         long = counts.select(cluster, ef.replace_first(sample, "p", "P").alias(sample), value) \
             .filter(F.col(value) > 0)

@@ -100,3 +100,13 @@ def test_fill_checkpointed_range_chunks(spark):
     a = windows.fill(df, ["v"], ["g"], ["o"], "downup", chunks=12, max_literal_chunks=4)
     b = windows.fill(df, ["v"], ["g"], ["o"], "downup", strategy="window")
     assert rows(a) == rows(b)
+
+
+def test_explode_wide_in_column_blocks(spark):
+    cols = [f"s{i}" for i in range(25)]
+    df = spark.range(0, 200, 1, 3).select(F.col("id").alias("cluster"),
+                                          *[((F.col("id") * (i + 3)) % 4).alias(c) for i, c in enumerate(cols)])
+    whole = reshape.explode_wide(df, ["cluster"], cols, "sample", "reads", keep=lambda v: v > 0)
+    blocks = reshape.explode_wide(df, ["cluster"], cols, "sample", "reads", keep=lambda v: v > 0, block_size=7)
+    assert rows(blocks) == rows(whole)
+    assert whole.count() > 0
