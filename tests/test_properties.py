@@ -46,3 +46,49 @@ def test_patch_matches_brute_force(spark, x, y):
     out = joins.patch(xd, yd, ["k"])
     assert rows(out) == expected
     assert rows(joins.patch(out, yd, ["k"])) == expected      # idempotent
+
+
+def brute_fill(rows_, direction):
+    """tidyr fill per group in order of o; rows_ = [(g, o, v)]."""
+    out = []
+    groups = {}
+    for g, o, v in rows_:
+        groups.setdefault(g, []).append((o, v))
+    for g, items in groups.items():
+        items.sort()
+        vals = [v for _, v in items]
+
+        def down(xs):
+            last, res = None, []
+            for x in xs:
+                last = x if x is not None else last
+                res.append(last)
+            return res
+
+        def up(xs):
+            return list(reversed(down(list(reversed(xs)))))
+
+        if direction == "down":
+            filled = down(vals)
+        elif direction == "up":
+            filled = up(vals)
+        elif direction == "downup":
+            filled = up(down(vals))
+        else:
+            filled = down(up(vals))
+        out += [(g, o, f) for (o, _), f in zip(items, filled)]
+    return _sorted(out)
+
+
+FILL_ROWS = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["a", "b"])),
+                               st.one_of(st.none(), st.integers(0, 9))), min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(FILL_ROWS, st.sampled_from(["down", "up", "downup", "updown"]))
+def test_fill_matches_brute_force(spark, data, direction):
+    from ecospark.operators import windows
+    rows_ = [(g, i, v) for i, (g, v) in enumerate(data)]           # unique order key
+    df = spark.createDataFrame(rows_, "g string, o int, v int")
+    got = rows(windows.fill(df, ["v"], ["g"], ["o"], direction, chunks=3))
+    assert got == brute_fill(rows_, direction)
