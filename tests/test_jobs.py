@@ -130,3 +130,9 @@ def test_example_configs_name_every_input():
         used = set(re.findall(r'cfg\["([a-z_]+)"\]', body)) | {"out"}
         cfg = json.load(open(os.path.join(root, f"{job}.json")))
         assert used == set(cfg), (job, used ^ set(cfg))
+
+
+def test_cli_rejects_bad_arguments(capsys):
+    assert jobs.main([]) == 2
+    assert jobs.main(["nope", "cfg.json"]) == 2
+    assert "python -m ecospark.plans.jobs" in capsys.readouterr().out

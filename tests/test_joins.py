@@ -98,3 +98,11 @@ def test_null_key_report(spark):
     r = joins.null_key_report(x, y, ["h", "f"]).first()
     assert (r.left_null_key_rows, r.right_null_key_rows, r.null_key_pairs, r.left_rows) == (2, 2, 4, 4)
     assert joins.full_join(x, y, ["h", "f"]).filter("h IS NULL AND f IS NULL").count() == 4
+
+
+def test_null_key_report_partial_nulls(spark):
+    x = spark.createDataFrame([(None, "f1", 1), (None, None, 2)], S)
+    y = spark.createDataFrame([(None, "f1", 9)], "h string, f string, w int")
+    r = joins.null_key_report(x, y, ["h", "f"]).first()
+    # only rows whose keys are all NULL count; (NULL, f1) is a partial NULL key
+    assert (r.left_null_key_rows, r.right_null_key_rows, r.null_key_pairs) == (1, 0, 0)
