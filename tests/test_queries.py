@@ -7,12 +7,13 @@ import pytest
 from oracle import compare, duck
 
 import __spark_entry__ as entry
+from ecospark.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {n: q for n, q in entry.queries().items() if n in catalog.QUERIES}
+ORACLES = {n: s for n, s in entry.oracle_sql().items() if n in catalog.QUERIES}
 
 
 @pytest.fixture(scope="module")
