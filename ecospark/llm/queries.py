@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecospark.llm import quality_rules, sentencepiece_codec, sharding, token_orc
+from ecospark.llm import (quality_embeddings, quality_rules, secrets, sentencepiece_codec, sharding, soft_mixing,
+                          token_orc, toxicity_ftrl)
 from ecospark.llm.common import table
+from ecospark.llm.hashed_words import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +43,14 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+@register("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of every document, learned from the labels that are not held out."""
+    held = remainder("doc_id", 4) == 2
+    out = toxicity_ftrl.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=~held)
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @register("op5_sharding")
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen shards of nearly equal bytes; equal texts share a shard."""
@@ -48,6 +58,33 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@register("op7_secrets")
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, encoded layers included."""
+    return secrets.scan_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op8_quality_embeddings")
+def op8_quality_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document, learned from the labels that are not held out."""
+    held = remainder("doc_id", 5) == 0
+    out = quality_embeddings.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=~held)
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+#: Wanted shares of the tokens by (quality, toxic) domain.
+MIX_WEIGHTS = {"quality1_toxic0": 0.85, "quality1_toxic1": 0.05, "quality0_toxic0": 0.08, "quality0_toxic1": 0.02}
+
+
+@register("op9_soft_mixing")
+def op9_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of every document whose expected tokens meet the wanted share of each label domain."""
+    out, _ = soft_mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["quality", "toxic"],
+                             weights=MIX_WEIGHTS)
+    return out.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{n}") for k, n in
+                                              enumerate(soft_mixing.domains_of(["quality", "toxic"]))), "rate", "copies")
+
+
 @register("op10_token_orc")
 def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document written as ORC and indexed from the files."""
