@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecospark.llm import (quality_embeddings, quality_rules, secrets, sentencepiece_codec, sharding, soft_mixing,
+from ecospark.llm import (near_duplicates, quality_embeddings, quality_rules, secrets, sentencepiece_codec, sharding, soft_mixing,
                           token_orc, toxicity_ftrl)
 from ecospark.llm.common import table
 from ecospark.llm.hashed_words import remainder
@@ -58,6 +58,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@register("op6_near_duplicates")
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingle sets have a similarity of 0.75 or more."""
+    return near_duplicates.components_of(table(spark, sf_dir, "documents"))
+
+
 @register("op7_secrets")
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, encoded layers included."""
