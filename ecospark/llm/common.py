@@ -64,7 +64,7 @@ def arrow_map(df: DataFrame, per_batch, schema: str | StructType) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the bytes of ``column`` in a part stay near ``limit`` (one long text may exceed it)."""
     ends = batch.column(column)
     start = taken = 0

@@ -28,7 +28,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ecospark.llm.common import arrow_map, documents_of, materialize, slices
@@ -304,3 +304,17 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     out = rows.select("doc_id", "n", "digest").join(classes, "digest", "left")
     return out.selectExpr("doc_id", "n AS n_shingles", "coalesce(component_id, doc_id) AS component_id",
                           "coalesce(doc_id = coalesce(component_id, doc_id), true) AS kept")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component: the one with its smallest id, with all columns.  Rows without words or without
+    an id stay.  Of rows that share an id the one with the smallest text stays."""
+    found = materialize(components_of(docs, id_col, text_col).where("doc_id IS NOT NULL")
+                        .groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+                        .where("NOT kept OR n > 1").selectExpr("doc_id AS _found", "kept AS _kept"), "dropped")
+    same = F.col(f"`{id_col}`") == F.col("_found")
+    rows = docs.join(found, same, "left_anti")
+    again = docs.join(found.where("_kept"), same, "left_semi")
+    first = Window.partitionBy(f"`{id_col}`").orderBy(F.col(f"`{text_col}`").asc_nulls_first())
+    again = again.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    return rows.unionByName(again)

@@ -125,20 +125,41 @@ class Scorer:
 _scorers: dict[str, Scorer] = {}
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, keep=None, label: str = "quality", train_rows: int = TRAIN_ROWS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and score of every document; ``keep`` is a condition on doc_id for rows that may be learned from."""
-    plain = documents_of(docs, id_col, text_col)
-    weights = docs.sparkSession.sparkContext.broadcast(
+def _scoring(plain: DataFrame, labels: DataFrame, keep, label: str, train_rows: int):
+    """A function from texts to scores, for use in tasks."""
+    weights = plain.sparkSession.sparkContext.broadcast(
         train(labelled_sample(plain, labels, label, train_rows, keep)).compact())
     key = uuid.uuid4().hex
 
-    def per_batch(batch):
+    def score(texts: list[str]) -> np.ndarray:
         if key not in _scorers:
             _scorers.clear()
             _scorers[key] = Scorer(*weights.value)
-        scorer = _scorers[key]
+        return _scorers[key](texts)
+    return score
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, keep=None, label: str = "quality", train_rows: int = TRAIN_ROWS,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and score of every document; ``keep`` is a condition on doc_id for rows that may be learned from."""
+    plain = documents_of(docs, id_col, text_col)
+    score = _scoring(plain, labels, keep, label, train_rows)
+
+    def per_batch(batch):
         for part in slices(batch, "text"):
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scorer(part.column("text").to_pylist()))],
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score(part.column("text").to_pylist()))],
                                              ["doc_id", "score"])
     return arrow_map(plain, per_batch, "doc_id long, score double")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, label: str = "quality",
+              train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score reaches the threshold."""
+    score = _scoring(documents_of(docs, id_col, text_col), labels, None, label, train_rows)
+    place = docs.columns.index(text_col)
+
+    def per_batch(batch):
+        for part in slices(batch, place):
+            texts = [t or "" for t in part.column(place).to_pylist()]
+            yield part.filter(pa.array(score(texts) >= threshold))
+    return arrow_map(docs, per_batch, docs.schema)

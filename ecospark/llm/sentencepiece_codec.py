@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2 as proto
 
 from ecospark.llm.common import arrow_map, documents_of, slices
@@ -291,3 +292,22 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32", "decoded_bytes"])
     return arrow_map(documents_of(docs, id_col, text_col), per_batch,
                      "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_crc32 long, decoded_bytes long")
+
+
+def with_ids(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
+    """All columns of the rows, then n_tokens, ids and lossless: whether decoding the ids gives the text back."""
+    place = docs.columns.index(text_col)
+    schema = StructType([*docs.schema.fields, StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType())),
+                         StructField("lossless", BooleanType())])
+
+    def per_batch(batch):
+        c = codec(model_path)
+        for part in slices(batch, place):
+            texts = [t or "" for t in part.column(place).to_pylist()]
+            ids = [r[0] for r in c.encode_many(texts)]
+            offsets = pa.array(np.cumsum([0, *(len(x) for x in ids)]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array([len(x) for x in ids], pa.int64()),
+                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids).astype(np.int32))),
+                 pa.array([a == b for a, b in zip(c.decode_many(ids), texts)])], schema.names)
+    return arrow_map(docs, per_batch, schema)

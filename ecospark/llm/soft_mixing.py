@@ -212,3 +212,12 @@ def mix(docs: DataFrame, labels: DataFrame, columns: list[str], weights: dict[st
     fit = fit_rates(members, len(names), None if weights is None else np.array([weights.get(n, 0.0) for n in names]),
                     None if weights is not None else np.array([(factors or {}).get(n, 1.0) for n in names]), rounds)
     return with_rates(members, len(names), fit), fit
+
+
+def keep_mixed(docs: DataFrame, labels: DataFrame, columns: list[str], factors: dict[str, float], least: float = 0.5,
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose rate rounds to a copy or more (``least`` and above).  A row without an
+    id stays."""
+    rates, _ = mix(docs, labels, columns, factors=factors, id_col=id_col, text_col=text_col)
+    low = materialize(rates.where(F.col("rate") < least).select(F.col("doc_id").alias("_low")).dropna().distinct(), "low-rates")
+    return docs.join(low, F.col(f"`{id_col}`") == F.col("_low"), "left_anti")
