@@ -13,7 +13,8 @@ merged with those of the other blocks by rank.
 
 Edge cases: vectors that are null, hold a null or a non-finite component, or a component beyond ``LIMIT`` after
 quantisation, take no part; an empty vector neither.  A query is compared with vectors of its own length.  Its own
-row is left out by position, so other rows with the same id or vector count.  Ties go to the smaller id.  A null id
+row is left out by position, so other rows with the same id or vector count, and rows that share an id are queries of
+their own.  Ties go to the smaller id.  A null id
 is no query and sorts last.  Fewer than k rows give fewer ranks.  An empty table gives an empty result.  Extra
 columns are left out.
 """
@@ -190,11 +191,11 @@ def top_k(vectors: DataFrame, queries, k: int = 5, id_col: str = "vec_id", vecto
             get = lambda c, kind: np.frombuffer(batch.column(c)[i].as_buffer(), kind)
             dim = batch.column("dim")[i].as_py()
             index = Index(get("ids", "<i8"), get("rows", "<i8"), get("vals", "<i4").reshape(-1, dim))
-            out = [(q, v, s) for q, own, x in zip(get("qids", "<i8").tolist(), get("own", "<i8").tolist(),
+            out = [(q, v, s, own) for q, own, x in zip(get("qids", "<i8").tolist(), get("own", "<i8").tolist(),
                                                   get("qvals", "<i4").reshape(-1, dim)) for v, s in index.best(x, own, k)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(3)],
-                                             ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(4)],
+                                             ["query_id", "vec_id", "score", "own"])
     found = arrow_map(units.select("dim", "ids", "rows", "vals", "qids", "own", "qvals"), search,
-                      "query_id long, vec_id long, score long")
-    return found.selectExpr("query_id", "CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank",
+                      "query_id long, vec_id long, score long, own long")
+    return found.selectExpr("query_id", "CAST(row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS INT) AS rank",
                             "vec_id", "score").where(F.col("rank") <= k)

@@ -60,6 +60,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).dropna()
     if keep is not None:
         known = known.where(keep)
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     order = F.xxhash64("doc_id", F.lit(11))
     chosen = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(order, "doc_id").limit(bound)
     rows = chosen.join(docs, "doc_id").select("doc_id", "label", "text").collect()

@@ -179,9 +179,9 @@ def _runs(batches, columns: list[str]):
         yield held
 
 
-def _compare(tiles: DataFrame, nearest: bool) -> DataFrame:
-    """a, b, far: pairs of different components within the distance; with ``nearest`` only the nearest b of each a
-    that is outside the key's largest component."""
+def _compare(tiles: DataFrame, nearest: bool, both_sides: bool = False) -> DataFrame:
+    """a, b: pairs of different components within the distance; with ``nearest`` only the nearest row of each row
+    outside the key's largest component, and of each row inside it too with ``both_sides``."""
     def run(batches):
         out = [[], [], []]
         for parts in _runs(batches, ["key", "left", "right"]):
@@ -193,6 +193,7 @@ def _compare(tiles: DataFrame, nearest: bool) -> DataFrame:
             mine = np.flatnonzero(col["side"] >= 0)
             theirs = np.flatnonzero(col["side"] < 0) if right >= 0 else mine
             step = max(1, 1_000_000 // (CODES * max(1, len(theirs))))
+            closest, to = np.full(len(theirs), CODES + 1, np.int64), np.zeros(len(theirs), np.int64)
             for at in range(0, len(mine), step):
                 i = mine[at:at + step]
                 far = (sig[i][:, None, :] != sig[theirs][None, :, :]).sum(2, dtype=np.int16)
@@ -201,6 +202,10 @@ def _compare(tiles: DataFrame, nearest: bool) -> DataFrame:
                 if right < 0 and -1 - right != parts[0].column("left")[0].as_py():  # two blocks: pairs across them only
                     bad |= col["side"][i][:, None] == col["side"][theirs][None, :]
                 far[bad | (far > FAR)] = CODES + 1
+                if both_sides and right >= 0:
+                    best, low = far.argmin(0), far.min(0)
+                    to = np.where(low < closest, i[best], to)
+                    closest = np.minimum(closest, low)
                 if nearest:
                     best = far.argmin(1)
                     x = np.flatnonzero(far[np.arange(len(i)), best] <= FAR)
@@ -210,6 +215,9 @@ def _compare(tiles: DataFrame, nearest: bool) -> DataFrame:
                 out[0].append(col["rep"][i[x]])
                 out[1].append(col["rep"][theirs[y]])
                 out[2].append(far[x, y].astype(np.int64))
+            x = np.flatnonzero(closest <= FAR)
+            for c, values in enumerate((col["rep"][theirs[x]], col["rep"][to[x]], closest[x])):
+                out[c].append(values)
             if sum(map(len, out[0])) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["a", "b", "far"])
                 out = [[], [], []]
@@ -285,7 +293,7 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sigs = classes.select("rep", "sig").join(reps, "rep", "left_semi")
     sets = tested = links = None
     for nearest in (True, True, False):
-        pairs = _compare(_tiles(crowded, components, sigs), nearest)
+        pairs = _compare(_tiles(crowded, components, sigs), nearest, both_sides=sets is None)
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         if sets is None:  # who has no row within the distance now has none later
