@@ -137,8 +137,8 @@ def tidy_feeding_niche(raw: DataFrame, recipe: TraitRecipe = CURRENT) -> DataFra
     df = df.withColumn("sub_family", ef.nth_piece("family", "-", 2))
     df = df.withColumn("family", ef.extract_first("family", "([^-])+"))
     df = columns.select_renamed(df, ["higher_taxon", "family", "sub_family",
-                                     ("main_feeding_niche_ronquist", "main_feeding_niche"),
-                                     ("main_feeding_habitat_ronquist", "main_feeding_habitat"), *keep])
+                                     ("main_feeding_niche", "main_feeding_niche"),
+                                     ("main_feeding_habitat", "main_feeding_habitat"), *keep])
     if recipe.trim_before_join:
         df = _trim_keys(df)
     df = df.withColumn("higher_taxon", ef.recode("higher_taxon", recipe.feeding_synonyms))
@@ -148,7 +148,7 @@ def tidy_feeding_niche(raw: DataFrame, recipe: TraitRecipe = CURRENT) -> DataFra
 # ------------------------------------------------------------------------------------------- C4
 def tidy_soil_niche(raw: DataFrame) -> DataFrame:
     """C4: soil arthropod feeding table: ';'-joined taxonomy split into ranks, flag columns to long, regex
-    categories, family fixes -> (higher_taxon, family, main_feeding_niche_ronquist)."""
+    categories, family fixes -> (higher_taxon, family, main_feeding_niche)."""
     df = raw.drop(*[c for c in tr.SOIL_DROP_COLUMNS if c in raw.columns])
     df = df.filter(ef.detect("consensus_taconomical_identity", tr.ARTHROPOD_PHYLUM))
     df = df.withColumnRenamed("consensus_taconomical_identity", "taxonomy")
@@ -159,14 +159,14 @@ def tidy_soil_niche(raw: DataFrame) -> DataFrame:
     df = reshape.unpivot_columns(df, ids, flag_cols, "niche_original", "value", "string")
     df = filters.drop_na(df, ["value"])
     df = filters.filter_in(df, "Class", tr.SOIL_CLASSES)
-    df = df.withColumn("main_feeding_niche_ronquist", ef.regex_category("niche_original", tr.SOIL_NICHE_CATEGORIES))
+    df = df.withColumn("main_feeding_niche", ef.regex_category("niche_original", tr.SOIL_NICHE_CATEGORIES))
     df = df.withColumn("Family", ef.remove_first("Family", tr.SOIL_FAMILY_SUFFIX))
-    df = df.withColumn("main_feeding_niche_ronquist",
+    df = df.withColumn("main_feeding_niche",
                        ef.first_match([(F.col("Family") == F.lit(v), new) for _, v, new in tr.SOIL_FAMILY_OVERRIDES],
-                                      default=F.col("main_feeding_niche_ronquist")))
+                                      default=F.col("main_feeding_niche")))
     keep = ["_ord"] if "_ord" in df.columns else []
     return df.select(F.col("Order").alias("higher_taxon"), F.col("Family").alias("family"),
-                     "main_feeding_niche_ronquist", *keep)
+                     "main_feeding_niche", *keep)
 
 
 # --------------------------------------------------------------------------------------- C5-C7
@@ -175,7 +175,7 @@ def tidy_expert_general(raw: DataFrame) -> DataFrame:
     Ichneumonidae (NA family dropped too, as ``!=`` does)."""
     df = raw.drop(*[c for c in ("n_otu", "n_obs", "reads", "in_iba") if c in raw.columns])
     df = df.withColumns({"length_min": _numeric(df, "length_min"), "length_max": _numeric(df, "length_max")})
-    df = df.filter(F.col("main_feeding_niche_ronquist").isNotNull() | F.col("main_feeding_habitat_ronquist").isNotNull())
+    df = df.filter(F.col("main_feeding_niche").isNotNull() | F.col("main_feeding_habitat").isNotNull())
     return df.filter(F.col("family") != F.lit(tr.EXPERT_EXCLUDED_FAMILY))
 
 
@@ -210,8 +210,8 @@ def tidy_expert_mites(raw: DataFrame) -> DataFrame:
     long = long.withColumn("length_max", F.when((F.col("length_min") == 1) & F.col("length_max").isNull(), F.lit(1.0))
                            .otherwise(F.col("length_max")))
     long = long.withColumn("higher_taxon", ef.remove_first("higher_taxon", r".*,\s"))
-    sel = long.select(*KEYS, "length_min", "length_max", "main_feeding_niche_ronquist",
-                      "main_feeding_habitat_ronquist", "_ord", "__class_pos")
+    sel = long.select(*KEYS, "length_min", "length_max", "main_feeding_niche",
+                      "main_feeding_habitat", "_ord", "__class_pos")
     first = windows.first_per_group(sel, KEYS, ["_ord", "__class_pos"])
     return first.drop("__class_pos", "_ord").distinct()
 
@@ -232,14 +232,14 @@ def merge_sources(body: DataFrame, larval: DataFrame, feeding: DataFrame, soil:
     j = joins.full_join(tag(body, "body"), tag(larval, "larval"), KEYS, strategy="native")
     j = joins.full_join(j, tag(feeding, "feeding"), KEYS, strategy="native")
     if soil is not None:
-        j = joins.full_join(j, tag(soil, "soil"), KEYS + ["main_feeding_niche_ronquist"], strategy="native")
+        j = joins.full_join(j, tag(soil, "soil"), KEYS + ["main_feeding_niche"], strategy="native")
     if not recipe.trim_before_join:
         j = _trim_keys(j)
     j = j.withColumns({
-        "main_feeding_niche_ronquist": ef.threshold_fill("main_feeding_niche_ronquist", tr.NICHE_FILL),
-        "main_feeding_habitat_ronquist": ef.threshold_fill("main_feeding_habitat_ronquist", tr.HABITAT_FILL),
+        "main_feeding_niche": ef.threshold_fill("main_feeding_niche", tr.NICHE_FILL),
+        "main_feeding_habitat": ef.threshold_fill("main_feeding_habitat", tr.HABITAT_FILL),
     })
-    j = j.withColumn("main_feeding_niche_ronquist", ef.override("main_feeding_niche_ronquist",
+    j = j.withColumn("main_feeding_niche", ef.override("main_feeding_niche",
                                                                list(recipe.niche_overrides)))
     if recipe.higher_taxon_overrides:
         j = j.withColumn("higher_taxon", ef.override("higher_taxon", list(recipe.higher_taxon_overrides)))
@@ -265,13 +265,13 @@ def backfill_sizes(merged: DataFrame, orders: Sequence[str] = tr.BACKFILL_ORDERS
 def compile_traits(body: DataFrame, larval: DataFrame, feeding: DataFrame, soil: DataFrame | None,
                    taxonomy: DataFrame, experts: Sequence[DataFrame] = (), recipe: TraitRecipe = CURRENT) -> DataFrame:
     """Merged, rule-filled, back-filled trait table joined to the checklist of sequenced families,
-    flagged ``in_IBA``, then patched by the expert tables in priority order.
+    flagged ``in_checklist``, then patched by the expert tables in priority order.
 
     ``taxonomy`` has columns (phylum, class, order, family, ...) - one row per sequence cluster, i.e. the
     large input; it is reduced to distinct families before any join.
     """
     merged = merge_sources(body, larval, feeding, soil, recipe)
-    traits = backfill_sizes(merged)
+    attributes = backfill_sizes(merged)
     taxa = taxonomy
     if recipe.phylum_filter:
         taxa = taxa.filter(F.col("phylum") == F.lit(recipe.phylum_filter))
@@ -279,31 +279,31 @@ def compile_traits(body: DataFrame, larval: DataFrame, feeding: DataFrame, soil:
     fam_cols = ([F.col("class").alias("class")] if recipe.with_class else []) + [
         F.col("order").alias("higher_taxon"), F.col("family").alias("family")]
     families = taxa.select(*fam_cols).distinct()
-    out = joins.natural_join(traits, families, how="full", strategy="native")
-    out = joins.mark_join(out, taxa, [("family", "family")], "in_IBA")
+    out = joins.natural_join(attributes, families, how="full", strategy="native")
+    out = joins.mark_join(out, taxa, [("family", "family")], "in_checklist")
     for y in experts:
         out = joins.patch(out, y, KEYS)
     return out.drop(*[c for c in out.columns if c.startswith("_ord")])
 
 
 # ----------------------------------------------------------------------------------- C11 / C12
-def missing_life_history(all_traits: DataFrame) -> DataFrame:
+def missing_life_history(all_attributes: DataFrame) -> DataFrame:
     """C11: life-history columns of sequenced families."""
-    sel = columns.select_matching(all_traits, ["higher_taxon", "^family", "terrestrial", "aquatic", "in_IBA"])
-    return filters.keep_flag(sel, "in_IBA")
+    sel = columns.select_matching(all_attributes, ["higher_taxon", "^family", "terrestrial", "aquatic", "in_checklist"])
+    return filters.keep_flag(sel, "in_checklist")
 
 
-def trait_missing_patterns(all_traits: DataFrame) -> DataFrame:
+def trait_missing_patterns(all_attributes: DataFrame) -> DataFrame:
     """Missingness patterns of the trait columns (``VIM::aggr`` table)."""
-    sel = columns.drop_matching(all_traits, ["reference", "family", "taxon", "sub_family", "in_IBA"])
+    sel = columns.drop_matching(all_attributes, ["reference", "family", "taxon", "sub_family", "in_checklist"])
     return aggregates.missing_patterns(sel, sel.columns)
 
 
-def complete_case_families(all_traits: DataFrame) -> DataFrame:
+def complete_case_families(all_attributes: DataFrame) -> DataFrame:
     """Families with complete trait data (``select(-sub_family) |> drop_na() |> pull(family)``)."""
-    return filters.drop_na(all_traits.drop("sub_family")).select("family")
+    return filters.drop_na(all_attributes.drop("sub_family")).select("family")
 
 
-def complete_traits(all_traits: DataFrame) -> DataFrame:
+def complete_traits(all_attributes: DataFrame) -> DataFrame:
     """``drop_na(-sub_family)``."""
-    return filters.drop_na_except(all_traits, ["sub_family"])
+    return filters.drop_na_except(all_attributes, ["sub_family"])

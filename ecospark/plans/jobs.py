@@ -4,8 +4,8 @@ Each job reads its inputs with the matching reader, runs the recipes, and writes
 between jobs (the compiled trait table read by the occurrence and summary jobs) are parquet tables in the
 output folder, which on a cluster must be a shared location.
 
-    python -m ecospark.plans.jobs traits      config.json
-    python -m ecospark.plans.jobs traits_v1   config.json
+    python -m ecospark.plans.jobs attributes      config.json
+    python -m ecospark.plans.jobs attributes_v1   config.json
     python -m ecospark.plans.jobs occurrences config.json
     python -m ecospark.plans.jobs summaries   config.json
     python -m ecospark.plans.jobs checklist   config.json
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ecospark.operators import columns, joins
 from ecospark.operators.reshape import explode_wide
 from ecospark.plans import occurrences as occ
-from ecospark.plans import summaries, traits
+from ecospark.plans import summaries, attributes
 from ecospark.sources import delimited, sinks
 
 
@@ -42,41 +42,41 @@ def _sheet(spark: SparkSession, path: str) -> DataFrame:
 def trait_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     """Trait compilation (C1-C12).  Inputs: taxonomy (TSV), body_mass (;-CSV), feeding (sheet), larval (sheet
     with the header in its first row), soil (sheet), expert_general (;-CSV), expert_spiders (;-CSV),
-    expert_mites (sheet).  Outputs: all_traits (parquet + CSV), missing_lh, missing_patterns,
+    expert_mites (sheet).  Outputs: all_attributes (parquet + CSV), missing_lh, missing_patterns,
     complete_families."""
     taxonomy = columns.clean_columns(delimited.read_tsv(spark, cfg["taxonomy"]))
-    body = traits.tidy_body_size(
+    body = attributes.tidy_body_size(
         delimited.with_row_number(delimited.read_csv2(spark, cfg["body_mass"], numeric=["length_min", "length_max"]),
                                   "_ord"))
-    larval = traits.tidy_larval_niche(traits.land_larval_sheet(spark, cfg["larval"]))
-    feeding = traits.tidy_feeding_niche(_sheet(spark, cfg["feeding"]))
-    soil = traits.tidy_soil_niche(_sheet(spark, cfg["soil"]))
+    larval = attributes.tidy_larval_niche(attributes.land_larval_sheet(spark, cfg["larval"]))
+    feeding = attributes.tidy_feeding_niche(_sheet(spark, cfg["feeding"]))
+    soil = attributes.tidy_soil_niche(_sheet(spark, cfg["soil"]))
     experts = [
-        traits.tidy_expert_general(delimited.read_csv2(spark, cfg["expert_general"])),
-        traits.tidy_expert_mites(_sheet(spark, cfg["expert_mites"])),
-        traits.tidy_expert_spiders(delimited.read_csv2(spark, cfg["expert_spiders"])),
+        attributes.tidy_expert_general(delimited.read_csv2(spark, cfg["expert_general"])),
+        attributes.tidy_expert_mites(_sheet(spark, cfg["expert_mites"])),
+        attributes.tidy_expert_spiders(delimited.read_csv2(spark, cfg["expert_spiders"])),
     ]
-    all_traits = traits.compile_traits(body, larval, feeding, soil, taxonomy, experts)
+    all_attributes = attributes.compile_traits(body, larval, feeding, soil, taxonomy, experts)
     # hand-off table, read back by everything downstream (cuts the lineage of the compilation)
-    all_traits = sinks.handoff(all_traits, _out(cfg, "all_traits.parquet"))
-    sinks.write_csv_r(all_traits, _out(cfg, "all_traits.csv"))
-    sinks.write_csv_r(traits.missing_life_history(all_traits), _out(cfg, "missing_lh.csv"))
-    sinks.write_table(traits.trait_missing_patterns(all_traits), _out(cfg, "missing_patterns.parquet"))
-    sinks.write_table(traits.complete_case_families(all_traits), _out(cfg, "complete_families.parquet"))
-    return all_traits
+    all_attributes = sinks.handoff(all_attributes, _out(cfg, "all_attributes.parquet"))
+    sinks.write_csv_r(all_attributes, _out(cfg, "all_attributes.csv"))
+    sinks.write_csv_r(attributes.missing_life_history(all_attributes), _out(cfg, "missing_lh.csv"))
+    sinks.write_table(attributes.trait_missing_patterns(all_attributes), _out(cfg, "missing_patterns.parquet"))
+    sinks.write_table(attributes.complete_case_families(all_attributes), _out(cfg, "complete_families.parquet"))
+    return all_attributes
 
 
 def trait_job_v1(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     """The older trait compilation (C24): taxonomy (TSV), body_mass (;-CSV), feeding (sheet), larval (sheet);
     no soil or expert tables, no phylum filter, keys trimmed after the joins.  Output: all_traits_v1."""
-    recipe = traits.V1
+    recipe = attributes.V1
     taxonomy = columns.clean_columns(delimited.read_tsv(spark, cfg["taxonomy"]))
-    body = traits.tidy_body_size(
+    body = attributes.tidy_body_size(
         delimited.with_row_number(delimited.read_csv2(spark, cfg["body_mass"], numeric=["length_min", "length_max"]),
                                   "_ord"), recipe)
-    larval = traits.tidy_larval_niche(traits.land_larval_sheet(spark, cfg["larval"]), recipe)
-    feeding = traits.tidy_feeding_niche(_sheet(spark, cfg["feeding"]), recipe)
-    out = traits.compile_traits(body, larval, feeding, None, taxonomy, [], recipe)
+    larval = attributes.tidy_larval_niche(attributes.land_larval_sheet(spark, cfg["larval"]), recipe)
+    feeding = attributes.tidy_feeding_niche(_sheet(spark, cfg["feeding"]), recipe)
+    out = attributes.compile_traits(body, larval, feeding, None, taxonomy, [], recipe)
     out = sinks.handoff(out, _out(cfg, "all_traits_v1.parquet"))
     sinks.write_csv_r(out, _out(cfg, "all_traits_v1.csv"))
     return out
@@ -84,7 +84,7 @@ def trait_job_v1(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
 
 def occurrence_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     """Occurrence assembly (C13-C19).  Inputs: taxonomy, clusters (wide counts), seq_meta, malaise_meta,
-    trap_meta (all tab-separated, read like ``fread``), all_traits (parquet hand-off), classification
+    trap_meta (all tab-separated, read like ``fread``), all_attributes (parquet hand-off), classification
     (parquet: taxon_key, name, rank, id).  Outputs: occurrence_traits, niche_richness (parquet)."""
     taxonomy = delimited.read_fread(spark, cfg["taxonomy"])
     counts = delimited.read_fread(spark, cfg["clusters"])
@@ -95,9 +95,9 @@ def occurrence_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
                            delimited.read_fread(spark, cfg["malaise_meta"]),
                            delimited.read_fread(spark, cfg["trap_meta"]))
     o = occ.occurrences(long, meta)
-    all_traits = spark.read.parquet(cfg["all_traits"])
+    all_attributes = spark.read.parquet(cfg["all_attributes"])
     subs = occ.subfamily_lookup(spark.read.parquet(cfg["classification"]))
-    all_data = occ.occurrence_traits(o, subs, occ.feeding_lookup(all_traits))
+    all_data = occ.occurrence_traits(o, subs, occ.feeding_lookup(all_attributes))
     all_data = sinks.handoff(all_data, _out(cfg, "occurrence_traits.parquet"))
     richness = occ.niche_richness(all_data)
     sinks.write_table(richness, _out(cfg, "niche_richness.parquet"))
@@ -106,7 +106,7 @@ def occurrence_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
 
 def summary_job(spark: SparkSession, cfg: Mapping[str, str], trap: str = "trapID",
                 sample: str = "sampleID_LAB") -> DataFrame:
-    """Reads and samples per family joined to the missing-trait report (C20-C22).  Inputs: all_traits
+    """Reads and samples per family joined to the missing-trait report (C20-C22).  Inputs: all_attributes
     (parquet), taxonomy (TSV, first column = cluster), clusters (TSV, wide), seq_meta, malaise_meta (TSV).
     Outputs: missing_traits_seq.csv, missing_traits_summary.csv (per family, as shipped) and
     missing_traits_by_order.csv (as coded)."""
@@ -120,12 +120,12 @@ def summary_job(spark: SparkSession, cfg: Mapping[str, str], trap: str = "trapID
     meta = columns.select_matching(meta, ["sampleID", "trap"])
     reads = summaries.family_reads(counts, taxonomy.withColumnRenamed("Family", "family"), meta, sample=sample,
                                    reads="read_count", trap=trap, sort=False).withColumnRenamed("family", "Family")
-    all_traits = spark.read.parquet(cfg["all_traits"]).withColumnRenamed("family", "Family")
-    missing = summaries.missing_traits(all_traits, key_cols=("higher_taxon", "Family"), flag="in_IBA")
-    seq = summaries.missing_traits_seq(missing, reads, flag="in_IBA")
+    all_attributes = spark.read.parquet(cfg["all_attributes"]).withColumnRenamed("family", "Family")
+    missing = summaries.missing_traits(all_attributes, key_cols=("higher_taxon", "Family"), flag="in_checklist")
+    seq = summaries.missing_traits_seq(missing, reads, flag="in_checklist")
     sinks.write_csv_r(seq, _out(cfg, "missing_traits_seq.csv"))
     # as shipped (D2): every family, zero-missing ones included, so counted on the unfiltered selection
-    report = all_traits.select("higher_taxon", "Family", *summaries.TRAIT_REPORT_COLS, "in_IBA")
+    report = all_attributes.select("higher_taxon", "Family", *summaries.TRAIT_REPORT_COLS, "in_checklist")
     sinks.write_csv_r(summaries.missing_summary_by_family(report, ("higher_taxon", "Family")),
                     _out(cfg, "missing_traits_summary.csv"))
     sinks.write_csv_r(summaries.missing_summary_by_order(missing), _out(cfg, "missing_traits_by_order.csv"))
@@ -140,7 +140,7 @@ def checklist_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     return out
 
 
-JOBS = {"traits": trait_job, "traits_v1": trait_job_v1, "occurrences": occurrence_job, "summaries": summary_job,
+JOBS = {"attributes": trait_job, "attributes_v1": trait_job_v1, "occurrences": occurrence_job, "summaries": summary_job,
         "checklist": checklist_job}
 
 

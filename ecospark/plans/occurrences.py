@@ -1,4 +1,4 @@
-"""Occurrence assembly (C13-C19): wide count matrix + taxonomy + sampling metadata + traits -> weekly
+"""Occurrence assembly (C13-C19): wide count matrix + taxonomy + sampling metadata + attributes -> weekly
 richness per feeding niche.
 
 Scale: the count matrix is the only large input.  It is turned long with zero cells dropped *before* the
@@ -62,10 +62,10 @@ def occurrences(counts_long: DataFrame, meta: DataFrame) -> DataFrame:
     return joins.natural_join(counts_long, meta, how="full")
 
 
-def feeding_lookup(all_traits: DataFrame) -> DataFrame:
+def feeding_lookup(all_attributes: DataFrame) -> DataFrame:
     """(family, subfamily, feeding_niche) from the trait table, family present, distinct."""
-    lk = columns.select_renamed(all_traits, ["family", ("subfamily", "sub_family"),
-                                             ("feeding_niche", "main_feeding_niche_ronquist")])
+    lk = columns.select_renamed(all_attributes, ["family", ("subfamily", "sub_family"),
+                                             ("feeding_niche", "main_feeding_niche")])
     return filters.drop_na(lk, ["family"]).distinct()
 
 
@@ -81,7 +81,7 @@ def subfamily_lookup(classification: DataFrame, ranks: Sequence[str] = tr.CLASSI
 
 def occurrence_traits(occ: DataFrame, subfamilies: DataFrame, feeding: DataFrame,
                       families: Sequence[str] = tr.SUBFAMILY_FAMILIES) -> DataFrame:
-    """Three families get traits by (family, subfamily) after a (family, genus) sub-family lookup; all
+    """Three families get attributes by (family, subfamily) after a (family, genus) sub-family lookup; all
     others (NA family included) by family alone, fanning out over the family's niches (D14).
 
     The original splits the table, joins each part on different keys and binds the rows back.  Here it is one

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ecospark import functions as ef
 from ecospark.operators import joins
 from ecospark.plans import occurrences as occ
-from ecospark.plans import summaries, traits
+from ecospark.plans import summaries, attributes
 from ecospark.plans import testdata as td
-from ecospark.plans import testdata_traits as tt
+from ecospark.plans import testdata_attributes as tt
 from ecospark.plans import trait_rules as tr
 from ecospark.plans.catalog import register
 from ecospark.session import materialize
@@ -44,7 +44,7 @@ def _override_sql(target: str, rules) -> str:
     return f"CASE {parts} ELSE {target} END"
 
 
-def trait_sql(recipe: traits.TraitRecipe, with_soil: bool, with_expert: bool) -> str:
+def trait_sql(recipe: attributes.TraitRecipe, with_soil: bool, with_expert: bool) -> str:
     """Oracle SQL for the trait compilation analogue (current recipe or the older one)."""
     trim = recipe.trim_before_join
 
@@ -61,9 +61,9 @@ def trait_sql(recipe: traits.TraitRecipe, with_soil: bool, with_expert: bool) ->
                 f"{_recode_sql(t('family'), tr.FAMILY_SYNONYMS)} AS family, {', '.join(SCORES)}, min(ord) AS ord "
                 f"FROM larval GROUP BY ALL")
     feed_sel = (f"SELECT {_recode_sql(t('raw_order'), recipe.feeding_synonyms)} AS higher_taxon, {t('family')} AS family, "
-                f"sub_family, main_feeding_niche_ronquist, main_feeding_habitat_ronquist, ord FROM feeding")
-    feeding_t = (f"SELECT higher_taxon, family, sub_family, main_feeding_niche_ronquist, "
-                 f"main_feeding_habitat_ronquist, min(ord) AS ord FROM ({feed_sel}) f GROUP BY ALL"
+                f"sub_family, main_feeding_niche, main_feeding_habitat, ord FROM feeding")
+    feeding_t = (f"SELECT higher_taxon, family, sub_family, main_feeding_niche, "
+                 f"main_feeding_habitat, min(ord) AS ord FROM ({feed_sel}) f GROUP BY ALL"
                  if recipe.feeding_distinct else feed_sel)
     k2 = ["higher_taxon", "family"]
     j1 = (f"SELECT coalesce(b.higher_taxon, l.higher_taxon) AS higher_taxon, coalesce(b.family, l.family) AS family, "
@@ -71,26 +71,26 @@ def trait_sql(recipe: traits.TraitRecipe, with_soil: bool, with_expert: bool) ->
           f"b.ord AS ord_body, l.ord AS ord_larval FROM body_t b FULL JOIN larval_t l ON {_ns('b', 'l', k2)}")
     j1_rest = f"length_min, length_max, mass_reference, {', '.join(SCORES)}, ord_body, ord_larval"
     j2 = (f"SELECT coalesce(a.higher_taxon, f.higher_taxon) AS higher_taxon, coalesce(a.family, f.family) AS family, "
-          f"{', '.join('a.' + c.strip() for c in j1_rest.split(','))}, f.sub_family, f.main_feeding_niche_ronquist, "
-          f"f.main_feeding_habitat_ronquist, f.ord AS ord_feeding FROM j1 a FULL JOIN feeding_t f ON {_ns('a', 'f', k2)}")
-    rest2 = [c.strip() for c in j1_rest.split(",")] + ["sub_family", "main_feeding_habitat_ronquist", "ord_feeding"]
+          f"{', '.join('a.' + c.strip() for c in j1_rest.split(','))}, f.sub_family, f.main_feeding_niche, "
+          f"f.main_feeding_habitat, f.ord AS ord_feeding FROM j1 a FULL JOIN feeding_t f ON {_ns('a', 'f', k2)}")
+    rest2 = [c.strip() for c in j1_rest.split(",")] + ["sub_family", "main_feeding_habitat", "ord_feeding"]
     if with_soil:
-        k3 = k2 + ["main_feeding_niche_ronquist"]
+        k3 = k2 + ["main_feeding_niche"]
         j3 = (f"SELECT {', '.join(f'coalesce(a.{k}, s.{k}) AS {k}' for k in k3)}, "
               f"{', '.join('a.' + c for c in rest2)}, s.ord AS ord_soil FROM j2 a FULL JOIN soil s ON {_ns('a', 's', k3)}")
         merged = "j3"
     else:
         j3 = None
         merged = "j2"
-    all_cols = ["higher_taxon", "family", "main_feeding_niche_ronquist"] + rest2 + (["ord_soil"] if with_soil else [])
+    all_cols = ["higher_taxon", "family", "main_feeding_niche"] + rest2 + (["ord_soil"] if with_soil else [])
     keys_trim = "" if trim else (f"SELECT * REPLACE (rtrim(higher_taxon, {WS}) AS higher_taxon, "
                                  f"rtrim(family, {WS}) AS family) FROM {merged}")
     src = "trimmed" if not trim else merged
-    rules = (f"SELECT * REPLACE ({_fill_rule_sql('main_feeding_niche_ronquist', tr.NICHE_FILL)} "
-             f"AS main_feeding_niche_ronquist, {_fill_rule_sql('main_feeding_habitat_ronquist', tr.HABITAT_FILL)} "
-             f"AS main_feeding_habitat_ronquist) FROM {src}")
-    over = (f"SELECT * REPLACE ({_override_sql('main_feeding_niche_ronquist', recipe.niche_overrides)} "
-            f"AS main_feeding_niche_ronquist) FROM r1")
+    rules = (f"SELECT * REPLACE ({_fill_rule_sql('main_feeding_niche', tr.NICHE_FILL)} "
+             f"AS main_feeding_niche, {_fill_rule_sql('main_feeding_habitat', tr.HABITAT_FILL)} "
+             f"AS main_feeding_habitat) FROM {src}")
+    over = (f"SELECT * REPLACE ({_override_sql('main_feeding_niche', recipe.niche_overrides)} "
+            f"AS main_feeding_niche) FROM r1")
     ht_over = (f"SELECT * REPLACE ({_override_sql('higher_taxon', recipe.higher_taxon_overrides)} AS higher_taxon) "
                f"FROM r2" if recipe.higher_taxon_overrides else "SELECT * FROM r2")
     orders_in = ", ".join(f"'{o}'" for o in tr.BACKFILL_ORDERS)
@@ -112,13 +112,13 @@ def trait_sql(recipe: traits.TraitRecipe, with_soil: bool, with_expert: bool) ->
            f"FROM bf x FULL JOIN fams y ON {_ns('x', 'y', k2)}")
     mem_filter = "AND t.phylum = 'Arthropoda'" if recipe.phylum_filter else ""
     marked = (f"SELECT n.*, EXISTS (SELECT 1 FROM taxo t WHERE t.family IS NOT DISTINCT FROM n.family {mem_filter}) "
-              f"AS in_IBA FROM nat n")
-    out_cols = [c for c in ["higher_taxon", "family"] + bf_rest + (["class"] if recipe.with_class else []) + ["in_IBA"]
+              f"AS in_checklist FROM nat n")
+    out_cols = [c for c in ["higher_taxon", "family"] + bf_rest + (["class"] if recipe.with_class else []) + ["in_checklist"]
                 if not c.startswith("ord_")]
-    patch_cols = ["length_min", "length_max", "main_feeding_niche_ronquist", "main_feeding_habitat_ronquist"]
+    patch_cols = ["length_min", "length_max", "main_feeding_niche", "main_feeding_habitat"]
     if with_expert:
-        expert_t = ("SELECT * FROM expert WHERE (main_feeding_niche_ronquist IS NOT NULL OR "
-                    "main_feeding_habitat_ronquist IS NOT NULL) AND family <> 'Ichneumonidae'")
+        expert_t = ("SELECT * FROM expert WHERE (main_feeding_niche IS NOT NULL OR "
+                    "main_feeding_habitat IS NOT NULL) AND family <> 'Ichneumonidae'")
         final = (f"SELECT {', '.join(f'coalesce(m.{c}, e.{c}) AS {c}' if c in patch_cols else 'm.' + c for c in out_cols)} "
                  f"FROM marked m LEFT JOIN expert_t e ON {_ns('m', 'e', k2)}")
     else:
@@ -138,28 +138,28 @@ def trait_sql(recipe: traits.TraitRecipe, with_soil: bool, with_expert: bool) ->
 
 
 def _trait_inputs(spark, sf_dir, recipe):
-    body = traits.tidy_body_size(tt.body_raw(spark, sf_dir), recipe)
-    larval = traits.tidy_larval_niche(tt.larval_sheet(spark, sf_dir), recipe, score_positions=(4, 11))
-    feeding = traits.tidy_feeding_niche(tt.feeding_raw(spark, sf_dir), recipe)
+    body = attributes.tidy_body_size(tt.body_raw(spark, sf_dir), recipe)
+    larval = attributes.tidy_larval_niche(tt.larval_sheet(spark, sf_dir), recipe, score_positions=(4, 11))
+    feeding = attributes.tidy_feeding_niche(tt.feeding_raw(spark, sf_dir), recipe)
     return body, larval, feeding
 
 
-@register("trait_compile", trait_sql(traits.CURRENT, with_soil=True, with_expert=True))
+@register("trait_compile", trait_sql(attributes.CURRENT, with_soil=True, with_expert=True))
 def trait_compile(spark: SparkSession, sf_dir: str):
     """Body size, larval niche, feeding niche and soil sources tidied, merged by three null-safe full
     joins, rule-filled, back-filled, joined to the sequenced-family checklist, flagged, expert-patched."""
-    body, larval, feeding = _trait_inputs(spark, sf_dir, traits.CURRENT)
-    soil = traits.tidy_soil_niche(tt.soil_raw(spark, sf_dir))
-    expert = traits.tidy_expert_general(tt.expert_general(spark, sf_dir))
-    return traits.compile_traits(body, larval, feeding, soil, tt.taxonomy(spark, sf_dir), [expert])
+    body, larval, feeding = _trait_inputs(spark, sf_dir, attributes.CURRENT)
+    soil = attributes.tidy_soil_niche(tt.soil_raw(spark, sf_dir))
+    expert = attributes.tidy_expert_general(tt.expert_general(spark, sf_dir))
+    return attributes.compile_traits(body, larval, feeding, soil, tt.taxonomy(spark, sf_dir), [expert])
 
 
-@register("all_traits_v1", trait_sql(traits.V1, with_soil=False, with_expert=False))
+@register("all_traits_v1", trait_sql(attributes.V1, with_soil=False, with_expert=False))
 def all_traits_v1(spark: SparkSession, sf_dir: str):
     """The older recipe as a configuration: trim after the joins, no recode / distinct of body sizes,
     opposite Blattodea mapping, no soil or expert data, no phylum filter, no class column."""
-    body, larval, feeding = _trait_inputs(spark, sf_dir, traits.V1)
-    return traits.compile_traits(body, larval, feeding, None, tt.taxonomy(spark, sf_dir), [], traits.V1)
+    body, larval, feeding = _trait_inputs(spark, sf_dir, attributes.V1)
+    return attributes.compile_traits(body, larval, feeding, None, tt.taxonomy(spark, sf_dir), [], attributes.V1)
 
 
 # ------------------------------------------------------------------------------------ trait reports
@@ -169,27 +169,27 @@ _HANDOFF: dict[tuple[int, str], DataFrame] = {}
 def compiled_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The compiled trait table as the reports see it: a hand-off table (K3), written once per session and
     data folder under the shared checkpoint folder and read back, as the original reports read the written
-    all_traits file instead of recompiling it."""
+    all_attributes file instead of recompiling it."""
     key = (id(spark), sf_dir)
     cached = _HANDOFF.get(key)
     if cached is None or cached.sparkSession is not spark:
-        cached = _HANDOFF[key] = materialize(trait_compile(spark, sf_dir), "all_traits")
+        cached = _HANDOFF[key] = materialize(trait_compile(spark, sf_dir), "all_attributes")
     return cached
 
 
-@register("trait_completeness", "WITH ct AS (\n" + trait_sql(traits.CURRENT, True, True) + """)
-SELECT higher_taxon, family, length_min, length_max, main_feeding_niche_ronquist, main_feeding_habitat_ronquist,
-       in_IBA
+@register("trait_completeness", "WITH ct AS (\n" + trait_sql(attributes.CURRENT, True, True) + """)
+SELECT higher_taxon, family, length_min, length_max, main_feeding_niche, main_feeding_habitat,
+       in_checklist
 FROM ct WHERE higher_taxon IS NOT NULL AND family IS NOT NULL AND length_min IS NOT NULL AND length_max IS NOT NULL
-  AND main_feeding_niche_ronquist IS NOT NULL AND main_feeding_habitat_ronquist IS NOT NULL AND in_IBA IS NOT NULL
+  AND main_feeding_niche IS NOT NULL AND main_feeding_habitat IS NOT NULL AND in_checklist IS NOT NULL
   AND mass_reference IS NOT NULL AND class IS NOT NULL
   AND saprophagous IS NOT NULL AND zoophagous IS NOT NULL AND phytophagous IS NOT NULL AND larva_aquatic IS NOT NULL
   AND mycetophagous IS NOT NULL AND coprophagous IS NOT NULL AND saproxylic IS NOT NULL AND roots IS NOT NULL""")
 def trait_completeness(spark: SparkSession, sf_dir: str):
     """Complete cases of the compiled table except ``sub_family`` (``drop_na(-sub_family)``)."""
-    ct = traits.complete_traits(compiled_traits(spark, sf_dir))
-    return ct.select("higher_taxon", "family", "length_min", "length_max", "main_feeding_niche_ronquist",
-                     "main_feeding_habitat_ronquist", "in_IBA")
+    ct = attributes.complete_traits(compiled_traits(spark, sf_dir))
+    return ct.select("higher_taxon", "family", "length_min", "length_max", "main_feeding_niche",
+                     "main_feeding_habitat", "in_checklist")
 
 
 # --------------------------------------------------------------------------------- niche richness
@@ -263,9 +263,9 @@ def _occurrence_inputs(spark, sf_dir):
 
 def _feeding(spark, sf_dir):
     t = td.tm(spark, sf_dir)
-    all_traits = t.select(F.replace(F.col("family"), F.lit(" "), F.lit("")).alias("family"), "sub_family",
-                          ef.recode("niche", tt.TYPE_NICHES).alias("main_feeding_niche_ronquist"))
-    return occ.feeding_lookup(all_traits)
+    all_attributes = t.select(F.replace(F.col("family"), F.lit(" "), F.lit("")).alias("family"), "sub_family",
+                          ef.recode("niche", tt.TYPE_NICHES).alias("main_feeding_niche"))
+    return occ.feeding_lookup(all_attributes)
 
 
 def _classification(taxo):
@@ -290,23 +290,23 @@ def niche_richness(spark: SparkSession, sf_dir: str):
 
 # ----------------------------------------------------------------------------- missing-trait reports
 _ALL_TRAITS_TD_SQL = """atr AS (
-  SELECT tm.higher_taxon, tm.family, tm.length_min, tm.length_max, tm.niche AS main_feeding_niche_ronquist,
-         CASE WHEN tm.ord % 3 = 0 THEN NULL ELSE 'Plants' END AS main_feeding_habitat_ronquist,
+  SELECT tm.higher_taxon, tm.family, tm.length_min, tm.length_max, tm.niche AS main_feeding_niche,
+         CASE WHEN tm.ord % 3 = 0 THEN NULL ELSE 'Plants' END AS main_feeding_habitat,
          EXISTS (SELECT 1 FROM taxa WHERE taxa.family IS NOT DISTINCT FROM tm.family AND taxa.phylum = 'Arthropoda')
-           AS in_IBA
+           AS in_checklist
   FROM tm),
 mt AS (
-  SELECT * FROM atr WHERE length_min IS NULL OR length_max IS NULL OR main_feeding_niche_ronquist IS NULL
-                      OR main_feeding_habitat_ronquist IS NULL)"""
+  SELECT * FROM atr WHERE length_min IS NULL OR length_max IS NULL OR main_feeding_niche IS NULL
+                      OR main_feeding_habitat IS NULL)"""
 
 
 def _all_traits_td(spark, sf_dir):
     t = td.tm(spark, sf_dir)
     at = t.select("higher_taxon", "family", "length_min", "length_max",
-                  F.col("niche").alias("main_feeding_niche_ronquist"),
-                  F.when(F.col("ord") % 3 != 0, F.lit("Plants")).alias("main_feeding_habitat_ronquist"))
+                  F.col("niche").alias("main_feeding_niche"),
+                  F.when(F.col("ord") % 3 != 0, F.lit("Plants")).alias("main_feeding_habitat"))
     taxa = td.taxa(spark, sf_dir).filter(F.col("phylum") == tr.ARTHROPOD_PHYLUM)
-    return joins.mark_join(at, taxa, ["family"], "in_IBA")
+    return joins.mark_join(at, taxa, ["family"], "in_checklist")
 
 
 _FR_SQL = """fr AS (
@@ -321,20 +321,20 @@ _FR_SQL = """fr AS (
 
 @register("missing_traits_report", td.with_views(f""", {_ALL_TRAITS_TD_SQL}, {_FR_SQL}
 SELECT mt.*, fr.n_otu, fr.n_obs, fr.reads
-FROM mt LEFT JOIN fr ON mt.family IS NOT DISTINCT FROM fr.family WHERE mt.in_IBA""", "tm", "taxa", "cl", "traps"))
+FROM mt LEFT JOIN fr ON mt.family IS NOT DISTINCT FROM fr.family WHERE mt.in_checklist""", "tm", "taxa", "cl", "traps"))
 def missing_traits_report(spark: SparkSession, sf_dir: str):
     """Families with a missing trait, joined to reads / clusters / traps per family, sequenced only;
     family totals repeat over duplicate (order, family) rows (D13)."""
-    missing = summaries.missing_traits(_all_traits_td(spark, sf_dir), flag="in_IBA")
+    missing = summaries.missing_traits(_all_traits_td(spark, sf_dir), flag="in_checklist")
     reads = summaries.family_reads(td.cl(spark, sf_dir), td.taxa(spark, sf_dir), td.traps(spark, sf_dir),
                                    sort=False)
-    return summaries.missing_traits_seq(missing, reads, flag="in_IBA")
+    return summaries.missing_traits_seq(missing, reads, flag="in_checklist")
 
 
 _NMISS = ("CAST((higher_taxon IS NULL) AS INTEGER) + CAST((family IS NULL) AS INTEGER) "
           "+ CAST((length_min IS NULL) AS INTEGER) + CAST((length_max IS NULL) AS INTEGER) "
-          "+ CAST((main_feeding_niche_ronquist IS NULL) AS INTEGER) "
-          "+ CAST((main_feeding_habitat_ronquist IS NULL) AS INTEGER) + CAST((in_IBA IS NULL) AS INTEGER)")
+          "+ CAST((main_feeding_niche IS NULL) AS INTEGER) "
+          "+ CAST((main_feeding_habitat IS NULL) AS INTEGER) + CAST((in_checklist IS NULL) AS INTEGER)")
 
 
 @register("missing_summary_by_family", td.with_views(f""", {_ALL_TRAITS_TD_SQL}
@@ -349,8 +349,8 @@ SELECT higher_taxon, count(*) AS n_missing_families, CAST(sum(n) AS BIGINT) AS t
 FROM (SELECT higher_taxon, {_NMISS} AS n FROM mt) x WHERE n > 0
 GROUP BY higher_taxon ORDER BY n_missing_families DESC, higher_taxon""", "tm", "taxa"))
 def missing_summary_by_order(spark: SparkSession, sf_dir: str):
-    """C22 as coded: per order, families with missing traits and their total missing cells, largest first."""
-    missing = summaries.missing_traits(_all_traits_td(spark, sf_dir), flag="in_IBA")
+    """C22 as coded: per order, families with missing attributes and their total missing cells, largest first."""
+    missing = summaries.missing_traits(_all_traits_td(spark, sf_dir), flag="in_checklist")
     return summaries.missing_summary_by_order(missing)
 
 

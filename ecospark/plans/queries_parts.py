@@ -11,8 +11,8 @@ from ecospark.operators import joins
 from ecospark.plans import occurrences as occ
 from ecospark.plans import queries_composite as qc
 from ecospark.plans import testdata as td
-from ecospark.plans import testdata_traits as tt
-from ecospark.plans import traits
+from ecospark.plans import testdata_attributes as tt
+from ecospark.plans import attributes
 from ecospark.plans.catalog import register
 
 _ORD = tt._case_sql("p_brand", tt.ORDER_NAMES)
@@ -30,8 +30,8 @@ def _mites_raw(spark, sf_dir):
         F.when(s % 6 != 0, (s / 5).cast("string")).alias("length_max"),
         tick(s < 10).alias("length_1"), tick(s.between(5, 20)).alias("length_1_5"),
         tick(s.between(15, 30)).alias("length_5_10"), tick(s > 25).alias("length_10"),
-        F.when(s % 3 != 0, F.lit("Saprophagous")).alias("main_feeding_niche_ronquist"),
-        F.when(s % 5 == 0, F.lit("Soil")).alias("main_feeding_habitat_ronquist"),
+        F.when(s % 3 != 0, F.lit("Saprophagous")).alias("main_feeding_niche"),
+        F.when(s % 5 == 0, F.lit("Soil")).alias("main_feeding_habitat"),
         F.lit("q").alias("x13"), F.lit("c").alias("comment"), F.col("p_partkey").alias("_ord"))
 
 
@@ -41,20 +41,20 @@ _MITES_SQL = f"""mraw AS (
          CASE WHEN p_size % 6 = 0 THEN NULL ELSE p_size / 5 END AS length_max,
          CASE WHEN p_size < 10 THEN 'x' END AS length_1, CASE WHEN p_size BETWEEN 5 AND 20 THEN 'x' END AS length_1_5,
          CASE WHEN p_size BETWEEN 15 AND 30 THEN 'x' END AS length_5_10, CASE WHEN p_size > 25 THEN 'x' END AS length_10,
-         CASE WHEN p_size % 3 = 0 THEN NULL ELSE 'Saprophagous' END AS main_feeding_niche_ronquist,
-         CASE WHEN p_size % 5 = 0 THEN 'Soil' END AS main_feeding_habitat_ronquist, p_partkey AS ord
+         CASE WHEN p_size % 3 = 0 THEN NULL ELSE 'Saprophagous' END AS main_feeding_niche,
+         CASE WHEN p_size % 5 = 0 THEN 'Soil' END AS main_feeding_habitat, p_partkey AS ord
   FROM part WHERE p_type = 'PROMO'),
 m1 AS (
   SELECT higher_taxon, family, length_min, length_max, length_1, length_1_5, length_5_10, length_10,
-         main_feeding_niche_ronquist, main_feeding_habitat_ronquist, min(ord) AS ord FROM mraw GROUP BY ALL),
+         main_feeding_niche, main_feeding_habitat, min(ord) AS ord FROM mraw GROUP BY ALL),
 m2 AS (
   SELECT higher_taxon, family, min(length_min) OVER (PARTITION BY higher_taxon, family) AS length_min,
          max(length_max) OVER (PARTITION BY higher_taxon, family) AS length_max,
-         length_1, length_1_5, length_5_10, length_10, main_feeding_niche_ronquist, main_feeding_habitat_ronquist, ord
+         length_1, length_1_5, length_5_10, length_10, main_feeding_niche, main_feeding_habitat, ord
   FROM m1),
 m3 AS (
   SELECT higher_taxon, family, length_min, length_max, length_1, length_1_5, length_5_10, length_10,
-         main_feeding_niche_ronquist, main_feeding_habitat_ronquist, min(ord) AS ord FROM m2 GROUP BY ALL),
+         main_feeding_niche, main_feeding_habitat, min(ord) AS ord FROM m2 GROUP BY ALL),
 m4 AS (
   SELECT m3.*, c.pos, c.lo, c.hi FROM m3,
     (VALUES (1, 1.0, NULL), (2, 1.0, 5.0), (3, 5.0, 10.0), (4, 10.0, NULL)) AS c(pos, lo, hi)
@@ -65,11 +65,11 @@ m5 AS (
          coalesce(length_min, lo) AS length_min,
          CASE WHEN coalesce(length_min, lo) = 1 AND coalesce(length_max, hi) IS NULL THEN 1.0
               ELSE coalesce(length_max, hi) END AS length_max,
-         main_feeding_niche_ronquist, main_feeding_habitat_ronquist, ord, pos
+         main_feeding_niche, main_feeding_habitat, ord, pos
   FROM m4),
 mites AS (
-  SELECT DISTINCT higher_taxon, family, length_min, length_max, main_feeding_niche_ronquist,
-         main_feeding_habitat_ronquist
+  SELECT DISTINCT higher_taxon, family, length_min, length_max, main_feeding_niche,
+         main_feeding_habitat
   FROM (SELECT *, row_number() OVER (PARTITION BY higher_taxon, family ORDER BY ord, pos) AS rn FROM m5) t
   WHERE rn = 1)"""
 
@@ -78,7 +78,7 @@ mites AS (
 SELECT * FROM mites""")
 def expert_mites(spark: SparkSession, sf_dir: str):
     """Body-length classes to min / max, group extremes, first row per family."""
-    return traits.tidy_expert_mites(_mites_raw(spark, sf_dir))
+    return attributes.tidy_expert_mites(_mites_raw(spark, sf_dir))
 
 
 def _spiders_raw(spark, sf_dir):
@@ -86,16 +86,16 @@ def _spiders_raw(spark, sf_dir):
     g = p.groupBy("p_brand", "p_name").agg(F.min("p_size").alias("mn"), F.max("p_size").alias("mx"))
     return g.select(tt._map("p_brand", tt.ORDER_NAMES).alias("higher_taxon"), tt._fam().alias("family"),
                     (F.col("mn") / 2).alias("length_min"), F.when(F.col("mx") % 3 != 0, F.col("mx").cast("double"))
-                    .alias("lenght_max"), F.lit("Predator").alias("main_feeding_niche_ronquist"),
-                    F.when(F.col("mn") % 2 == 0, F.lit("Plants")).alias("main_feeding_habitat_ronquist"),
+                    .alias("lenght_max"), F.lit("Predator").alias("main_feeding_niche"),
+                    F.when(F.col("mn") % 2 == 0, F.lit("Plants")).alias("main_feeding_habitat"),
                     F.lit("n").alias("notes"))
 
 
 _SPIDERS_SQL = f"""spiders AS (
   SELECT {_ORD} AS higher_taxon, replace(p_name, ' ', '') AS family, min(p_size) / 2 AS length_min,
          CASE WHEN max(p_size) % 3 = 0 THEN NULL ELSE CAST(max(p_size) AS DOUBLE) END AS length_max,
-         'Predator' AS main_feeding_niche_ronquist,
-         CASE WHEN min(p_size) % 2 = 0 THEN 'Plants' END AS main_feeding_habitat_ronquist
+         'Predator' AS main_feeding_niche,
+         CASE WHEN min(p_size) % 2 = 0 THEN 'Plants' END AS main_feeding_habitat
   FROM part WHERE p_type = 'LARGE' GROUP BY p_brand, p_name)"""
 
 
@@ -105,23 +105,23 @@ def _patch_base(spark, sf_dir):
     return g.select(tt._map("p_brand", tt.ORDER_NAMES).alias("higher_taxon"), tt._fam().alias("family"),
                     F.when(F.col("k") % 2 != 0, F.col("mn").cast("double")).alias("length_min"),
                     F.when(F.col("k") % 3 != 0, (F.col("mn") * 2).cast("double")).alias("length_max"),
-                    F.when(F.col("k") % 5 != 0, F.lit("Phytophagous")).alias("main_feeding_niche_ronquist"),
-                    F.when(F.col("k") % 7 != 0, F.lit("Water")).alias("main_feeding_habitat_ronquist"))
+                    F.when(F.col("k") % 5 != 0, F.lit("Phytophagous")).alias("main_feeding_niche"),
+                    F.when(F.col("k") % 7 != 0, F.lit("Water")).alias("main_feeding_habitat"))
 
 
 _BASE_SQL = f"""base AS (
   SELECT {_ORD} AS higher_taxon, replace(p_name, ' ', '') AS family,
          CASE WHEN min(p_partkey) % 2 = 0 THEN NULL ELSE CAST(min(p_size) AS DOUBLE) END AS length_min,
          CASE WHEN min(p_partkey) % 3 = 0 THEN NULL ELSE CAST(min(p_size) * 2 AS DOUBLE) END AS length_max,
-         CASE WHEN min(p_partkey) % 5 = 0 THEN NULL ELSE 'Phytophagous' END AS main_feeding_niche_ronquist,
-         CASE WHEN min(p_partkey) % 7 = 0 THEN NULL ELSE 'Water' END AS main_feeding_habitat_ronquist
+         CASE WHEN min(p_partkey) % 5 = 0 THEN NULL ELSE 'Phytophagous' END AS main_feeding_niche,
+         CASE WHEN min(p_partkey) % 7 = 0 THEN NULL ELSE 'Water' END AS main_feeding_habitat
   FROM part GROUP BY p_brand, p_name),
 tr_t AS (
-  SELECT higher_taxon, family, length_min, length_max, main_feeding_niche_ronquist, main_feeding_habitat_ronquist
-  FROM expert WHERE (main_feeding_niche_ronquist IS NOT NULL OR main_feeding_habitat_ronquist IS NOT NULL)
+  SELECT higher_taxon, family, length_min, length_max, main_feeding_niche, main_feeding_habitat
+  FROM expert WHERE (main_feeding_niche IS NOT NULL OR main_feeding_habitat IS NOT NULL)
     AND family <> 'Ichneumonidae')"""
 
-_PATCH_COLS = ["length_min", "length_max", "main_feeding_niche_ronquist", "main_feeding_habitat_ronquist"]
+_PATCH_COLS = ["length_min", "length_max", "main_feeding_niche", "main_feeding_habitat"]
 
 
 def _patch_sql(x: str, y: str) -> str:
@@ -137,43 +137,43 @@ p2 AS ({_patch_sql('p1', 'mites')})
 def expert_patches(spark: SparkSession, sf_dir: str):
     """Three expert tables patch only the missing cells, in priority order general > mites > spiders."""
     x = _patch_base(spark, sf_dir)
-    general = traits.tidy_expert_general(tt.expert_general(spark, sf_dir)).select(
+    general = attributes.tidy_expert_general(tt.expert_general(spark, sf_dir)).select(
         "higher_taxon", "family", *_PATCH_COLS)
-    mites = traits.tidy_expert_mites(_mites_raw(spark, sf_dir))
-    spiders = traits.tidy_expert_spiders(_spiders_raw(spark, sf_dir))
+    mites = attributes.tidy_expert_mites(_mites_raw(spark, sf_dir))
+    spiders = attributes.tidy_expert_spiders(_spiders_raw(spark, sf_dir))
     for y in (general, mites, spiders):
-        x = joins.patch(x, y, traits.KEYS)
+        x = joins.patch(x, y, attributes.KEYS)
     return x
 
 
 # --------------------------------------------------------------------------------- trait-table reports
 def _ct_sql(body: str) -> str:
-    return "WITH ct AS (\n" + qc.trait_sql(traits.CURRENT, True, True) + ")\n" + body
+    return "WITH ct AS (\n" + qc.trait_sql(attributes.CURRENT, True, True) + ")\n" + body
 
 
-@register("missing_life_history", _ct_sql("SELECT higher_taxon, family, larva_aquatic, in_IBA FROM ct WHERE in_IBA"))
+@register("missing_life_history", _ct_sql("SELECT higher_taxon, family, larva_aquatic, in_checklist FROM ct WHERE in_checklist"))
 def missing_life_history(spark: SparkSession, sf_dir: str):
     """C11: life-history columns (regex selected) of sequenced families."""
-    return traits.missing_life_history(qc.compiled_traits(spark, sf_dir))
+    return attributes.missing_life_history(qc.compiled_traits(spark, sf_dir))
 
 
-_PATTERN_COLS = ["main_feeding_niche_ronquist", "length_min", "length_max", *qc.SCORES,
-                 "main_feeding_habitat_ronquist", "class"]
+_PATTERN_COLS = ["main_feeding_niche", "length_min", "length_max", *qc.SCORES,
+                 "main_feeding_habitat", "class"]
 
 
 @register("trait_missing_patterns", _ct_sql(
     "SELECT " + ", ".join(f"{c} IS NULL AS {c}" for c in _PATTERN_COLS) + ", count(*) AS n FROM ct GROUP BY ALL"))
 def trait_missing_patterns(spark: SparkSession, sf_dir: str):
     """Missingness patterns of the trait columns of the compiled table."""
-    return traits.trait_missing_patterns(qc.compiled_traits(spark, sf_dir))
+    return attributes.trait_missing_patterns(qc.compiled_traits(spark, sf_dir))
 
 
 @register("complete_case_families", _ct_sql(
     "SELECT family FROM ct WHERE " + " AND ".join(
-        f"{c} IS NOT NULL" for c in ["higher_taxon", "family", "mass_reference", "in_IBA", *_PATTERN_COLS])))
+        f"{c} IS NOT NULL" for c in ["higher_taxon", "family", "mass_reference", "in_checklist", *_PATTERN_COLS])))
 def complete_case_families(spark: SparkSession, sf_dir: str):
     """``select(-sub_family) |> drop_na() |> pull(family)``."""
-    return traits.complete_case_families(qc.compiled_traits(spark, sf_dir))
+    return attributes.complete_case_families(qc.compiled_traits(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------------- occurrence steps
@@ -260,7 +260,7 @@ def subfamily_lookup(spark: SparkSession, sf_dir: str):
 @register("occurrence_traits", qc.NICHE_SQL[:qc.NICHE_SQL.index("\ng AS (") + 1] + """d AS (SELECT * FROM a UNION ALL SELECT * FROM b)
 SELECT class, feeding_niche, count(*) AS n_rows, count(DISTINCT {'x': cluster}) AS n_clusters FROM d GROUP BY ALL""")
 def occurrence_traits(spark: SparkSession, sf_dir: str):
-    """Occurrences with traits - three families by (family, subfamily), the rest by
+    """Occurrences with attributes - three families by (family, subfamily), the rest by
     family with fan-out (D14); summarised per (class, niche) so the whole table is compared."""
     taxo, o = qc._occurrence_inputs(spark, sf_dir)
     subs = occ.subfamily_lookup(qc._classification(taxo))

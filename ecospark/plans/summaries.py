@@ -39,20 +39,20 @@ def family_reads(counts: DataFrame, taxonomy: DataFrame, sample_traps: DataFrame
     return out.orderBy(F.asc_nulls_last(family)) if sort else out
 
 
-TRAIT_REPORT_COLS = ("length_min", "length_max", "main_feeding_niche_ronquist", "main_feeding_habitat_ronquist")
+TRAIT_REPORT_COLS = ("length_min", "length_max", "main_feeding_niche", "main_feeding_habitat")
 
 
-def missing_traits(all_traits: DataFrame, trait_cols: Sequence[str] = TRAIT_REPORT_COLS,
+def missing_traits(all_attributes: DataFrame, trait_cols: Sequence[str] = TRAIT_REPORT_COLS,
                    key_cols: Sequence[str] = ("higher_taxon", "family"), flag: str = "in_iba") -> DataFrame:
     """C21 first half: families with at least one missing trait among the ``main|length`` columns."""
-    sel = all_traits.select(*key_cols, *trait_cols, flag)
+    sel = all_attributes.select(*key_cols, *trait_cols, flag)
     return keep_any_missing(sel, matching(sel, ["main", "length"]))
 
 
 def missing_traits_seq(missing: DataFrame, reads: DataFrame, flag: str = "in_iba") -> DataFrame:
     """Missing-trait families joined to their read totals, kept only when the flag is TRUE.
 
-    ``full_join(...) |> filter(in_IBA)`` drops every reads-only row (its flag is NA), so it is a LEFT join.
+    ``full_join(...) |> filter(in_checklist)`` drops every reads-only row (its flag is NA), so it is a LEFT join.
     """
     return natural_join(missing.filter(F.col(flag)), reads, how="left")
 
@@ -63,7 +63,7 @@ def missing_summary_by_family(missing: DataFrame, key_cols: Sequence[str] = ("hi
 
 
 def missing_summary_by_order(missing: DataFrame, group: str = "higher_taxon") -> DataFrame:
-    """C22 as coded: per order, families with missing traits and total missing cells, largest first."""
+    """C22 as coded: per order, families with missing attributes and total missing cells, largest first."""
     return missing_by_group(with_missing_count(missing), group)
 
 

@@ -108,8 +108,8 @@ def expert_general(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(_map("p_brand", ORDER_NAMES).alias("higher_taxon"), _fam().alias("family"),
                     F.when(F.col("k") % 3 != 0, (F.col("mn") / 4).cast("string")).alias("length_min"),
                     F.lit("99").alias("length_max"),
-                    F.when(F.col("k") % 2 == 0, F.lit("Predator")).alias("main_feeding_niche_ronquist"),
-                    F.when(F.col("k") % 5 == 0, F.lit("Soil")).alias("main_feeding_habitat_ronquist"),
+                    F.when(F.col("k") % 2 == 0, F.lit("Predator")).alias("main_feeding_niche"),
+                    F.when(F.col("k") % 5 == 0, F.lit("Soil")).alias("main_feeding_habitat"),
                     F.col("n").alias("n_otu"), F.col("n").alias("n_obs"), F.col("n").alias("reads"),
                     F.lit("TRUE").alias("in_iba"))
 
@@ -145,9 +145,9 @@ feeding AS (
   SELECT {_case_sql('p_brand', ORDER_NAMES)} AS raw_order, replace(p_name, ' ', '') AS family,
          CASE WHEN p_type IN ('PROMO', 'SMALL') THEN p_type END AS sub_family,
          CASE WHEN min(p_partkey) % 4 = 0 THEN NULL ELSE {_case_sql('p_type', TYPE_NICHES)} END
-           AS main_feeding_niche_ronquist,
+           AS main_feeding_niche,
          CASE WHEN p_type = 'LARGE' THEN 'Water' WHEN p_type = 'MEDIUM' THEN 'Soil' END
-           AS main_feeding_habitat_ronquist,
+           AS main_feeding_habitat,
          min(p_partkey) AS ord
   FROM part WHERE p_size > 10 GROUP BY p_brand, p_name, p_type),
 soil_g AS (
@@ -168,15 +168,15 @@ soil AS (
          CASE WHEN regexp_matches(niche_original, 'fungi|bacteriv|litter|root|algal') THEN 'Saprophagous'
               WHEN regexp_matches(niche_original, 'plant') THEN 'Phytophagous'
               WHEN regexp_matches(niche_original, 'predator') THEN 'Predator'
-              WHEN regexp_matches(niche_original, 'parasitic') THEN 'Parasite' END AS main_feeding_niche_ronquist,
+              WHEN regexp_matches(niche_original, 'parasitic') THEN 'Parasite' END AS main_feeding_niche,
          ord
   FROM soil_long),
 expert AS (
   SELECT {_case_sql('p_brand', ORDER_NAMES)} AS higher_taxon, replace(p_name, ' ', '') AS family,
          CASE WHEN min(p_partkey) % 3 = 0 THEN NULL ELSE min(p_size) / 4 END AS length_min,
          99.0 AS length_max,
-         CASE WHEN min(p_partkey) % 2 = 0 THEN 'Predator' END AS main_feeding_niche_ronquist,
-         CASE WHEN min(p_partkey) % 5 = 0 THEN 'Soil' END AS main_feeding_habitat_ronquist
+         CASE WHEN min(p_partkey) % 2 = 0 THEN 'Predator' END AS main_feeding_niche,
+         CASE WHEN min(p_partkey) % 5 = 0 THEN 'Soil' END AS main_feeding_habitat
   FROM part WHERE p_retailprice > 1500 GROUP BY p_brand, p_name),
 taxo AS (
   SELECT cluster, phylum, class, {_case_sql('"order"', ORDER_NAMES)} AS "order",

@@ -79,8 +79,8 @@ def test_write_csv_r_style(spark, tmp_path):
                                 ("Hymenoptera", 'Ichneu"monidae', 3.0, 40.0, "Predator", None, True, 3743, 199,
                                  51514066)],
                                "higher_taxon string, Family string, length_min double, length_max double, "
-                               "main_feeding_niche_ronquist string, main_feeding_habitat_ronquist string, "
-                               "in_IBA boolean, n_otu int, n_obs int, reads long")
+                               "main_feeding_niche string, main_feeding_habitat string, "
+                               "in_checklist boolean, n_otu int, n_obs int, reads long")
     path = str(tmp_path / "out")
     sinks.write_csv_r(df, path, order_by=["reads"])
     lines = []
@@ -89,8 +89,8 @@ def test_write_csv_r_style(spark, tmp_path):
             lines += open(os.path.join(path, f)).read().splitlines()
     header = [ln for ln in lines if ln.startswith('"",')]
     body = sorted(ln for ln in lines if not ln.startswith('"",'))
-    assert header[0] == ('"","higher_taxon","Family","length_min","length_max","main_feeding_niche_ronquist",'
-                         '"main_feeding_habitat_ronquist","in_IBA","n_otu","n_obs","reads"')
+    assert header[0] == ('"","higher_taxon","Family","length_min","length_max","main_feeding_niche",'
+                         '"main_feeding_habitat","in_checklist","n_otu","n_obs","reads"')
     assert body == ['"1","Blattodea","Blaberidae",2.5,75,NA,NA,TRUE,1,1,10',
                     '"2","Hymenoptera","Ichneu""monidae",3,40,"Predator",NA,TRUE,3743,199,51514066']
 

@@ -58,25 +58,25 @@ def test_jobs_end_to_end(spark, tmp_path):
                                              "Length 10,Main Feeding Niche Ronquist,Main Feeding Habitat Ronquist,Comment,"
                                              "Source,", "\"Acari, Oribatida\",Achipteriidae,0.4,0.6,x,,,,Saprophagous,Soil,,s,"]),
     }
-    all_traits = jobs.trait_job(spark, cfg)
-    at = {(r.higher_taxon, r.family): r for r in all_traits.collect()}
-    assert at[("Coleoptera", "Carabidae")].length_min == 2.5 and at[("Coleoptera", "Carabidae")].in_IBA
-    assert at[("Coleoptera", "Carabidae")].main_feeding_niche_ronquist == "Predator"
-    assert at[("Hemiptera", "Miridae")].in_IBA is False
+    all_attributes = jobs.trait_job(spark, cfg)
+    at = {(r.higher_taxon, r.family): r for r in all_attributes.collect()}
+    assert at[("Coleoptera", "Carabidae")].length_min == 2.5 and at[("Coleoptera", "Carabidae")].in_checklist
+    assert at[("Coleoptera", "Carabidae")].main_feeding_niche == "Predator"
+    assert at[("Hemiptera", "Miridae")].in_checklist is False
     assert at[("Diptera", "Muscidae")].length_min == 3.0                       # patched from the general table
-    assert at[("Diptera", "Muscidae")].main_feeding_habitat_ronquist == "Temporary habitats"  # coprophagous rule
+    assert at[("Diptera", "Muscidae")].main_feeding_habitat == "Temporary habitats"  # coprophagous rule
     assert at[("Araneae", "Lycosidae")].length_max == 9.0                      # spiders table (lenght_max)
     assert at[("Protura", "Acerentomidae")].length_min == 0.5                  # back-filled within Protura
     assert at[("Oribatida", "Achipteriidae")].length_max == 0.6                # mites table, only for a listed key
     assert ("Mesostigmata", "Ascidae") not in at                               # unmatched patch rows are ignored
-    assert os.path.isdir(os.path.join(out, "all_traits.csv"))
+    assert os.path.isdir(os.path.join(out, "all_attributes.csv"))
 
     v1 = {(r.higher_taxon, r.family): r for r in jobs.trait_job_v1(spark, dict(cfg, out=os.path.join(d, "v1"))).collect()}
     assert ("Heteroptera", "Miridae") in v1                                    # not recoded in the older recipe
     assert ("Passeriformes", "Paridae") in v1                                  # no phylum filter
 
     occ_cfg = {
-        "out": out, "all_traits": os.path.join(out, "all_traits.parquet"),
+        "out": out, "all_attributes": os.path.join(out, "all_attributes.parquet"),
         "taxonomy": _write(d, "otu_taxa.tsv", ["cluster\tphylum\tclass\torder\tfamily\tgenus",
                                                "c1\tArthropoda\tInsecta\tColeoptera\tCarabidae\tCarabus",
                                                "c3\tArthropoda\tInsecta\tHymenoptera\tBraconidae\tAlysia",
@@ -98,7 +98,7 @@ def test_jobs_end_to_end(spark, tmp_path):
                           ("Predator-parasitoid", 28, "T1", 1)]
 
     sum_cfg = {
-        "out": out, "all_traits": os.path.join(out, "all_traits.parquet"),
+        "out": out, "all_attributes": os.path.join(out, "all_attributes.parquet"),
         "taxonomy": _write(d, "sum_taxa.tsv", ["ASV\tPhylum\tOrder\tFamily",
                                                "c1\tArthropoda\tColeoptera\tCarabidae",
                                                "c2\tArthropoda\tDiptera\tMuscidae",
@@ -123,7 +123,7 @@ def test_example_configs_name_every_input():
     import re
     root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "examples")
     src = open(os.path.join(os.path.dirname(jobs.__file__), "jobs.py")).read()
-    for job, fn in [("traits", "trait_job"), ("traits_v1", "trait_job_v1"), ("occurrences", "occurrence_job"),
+    for job, fn in [("attributes", "trait_job"), ("attributes_v1", "trait_job_v1"), ("occurrences", "occurrence_job"),
                     ("summaries", "summary_job"), ("checklist", "checklist_job")]:
         body = src[src.index(f"def {fn}("):]
         body = body[:body.index("\ndef ", 1)] if "\ndef " in body[1:] else body

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from ecospark.functions import european_double
 from ecospark.plans import occurrences as occ
-from ecospark.plans import traits
+from ecospark.plans import attributes
 
 
 def test_body_size_fixture(spark):
@@ -11,10 +11,10 @@ def test_body_size_fixture(spark):
                                  ("Protura", "0,5", "2", "r")], "taxon string, length_min string, length_max string, "
                                                                   "reference string")
     raw = raw.withColumns({c: european_double(c) for c in ("length_min", "length_max")})
-    out = traits.tidy_body_size(raw)
+    out = attributes.tidy_body_size(raw)
     assert rows(out, "higher_taxon", "family", "length_min", "length_max") == [
         ("Coleoptera", "Carabidae", 2.5, 18.0), ("Hemiptera", "Miridae", 1.0, None), ("Protura", None, 0.5, 2.0)]
-    v1 = traits.tidy_body_size(raw, traits.V1)
+    v1 = attributes.tidy_body_size(raw, attributes.V1)
     assert ("Heteroptera", "Miridae") in [tuple(r) for r in v1.select("higher_taxon", "family").collect()]
 
 
@@ -24,21 +24,21 @@ def test_feeding_niche_split(spark):
                                  ("Coleoptera", "Carabidae", "Predator", "Soil")],
                                 "order string, taxon_dyntaxa_2017 string, main_feeding_niche string, "
                                 "main_feeding_habitat string")
-    out = traits.tidy_feeding_niche(raw)
+    out = attributes.tidy_feeding_niche(raw)
     assert rows(out, "higher_taxon", "family", "sub_family") == [("Coleoptera", "Carabidae", None),
                                                                  ("Hymenoptera", "Braconidae", "Alysiinae")]
 
 
 def test_mites_fixture(spark):
     schema = ("higher_taxon string, family string, length_min string, length_max string, length_1 string, "
-              "length_1_5 string, length_5_10 string, length_10 string, main_feeding_niche_ronquist string, "
-              "main_feeding_habitat_ronquist string, x13 string, comment string, _ord long")
+              "length_1_5 string, length_5_10 string, length_10 string, main_feeding_niche string, "
+              "main_feeding_habitat string, x13 string, comment string, _ord long")
     data = [("Acari, Oribatida", "Achipteriidae", "0.4", "0.6", "x", None, None, None, "S", None, None, None, 1),
             ("Acari, Mesostigmata", "Ascidae", None, None, "x", None, None, None, "P", None, None, None, 2),
             ("Collembola", "Tomoceridae", None, None, None, "x", "x", None, "S", None, None, None, 3),
             ("Collembola", "Onychiuridae", "1", "2", None, None, None, None, "S", None, None, None, 4),
             ("Collembola", "Entomobryidae", None, None, None, None, None, "x", "S", None, None, None, 5)]
-    out = traits.tidy_expert_mites(spark.createDataFrame(data, schema))
+    out = attributes.tidy_expert_mites(spark.createDataFrame(data, schema))
     assert rows(out, "higher_taxon", "family", "length_min", "length_max") == [
         ("Collembola", "Entomobryidae", 10.0, None), ("Collembola", "Tomoceridae", 1.0, 5.0),
         ("Mesostigmata", "Ascidae", 1.0, 1.0), ("Oribatida", "Achipteriidae", 0.4, 0.6)]
@@ -53,7 +53,7 @@ def test_soil_niche(spark):
          ("Animalia;Chordata;Aves;Passeriformes;Paridae;g;s", "a", "b", "c", "x", None, None, None)],
         "consensus_taconomical_identity string, x6 string, x16 string, all_inclusive string, fungi_feeder string, "
         "plant_feeder string, predator string, parasitoid string")
-    out = traits.tidy_soil_niche(raw)
+    out = attributes.tidy_soil_niche(raw)
     assert rows(out) == [("Poduromorpha", "Hypogastruridae", "Predator"),
                          ("Poduromorpha", "Hypogastruridae", "Saprophagous"),
                          ("Sarcoptiformes", "Acaridae", "Saprophagous"), ("Sarcoptiformes", "Acaridae", "Saprophagous")]
@@ -96,10 +96,10 @@ def test_land_larval_sheet(spark, tmp_path):
                               [("x" if junk else str((i * s) % 10 / 10)) for s in range(4, 29)] + ["e"]))
     p = tmp_path / "larval.csv"
     p.write_text("\n".join(lines) + "\n")
-    sheet = traits.land_larval_sheet(spark, str(p))
+    sheet = attributes.land_larval_sheet(spark, str(p))
     assert sheet.columns[:4] == ["higher_taxon", "family", "note", "score_4"] and "extra" not in sheet.columns
     assert sheet.count() == 610 - 16
-    tidy = traits.tidy_larval_niche(sheet)
+    tidy = attributes.tidy_larval_niche(sheet)
     assert tidy.filter(F.col("family") == "Total").count() == 0
     assert dict(tidy.dtypes)["score_4"] == "double"
     assert rows(tidy.filter(F.col("family") == "F10"), "higher_taxon", "family", "score_5") == [("O1", "F10", 0.0)]

@@ -7,7 +7,7 @@ from ecospark.operators import aggregates
 from ecospark.plans import summaries
 
 COLS = "higher_taxon string, family string, length_min double, length_max double, " \
-       "main_feeding_niche_ronquist string, main_feeding_habitat_ronquist string, in_IBA boolean"
+       "main_feeding_niche string, main_feeding_habitat string, in_checklist boolean"
 
 
 def test_sample_rows(spark):
@@ -17,11 +17,11 @@ def test_sample_rows(spark):
     by_family = summaries.missing_summary_by_family(at)
     assert rows(by_family) == [("Blattodea", "Blaberidae", 2), ("Coleoptera", "Carabidae", 0),
                                ("Hymenoptera", "Ichneumonidae", 1)]
-    missing = summaries.missing_traits(at, flag="in_IBA")
+    missing = summaries.missing_traits(at, flag="in_checklist")
     assert rows(missing, "family") == [("Blaberidae",), ("Ichneumonidae",)]
     reads = spark.createDataFrame([("Blaberidae", 1, 1, 10), ("Ichneumonidae", 3743, 199, 51514066)],
                                   "family string, n_otu long, n_obs long, reads long")
-    seq = summaries.missing_traits_seq(missing, reads, flag="in_IBA")
+    seq = summaries.missing_traits_seq(missing, reads, flag="in_checklist")
     assert rows(seq, "family", "n_otu", "n_obs", "reads") == [("Blaberidae", 1, 1, 10),
                                                              ("Ichneumonidae", 3743, 199, 51514066)]
 
@@ -35,12 +35,12 @@ def test_pattern_frequencies(spark):
             data.append((f"O{i % 84}", f"F{len(data)}", None if a else 1.0, None if b else 2.0,
                          None if c else "Predator", None if d else "Soil", True))
     at = spark.createDataFrame(data, COLS)
-    got = aggregates.missing_patterns(at, ["length_min", "length_max", "main_feeding_niche_ronquist",
-                                           "main_feeding_habitat_ronquist"])
+    got = aggregates.missing_patterns(at, ["length_min", "length_max", "main_feeding_niche",
+                                           "main_feeding_habitat"])
     as_int = {tuple(int(x) for x in r[:4]): r.n for r in got.collect()}
     assert as_int == patterns
     assert at.count() == 373
-    by_order = summaries.missing_summary_by_order(summaries.missing_traits(at, flag="in_IBA"))
+    by_order = summaries.missing_summary_by_order(summaries.missing_traits(at, flag="in_checklist"))
     assert by_order.agg(F.sum("n_missing_families")).first()[0] == 373
     # every missing cell is counted once: 304*4 + 56*2 + 7*2 + 5 + 1*3
     assert by_order.agg(F.sum("total_missing_traits")).first()[0] == 304 * 4 + 56 * 2 + 7 * 2 + 5 + 3
