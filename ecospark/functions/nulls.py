@@ -6,7 +6,7 @@ from functools import reduce
 from operator import or_
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ecospark.functions.strings import ColumnOrName, _c
@@ -28,14 +28,28 @@ def not_in(c: ColumnOrName, values: Iterable) -> Column:
     return ~is_in(c, values)
 
 
+def is_missing(c: ColumnOrName) -> Column:
+    """``is.na(x)``: NULL, or NaN in a floating-point column (X14).  Never NULL.  The type test is constant, so other
+    columns pay nothing for it."""
+    col = _c(c)
+    nan = F.when(F.typeof(col).isin("double", "float"), col.cast("string") == F.lit("NaN"))
+    return col.isNull() | F.coalesce(nan, F.lit(False))
+
+
+def fold_missing(df: DataFrame) -> DataFrame:
+    """NaN and infinite values of floating-point columns become NULL: done once, where data comes in."""
+    return df.select(*[F.when(F.abs(F.col(f"`{c}`")) < F.lit(float("inf")), F.col(f"`{c}`")).alias(c)
+                       if t in ("double", "float") else F.col(f"`{c}`") for c, t in df.dtypes])
+
+
 def any_missing(cols: Iterable[ColumnOrName]) -> Column:
-    """TRUE when any of the columns is NULL."""
-    return reduce(or_, [_c(c).isNull() for c in cols])
+    """TRUE when any of the columns is missing."""
+    return reduce(or_, [is_missing(c) for c in cols])
 
 
 def missing_count(cols: Iterable[ColumnOrName]) -> Column:
     """``rowSums(is.na(.))`` over the given columns, INT."""
-    return reduce(lambda a, b: a + b, [_c(c).isNull().cast("int") for c in cols])
+    return reduce(lambda a, b: a + b, [is_missing(c).cast("int") for c in cols])
 
 
 def distinct_with_null(c: ColumnOrName) -> Column:

@@ -16,7 +16,16 @@ def lenient_double(c: ColumnOrName) -> Column:
     """String (or number) -> DOUBLE; non-numeric text -> NULL.  NaN/Inf never appear (R's NA contract)."""
     col = _c(c)
     s = col.cast("string")
-    return F.when(s.rlike(NUMERIC_TEXT), s.try_cast("double"))
+    value = F.when(s.rlike(NUMERIC_TEXT), s.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)  # '1e999' reads as infinite
+
+
+def count_cell(c: ColumnOrName) -> Column:
+    """A cell of a count matrix -> BIGINT: ``12``, ``12.0``, ``1e+05`` and ``"12"`` are counts (fractions are cut
+    off); blank, ``NA`` and other text are NULL."""
+    s = F.btrim(_c(c).cast("string"), F.lit('" '))
+    value = lenient_double(s)
+    return F.coalesce(s.try_cast("bigint"), F.when(F.abs(value) < 9.0e18, value).cast("bigint"))
 
 
 def european_double(c: ColumnOrName) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ecospark.functions.nulls import distinct_with_null, missing_count
+from ecospark.functions.nulls import distinct_with_null, is_missing, missing_count
 
 
 def frequency_table(df: DataFrame, col: str, value_name: str = "value", count_name: str = "n") -> DataFrame:
@@ -42,10 +42,10 @@ def missing_by_group(df: DataFrame, group: str, count_col: str = "n_missing") ->
 
 def missing_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Each observed missing/present combination with its frequency (the table behind VIM ``aggr``) (A10)."""
-    return (df.groupBy(*[F.col(c).isNull().alias(c) for c in cols])
+    return (df.groupBy(*[is_missing(c).alias(c) for c in cols])
             .agg(F.count(F.lit(1)).alias("n")))
 
 
 def missing_share(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: the proportion of missing cells per column (A10, the bar chart of ``aggr``)."""
-    return df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols])
+    return df.agg(*[F.avg(is_missing(c).cast("double")).alias(c) for c in cols])

@@ -1,13 +1,11 @@
-"""Deterministic order-preserving chunks for distributed scans (fills, consecutive row numbers).
+"""Order-preserving chunks for distributed scans (fills, consecutive row numbers).
 
-A scan that must see rows in order is split into chunks that are contiguous in (group, order) and of
-bounded size; each chunk is processed on its own and only small per-chunk summaries cross chunk borders.
+A scan that must see rows in order is split into chunks that are contiguous in (group, order) and of bounded size;
+each chunk is processed on its own and only small per-chunk summaries cross chunk borders.
 
-The chunk of a row must be identical in every branch of the plan that uses it (the rows and the per-chunk
-summary are computed separately).  ``spark_partition_id()`` after ``repartitionByRange`` is not: column pruning
-gives each branch its own range exchange, and each exchange samples its own bounds.  Here the bounds are
-taken once, from a bounded sample sorted by Spark, and the chunk is a pure expression of the row (a binary
-search over literal bounds), so every branch, and every retry after a lost executor, agrees.
+The rows are range-partitioned and written once to the shared folder with the number of their partition.  That fixes
+the chunk of a row for every branch of the plan and for every retry after a lost executor; a range exchange inside the
+plan would not, since each pruned branch samples its own bounds.
 """
 
 from __future__ import annotations
@@ -17,10 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_PER_CHUNK = 64
-# Literal bounds live in the plan (one struct literal per chunk): above this many chunks the rows are instead
-# range-partitioned once and checkpointed, so every branch reads the same stored chunk ids.
-MAX_LITERAL_CHUNKS = 4096
+from ecospark.session import materialize
 
 
 def sort_key_columns(group_by: Sequence[str], order_by: Sequence[str]) -> list[Column]:
@@ -31,58 +26,9 @@ def sort_key_columns(group_by: Sequence[str], order_by: Sequence[str]) -> list[C
     return cols
 
 
-def chunk_column(df: DataFrame, key: Sequence[Column], n_chunks: int, seed: int = 42) -> Column:
-    """INT column: index of the row's chunk, monotone in ``struct(*key)``.
-
-    Two small jobs run when this is called: a row count and a sample of about ``64 * n_chunks`` keys (collected
-    to the driver, bounded by ``n_chunks``, sorted by Spark).
-    """
-    names = [f"k{i}" for i in range(len(key))]
-    keyed = df.select(F.struct(*[c.alias(n) for c, n in zip(key, names)]).alias("k"))
-    if n_chunks <= 1:
-        return F.lit(0)
-    total = keyed.count()
-    if total == 0:
-        return F.lit(0)
-    frac = min(1.0, SAMPLE_PER_CHUNK * n_chunks / total)
-    sample = [r.k for r in keyed.sample(False, frac, seed).orderBy("k").collect()]
-    bounds = []
-    for i in range(1, n_chunks):
-        if not sample:
-            break
-        b = sample[min(len(sample) - 1, i * len(sample) // n_chunks)]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    if not bounds:
-        return F.lit(0)
-    ktype = keyed.schema["k"].dataType
-    k = F.struct(*[c.alias(n) for c, n in zip(key, names)])
-
-    def lit(row) -> Column:
-        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, ktype.fields)])
-
-    def build(lo: int, hi: int) -> Column:
-        # chunk = number of bounds strictly below the key; chunks lo..hi are separated by bounds[lo..hi-1]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(k <= lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-
-    return build(0, len(bounds)).cast("int")
-
-
-def with_chunks(df: DataFrame, key: Sequence[Column], n_chunks: int, name: str = "__chunk",
-                max_literal_chunks: int = MAX_LITERAL_CHUNKS) -> DataFrame:
-    """``df`` plus an INT chunk column, monotone in ``struct(*key)`` and identical in every branch that uses it.
-
-    Up to ``max_literal_chunks`` the chunk is a pure expression over sampled bounds (no extra I/O).  Beyond
-    that (inputs of many terabytes cut into ~200 MB chunks) the rows are range-partitioned once, tagged with
-    their partition index and checkpointed (reliably, to the shared checkpoint folder), which fixes the
-    assignment for all later reads and retries.
-    """
-    if n_chunks <= max_literal_chunks:
-        return df.withColumn(name, chunk_column(df, key, n_chunks))
+def with_chunks(df: DataFrame, key: Sequence[Column], n_chunks: int, name: str = "__chunk") -> DataFrame:
+    """``df``, written to the shared folder, plus an INT chunk column that is monotone in ``key``."""
     names = [f"__k{i}" for i in range(len(key))]
-    keyed = df.withColumns({n: c for n, c in zip(names, key)})
-    ranged = keyed.repartitionByRange(n_chunks, *names).withColumn(name, F.spark_partition_id())
-    return ranged.drop(*names).checkpoint(eager=True)
+    ranged = df.withColumns(dict(zip(names, key))).repartitionByRange(n_chunks, *names) \
+        .withColumn(name, F.spark_partition_id())
+    return materialize(ranged.drop(*names), "chunks")

@@ -22,12 +22,13 @@ def filter_not_in(df: DataFrame, col: str, values: Iterable) -> DataFrame:
 
 def drop_na(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """``drop_na(a, b)``; with no subset: complete cases over all columns."""
-    return df.na.drop(how="any", subset=list(subset) if subset else None)
+    return df.filter(~any_missing(list(subset) if subset else df.columns))
 
 
 def drop_na_except(df: DataFrame, exclude: Sequence[str]) -> DataFrame:
     """``drop_na(-sub_family)``: complete over all columns but ``exclude``, which are kept."""
-    return df.na.drop(how="any", subset=[c for c in df.columns if c not in set(exclude)])
+    checked = [c for c in df.columns if c not in set(exclude)]
+    return df.filter(~any_missing(checked)) if checked else df
 
 
 def keep_any_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:

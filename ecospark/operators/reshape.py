@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,34 +27,37 @@ def unpivot_columns(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name
 
 def explode_wide(df: DataFrame, ids: Sequence[str], cols: Sequence[str] | None = None, names_to: str = "name",
                  values_to: str = "value", keep: Callable[[Column], Column] | None = None,
-                 value_type: str | None = None, rename: Callable[[str], str] | None = None,
-                 block_size: int | None = None) -> DataFrame:
-    """Wide matrix with hundreds+ of value columns -> long (R3: ``melt`` / ``pivot_longer(11:ncol(.))``).
+                 value_type: str | None = None, rename: Callable[[str], str] | None = None) -> DataFrame:
+    """Wide matrix with any number of value columns -> long.
 
-    One ``explode`` of an array of (name, value) structs, with ``keep`` applied to the array *before* the
-    explode, so zero counts never become rows.  ``rename`` rewrites the column names once, on the driver,
-    instead of rewriting the same few names on every long row.
-
-    ``block_size`` splits very wide matrices (tens of thousands of sample columns) into column blocks that are
-    exploded separately and unioned: each expression stays small enough for code generation, and with a
-    columnar (parquet) input each block reads only its own columns, so every cell is still read once.
+    The cells of a row become one array, ``keep`` is applied to it *before* the explode, so zero counts never
+    become rows, and the names come from one constant array by position.  One scan, whatever the width.
+    ``rename`` rewrites the column names once, on the driver, instead of once per long row.
     """
     ids = list(ids)
     cols = [c for c in df.columns if c not in ids] if cols is None else list(cols)
     vt = value_type or dict(df.dtypes)[cols[0]]
-    if block_size and len(cols) > block_size:
-        parts = [explode_wide(df, ids, cols[i:i + block_size], names_to, values_to, keep, vt, rename)
-                 for i in range(0, len(cols), block_size)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    label = rename or (lambda c: c)
-    arr = F.array(*[F.struct(F.lit(label(c)).alias("n"), F.col(c).cast(vt).alias("v")) for c in cols])
+    quoted = ", ".join("`" + c.replace("`", "``") + "`" for c in cols)
+    return explode_cells(df, [F.col(c) for c in ids], F.expr(f"array({quoted})").cast(f"array<{vt}>"),
+                         [(rename or str)(c) for c in cols], names_to, values_to, keep)
+
+
+def explode_cells(df: DataFrame, ids: Sequence[Column], cells: Column, names: Sequence[str], names_to: str,
+                  values_to: str, keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``ids`` plus one row for each kept element of the array ``cells``, named by its position in ``names``.
+
+    The names travel as one string literal that the optimizer folds into a constant array, so the plan does not
+    grow with their number.  A cell beyond the last name has a NULL name.
+    """
+    sep = next(chr(c) for c in range(1, 32) if not any(chr(c) in n for n in names))
+    labels = F.split(F.lit(sep.join(names)), re.escape(sep))
+    numbered = F.transform(cells, lambda v, i: F.struct(i.alias("i"), v.alias("v")))
     if keep is not None:
-        arr = F.filter(arr, lambda s: keep(s["v"]))
-    return (df.select(*ids, F.explode(arr).alias("__kv"))
-            .select(*ids, F.col("__kv.n").alias(names_to), F.col("__kv.v").alias(values_to)))
+        numbered = F.filter(numbered, lambda s: keep(s["v"]))
+    long = df.select(*ids, F.explode(numbered).alias("__cell"))
+    kept = [c for c in long.columns if c != "__cell"]
+    return long.select(*[F.col(f"`{c}`") for c in kept], F.try_element_at(labels, F.col("__cell.i") + 1).alias(names_to),
+                       F.col("__cell.v").alias(values_to))
 
 
 def pivot_fixed(df: DataFrame, keys: Sequence[str], names_from: str, values_from: str,
@@ -80,4 +84,4 @@ def separate(df: DataFrame, col: str, into: Sequence[str], sep_regex: str, remov
     return df.select(*out)
 
 
-__all__ = ["unpivot_columns", "explode_wide", "pivot_fixed", "separate", "nth_piece"]
+__all__ = ["unpivot_columns", "explode_wide", "explode_cells", "pivot_fixed", "separate", "nth_piece"]

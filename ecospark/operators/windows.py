@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ecospark.operators.chunks import MAX_LITERAL_CHUNKS, sort_key_columns, with_chunks
+from ecospark.operators.chunks import sort_key_columns, with_chunks
 from ecospark.operators.joins import left_join
 
 _DIRECTIONS = ("down", "up", "downup", "updown")
@@ -34,7 +34,7 @@ def _directions(cols: Sequence[str], direction: str | dict[str, str]) -> dict[st
 
 def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by: Sequence[str],
          direction: str | dict[str, str] = "down", chunks: int | None = None,
-         strategy: str = "chunked", max_literal_chunks: int = MAX_LITERAL_CHUNKS) -> DataFrame:
+         strategy: str = "chunked") -> DataFrame:
     """``group_by(g) |> fill(cols, .direction = direction)`` with row order ``order_by``.
 
     ``direction`` may also map each column to its own direction (several ``fill`` calls over the same
@@ -42,9 +42,8 @@ def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by:
     arbitrary order, as any sort would).  Non-NULL cells are never changed.  ``strategy="window"`` uses one
     window per group instead of the chunked scan; only for inputs whose groups have a proven size bound.
 
-    The chunk bounds come from two small jobs over ``df`` (a count and a bounded key sample) run when the
-    plan is built; when ``df`` is the end of an expensive plan, write it out first (``session.materialize``)
-    so that it is not computed three times.
+    The rows are written once, range-partitioned, to the shared folder (``operators.chunks``); both the rows and the
+    summaries are read from there.  Nothing is collected.
     """
     dirs = _directions(cols, direction)
     if strategy == "window":
@@ -53,7 +52,7 @@ def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by:
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = list(group_by)
     # one sortable key, NULLs last in every order column (R row order after a full join: x rows, then y-only)
-    ranged = with_chunks(df, sort_key_columns(g, order_by), n, "__chunk", max_literal_chunks)
+    ranged = with_chunks(df, sort_key_columns(g, order_by), n, "__chunk")
     ranged = ranged.withColumn("__okey", order_key(order_by))
     o = ["__okey"]
 

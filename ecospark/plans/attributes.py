@@ -20,7 +20,7 @@ from ecospark import functions as ef
 from ecospark.operators import aggregates, columns, filters, joins, reshape, setops, windows
 from ecospark.operators.columns import clean_names
 from ecospark.plans import trait_rules as tr
-from ecospark.sources.delimited import drop_row_range, promote_header, with_row_number
+from ecospark.sources.delimited import drop_row_range, promote_header, read_sheet, with_row_number
 
 KEYS = ["higher_taxon", "family"]
 
@@ -86,15 +86,14 @@ def tidy_body_size(raw: DataFrame, recipe: TraitRecipe = CURRENT) -> DataFrame:
 # ------------------------------------------------------------------------------------------- C2
 def land_larval_sheet(spark, path: str, dropped_column: int = tr.LARVAL_DROPPED_COLUMN,
                       junk_rows: tuple[int, int] = tr.LARVAL_JUNK_ROWS) -> DataFrame:
-    """Landed larval-niche sheet -> the frame ``tidy_larval_niche`` takes:
-    ``read_xlsx |> select(-29) |> row_to_names(1) |> clean_names() |> slice(-587:-602)``, file order in ``_ord``.
+    """Landed larval-niche sheet -> the frame ``tidy_larval_niche`` takes: one column goes, the first data row names
+    the rest, the names are cleaned, and the block of junk rows goes; file order stays in ``_ord``.
 
     As with the spreadsheet reader, the first line of the sheet only names the columns (and is discarded by
     the header promotion); the real header is the first *data* row, i.e. the second line.  A single landed
     sheet is read in file order (consecutive row numbers without a single-task window).
     """
-    raw = spark.read.option("header", True).option("nullValue", "NA").csv(path)
-    raw = raw.toDF(*[f"c{i}" for i in range(1, len(raw.columns) + 1)])
+    raw = read_sheet(spark, path)
     numbered = with_row_number(raw, "_row")
     if dropped_column and dropped_column <= len(raw.columns):
         numbered = numbered.drop(f"c{dropped_column}")
@@ -109,8 +108,7 @@ def tidy_larval_niche(sheet: DataFrame, recipe: TraitRecipe = CURRENT,
                       key_positions: tuple[int, int] = tr.LARVAL_KEY_COLUMNS) -> DataFrame:
     """Promoted, cleaned, sliced larval-niche sheet -> (higher_taxon, family, score columns as DOUBLE).
 
-    ``select(4:28) |> mutate_if(is.character, as.numeric) |> bind_cols(select(raw, 1:2))`` is one projection
-    of the same frame (no positional join).
+    Scores and keys are one projection of the same frame, text scores becoming numbers (no positional join).
     """
     data_cols = [c for c in sheet.columns if c != "_ord"]
     lo, hi = score_positions

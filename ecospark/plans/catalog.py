@@ -26,5 +26,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from ecospark.plans import (queries_composite, queries_core, queries_exprs, queries_joins,  # noqa: F401
-                                queries_parts, queries_rows)
+    from ecospark.plans import (queries_composite, queries_core, queries_exprs, queries_files,  # noqa: F401
+                                queries_joins, queries_parts, queries_rows)

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ecospark.operators import columns, joins
-from ecospark.operators.reshape import explode_wide
 from ecospark.plans import occurrences as occ
 from ecospark.plans import summaries, attributes
 from ecospark.sources import delimited, sinks
@@ -39,10 +38,15 @@ def _sheet(spark: SparkSession, path: str) -> DataFrame:
     return delimited.with_row_number(df, "_ord")
 
 
+def _renamed(cfg: Mapping, df: DataFrame) -> DataFrame:
+    """``df`` with the foreign headers that the config's optional ``renames`` maps (cleaned name -> name used here)."""
+    return df.withColumnsRenamed(dict(cfg.get("renames", {})))
+
+
 def trait_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     """Trait compilation (C1-C12).  Inputs: taxonomy (TSV), body_mass (;-CSV), feeding (sheet), larval (sheet
     with the header in its first row), soil (sheet), expert_general (;-CSV), expert_spiders (;-CSV),
-    expert_mites (sheet).  Outputs: all_attributes (parquet + CSV), missing_lh, missing_patterns,
+    expert_mites (sheet); ``renames`` maps foreign headers of the expert tables.  Outputs: all_attributes (parquet + CSV), missing_lh, missing_patterns,
     complete_families."""
     taxonomy = columns.clean_columns(delimited.read_tsv(spark, cfg["taxonomy"]))
     body = attributes.tidy_body_size(
@@ -52,20 +56,27 @@ def trait_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     feeding = attributes.tidy_feeding_niche(_sheet(spark, cfg["feeding"]))
     soil = attributes.tidy_soil_niche(_sheet(spark, cfg["soil"]))
     experts = [
-        attributes.tidy_expert_general(delimited.read_csv2(spark, cfg["expert_general"])),
-        attributes.tidy_expert_mites(_sheet(spark, cfg["expert_mites"])),
-        attributes.tidy_expert_spiders(delimited.read_csv2(spark, cfg["expert_spiders"])),
+        attributes.tidy_expert_general(_renamed(cfg, delimited.read_csv2(spark, cfg["expert_general"]))),
+        attributes.tidy_expert_mites(_renamed(cfg, _sheet(spark, cfg["expert_mites"]))),
+        attributes.tidy_expert_spiders(_renamed(cfg, delimited.read_csv2(spark, cfg["expert_spiders"]))),
     ]
     all_attributes = attributes.compile_traits(body, larval, feeding, soil, taxonomy, experts)
     # hand-off table, read back by everything downstream (cuts the lineage of the compilation)
     all_attributes = sinks.handoff(all_attributes, _out(cfg, "all_attributes.parquet"))
-    sinks.write_csv_r(all_attributes, _out(cfg, "all_attributes.csv"))
-    sinks.write_csv_r(attributes.missing_life_history(all_attributes), _out(cfg, "missing_lh.csv"))
+    sinks.write_csv_r(all_attributes, _out(cfg, "all_attributes.csv"), _row_order(all_attributes))
+    missing = attributes.missing_life_history(all_attributes)
+    sinks.write_csv_r(missing, _out(cfg, "missing_lh.csv"), _row_order(missing))
     sinks.write_table(attributes.trait_missing_patterns(all_attributes), _out(cfg, "missing_patterns.parquet"))
     sinks.write_table(attributes.complete_case_families(all_attributes), _out(cfg, "complete_families.parquet"))
     return all_attributes
 
 
+def _row_order(df: DataFrame) -> list:
+    """The order of a written table: its text columns from the left, then the others, missing values last."""
+    text = [c for c, t in df.dtypes if t == "string"]
+    return [F.asc_nulls_last(c) for c in [*text, *[c for c in df.columns if c not in text]]]
+
+
 def trait_job_v1(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     """The older trait compilation (C24): taxonomy (TSV), body_mass (;-CSV), feeding (sheet), larval (sheet);
     no soil or expert tables, no phylum filter, keys trimmed after the joins.  Output: all_traits_v1."""
@@ -78,7 +89,7 @@ def trait_job_v1(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     feeding = attributes.tidy_feeding_niche(_sheet(spark, cfg["feeding"]), recipe)
     out = attributes.compile_traits(body, larval, feeding, None, taxonomy, [], recipe)
     out = sinks.handoff(out, _out(cfg, "all_traits_v1.parquet"))
-    sinks.write_csv_r(out, _out(cfg, "all_traits_v1.csv"))
+    sinks.write_csv_r(out, _out(cfg, "all_traits_v1.csv"), _row_order(out))
     return out
 
 
@@ -87,10 +98,8 @@ def occurrence_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     trap_meta (all tab-separated, read like ``fread``), all_attributes (parquet hand-off), classification
     (parquet: taxon_key, name, rank, id).  Outputs: occurrence_traits, niche_richness (parquet)."""
     taxonomy = delimited.read_fread(spark, cfg["taxonomy"])
-    counts = delimited.read_fread(spark, cfg["clusters"])
-    samples = [c for c in counts.columns if c != "cluster"]
-    counts = counts.select("cluster", *[F.col(c).cast("long").alias(c) for c in samples])
-    long = occ.read_counts_long(taxonomy, counts)
+    counts = delimited.read_wide_counts(spark, cfg["clusters"], "cluster", "sample_id_ngi", clean=True)
+    long = occ.read_counts_long(taxonomy, counts, wide=False)
     meta = occ.sample_meta(delimited.read_fread(spark, cfg["seq_meta"]),
                            delimited.read_fread(spark, cfg["malaise_meta"]),
                            delimited.read_fread(spark, cfg["trap_meta"]))
@@ -111,10 +120,7 @@ def summary_job(spark: SparkSession, cfg: Mapping[str, str], trap: str = "trapID
     Outputs: missing_traits_seq.csv, missing_traits_summary.csv (per family, as shipped) and
     missing_traits_by_order.csv (as coded)."""
     taxonomy = columns.rename_ordinal(delimited.read_tsv(spark, cfg["taxonomy"]), 1, "cluster")
-    wide = delimited.read_tsv(spark, cfg["clusters"])
-    samples = [c for c in wide.columns if c != "cluster"]
-    wide = wide.select("cluster", *[F.col(c).cast("long").alias(c) for c in samples])
-    counts = explode_wide(wide, ["cluster"], samples, sample, "read_count", keep=lambda v: v > 0, block_size=2000)
+    counts = delimited.read_wide_counts(spark, cfg["clusters"], "cluster", sample)
     meta = joins.natural_join(delimited.read_tsv(spark, cfg["seq_meta"]),
                               delimited.read_tsv(spark, cfg["malaise_meta"]), strategy="native")
     meta = columns.select_matching(meta, ["sampleID", "trap"])
@@ -123,12 +129,14 @@ def summary_job(spark: SparkSession, cfg: Mapping[str, str], trap: str = "trapID
     all_attributes = spark.read.parquet(cfg["all_attributes"]).withColumnRenamed("family", "Family")
     missing = summaries.missing_traits(all_attributes, key_cols=("higher_taxon", "Family"), flag="in_checklist")
     seq = summaries.missing_traits_seq(missing, reads, flag="in_checklist")
-    sinks.write_csv_r(seq, _out(cfg, "missing_traits_seq.csv"))
+    sinks.write_csv_r(seq, _out(cfg, "missing_traits_seq.csv"), _row_order(seq))
     # as shipped (D2): every family, zero-missing ones included, so counted on the unfiltered selection
     report = all_attributes.select("higher_taxon", "Family", *summaries.TRAIT_REPORT_COLS, "in_checklist")
-    sinks.write_csv_r(summaries.missing_summary_by_family(report, ("higher_taxon", "Family")),
-                    _out(cfg, "missing_traits_summary.csv"))
-    sinks.write_csv_r(summaries.missing_summary_by_order(missing), _out(cfg, "missing_traits_by_order.csv"))
+    by_family = summaries.missing_summary_by_family(report, ("higher_taxon", "Family"))
+    sinks.write_csv_r(by_family, _out(cfg, "missing_traits_summary.csv"), _row_order(by_family))
+    by_order = summaries.missing_summary_by_order(missing)
+    sinks.write_csv_r(by_order, _out(cfg, "missing_traits_by_order.csv"),
+                      [F.desc_nulls_last(by_order.columns[1]), F.asc_nulls_last(by_order.columns[0])])
     return seq
 
 

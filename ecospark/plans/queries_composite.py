@@ -13,7 +13,6 @@ from ecospark.plans import testdata as td
 from ecospark.plans import testdata_attributes as tt
 from ecospark.plans import trait_rules as tr
 from ecospark.plans.catalog import register
-from ecospark.session import materialize
 
 WS = "' ' || chr(160)"
 SCORES = ["saprophagous", "zoophagous", "phytophagous", "larva_aquatic", "mycetophagous", "coprophagous",
@@ -163,18 +162,9 @@ def all_traits_v1(spark: SparkSession, sf_dir: str):
 
 
 # ------------------------------------------------------------------------------------ trait reports
-_HANDOFF: dict[tuple[int, str], DataFrame] = {}
-
-
 def compiled_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The compiled trait table as the reports see it: a hand-off table (K3), written once per session and
-    data folder under the shared checkpoint folder and read back, as the original reports read the written
-    all_attributes file instead of recompiling it."""
-    key = (id(spark), sf_dir)
-    cached = _HANDOFF.get(key)
-    if cached is None or cached.sparkSession is not spark:
-        cached = _HANDOFF[key] = materialize(trait_compile(spark, sf_dir), "all_attributes")
-    return cached
+    """The compiled table that the reports are made of, compiled from the given tables on every call."""
+    return trait_compile(spark, sf_dir)
 
 
 @register("trait_completeness", "WITH ct AS (\n" + trait_sql(attributes.CURRENT, True, True) + """)

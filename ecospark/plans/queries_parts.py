@@ -177,7 +177,7 @@ def complete_case_families(spark: SparkSession, sf_dir: str):
 
 
 # --------------------------------------------------------------------------------- occurrence steps
-_LINES = list(range(1, 8))
+_SAMPLES = list(range(16))  # every remainder there is: no row falls outside
 
 
 _TAXO_SQL = f"""taxo AS (
@@ -187,17 +187,17 @@ _TAXO_SQL = f"""taxo AS (
 
 @register("read_counts_long", td.with_views(f""", {_TAXO_SQL}
 SELECT t.cluster, t.phylum, t.class, t."order", t.family, t.genus,
-       'P' || CAST(l_linenumber AS VARCHAR) AS sample_id_ngi, CAST(sum(l_quantity) AS BIGINT) AS read_count
+       'P' || CAST(l_orderkey % 16 AS VARCHAR) AS sample_id_ngi, CAST(sum(l_quantity) AS BIGINT) AS read_count
 FROM lineitem JOIN taxo t ON t.cluster = l_partkey
 WHERE t.phylum = 'Arthropoda'
 GROUP BY ALL HAVING sum(l_quantity) > 0""", "taxa"))
 def read_counts_long(spark: SparkSession, sf_dir: str):
     """Wide count matrix (one column per sample, headers lower-cased by cleaning) to long,
     zero cells dropped in the explode, inner join to the phylum-filtered taxonomy, sample ids restored."""
-    li = td.table(spark, sf_dir, "lineitem")
+    li = td.table(spark, sf_dir, "lineitem").withColumn("sample", F.pmod("l_orderkey", F.lit(16)))
     wide = (li.groupBy(F.col("l_partkey").alias("cluster"))
-            .pivot("l_linenumber", _LINES).agg(F.sum("l_quantity").cast("bigint")))
-    wide = wide.toDF("cluster", *[f"P{i}" for i in _LINES])
+            .pivot("sample", _SAMPLES).agg(F.sum("l_quantity").cast("bigint")))
+    wide = wide.toDF("cluster", *[f"P{i}" for i in _SAMPLES])
     from ecospark.operators.columns import clean_columns
     wide = clean_columns(wide)                                     # P1 -> p1, as the header cleaning does
     return occ.read_counts_long(tt.taxonomy(spark, sf_dir), wide)

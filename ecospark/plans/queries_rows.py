@@ -110,20 +110,20 @@ def unpivot_regex(spark: SparkSession, sf_dir: str):
     return filters.drop_na(long, ["value"])
 
 
-_LINES = list(range(1, 8))
+_SAMPLES = list(range(16))  # every remainder there is: no row falls outside
 
 
 @register("explode_wide_counts", """
-SELECT l_partkey AS cluster, 's' || CAST(l_linenumber AS VARCHAR) AS sample,
+SELECT l_partkey AS cluster, 's' || CAST(l_orderkey % 16 AS VARCHAR) AS sample,
        CAST(sum(l_quantity) AS BIGINT) AS reads
-FROM lineitem GROUP BY l_partkey, l_linenumber HAVING sum(l_quantity) > 0""")
+FROM lineitem GROUP BY l_partkey, l_orderkey % 16 HAVING sum(l_quantity) > 0""")
 def explode_wide_counts(spark: SparkSession, sf_dir: str):
     """A wide cluster x sample count matrix back to long, zero / absent cells dropped before expansion."""
-    li = td.table(spark, sf_dir, "lineitem")
+    li = td.table(spark, sf_dir, "lineitem").withColumn("sample", F.pmod("l_orderkey", F.lit(16)))
     # the input matrix: one row per cluster, one count column per sample
     wide = (li.groupBy(F.col("l_partkey").alias("cluster"))
-            .pivot("l_linenumber", _LINES).agg(F.sum("l_quantity").cast("bigint")))
-    wide = wide.toDF("cluster", *[f"s{i}" for i in _LINES])
+            .pivot("sample", _SAMPLES).agg(F.sum("l_quantity").cast("bigint")))
+    wide = wide.toDF("cluster", *[f"s{i}" for i in _SAMPLES])
     return reshape.explode_wide(wide, ["cluster"], None, "sample", "reads", keep=lambda v: v > 0)
 
 

@@ -7,6 +7,9 @@ private temporary folder.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -46,11 +49,15 @@ def get_spark(master: str | None = None, app: str = "ecospark", shuffle_partitio
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a private one only when the session has none."""
+    """The shared checkpoint folder of the session.  Only on a local master may it be unset: a private folder is then
+    used and removed when Python ends; elsewhere executors could not see it, so that is an error."""
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="ecospark-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -10,14 +10,15 @@ lenient casts, so one bad cell becomes NULL rather than failing the whole scan.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ecospark.functions.numeric import european_double
-from ecospark.operators.chunks import with_chunks
+from ecospark.functions.numeric import count_cell, european_double
 from ecospark.operators.columns import clean_names
+from ecospark.operators.reshape import explode_cells
+from ecospark.session import materialize
 
 ORD = "_ord"
 
@@ -55,6 +56,13 @@ def read_csv(spark: SparkSession, path, schema=None, clean: bool = False) -> Dat
     return df.toDF(*clean_names(df.columns)) if clean else df
 
 
+def read_sheet(spark: SparkSession, path) -> DataFrame:
+    """A landed spreadsheet sheet (S4) with its columns numbered ``c1``, ``c2``, ...: quoting as in ``read_csv``; blank
+    cells stay as the file has them."""
+    df = _read(spark, path, ",", True)
+    return df.toDF(*[f"c{i}" for i in range(1, len(df.columns) + 1)])
+
+
 def read_csv2(spark: SparkSession, path, numeric: Sequence[str] = (), clean: bool = True) -> DataFrame:
     """readr ``read_csv2`` (S3): ';' separated, ',' decimal mark, '.' thousands mark.
 
@@ -77,43 +85,84 @@ def read_fread(spark: SparkSession, path, sep: str = "\t", clean: bool = True) -
     if sep != "\t":
         df = _read(spark, path, sep, True)
         return df.toDF(*clean_names(df.columns)) if clean else df
-    lines = spark.read.text(path)
-    header = lines.first()
+    lines, names = _lines(spark, path)
+    fields = F.split(F.col("value"), "\t", -1)
+    cols = [_fread_cell(F.try_element_at(fields, F.lit(i))).alias(n) for i, n in enumerate(names, start=1)]
+    df = lines.select(*cols)
+    return df.toDF(*clean_names(df.columns)) if clean else df
+
+
+def _fread_cell(raw: Column) -> Column:
+    """A cell as ``fread`` sees it: ``NA`` is missing, quotes around a field go."""
+    unquoted = F.when(raw.rlike('^".*"$'), F.replace(F.regexp_extract(raw, '^"(.*)"$', 1), F.lit('""'), F.lit('"'))) \
+        .otherwise(raw)
+    return F.when(raw != F.lit("NA"), unquoted)
+
+
+def _lines(spark: SparkSession, path) -> tuple[DataFrame, list[str]]:
+    """The text lines of tab-separated files without the first line of each file, and the names in the first file's
+    header (one row on the driver).
+
+    The header goes by its place: the files are read as one-column CSV whose separator is no character of text, so
+    Spark drops the first line of a file and nothing that merely equals it.  Blank lines are skipped."""
+    header = spark.read.text(path).first()
     if header is None:
         raise ValueError(f"{path}: empty file")
     names = [_unquote_text(h) for h in header.value.split("\t")]
-    names = [n if n else f"__{i}" for i, n in enumerate(names, start=1)]
+    lines = spark.read.schema("value string").option("header", True).option("sep", "\x01").option("quote", "") \
+        .option("escape", "").csv(path)
+    return lines, [n if n else f"__{i}" for i, n in enumerate(names, start=1)]
+
+
+def read_wide_counts(spark: SparkSession, path, id_col: str, names_to: str = "sample", values_to: str = "read_count",
+                     clean: bool = False) -> DataFrame:
+    """A wide tab-separated count matrix straight to long rows (S5, R3): ``id_col``, ``names_to``, ``values_to``
+    (BIGINT) for every cell above zero.
+
+    A line is split once and its cells are kept as one array, so neither the plan nor the work for a cell grows with
+    the number of samples.  Blank, ``NA`` and unreadable cells count as missing; ``12.0`` and ``1e+05`` are counts.
+    """
+    lines, names = _lines(spark, path)
+    if id_col not in names:
+        raise ValueError(f"{path}: no column {id_col!r}")
+    at = names.index(id_col)
     fields = F.split(F.col("value"), "\t", -1)
-    cols = []
-    for i, n in enumerate(names, start=1):
-        raw = F.try_element_at(fields, F.lit(i))
-        unq = F.when(raw.rlike('^".*"$'),
-                     F.replace(F.regexp_extract(raw, '^"(.*)"$', 1), F.lit('""'), F.lit('"'))).otherwise(raw)
-        cols.append(F.when(raw != F.lit("NA"), unq).alias(n))
-    df = lines.filter(F.col("value") != F.lit(header.value)).select(*cols)
-    return df.toDF(*clean_names(df.columns)) if clean else df
+    cells = F.transform(fields, lambda x, i: F.when(i != at, count_cell(x)))
+    labels = clean_names(names) if clean else names
+    return explode_cells(lines, [_fread_cell(F.try_element_at(fields, F.lit(at + 1))).alias(id_col)], cells, labels,
+                         names_to, values_to, keep=lambda v: v > 0)
 
 
 def _unquote_text(s: str) -> str:
     return s[1:-1].replace('""', '"') if len(s) >= 2 and s[0] == s[-1] == '"' else s
 
 
-def with_row_number(df: DataFrame, name: str = "_row", order_by: Sequence[str] | None = None) -> DataFrame:
+def with_row_number(df: DataFrame, name: str = "_row", order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """Consecutive 1-based row numbers, computed without a single-partition window.
 
     Without ``order_by`` the numbering follows scan order (apply it directly to the scan of one landed file).
     With ``order_by`` the rows are first range-partitioned and sorted on those columns, so the numbering is
     the global sort order and every partition stays bounded.
-
-    ``monotonically_increasing_id`` keeps the partition index in the upper 31 bits and the position inside
-    the partition in the lower 33 bits; per-partition row counts (one tiny aggregate) give each partition's
-    offset.
     """
     if order_by:
         return _ordered_row_number(df, name, list(order_by))
-    base = df.withColumn("__mid", F.monotonically_increasing_id())
-    base = base.withColumn("__pid", F.shiftright(F.col("__mid"), 33)) \
-               .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    return _numbered(df.withColumn("__mid", F.monotonically_increasing_id()), name)
+
+
+def _ordered_row_number(df: DataFrame, name: str, order_by: list[str | Column]) -> DataFrame:
+    """Row numbers in ``order_by`` order: the rows are range-partitioned, sorted and written once to the shared folder
+    with their place, so numbering reads a fixed order."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by) \
+        .withColumn("__mid", F.monotonically_increasing_id())
+    return _numbered(materialize(placed, "ordered"), name)
+
+
+def _numbered(placed: DataFrame, name: str) -> DataFrame:
+    """Consecutive numbers from ``__mid``, which keeps the partition in its upper 31 bits and the place in the lower
+    33; per-partition counts (one tiny aggregate) give each partition's offset."""
+    base = placed.withColumn("__pid", F.shiftright(F.col("__mid"), 33)) \
+                 .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = base.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select("__pid", (F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
@@ -122,20 +171,6 @@ def with_row_number(df: DataFrame, name: str = "_row", order_by: Sequence[str] |
     return out.drop("__mid", "__pid", "__pos", "__off")
 
 
-def _ordered_row_number(df: DataFrame, name: str, order_by: list[str]) -> DataFrame:
-    """Row numbers in ``order_by`` order: deterministic order-preserving chunks, a row number inside each
-    chunk, and per-chunk offsets from a tiny count table."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunked = with_chunks(df, [F.col(c) for c in order_by], n, "__chunk")
-    counts = chunked.groupBy("__chunk").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select("__chunk", F.sum("__n").over(
-        Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("__off"))
-    pos = F.row_number().over(Window.partitionBy("__chunk").orderBy(*order_by))
-    out = chunked.withColumn("__pos", pos).join(offsets, "__chunk", "left")
-    out = out.withColumn(name, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__pos")).cast("bigint"))
-    return out.drop("__chunk", "__pos", "__off")
-
-
 def promote_header(df: DataFrame, row: int = 1, row_col: str = "_row") -> DataFrame:
     """janitor ``row_to_names(row)`` (S7): the given data row becomes the header; it and the rows above go.
 

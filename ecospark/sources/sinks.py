@@ -36,30 +36,46 @@ def _r_text(c: str, dtype: str) -> Column:
     if dtype == "boolean":
         return F.when(col, F.lit("TRUE")).when(~col, F.lit("FALSE"))
     if dtype in ("double", "float"):
-        # whole numbers print without a decimal part (75, not 75.0)
-        return F.when(col == F.floor(col), F.floor(col).cast("bigint").cast("string")) \
-            .otherwise(col.cast("string"))
+        return r_number(col.cast("double"))
     return col.cast("string")
 
 
-def write_csv_r(df: DataFrame, path: str, order_by: Sequence[str] | None = None, mode: str = "overwrite") -> None:
+def r_number(x: Column) -> Column:
+    """A double with at most 15 significant digits, fixed or scientific, whichever is shorter (fixed on a tie), as R
+    prints it: 75, 0.3, 1e+05, 1e-04, 12345678.5.  Digits beyond the 15th are zeros.  NaN and infinite values are NULL."""
+    text = F.format_string("%.14e", F.abs(x))
+    digits = F.rtrim(F.replace(F.substring_index(text, "e", 1), F.lit(".")), F.lit("0"))
+    power = F.substring_index(text, "e", -1).cast("int")
+    size = F.length(digits)
+    whole = F.greatest(power + 1, F.lit(1))
+    decimals = F.greatest(size - power - 1, F.lit(0))
+    fixed_width = whole + F.when(decimals > 0, decimals + 1).otherwise(0)
+    short_width = size + F.when(size > 1, 1).otherwise(0) + F.when(F.abs(power) >= 100, 5).otherwise(4)
+    left = F.when(power < 0, F.lit("0")).otherwise(F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0")))
+    right = F.when(power < 0, F.concat(F.repeat(F.lit("0"), -power - 1), digits)).otherwise(F.substring(digits, power + 2, size))
+    fixed = F.concat(left, F.when(decimals > 0, F.concat(F.lit("."), right)).otherwise(F.lit("")))
+    rest = F.substring(digits, F.lit(2), size)
+    short = F.concat(F.substring(digits, 1, 1), F.when(size > 1, F.concat(F.lit("."), rest)).otherwise(F.lit("")), F.lit("e"),
+                     F.when(power < 0, F.lit("-")).otherwise(F.lit("+")), F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(power).cast("string"))
+    body = F.when(fixed_width <= short_width, fixed).otherwise(short)
+    return F.when(x == 0, F.lit("0")).when(F.abs(x) < F.lit(float("inf")),
+                                           F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), body))
+
+
+def write_csv_r(df: DataFrame, path: str, order_by: Sequence[str | Column], mode: str = "overwrite") -> None:
     """``write.csv(df, path)`` as R writes it (K1): a leading quoted row-number column with an empty quoted
     header, quoted strings (embedded quotes doubled), unquoted numbers, ``TRUE`` / ``FALSE``, bare ``NA``.
 
-    Row numbers are consecutive in ``order_by`` order.  Without ``order_by`` the frame is first written to the
-    shared checkpoint folder and numbered in scan order: numbering an arbitrary plan directly would let the
-    counting and the numbering branches partition a sorted input differently.  The output is a folder of part
-    files like every Spark sink, each with the header line.
+    Row numbers are consecutive in ``order_by`` order (names, or columns such as ``F.desc("n")``), and the part files
+    hold the rows in that order, each with the header line.
     """
-    from ecospark.session import materialize
     from ecospark.sources.delimited import with_row_number
 
-    if order_by:
-        numbered = with_row_number(df, "__row", order_by=list(order_by))
-    else:
-        numbered = with_row_number(materialize(df, "csv-r"), "__row")
+    if not order_by:
+        raise ValueError("order_by must name the order of the rows")
+    numbered = with_row_number(df, "__row", order_by=list(order_by))
     cols = [F.concat(F.lit('"'), F.col("__row").cast("string"), F.lit('"')).alias('""')]
     cols += [_r_text(c, t).alias(f'"{c}"') for c, t in df.dtypes]
-    out = numbered.select(*cols)
+    out = numbered.repartitionByRange("__row").sortWithinPartitions("__row").select(*cols)
     (out.write.mode(mode).option("header", True).option("nullValue", "NA").option("quote", "")
      .option("escape", "").csv(path))

@@ -1,4 +1,7 @@
 import os
+
+import pytest
+from pyspark.sql import functions as F
 import tempfile
 
 from pyspark.sql import functions as F
@@ -98,7 +101,54 @@ def test_write_csv_r_style(spark, tmp_path):
 def test_write_csv_r_numbers_a_sorted_frame_consecutively(spark, tmp_path):
     df = spark.range(0, 5000, 1, 7).select(((F.col("id") * 7919) % 5000).alias("k")).orderBy("k")
     path = str(tmp_path / "sorted")
-    sinks.write_csv_r(df, path)
-    back = spark.read.option("header", True).csv(path)
-    nums = sorted(int(r[0]) for r in back.collect())
-    assert nums == list(range(1, 5001))
+    sinks.write_csv_r(df, path, [F.desc("k")])
+    lines = []
+    for f in sorted(f for f in os.listdir(path) if f.endswith(".csv")):
+        lines += open(os.path.join(path, f)).read().splitlines()[1:]
+    assert lines == [f'"{i}",{5000 - i}' for i in range(1, 5001)]
+    with pytest.raises(ValueError):
+        sinks.write_csv_r(df, path, [])
+
+
+def test_numbers_as_r_prints_them(spark):
+    cases = {75.0: "75", 0.1 + 0.2: "0.3", 12345678.5: "12345678.5", 1e5: "1e+05", 123456.0: "123456", 1e-4: "1e-04",
+             0.0001234: "0.0001234", 1e15: "1e+15",
+             -2.5: "-2.5", 0.0: "0", 1e-300: "1e-300", 100.0: "100", 3e10: "3e+10", 1234.5678: "1234.5678"}
+    df = spark.createDataFrame([(x,) for x in [*cases, float("nan"), float("inf"), None]], "x double")
+    got = [r[0] for r in df.select(sinks.r_number(F.col("x"))).collect()]
+    assert got == [*cases.values(), None, None, None]
+
+
+def test_header_goes_by_place_and_equal_rows_stay(spark, tmp_path):
+    for k in (1, 2):
+        (tmp_path / f"f{k}.tsv").write_text(f"a\tb\n{k}\tx\na\tb\n{k}\tNA\n")
+    df = delimited.read_fread(spark, str(tmp_path / "*.tsv"))
+    assert rows(df) == [("1", None), ("1", "x"), ("2", None), ("2", "x"), ("a", "b"), ("a", "b")]
+
+
+def test_wide_counts_tolerate_cells(spark, tmp_path):
+    p = tmp_path / "w.tsv"
+    p.write_text('cluster\tS 1\tp2\tP3\tp4\tp5\nc1\t12.0\t\tNA\t1e+05\t"7"\nc2\t0\tx\t3\t-1\n"c3"\t5\t0\t0\t0\t2.9\n')
+    df = delimited.read_wide_counts(spark, str(p), "cluster")
+    assert rows(df) == [("c1", "S 1", 12), ("c1", "p4", 100000), ("c1", "p5", 7), ("c2", "P3", 3), ("c3", "S 1", 5), ("c3", "p5", 2)]
+    assert {r.sample for r in delimited.read_wide_counts(spark, str(p), "cluster", clean=True).collect()} >= {"s_1", "p3"}
+
+
+def test_wide_counts_plan_does_not_grow(spark, tmp_path):
+    sizes = []
+    for n in (10, 2500):
+        p = tmp_path / f"w{n}.tsv"
+        p.write_text("\n".join(["cluster\t" + "\t".join(f"s{i}" for i in range(n))] +
+                               [f"c{k}\t" + "\t".join(str((k * i) % 3) for i in range(n)) for k in range(60)]) + "\n")
+        df = delimited.read_wide_counts(spark, str(p), "cluster")
+        assert df.count() == sum((k * i) % 3 > 0 for k in range(60) for i in range(n))
+        plan = df._jdf.queryExecution().analyzed().toString()
+        assert plan.count("Relation") == 1
+        sizes.append(plan.count("AS "))
+    assert sizes[0] == sizes[1]
+
+
+def test_sheet_keeps_quoted_text(spark, tmp_path):
+    p = tmp_path / "s.csv"
+    p.write_text('x,y,z\n"Dip ""x"", y",Fam,1\n')
+    assert rows(delimited.read_sheet(spark, str(p))) == [('Dip "x", y', "Fam", "1")]

@@ -96,3 +96,22 @@ def test_distinct_with_null(spark):
     df = spark.createDataFrame([(1,), (2,), (None,), (None,)], "x int")
     assert df.agg(ef.distinct_with_null("x").alias("n")).first().n == 3
     assert df.agg(F.count_distinct("x").alias("n")).first().n == 2
+
+
+def test_one_meaning_of_missing(spark):
+    from ecospark.functions import fold_missing, lenient_double
+    from ecospark.operators import aggregates, filters
+
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1, 1.0, "a"), (2, nan, "NaN"), (3, None, "c"), (4, inf, None)], "k int, x double, t string")
+    assert [r.k for r in filters.drop_na(df).collect()] == [1]
+    assert [r.k for r in filters.drop_na(df, ["x"]).collect()] == [1, 4]
+    assert [r.k for r in filters.drop_na_except(df, ["x"]).collect()] == [1, 2, 3]
+    assert sorted(r.k for r in filters.keep_any_missing(df, ["x", "t"]).collect()) == [2, 3, 4]
+    assert [r.n_missing for r in aggregates.with_missing_count(df).orderBy("k").collect()] == [0, 1, 1, 1]
+    assert sorted((r.x, r.t, r.n) for r in aggregates.missing_patterns(df, ["x", "t"]).collect()) == \
+        [(False, False, 1), (False, True, 1), (True, False, 2)]
+    assert aggregates.missing_share(df, ["x", "t"]).first() == (0.5, 0.25)
+    assert [r.x for r in fold_missing(df).orderBy("k").collect()] == [1.0, None, None, None]
+    texts = spark.createDataFrame([("1e999",), ("-1e999",), ("1e3",)], "s string")
+    assert [r[0] for r in texts.select(lenient_double("s")).collect()] == [None, None, 1000.0]

@@ -49,15 +49,16 @@ def test_jobs_end_to_end(spark, tmp_path):
         "soil": _write(d, "soil.csv", ["Consensus Taconomical Identity,Fungi Feeder,Plant Feeder,Predator,,All Inclusive",
                                        "Animalia;Arthropoda;Arachnida;Araneae;Lycosidae;g;s,,,x,q,y",
                                        "Animalia;Arthropoda;Insecta;Diptera;Muscidae;g;s,x,,,q,y"]),
-        "expert_general": _write(d, "tr.csv", ["Higher Taxon;Family;Length Min;Length Max;Main Feeding Niche Ronquist;"
-                                               "Main Feeding Habitat Ronquist;N Otu;N Obs;Reads;In Iba",
+        "expert_general": _write(d, "tr.csv", ["Higher Taxon;Family;Length Min;Length Max;Main Feeding Niche By;"
+                                               "Main Feeding Habitat By;N Otu;N Obs;Reads;In Checklist",
                                                "Diptera;Muscidae;3;12;Saprophagous;;1;1;1;TRUE"]),
-        "expert_spiders": _write(d, "ar.csv", ["Higher Taxon;Family;Length Min;Lenght Max;Main Feeding Niche Ronquist;"
-                                               "Main Feeding Habitat Ronquist", "Araneae;Lycosidae;4;9;Predator;Soil"]),
+        "expert_spiders": _write(d, "ar.csv", ["Higher Taxon;Family;Length Min;Lenght Max;Main Feeding Niche By;"
+                                               "Main Feeding Habitat By", "Araneae;Lycosidae;4;9;Predator;Soil"]),
         "expert_mites": _write(d, "cm.csv", ["Higher Taxon,Family,Length Min,Length Max,Length 1,Length 1 5,Length 5 10,"
-                                             "Length 10,Main Feeding Niche Ronquist,Main Feeding Habitat Ronquist,Comment,"
+                                             "Length 10,Main Feeding Niche By,Main Feeding Habitat By,Comment,"
                                              "Source,", "\"Acari, Oribatida\",Achipteriidae,0.4,0.6,x,,,,Saprophagous,Soil,,s,"]),
     }
+    cfg["renames"] = {"main_feeding_niche_by": "main_feeding_niche", "main_feeding_habitat_by": "main_feeding_habitat"}
     all_attributes = jobs.trait_job(spark, cfg)
     at = {(r.higher_taxon, r.family): r for r in all_attributes.collect()}
     assert at[("Coleoptera", "Carabidae")].length_min == 2.5 and at[("Coleoptera", "Carabidae")].in_checklist

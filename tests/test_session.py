@@ -1,3 +1,5 @@
+import pytest
+
 from ecospark.session import checkpoint_dir, materialize
 
 
@@ -11,3 +13,21 @@ def test_materialize_writes_under_checkpoint_dir(spark):
     out = materialize(df, "t")
     assert out.count() == 100
     assert all(checkpoint_dir(spark) in p for p in out.inputFiles())
+
+
+def test_a_cluster_needs_the_setting():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())
