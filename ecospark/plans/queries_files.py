@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from ecospark import functions as ef
@@ -40,13 +40,17 @@ def wide_tsv_counts(spark: SparkSession, sf_dir: str):
     li = td.table(spark, sf_dir, "lineitem")
     cell = li.groupBy("l_partkey", F.pmod("l_orderkey", F.lit(WIDE_SAMPLES)).cast("int").alias("s")).agg(
         F.sum("l_quantity").cast("bigint").alias("n"))
-    row = cell.groupBy("l_partkey").agg(F.map_from_entries(F.collect_list(F.struct("s", "n"))).alias("m"))
-    text = F.transform(F.sequence(F.lit(0), F.lit(WIDE_SAMPLES - 1)), lambda i: F.coalesce(
-        F.when(F.col("m")[i] % 3 == 0, F.concat(F.col("m")[i].cast("string"), F.lit(".0")))
-        .when(F.col("m")[i] % 3 == 1, F.format_string("%de+00", F.col("m")[i])).otherwise(F.col("m")[i].cast("string")),
-        F.element_at(F.array(F.lit("0"), F.lit(""), F.lit("NA")), (F.pmod(F.col("l_partkey"), F.lit(3)).cast("int") + i) % 3 + 1)))
+    shape = F.when(F.col("n") % 3 == 0, F.concat(F.col("n").cast("string"), F.lit(".0"))) \
+        .when(F.col("n") % 3 == 1, F.format_string("%de+00", F.col("n"))).otherwise(F.col("n").cast("string"))
+    # a line is made of its counts, each preceded by the blank cells since the last one
+    blank = F.element_at(F.array(F.lit("0"), F.lit(""), F.lit("NA")), F.pmod("l_partkey", F.lit(3)).cast("int") + 1)
+    last = F.lag("s", 1, -1).over(Window.partitionBy("l_partkey").orderBy("s"))
+    cell = cell.select("l_partkey", "s", blank.alias("blank"), shape.alias("v"), last.alias("last"))
+    cell = cell.withColumn("part", F.concat(F.expr("repeat(concat(blank, '\t'), s - last - 1)"), "v"))
+    row = cell.groupBy("l_partkey", "blank").agg(F.array_sort(F.collect_list(F.struct("s", "part"))).alias("parts"), F.max("s").alias("end"))
     path = _scratch(spark, "wide")
-    line = F.concat_ws("\t", F.concat(F.lit("c"), F.col("l_partkey").cast("string")), F.array_join(text, "\t"))
+    line = F.concat(F.lit("c"), F.col("l_partkey").cast("string"), F.lit("\t"), F.array_join(F.col("parts.part"), "\t"),
+                    F.expr(f"repeat(concat('\t', blank), {WIDE_SAMPLES - 1} - end)"))
     _write_lines(row.select(line.alias("value")), "\t".join(["cluster", *[f"P{i}" for i in range(WIDE_SAMPLES)]]), path)
     return delimited.read_wide_counts(spark, path, "cluster")
 

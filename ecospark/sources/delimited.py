@@ -127,10 +127,14 @@ def read_wide_counts(spark: SparkSession, path, id_col: str, names_to: str = "sa
         raise ValueError(f"{path}: no column {id_col!r}")
     at = names.index(id_col)
     fields = F.split(F.col("value"), "\t", -1)
-    cells = F.transform(fields, lambda x, i: F.when(i != at, count_cell(x)))
-    labels = clean_names(names) if clean else names
-    return explode_cells(lines, [_fread_cell(F.try_element_at(fields, F.lit(at + 1))).alias(id_col)], cells, labels,
-                         names_to, values_to, keep=lambda v: v > 0)
+    cells = F.concat(F.slice(fields, 1, at), F.slice(fields, at + 2, len(names) - at - 1)) if at else \
+        F.slice(fields, 2, len(names) - 1)
+    labels = clean_names(names) if clean else list(names)
+    del labels[at]
+    # almost all cells are plain zeros or blanks: they go as text, and only the rest is read as numbers, row by row
+    long = explode_cells(lines, [_fread_cell(F.try_element_at(fields, F.lit(at + 1))).alias(id_col)], cells, labels,
+                         names_to, values_to, keep=lambda v: ~v.isin("0", "", "NA"))
+    return long.withColumn(values_to, count_cell(values_to)).filter(F.col(values_to) > 0)
 
 
 def _unquote_text(s: str) -> str:
