@@ -278,7 +278,7 @@ def compile_traits(body: DataFrame, larval: DataFrame, feeding: DataFrame, soil:
         F.col("order").alias("higher_taxon"), F.col("family").alias("family")]
     families = taxa.select(*fam_cols).distinct()
     out = joins.natural_join(attributes, families, how="full", strategy="native")
-    out = joins.mark_join(out, taxa, [("family", "family")], "in_checklist")
+    out = joins.mark_join(out, families, [("family", "family")], "in_checklist")
     for y in experts:
         out = joins.patch(out, y, KEYS)
     return out.drop(*[c for c in out.columns if c.startswith("_ord")])

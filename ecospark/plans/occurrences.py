@@ -18,6 +18,7 @@ from ecospark import functions as ef
 from ecospark.functions.nulls import distinct_with_null
 from ecospark.operators import columns, filters, joins, reshape, setops
 from ecospark.plans import trait_rules as tr
+from ecospark.session import materialize
 
 META_COLUMNS = "sample_id_ngi|trap|type|date|lat|lon"
 
@@ -46,20 +47,20 @@ def sample_meta(seq_meta: DataFrame, malaise_meta: DataFrame, trap_meta: DataFra
                 select_regex: str = META_COLUMNS) -> DataFrame:
     """C14: natural full joins of the three metadata tables, regex column selection, lubridate week.
 
-    Metadata tables hold one row per sequencing sample, malaise sample or trap: their size is bounded by the
-    number of physical samples, not by sequencing volume, and their keys are unique.  A native FULL OUTER
-    sort-merge join is therefore safe, and cheaper than the skew-splitting form, which would use each input
-    twice at every step of the chain.  The join with the (large, skewed) count table stays split.
+    Nothing guarantees that the ids are unique or present, so the joins take the form that AQE can split.
     """
-    m = joins.natural_join(seq_meta, malaise_meta, how="full", strategy="native")
-    m = joins.natural_join(m, trap_meta, how="full", strategy="native")
+    m = joins.natural_join(seq_meta, malaise_meta, how="full")
+    m = joins.natural_join(m, trap_meta, how="full")
     m = columns.select_matching(m, select_regex)
     return m.withColumn("week_year", ef.block_week(ef.parse_dmy("collecting_date")))
 
 
 def occurrences(counts_long: DataFrame, meta: DataFrame) -> DataFrame:
-    """Natural full join of counts and metadata (metadata-only rows survive, D18)."""
-    return joins.natural_join(counts_long, meta, how="full")
+    """Natural full join of counts and metadata (metadata-only rows survive, D18).
+
+    The full join reads the counts twice (all rows, and the keys for the rows that only the metadata has), so the
+    long counts are written once to the shared folder first."""
+    return joins.natural_join(materialize(counts_long, "counts-long"), meta, how="full")
 
 
 def feeding_lookup(all_attributes: DataFrame) -> DataFrame:
@@ -93,10 +94,12 @@ def occurrence_traits(occ: DataFrame, subfamilies: DataFrame, feeding: DataFrame
                            F.col("subfamily").alias("__s_sub"))
     o = o.join(s, o["family"].eqNullSafe(s["__s_family"]) & o["genus"].eqNullSafe(s["__s_genus"]) & o["__special"],
                "left")
+    # the second key is the sub-family in the special families and NULL elsewhere, on both sides: one equality join,
+    # and a special family is spread over its sub-families
+    o = o.withColumn("__sub", F.when(F.col("__special"), F.col("__s_sub")))
     f = feeding.select(F.col("family").alias("__f_family"), F.col("subfamily").alias("__f_sub"),
-                       F.col("feeding_niche"))
-    cond = o["family"].eqNullSafe(f["__f_family"]) & (~o["__special"] | o["__s_sub"].eqNullSafe(f["__f_sub"]))
-    j = o.join(f, cond, "left")
+                       F.when(ef.is_in("family", families), F.col("subfamily")).alias("__f_key"), F.col("feeding_niche"))
+    j = o.join(f, o["family"].eqNullSafe(f["__f_family"]) & o["__sub"].eqNullSafe(f["__f_key"]), "left")
     return j.select(*occ.columns, F.lit(None).cast("string").alias("sub_family"),
                     F.when(F.col("__special"), F.col("__s_sub")).otherwise(F.col("__f_sub")).alias("subfamily"),
                     "feeding_niche")

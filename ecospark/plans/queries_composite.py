@@ -278,6 +278,36 @@ def niche_richness(spark: SparkSession, sf_dir: str):
     return occ.niche_richness(all_data)
 
 
+def _between(text: str, first: str, last: str) -> str:
+    return text[text.index(first):text.index(last)]
+
+
+OCCURRENCE_ROWS_SQL = _between(NICHE_SQL, NICHE_SQL[0], "occ AS (") + """occ AS (
+  SELECT tl.cluster, tl.class, tl.family, tl.genus, coalesce(tl.sample_id_ngi, meta.sample_id_ngi) AS sample_id_ngi,
+         meta.lab_sample_type, meta.trap_id, meta.week_year
+  FROM tl FULL JOIN meta ON tl.sample_id_ngi IS NOT DISTINCT FROM meta.sample_id_ngi),
+""" + _between(NICHE_SQL, "feeding AS (", "\na AS (") + f"""
+a AS (
+  SELECT o.*, f.feeding_niche
+  FROM (SELECT occ.*, subf.subfamily FROM occ LEFT JOIN subf ON {_ns('occ', 'subf', ['family', 'genus'])}
+        WHERE occ.family IN ({', '.join(f"'{f}'" for f in tt.SUBFAMILY_FAMILIES_TD)})) o
+  LEFT JOIN feeding f ON {_ns('o', 'f', ['family', 'subfamily'])}),
+b AS (
+  SELECT occ.*, f.subfamily, f.feeding_niche FROM occ LEFT JOIN feeding f ON occ.family IS NOT DISTINCT FROM f.family
+  WHERE occ.family IS NULL OR occ.family NOT IN ({', '.join(f"'{f}'" for f in tt.SUBFAMILY_FAMILIES_TD)}))
+SELECT * FROM a UNION ALL SELECT * FROM b"""
+
+
+@register("occurrence_rows", OCCURRENCE_ROWS_SQL)
+def occurrence_rows(spark: SparkSession, sf_dir: str):
+    """Every row of the occurrence table with its sample, week, trap, sub-family and niche."""
+    taxo, o = _occurrence_inputs(spark, sf_dir)
+    subs = occ.subfamily_lookup(_classification(taxo))
+    rows = occ.occurrence_traits(o, subs, _feeding(spark, sf_dir), tt.SUBFAMILY_FAMILIES_TD)
+    return rows.select("cluster", "class", "family", "genus", "sample_id_ngi", "lab_sample_type", "trap_id", "week_year",
+                       "subfamily", "feeding_niche")
+
+
 # ----------------------------------------------------------------------------- missing-trait reports
 _ALL_TRAITS_TD_SQL = """atr AS (
   SELECT tm.higher_taxon, tm.family, tm.length_min, tm.length_max, tm.niche AS main_feeding_niche,
