@@ -6,12 +6,12 @@ from ecospark.functions.numeric import count_cell, european_double, lenient_doub
 from ecospark.functions.rules import (as_level, first_match, level_index, override, recode,
                                       regex_category, threshold_fill)
 from ecospark.functions.strings import (detect, extract_first, nth_piece, remove_first, replace_all,
-                                        replace_first, rtrim_unicode, trim_unicode)
+                                        replace_first, rtrim_unicode)
 
 __all__ = [
     "block_week", "parse_dmy", "any_missing", "distinct_with_null", "is_in", "missing_count", "not_in", "is_missing", "fold_missing",
     "count_cell",
     "european_double", "lenient_double", "as_level", "first_match", "level_index", "override", "recode",
     "regex_category", "threshold_fill", "detect", "extract_first", "nth_piece", "remove_first", "replace_all",
-    "replace_first", "rtrim_unicode", "trim_unicode",
+    "replace_first", "rtrim_unicode",
 ]

@@ -53,10 +53,6 @@ def rtrim_unicode(c: ColumnOrName) -> Column:
     return F.regexp_replace(_c(c), r"\p{IsWhite_Space}+$", "")
 
 
-def trim_unicode(c: ColumnOrName) -> Column:
-    return F.regexp_replace(_c(c), r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$", "")
-
-
 def detect(c: ColumnOrName, pattern: str) -> Column:
     """``str_detect``: unanchored, case-sensitive regex test; NULL in -> NULL out."""
     return _c(c).rlike(pattern)
@@ -65,7 +61,3 @@ def detect(c: ColumnOrName, pattern: str) -> Column:
 def _java_literal_replacement(s: str) -> str:
     # '$' and '\' are special in Java replacement strings
     return s.replace("\\", "\\\\").replace("$", "\\$")
-
-
-def regex_escape(s: str) -> str:
-    return re.escape(s)

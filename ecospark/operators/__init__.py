@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
-from ecospark.operators.aggregates import (family_totals, frequency_table, missing_by_group, missing_patterns,
+from ecospark.operators.aggregates import (frequency_table, missing_by_group, missing_patterns,
                                            missing_share, with_missing_count)
 from ecospark.operators.columns import (cast_by_type, cast_matching, clean_columns, clean_name, clean_names,
                                         drop_matching, matching, null_column, ordinal_names, rename_ordinal,

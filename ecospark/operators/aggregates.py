@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ecospark.functions.nulls import distinct_with_null, is_missing, missing_count
+from ecospark.functions.nulls import is_missing, missing_count
 
 
 def frequency_table(df: DataFrame, col: str, value_name: str = "value", count_name: str = "n") -> DataFrame:
@@ -20,13 +20,6 @@ def frequency_table(df: DataFrame, col: str, value_name: str = "value", count_na
             .agg(F.count(F.lit(1)).alias(count_name)).orderBy(value_name))
 
 
-def family_totals(occ: DataFrame, group: str, distinct_cols: dict[str, str], sum_cols: dict[str, str]) -> DataFrame:
-    """Multi-measure grouped summary: NA-counting distinct counts and sums in one aggregate."""
-    aggs = [distinct_with_null(src).alias(name) for name, src in distinct_cols.items()]
-    aggs += [F.sum(src).cast("bigint").alias(name) for name, src in sum_cols.items()]
-    return occ.groupBy(group).agg(*aggs)
-
-
 def with_missing_count(df: DataFrame, name: str = "n_missing", cols: Sequence[str] | None = None) -> DataFrame:
     """``mutate(n_missing = rowSums(is.na(.)))`` over all (or the given) columns."""
     return df.withColumn(name, missing_count(list(cols) if cols else df.columns))

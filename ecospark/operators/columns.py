@@ -19,10 +19,15 @@ log = logging.getLogger(__name__)
 _SYMBOLS = {"%": "_percent_", "#": "_number_"}
 
 
+# ASCII spellings of letters that have no decomposition.
+_LETTERS = str.maketrans({"ß": "ss", "Æ": "AE", "æ": "ae", "Ø": "O", "ø": "o", "Œ": "OE", "œ": "oe", "Ð": "D", "ð": "d",
+                          "Đ": "D", "đ": "d", "Ł": "L", "ł": "l", "Þ": "TH", "þ": "th", "ı": "i", "ẞ": "SS"})
+
+
 def clean_name(name: str) -> str:
     """snake_case a header: ASCII transliteration, camelCase split, non-alphanumerics -> '_',
     lower case, leading digit prefixed with 'x' (so a blank spreadsheet header '...6' becomes 'x6')."""
-    s = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode("ascii")
+    s = unicodedata.normalize("NFKD", name.translate(_LETTERS)).encode("ascii", "ignore").decode("ascii")
     s = s.replace("'", "").replace('"', "")
     for sym, word in _SYMBOLS.items():
         s = s.replace(sym, word)

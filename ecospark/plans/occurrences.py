@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ecospark import functions as ef
 from ecospark.functions.nulls import distinct_with_null
-from ecospark.operators import columns, filters, joins, reshape, setops
+from ecospark.operators import columns, filters, joins, reshape
 from ecospark.plans import trait_rules as tr
 from ecospark.session import materialize
 
@@ -105,17 +105,6 @@ def occurrence_traits(occ: DataFrame, subfamilies: DataFrame, feeding: DataFrame
                     "feeding_niche")
 
 
-def occurrence_traits_split(occ: DataFrame, subfamilies: DataFrame, feeding: DataFrame,
-                            families: Sequence[str] = tr.SUBFAMILY_FAMILIES) -> DataFrame:
-    """C18 written as the original's split / join / bind_rows; kept as the reference form for tests."""
-    sub = filters.filter_in(occ, "family", families)
-    sub = joins.left_join(sub, subfamilies, ["family", "genus"])
-    sub = joins.left_join(sub, feeding, ["family", "subfamily"])
-    rest = filters.filter_not_in(occ, "family", families).withColumn("sub_family", F.lit(None).cast("string"))
-    rest = joins.left_join(rest, feeding, ["family"])
-    return setops.bind_rows(rest, sub)
-
-
 def niche_richness(all_data: DataFrame, levels: Sequence[str] = tr.NICHE_LEVELS,
                    exclude: str = tr.NICHE_EXCLUDE, insect_class: str = "Insecta") -> DataFrame:
     """Distinct clusters (NA counted) per (feeding niche, week, trap) for insect samples; niches matching

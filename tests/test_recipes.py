@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from ecospark.functions import european_double
 from ecospark.plans import occurrences as occ
+from ecospark.operators import filters, joins, setops
 from ecospark.plans import attributes
+from ecospark.plans import trait_rules as tr
 
 
 def test_body_size_fixture(spark):
@@ -70,7 +72,7 @@ def test_occurrence_branches(spark):
     assert set(out.columns) >= {"sub_family", "subfamily", "feeding_niche"}
     assert rows(out, "cluster", "feeding_niche") == [("c1", "P"), ("c2", "Phytophagous"), ("c2", "Predator"),
                                                      ("c3", None)]
-    ref = occ.occurrence_traits_split(o, subs, feeding)
+    ref = occurrence_traits_split(o, subs, feeding)
     cols = sorted(ref.columns)
     assert sorted(out.columns) == cols
     assert rows(out, *cols) == rows(ref, *cols)
@@ -103,3 +105,14 @@ def test_land_larval_sheet(spark, tmp_path):
     assert tidy.filter(F.col("family") == "Total").count() == 0
     assert dict(tidy.dtypes)["score_4"] == "double"
     assert rows(tidy.filter(F.col("family") == "F10"), "higher_taxon", "family", "score_5") == [("O1", "F10", 0.0)]
+
+
+def occurrence_traits_split(occ, subfamilies, feeding,
+                            families=tr.SUBFAMILY_FAMILIES):
+    """C18 as three parts that are joined on different keys and put together again: the reference form."""
+    sub = filters.filter_in(occ, "family", families)
+    sub = joins.left_join(sub, subfamilies, ["family", "genus"])
+    sub = joins.left_join(sub, feeding, ["family", "subfamily"])
+    rest = filters.filter_not_in(occ, "family", families).withColumn("sub_family", F.lit(None).cast("string"))
+    rest = joins.left_join(rest, feeding, ["family"])
+    return setops.bind_rows(rest, sub)
