@@ -35,7 +35,7 @@ def _directions(cols: Sequence[str], direction: str | dict[str, str]) -> dict[st
 def fill(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], order_by: Sequence[str],
          direction: str | dict[str, str] = "down", chunks: int | None = None,
          strategy: str = "chunked") -> DataFrame:
-    """``group_by(g) |> fill(cols, .direction = direction)`` with row order ``order_by``.
+    """Fill missing cells of ``cols`` from their neighbours within each group, in ``order_by`` order.
 
     ``direction`` may also map each column to its own direction (several ``fill`` calls over the same
     grouping and order done in one scan).  ``order_by`` should be unique within a group (ties are filled in an
@@ -119,7 +119,7 @@ def fill_window(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], ord
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """``group_by(keys) |> slice(1)``: the row with the smallest ``order_by`` per group.
+    """The first row of each group: the one with the smallest ``order_by`` per group.
 
     Ties on ``order_by`` are broken by the remaining columns, so the result is deterministic.
     """
@@ -132,7 +132,7 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
 
 def with_group_extremes(df: DataFrame, keys: Sequence[str], mins: Sequence[str] = (),
                         maxs: Sequence[str] = ()) -> DataFrame:
-    """``group_by(keys) |> mutate(x = min(x, na.rm=TRUE), y = max(y, na.rm=TRUE))``.
+    """Each row with the extremes of its group, missing values left out.
 
     An all-NULL group yields NULL (R gives -Inf/Inf; downstream tests of ``is.infinite`` become ``IS NULL``).
     """

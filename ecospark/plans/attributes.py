@@ -298,7 +298,7 @@ def trait_missing_patterns(all_attributes: DataFrame) -> DataFrame:
 
 
 def complete_case_families(all_attributes: DataFrame) -> DataFrame:
-    """Families with complete trait data (``select(-sub_family) |> drop_na() |> pull(family)``)."""
+    """Families whose columns, the sub-family aside, are all there."""
     return filters.drop_na(all_attributes.drop("sub_family")).select("family")
 
 

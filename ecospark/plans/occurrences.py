@@ -26,8 +26,7 @@ META_COLUMNS = "sample_id_ngi|trap|type|date|lat|lon"
 def read_counts_long(taxonomy: DataFrame, counts: DataFrame, *, wide: bool = True, cluster: str = "cluster",
                      sample: str = "sample_id_ngi", value: str = "read_count",
                      phylum: str = tr.ARTHROPOD_PHYLUM) -> DataFrame:
-    """``full_join(taxa, counts, "cluster") |> melt |> filter(read_count > 0, phylum == ..) |>
-    mutate(sample = str_replace(sample, "p", "P"))``.
+    """The counts above zero of one phylum's clusters as long rows with their taxonomy, sample ids restored.
 
     The phylum filter removes every count row without taxonomy, so the join is an inner join on the filtered
     taxonomy, and the count filter runs inside the explode.

@@ -172,7 +172,7 @@ def trait_missing_patterns(spark: SparkSession, sf_dir: str):
     "SELECT family FROM ct WHERE " + " AND ".join(
         f"{c} IS NOT NULL" for c in ["higher_taxon", "family", "mass_reference", "in_checklist", *_PATTERN_COLS])))
 def complete_case_families(spark: SparkSession, sf_dir: str):
-    """``select(-sub_family) |> drop_na() |> pull(family)``."""
+    """Families whose columns, the sub-family aside, are all there."""
     return attributes.complete_case_families(qc.compiled_traits(spark, sf_dir))
 
 

@@ -73,7 +73,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LI_ORDER}) AS rn FROM lineitem) t
 WHERE rn = 1""")
 def first_per_group(spark: SparkSession, sf_dir: str):
-    """``group_by(l_orderkey) |> slice(1)`` in line-number order, ties broken by the other columns."""
+    """The first line of each order by line number, ties broken by the other columns."""
     li = td.table(spark, sf_dir, "lineitem")
     return windows.first_per_group(li, ["l_orderkey"], ["l_linenumber"])
 
@@ -283,7 +283,7 @@ def any_missing(spark: SparkSession, sf_dir: str):
 SELECT ord, higher_taxon, family, length_min, length_max, niche FROM tm
 WHERE family IS NOT NULL AND length_min IS NOT NULL AND length_max IS NOT NULL AND niche IS NOT NULL""", "tm"))
 def complete_cases(spark: SparkSession, sf_dir: str):
-    """``select(-sub_family) |> drop_na()``."""
+    """complete cases without one column."""
     t = td.tm(spark, sf_dir).select("ord", "higher_taxon", "family", "sub_family", "length_min", "length_max",
                                     "niche")
     return filters.drop_na(t.drop("sub_family"))

@@ -52,7 +52,7 @@ def missing_traits(all_attributes: DataFrame, trait_cols: Sequence[str] = TRAIT_
 def missing_traits_seq(missing: DataFrame, reads: DataFrame, flag: str = "in_iba") -> DataFrame:
     """Missing-trait families joined to their read totals, kept only when the flag is TRUE.
 
-    ``full_join(...) |> filter(in_checklist)`` drops every reads-only row (its flag is NA), so it is a LEFT join.
+    Rows that only have reads have no flag and go with the flag filter, so the full join is a LEFT join.
     """
     return natural_join(missing.filter(F.col(flag)), reads, how="left")
 
