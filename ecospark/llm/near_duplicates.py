@@ -8,11 +8,15 @@ number, one chunk differs in at most one code.  Enumerating that error - each ch
 gives the keys of a document, and every pair within the distance shares a key.  Two documents that link (similarity
 0.75) differ in more than ``FAR`` of 64 codes with a chance of about 4 in a million.
 
-Rows that share a key are compared by distance in tiles of bounded size, in numpy.  Links are confirmed on the full
-sets.  To spare the pairs inside a large group of copies, two rounds first confirm only the nearest row of each
-row; then components are formed, and the last round confirms every remaining pair within the distance whose ends
-lie in different components, so that no link between components is lost.  Tiles of a crowded key hold the rows of
-its largest component on one side only: the work grows with the rows outside of it.
+Rows that share a key are compared by distance in tiles of bounded size, in numpy.  Of the pairs within the distance
+only the nearest of each row is reported, and reported pairs are merged into clusters; rounds of this go on between
+clusters until no key holds a pair within the distance whose ends lie in different clusters.  So every such pair lies
+inside a cluster, and a large group of copies costs a row a copy instead of all its pairs.  Tiles of a crowded key hold
+the rows of its largest cluster on one side only: the work grows with the rows outside of it.
+
+Within a cluster the full sets decide.  Clusters are cut into blocks, every two blocks meet in a tile, and a tile
+confirms its pairs within the distance on the full sets, skipping those whose ends are joined already by confirmed
+links; it reports a link for every two parts that it joined.  The links of all tiles have the components of all links.
 
 Edge cases: a null text, an empty one or one without words has an empty set, links with nothing and is its own
 component.  A text of fewer than five words has one shingle, the whole sequence.  Very long texts are one row each.
@@ -37,8 +41,10 @@ SHINGLE, CODES, CHUNKS, BITS = 5, 64, 16, 16
 WIDTH = CODES // CHUNKS
 #: Greatest distance that the keys guarantee: below two errors in every chunk.
 FAR = 2 * CHUNKS - 1
-#: Rows of one side of a tile.
+#: Rows of one side of a tile of a key.
 SIDE = 512
+#: Rows of a block of a cluster: a share of the cluster within bounds, so that its rows are sent a few times only.
+BLOCK_LEAST, BLOCK_SHARE, BLOCK_MOST = 128, 24, 4096
 #: Words remembered in one Python worker.
 CACHE_WORDS = 300_000
 
@@ -179,9 +185,9 @@ def _runs(batches, columns: list[str]):
         yield held
 
 
-def _compare(tiles: DataFrame, nearest: bool, both_sides: bool = False) -> DataFrame:
-    """a, b: pairs of different components within the distance; with ``nearest`` only the nearest row of each row
-    outside the key's largest component, and of each row inside it too with ``both_sides``."""
+def _nearest(tiles: DataFrame, both_sides: bool) -> DataFrame:
+    """a, b: the nearest row within the distance in another component, of each row outside the key's largest
+    component, and of each row inside it too with ``both_sides``."""
     def run(batches):
         out = [[], [], []]
         for parts in _runs(batches, ["key", "left", "right"]):
@@ -206,12 +212,9 @@ def _compare(tiles: DataFrame, nearest: bool, both_sides: bool = False) -> DataF
                     best, low = far.argmin(0), far.min(0)
                     to = np.where(low < closest, i[best], to)
                     closest = np.minimum(closest, low)
-                if nearest:
-                    best = far.argmin(1)
-                    x = np.flatnonzero(far[np.arange(len(i)), best] <= FAR)
-                    y = best[x]
-                else:
-                    x, y = np.nonzero(far <= FAR)
+                best = far.argmin(1)
+                x = np.flatnonzero(far[np.arange(len(i)), best] <= FAR)
+                y = best[x]
                 out[0].append(col["rep"][i[x]])
                 out[1].append(col["rep"][theirs[y]])
                 out[2].append(far[x, y].astype(np.int64))
@@ -226,35 +229,84 @@ def _compare(tiles: DataFrame, nearest: bool, both_sides: bool = False) -> DataF
     parts = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = tiles.repartition(parts, "key", "left", "right").sortWithinPartitions("key", "left", "right")
     found = dealt.select("key", "left", "right", "rep", "n", "comp", "side", "sig").mapInArrow(run, "a long, b long, far long")
-    if nearest:
-        found = found.groupBy("a").agg(F.min(F.struct("far", "b")).alias("to")).selectExpr("a", "to.b AS b")
+    found = found.groupBy("a").agg(F.min(F.struct("far", "b")).alias("to")).selectExpr("a", "to.b AS b")
     return found.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """rep and its whole set, for the representatives that take part in a pair."""
+    """rep, its whole set and its signature, for the representatives that take part in a pair."""
     def per_batch(batch):
         for part in slices(batch, "text"):
-            sets = [shingle_set(t).tobytes() for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["rep", "shingles"])
+            sets = [shingle_set(t) for t in part.column("text").to_pylist()]
+            keep = [k for k, s in enumerate(sets) if len(s)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").take(pa.array(keep, pa.int32())), pa.array([sets[k].tobytes() for k in keep], pa.binary()),
+                 pa.array([signature(sets[k]) for k in keep], pa.binary())], ["rep", "shingles", "sig"])
     return arrow_map(docs.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), per_batch,
-                     "rep long, shingles binary")
+                     "rep long, shingles binary, sig binary")
+
+
+class _Common:
+    """Counts of common shingles among the rows of a tile: bit rows over the shingles that two rows or more have."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets = sets
+        _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = count > 1
+        place = np.cumsum(shared) - 1
+        self.bits = None
+        if len(sets) * int(shared.sum()) <= 64_000_000:
+            bits = np.zeros((len(sets), -(-int(shared.sum()) // 64) * 64), np.uint8)
+            row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            keep = shared[column]
+            bits[row[keep], place[column[keep]]] = 1
+            self.bits = np.packbits(bits, axis=1).view(np.uint64)
+
+    def __call__(self, one: int, others: np.ndarray) -> np.ndarray:
+        if self.bits is not None:
+            return np.bitwise_count(self.bits[one] & self.bits[others]).sum(1, dtype=np.int64)
+        mine = self.sets[one]  # very long sets: one merge at a time
+        out = []
+        for k in others:
+            both = np.concatenate([mine, self.sets[k]])
+            both.sort(kind="stable")
+            out.append(int((both[1:] == both[:-1]).sum()))
+        return np.array(out, np.int64)
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, linked: whether the similarity of the full sets is at least 0.75."""
-    def per_batch(batch):
-        linked = []
-        for x, y in zip(batch.column("sa"), batch.column("sb")):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            linked.append(100 * common >= 75 * (len(both) - common))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], ["a", "b", "linked"])
-    rows = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a") \
-        .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
-    return arrow_map(rows.select("a", "b", "sa", "sb"), per_batch, "a long, b long, linked boolean")
+def _confirmed(clusters: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: links whose components are those of all links inside the clusters (rep, comp)."""
+    def run(batches):
+        for parts in _runs(batches, ["comp", "left", "right"]):
+            col = {c: np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("rep", "block")}
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for p in parts for x in p.column("shingles")]
+            if len(sets) < 2:
+                continue
+            sig = np.frombuffer(b"".join([x for p in parts for x in p.column("sig").to_pylist()]), "<u2").reshape(-1, CODES)
+            n, common, part, out = np.array([len(s) for s in sets]), _Common(sets), np.arange(len(sets)), []
+            two = parts[0].column("left")[0].as_py() != parts[0].column("right")[0].as_py()
+            for x in range(len(sets) - 1):
+                y = np.arange(x + 1, len(sets))
+                y = y[(part[y] != part[x]) & (4 * np.minimum(n[y], n[x]) >= 3 * np.maximum(n[y], n[x]))]
+                if two:
+                    y = y[col["block"][y] != col["block"][x]]
+                y = y[(sig[y] != sig[x]).sum(1) <= FAR]
+                if len(y):
+                    both = common(x, y)
+                    y = y[100 * both >= 75 * (n[x] + n[y] - both)]
+                    joined, first = np.unique(part[y], return_index=True)
+                    out += [(int(col["rep"][x]), int(col["rep"][y[k]])) for k in first]
+                    part[np.isin(part, joined)] = part[x]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(2)], ["a", "b"])
+    sizes = clusters.groupBy("comp").agg(F.count(F.lit(1)).alias("m")).where("m > 1").selectExpr(
+        "comp", f"CAST(ceil(m / least(greatest(ceil(m / {BLOCK_SHARE}), {BLOCK_LEAST}), {BLOCK_MOST})) AS INT) AS blocks")
+    rows = clusters.join(sizes, "comp").selectExpr("comp", "rep", "blocks", "CAST(pmod(xxhash64(rep), blocks) AS INT) AS block")
+    rows = rows.selectExpr("comp", "rep", "block", "explode(sequence(0, blocks - 1)) AS other").selectExpr(
+        "comp", "rep", "block", "least(block, other) AS left", "greatest(block, other) AS right").join(sets, "rep")
+    parts = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(parts, "comp", "left", "right").sortWithinPartitions("comp", "left", "right")
+    return dealt.select("comp", "left", "right", "rep", "block", "shingles", "sig").mapInArrow(run, "a long, b long")
 
 
 def connected(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -289,24 +341,19 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                           .agg(F.min("doc_id").alias("rep")), "classes")
     crowded = materialize(crowded_rows(key_rows(classes)), "crowded")
     reps = crowded.select("rep").distinct()
-    components = reps.withColumn("comp", F.col("rep"))
     sigs = classes.select("rep", "sig").join(reps, "rep", "left_semi")
-    sets = tested = links = None
-    for nearest in (True, True, False):
-        pairs = _compare(_tiles(crowded, components, sigs), nearest, both_sides=sets is None)
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        if sets is None:  # who has no row within the distance now has none later
-            pairs = materialize(pairs, "pairs")
-            nodes = pairs.selectExpr("explode(array(a, b)) AS rep").distinct()
-            sets = materialize(_sets_of(plain, nodes), "sets")
-        now = materialize(_confirm(pairs, sets), "confirmed")
-        tested = now if tested is None else tested.unionByName(now)
-        new = now.where("linked").select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        settled = materialize(connected(links), "components")
-        components = reps.join(settled.withColumnRenamed("node", "rep"), "rep", "left") \
-            .selectExpr("rep", "coalesce(comp, rep) AS comp")
+    clusters = reps.withColumn("comp", F.col("rep"))
+    pairs = None
+    while True:
+        more = materialize(_nearest(_tiles(crowded, clusters, sigs), both_sides=pairs is None), "pairs")
+        if pairs is not None and more.isEmpty():
+            break
+        pairs = more if pairs is None else pairs.unionByName(more)
+        paired = materialize(connected(pairs), "clusters").withColumnRenamed("node", "rep")
+        clusters = reps.join(paired, "rep", "left").selectExpr("rep", "coalesce(comp, rep) AS comp")
+    sets = materialize(_sets_of(plain, paired), "sets")  # only rows that have another within the distance
+    links = materialize(_confirmed(paired, sets), "links")
+    settled = connected(links)
     classes = classes.join(settled.withColumnRenamed("node", "rep"), "rep", "left") \
         .selectExpr("digest", "coalesce(comp, rep) AS component_id")
     out = rows.select("doc_id", "n", "digest").join(classes, "digest", "left")
