@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words remembered in one Python worker; beyond it the table is started anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -26,6 +26,7 @@ from __future__ import annotations
 import itertools
 import uuid
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -43,10 +44,11 @@ LEADS = (4, 5, 7)
 
 
 def word_slots(word: str) -> list[int]:
-    """Slots of the plain word, its leading letter groups, and its last two characters as written."""
-    w = plain_word(word)
-    return [word_hash(f"{n}:{w[:n]}") % SLOTS for n in LEADS if n < len(w)] + \
-        [word_hash("=" + w) % SLOTS, word_hash("$" + word[-2:]) % SLOTS]
+    """Slots of the plain word, its leading bytes, and its last two characters as written."""
+    data = plain_word(word).encode("utf-8", "surrogatepass")
+    size = len(data)
+    return [crc32(data[:n], n) % SLOTS for n in LEADS if n < size] + \
+        [crc32(data, 61) % SLOTS, crc32(word[-2:].encode("utf-8", "surrogatepass"), 36) % SLOTS]
 
 
 def shape_slots(words: int, distinct: int) -> list[int]:
@@ -82,13 +84,22 @@ class Scorer:
     """Probabilities of each label column; made once in each Python worker."""
 
     def __init__(self, models: list[tuple[np.ndarray, np.ndarray, float]]):
-        self.by_slot = [dict(zip(at.tolist(), w.tolist())) for at, w, _ in models]
+        #: Weights of a slot in all models; slots without one are left out.
+        self.by_slot: dict[int, list[float]] = {}
+        for k, (at, w, _) in enumerate(models):
+            for slot, weight in zip(at.tolist(), w.tolist()):
+                self.by_slot.setdefault(slot, [0.0] * len(models))[k] = weight
+        self.none = (0.0,) * len(models) + (0,)
         self.bias = np.array([b for _, _, b in models])
         self.table = WordTable(self._describe)
 
+    def _sum(self, slots: list[int]) -> list[float] | None:
+        found = [w for w in map(self.by_slot.get, slots) if w]
+        return [sum(x) for x in zip(*found)] if found else None
+
     def _describe(self, word: str) -> tuple:
-        slots = word_slots(word)
-        return (*(sum([m.get(s, 0.0) for s in slots]) for m in self.by_slot), 0)
+        found = self._sum(word_slots(word))
+        return (*found, 0) if found else self.none
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens and, for each text and label column, the probability of label 1."""
@@ -98,8 +109,7 @@ class Scorer:
             distinct = np.unique(at)
             if len(distinct):
                 out[n] += self.table.values[distinct].sum(0)
-            shape = shape_slots(len(at), len(distinct))
-            out[n] += [sum(m.get(s, 0.0) for s in shape) for m in self.by_slot]
+            out[n] += self._sum(shape_slots(len(at), len(distinct))) or 0.0
         return np.array([len(x) for x in rows], np.int64), 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
