@@ -18,6 +18,7 @@ Extra columns are left out before writing.  Very long texts are one row each.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from array import array
 from functools import lru_cache
@@ -27,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecospark.llm.common import arrow_map, documents_of, scratch_path, slices
+from ecospark.llm.common import arrow_map, documents_of, materialize, scratch_path, slices
 
-#: Words remembered in one Python worker; beyond it the memory is started anew.
+#: Words remembered in one Python worker; beyond it, those that were met once are forgotten.
 CACHE_WORDS = 400_000
 #: ORC settings: index rows, Bloom filter on the id, stripes for parallel reads.
 ORC_OPTIONS = {"orc.create.index": "true", "orc.row.index.stride": "10000", "orc.bloom.filter.columns": "doc_id",
@@ -45,63 +46,97 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.apart = self._splits_at_space()
+        self.latin = self.apart and self._cuts_like_pattern()
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for t, i in names.items() if t.endswith(_END)]] = True
+        #: Ids of words, and the words that were met again in a later call.
         self.seen: dict[str, bytes] = {}
+        self.again: set[str] = set()
+        #: Ids of parts of words.
+        self.parts: dict[str, bytes] = {}
 
     def _splits_at_space(self) -> bool:
         """Whether white space always parts words: it is dropped by the pre-tokenizer and starts no token."""
         probe = [t for t, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str("a b\n c")] if self.tokenizer.pre_tokenizer else []
         return probe == ["a", "b", "c"] and not any(re.search(r"\s", t) for t in self.special)
 
+    def _cuts_like_pattern(self) -> bool:
+        """Whether the pre-tokenizer cuts lower-case Latin words as ``_PARTS`` does and the normalizer only lowers
+        their letters, tried on every character of the range, and the model ends words with ``_END``."""
+        if getattr(self.tokenizer.model, "end_of_word_suffix", None) != _END or not self.tokenizer.normalizer:
+            return False
+        chars = [chr(c) for c in range(0x21, 0x180) if not chr(c).isspace()]
+        words = [f"{a}{c}{b}" for c in chars for a, b in (("", ""), ("a", "'s"), ("'d", "1"), ("!", "x"))] + ["don't", "'rex", "a'll2"]
+        lower, pieces = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        return all(lower(w) == w.lower() and [w.lower()[a:b] for _, (a, b) in pieces(w.lower())] == _PARTS.findall(w.lower())
+                   for w in words)
+
     def _ids(self, words: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _remember(self, words: list[str]) -> dict[str, bytes]:
-        """Many words in one call as one line, cut by the words' places; words that may hold a special token alone."""
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words without white space, many in a call; the library tells the word of each id."""
+        new = {}
+        lines = [words[i:i + 256] for i in range(0, len(words), 256)]
+        for line, e in zip(lines, self.tokenizer.encode_batch(lines, is_pretokenized=True, add_special_tokens=False)):
+            ids = array("I", e.ids).tobytes()
+            cuts = (4 * np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(line) + 1))).tolist()
+            new.update(zip(line, map(ids.__getitem__, map(slice, cuts, cuts[1:]))))
+        return new
+
+    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts that the pre-tokenizer does not cut: the last id of each carries the end mark of a word."""
         new = {}
-        lines = [words[i:i + 64] for i in range(0, len(words), 64)]
-        for line, e in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False)):
-            ends, ids, offsets = [], e.ids, e.offsets
-            stop = -1
-            for w in line:
-                stop += len(w) + 1
-                ends.append(stop)
-            cuts = np.searchsorted(np.array([o[0] for o in offsets], np.int64), ends).tolist()
-            start = 0
-            for w, cut in zip(line, cuts):
-                new[w] = array("I", ids[start:cut]).tobytes()
-                start = cut
-        if len(self.seen) + len(new) > CACHE_WORDS:
-            self.seen.clear()
-        self.seen.update(new)
+        lines = [parts[i:i + 256] for i in range(0, len(parts), 256)]
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            cuts = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
+            if len(cuts) != len(line) + 1:
+                new.update(self._encode_words(line))
+                continue
+            new.update(zip(line, map(ids.tobytes().__getitem__, map(slice, cuts, cuts[1:]))))
         return new
 
+    def _remember(self, words: list[str]) -> None:
+        """Encode words.  Those of Latin letters are cut as the tokenizer's pattern cuts them, and their parts are
+        remembered as well: 'Word,' and 'WORD' share the part 'word'."""
+        plain = [w for w in words if w.isascii() or not _OTHER.search(w)] if self.latin else []
+        cut = [_PARTS.findall(w.lower()) for w in plain]
+        wanted = set().union(*cut)
+        if len(self.parts) > CACHE_WORDS // 2:
+            self.parts = {p: self.parts[p] for p in wanted if p in self.parts}
+        if missing := wanted.difference(self.parts):
+            self.parts.update(self._encode_parts(list(missing)))
+        ids = self.parts.__getitem__
+        self.seen.update(zip(plain, [b"".join(map(ids, c)) for c in cut]))
+        if len(plain) < len(words):
+            self.seen.update(self._encode_words(list(set(words).difference(plain))))
+
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as native unsigned 32-bit integers."""
         if not self.apart:
             return self._ids(texts)
-        seen, found, cut = self.seen, [], []
-        missing: set[str] = set()
-        for text in texts:
-            if _ODD.search(text) or any(s in text for s in self.special):
-                cut.append([])
-                found.append(None)
-                continue
-            cut.append(words := text.split())
-            found.append(parts := [seen.get(w) for w in words])
-            if None in parts:
-                missing.update([w for w, p in zip(words, parts) if p is None])
-        new = self._remember(list(missing)) if missing else {}
-        out = []
-        for text, words, parts in zip(texts, cut, found):
-            if parts is None:
-                out.append(self._ids([text])[0])
-                continue
-            if None in parts:
-                parts = [new[w] if p is None else p for w, p in zip(words, parts)]
-            out.append(b"".join(parts))
-        return out
-
-
+        cut = [None if _ODD.search(t) or any(s in t for s in self.special) else t.split() for t in texts]
+        words = set().union(*(c for c in cut if c))
+        if len(self.seen) > CACHE_WORDS:  # words that were met in one call only go
+            kept = self.again if len(self.again) < CACHE_WORDS // 2 else words.intersection(self.again)
+            self.seen, self.again = {w: self.seen[w] for w in kept}, kept
+        missing = words.difference(self.seen)
+        self.again |= words - missing
+        if missing:
+            self._remember(list(missing))
+        ids = self.seen.__getitem__
+        return [self._ids([t])[0] if c is None else b"".join(map(ids, c)) for t, c in zip(texts, cut)]
+
+
+#: The end mark of a word in the vocabularies of this family.
+_END = "</w>"
+_LETTERS = "".join(chr(c) for c in range(0x180) if unicodedata.category(chr(c))[0] == "L")
+_DIGITS = "".join(chr(c) for c in range(0x180) if unicodedata.category(chr(c))[0] == "N")
+#: How such tokenizers cut a lower-case word; and characters outside the range on which that was tried.
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}]+")
+_OTHER = re.compile("[^\x21-\u017f]")
 #: Separators that Python's str.split() takes for white space and the tokenizers do not.
 _ODD = re.compile("[\x1c-\x1f]")
 
@@ -137,12 +172,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
-    """Per document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (of the ids as
-    little-endian unsigned 32-bit integers).
-
-    The rows of a file are taken in file order.  A file read by several tasks stays in order: the place of a row
-    is its rank by id within the file, whose range holds every equal id.
-    """
+    """Per document, from the files: doc_id, file, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit
+    integers)."""
     def per_batch(batch):
         ids = batch.column("ids")
         at = ids.offsets.to_numpy()
@@ -152,31 +183,25 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
             [batch.column("doc_id"), batch.column("file"), pa.array(np.diff(at), pa.int64()), pa.array(crc, pa.int64())],
             ["doc_id", "file", "n_tokens", "ids_crc32"])
 
-    rows = arrow_map(read_tokens(spark, path).withColumn("file", F.input_file_name()), per_batch,
+    return arrow_map(read_tokens(spark, path).withColumn("file", F.input_file_name()), per_batch,
                      "doc_id long, file string, n_tokens long, ids_crc32 long")
-    return rows
 
 
 def encode_and_index(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, path: str | None = None) -> DataFrame:
     """Write the ids of every document and return the index read back from the files, with each document's start.
 
-    The index rows (a few numbers a document) are written once; starts are a running sum within blocks of
-    consecutive ids plus the sum of all blocks before, so neither a task nor the driver sees more than a block or
-    one number a block.
+    The index rows (a few numbers a document) are written once.  A file holds one range of ids, so a start is a
+    running sum within the file plus the tokens of the files before: neither a task nor the driver sees more than the
+    rows of a file or one number a file.
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "token-ids")
     write_tokens(docs, path, tokenizer_path, end_id)
-    index_path = scratch_path(spark, "token-index")
-    token_index(spark, path).select("doc_id", "n_tokens", "ids_crc32").repartitionByRange("doc_id") \
-        .sortWithinPartitions("doc_id", "ids_crc32", "n_tokens").write.parquet(index_path)
-    return with_starts(spark, index_path)
+    return with_starts(materialize(token_index(spark, path), "token-index"))
 
 
-def with_starts(spark: SparkSession, index_path: str) -> DataFrame:
-    """Running sums over the rows of an index whose files hold disjoint ascending ranges of doc_id."""
-    index = spark.read.schema("doc_id long, n_tokens long, ids_crc32 long").parquet(index_path)
-    index = index.withColumn("file", F.input_file_name())
+def with_starts(index: DataFrame) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of an index whose files hold disjoint ranges of doc_id."""
     files = index.groupBy("file").agg(F.min("doc_id").alias("first"), F.sum("n_tokens").alias("tokens"))
     before = files.selectExpr("file", "sum(tokens) OVER (ORDER BY first, file ROWS BETWEEN UNBOUNDED PRECEDING "
                               "AND 1 PRECEDING) AS before")
