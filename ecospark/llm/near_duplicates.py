@@ -185,47 +185,102 @@ def _runs(batches, columns: list[str]):
         yield held
 
 
+#: Runs of rows up to this size are compared all at once, by the distance of their rows in the run.
+SMALL = 16
+
+
+def _whole_runs(batches, columns: list[str]):
+    """The columns of the rows as arrays, in parts that never cut a run of equal ``columns``."""
+    names = [*columns, "rep", "n", "comp", "side"]
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        col = {c: batch.column(c).to_numpy() for c in names}
+        col["sig"] = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(-1, CODES)
+        if held:
+            col = {c: np.concatenate([held[c], v]) for c, v in col.items()}
+        last = np.ones(len(col["rep"]), bool)
+        for c in columns:
+            last &= col[c] == col[c][-1]
+        cut = len(last) - int(np.argmin(last[::-1])) if not last.all() else 0
+        held = {c: v[cut:] for c, v in col.items()}
+        if cut:
+            yield {c: v[:cut] for c, v in col.items()}
+    if held:
+        yield held
+
+
+def _fit(col: dict, i, j) -> np.ndarray:
+    """Whether the rows i and j of a tile are to be compared: in different components, of sizes that can link, and on
+    the sides that the tile is for."""
+    a, b, s, t = col["n"][i], col["n"][j], col["side"][i], col["side"][j]
+    right, left = col["right"][i], col["left"][i]
+    sides = np.where(right >= 0, (s < 0) != (t < 0), (-1 - right == left) | (s != t))
+    return sides & (col["comp"][i] != col["comp"][j]) & (4 * np.minimum(a, b) >= 3 * np.maximum(a, b))
+
+
+def _small_runs(col: dict, run: np.ndarray, small: np.ndarray, both_sides: bool) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of a small run, the distance and the place of its nearest row."""
+    nearest, to = np.full(len(run), CODES + 1, np.int16), np.zeros(len(run), np.int64)
+    speaks = both_sides | (col["side"] >= 0)
+    for step in range(1, SMALL):
+        i = np.flatnonzero((run[step:] == run[:-step]) & small[step:]) if step < len(run) else np.zeros(0, np.int64)
+        if not len(i):
+            break
+        i = i[_fit(col, i, i + step)]
+        for at in range(0, len(i), 20_000):
+            x = i[at:at + 20_000]
+            far = (col["sig"][x] != col["sig"][x + step]).sum(1, dtype=np.int16)
+            for one, other in ((x, x + step), (x + step, x)):
+                better = (far < nearest[one]) & speaks[one]
+                nearest[one[better]], to[one[better]] = far[better], other[better]
+    return nearest, to
+
+
+def _large_run(col: dict, both_sides: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """rep, rep of its nearest row, distance: for the rows of one tile that have a row within the distance."""
+    sig, out = col["sig"], [[], [], []]
+    mine = np.flatnonzero(col["side"] >= 0)
+    theirs = np.flatnonzero(col["side"] < 0) if col["right"][0] >= 0 else mine
+    closest, to = np.full(len(theirs), CODES + 1, np.int64), np.zeros(len(theirs), np.int64)
+    if not len(mine) or not len(theirs):
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    step = max(1, 1_000_000 // (CODES * len(theirs)))
+    for at in range(0, len(mine), step):
+        i = mine[at:at + step]
+        far = (sig[i][:, None, :] != sig[theirs][None, :, :]).sum(2, dtype=np.int16)
+        far[~_fit(col, i[:, None], theirs[None, :]) | (far > FAR)] = CODES + 1
+        if both_sides and col["right"][0] >= 0:
+            best, low = far.argmin(0), far.min(0)
+            to = np.where(low < closest, i[best], to)
+            closest = np.minimum(closest, low)
+        best = far.argmin(1)
+        x = np.flatnonzero(far[np.arange(len(i)), best] <= FAR)
+        out[0].append(col["rep"][i[x]])
+        out[1].append(col["rep"][theirs[best[x]]])
+        out[2].append(far[x, best[x]].astype(np.int64))
+    x = np.flatnonzero(closest <= FAR)
+    for c, values in enumerate((col["rep"][theirs[x]], col["rep"][to[x]], closest[x])):
+        out[c].append(values)
+    return tuple(np.concatenate(c) for c in out)
+
+
 def _nearest(tiles: DataFrame, both_sides: bool) -> DataFrame:
     """a, b: the nearest row within the distance in another component, of each row outside the key's largest
     component, and of each row inside it too with ``both_sides``."""
     def run(batches):
-        out = [[], [], []]
-        for parts in _runs(batches, ["key", "left", "right"]):
-            col = {c: np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("rep", "n", "comp", "side")}
-            if len(col["rep"]) < 2:
-                continue
-            sig = np.frombuffer(b"".join([x for p in parts for x in p.column("sig").to_pylist()]), "<u2").reshape(-1, CODES)
-            right = parts[0].column("right")[0].as_py()
-            mine = np.flatnonzero(col["side"] >= 0)
-            theirs = np.flatnonzero(col["side"] < 0) if right >= 0 else mine
-            step = max(1, 1_000_000 // (CODES * max(1, len(theirs))))
-            closest, to = np.full(len(theirs), CODES + 1, np.int64), np.zeros(len(theirs), np.int64)
-            for at in range(0, len(mine), step):
-                i = mine[at:at + step]
-                far = (sig[i][:, None, :] != sig[theirs][None, :, :]).sum(2, dtype=np.int16)
-                a, b = col["n"][i][:, None], col["n"][theirs][None, :]
-                bad = (col["comp"][i][:, None] == col["comp"][theirs][None, :]) | (4 * np.minimum(a, b) < 3 * np.maximum(a, b))
-                if right < 0 and -1 - right != parts[0].column("left")[0].as_py():  # two blocks: pairs across them only
-                    bad |= col["side"][i][:, None] == col["side"][theirs][None, :]
-                far[bad | (far > FAR)] = CODES + 1
-                if both_sides and right >= 0:
-                    best, low = far.argmin(0), far.min(0)
-                    to = np.where(low < closest, i[best], to)
-                    closest = np.minimum(closest, low)
-                best = far.argmin(1)
-                x = np.flatnonzero(far[np.arange(len(i)), best] <= FAR)
-                y = best[x]
-                out[0].append(col["rep"][i[x]])
-                out[1].append(col["rep"][theirs[y]])
-                out[2].append(far[x, y].astype(np.int64))
-            x = np.flatnonzero(closest <= FAR)
-            for c, values in enumerate((col["rep"][theirs[x]], col["rep"][to[x]], closest[x])):
-                out[c].append(values)
-            if sum(map(len, out[0])) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["a", "b", "far"])
-                out = [[], [], []]
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["a", "b", "far"])
+        for col in _whole_runs(batches, ["key", "left", "right"]):
+            edge = np.flatnonzero(np.concatenate([[True], (col["key"][1:] != col["key"][:-1]) | (col["left"][1:] != col["left"][:-1])
+                                                  | (col["right"][1:] != col["right"][:-1])]))
+            size = np.diff(np.append(edge, len(col["rep"])))
+            far, to = _small_runs(col, np.repeat(np.arange(len(edge)), size), np.repeat(size <= SMALL, size), both_sides)
+            x = np.flatnonzero(far <= FAR)
+            found = [[col["rep"][x]], [col["rep"][to[x]]], [far[x].astype(np.int64)]]
+            for k in np.flatnonzero(size > SMALL):
+                for c, values in enumerate(_large_run({n: v[edge[k]:edge[k] + size[k]] for n, v in col.items()}, both_sides)):
+                    found[c].append(values)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], ["a", "b", "far"])
     parts = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = tiles.repartition(parts, "key", "left", "right").sortWithinPartitions("key", "left", "right")
     found = dealt.select("key", "left", "right", "rep", "n", "comp", "side", "sig").mapInArrow(run, "a long, b long, far long")
