@@ -36,7 +36,8 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose rate under the wanted domain totals rounds to one or more."""
+    """Every document as often as its rate under the wanted domain totals rounds to, by a hash of its id: totals
+    meet the targets in expectation; a document above rate one may come twice."""
     return soft_mixing.keep_mixed(docs, table(spark, sf_dir, "labels"), ["quality", "toxic"], MIX_FACTORS)
 
 

@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ecospark.llm.common import arrow_map, documents_of, materialize, slices
 from ecospark.llm.hashed_words import WordTable, labelled_sample, word_hash
@@ -122,12 +123,15 @@ def domains_of(columns: list[str]) -> list[str]:
 
 
 def posteriors(docs: DataFrame, labels: DataFrame, columns: list[str], train_rows: int = TRAIN_ROWS, keep=None,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens and p (an array over ``domains_of(columns)``) of every document."""
+               id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """doc_id, n_tokens and p (an array over ``domains_of(columns)``) of every document; ``keyed`` adds text_key, a
+    hash of the text."""
     plain = documents_of(docs, id_col, text_col)
     models = docs.sparkSession.sparkContext.broadcast(
         [train(labelled_sample(plain, labels, c, train_rows, keep)) for c in columns])
     key, combos = uuid.uuid4().hex, list(itertools.product((0, 1), repeat=len(columns)))
+    if keyed:
+        plain = plain.withColumn("text_key", F.xxhash64("text"))
 
     def per_batch(batch):
         if key not in _scorers:
@@ -136,11 +140,10 @@ def posteriors(docs: DataFrame, labels: DataFrame, columns: list[str], train_row
         for part in slices(batch, "text"):
             tokens, one = _scorers[key](part.column("text").to_pylist())
             p = np.stack([np.prod(np.where(np.array(v), one, 1 - one), axis=1) for v in combos], axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(tokens),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * len(combos), pa.int32()), pa.array(p.ravel()))],
-                ["doc_id", "n_tokens", "p"])
-    return arrow_map(plain, per_batch, "doc_id long, n_tokens long, p array<double>")
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * len(combos), pa.int32()), pa.array(p.ravel()))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(tokens), lists] + [part.column(c) for c in ["text_key"] * keyed],
+                                             ["doc_id", "n_tokens", "p"] + ["text_key"] * keyed)
+    return arrow_map(plain, per_batch, "doc_id long, n_tokens long, p array<double>" + ", text_key long" * keyed)
 
 
 @dataclass
@@ -204,12 +207,14 @@ def fit_rates(members: DataFrame, k: int, weights: np.ndarray | None = None, fac
 
 
 def with_rates(members: DataFrame, k: int, fit: Fit) -> DataFrame:
-    """``members`` with rate and copies: the rate rounded by a hash of the id so that its mean is the rate."""
-    def per_frame(frames):
-        for f in frames:
-            yield f.assign(rate=fit.rates(_matrix(f["p"], k)))
-    out = members.mapInPandas(per_frame, "doc_id long, n_tokens long, p array<double>, rate double")
-    chance = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    """``members`` with rate and copies: the rate rounded by a hash of the id so that its mean is the rate.  Where
+    there is no id, text_key serves."""
+    def per_batch(batch):
+        rates = fit.rates(_matrix(batch.column("p").to_pandas(), k))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates)], [*batch.schema.names, "rate"])
+    out = arrow_map(members, per_batch, StructType([*members.schema.fields, StructField("rate", DoubleType())]))
+    by = F.coalesce("doc_id", "text_key") if "text_key" in members.columns else F.col("doc_id")
+    chance = F.pmod(F.xxhash64(by, F.lit(17)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     return out.withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
 
 
@@ -224,10 +229,13 @@ def mix(docs: DataFrame, labels: DataFrame, columns: list[str], weights: dict[st
     return with_rates(members, len(names), fit), fit
 
 
-def keep_mixed(docs: DataFrame, labels: DataFrame, columns: list[str], factors: dict[str, float], least: float = 0.5,
+def keep_mixed(docs: DataFrame, labels: DataFrame, columns: list[str], factors: dict[str, float],
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose rate rounds to a copy or more (``least`` and above).  A row without an
-    id stays."""
-    rates, _ = mix(docs, labels, columns, factors=factors, id_col=id_col, text_col=text_col)
-    low = materialize(rates.where(F.col("rate") < least).select(F.col("doc_id").alias("_low")).dropna().distinct(), "low-rates")
-    return docs.join(low, F.col(f"`{id_col}`") == F.col("_low"), "left_anti")
+    """The rows, with all their columns, each as often as its copies say: not at all, once, or repeatedly.  Rows with
+    the same id and different texts have copies of their own."""
+    rates, _ = mix(docs, labels, columns, factors=factors, id_col=id_col, text_col=text_col, keyed=True)
+    copies = rates.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.max("copies").alias("_copies"))
+    copies = materialize(copies.where("_copies > 0"), "copies")
+    key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    out = docs.join(copies, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")

@@ -1,6 +1,6 @@
 import numpy as np
 from ecospark.llm import soft_mixing as x
-from fixtures import SF, clashing, edge_docs, edge_rows, labels, needs_data, no_docs, no_labels
+from fixtures import DOCS, SF, clashing, edge_docs, edge_rows, labels, needs_data, no_docs, no_labels
 
 COLUMNS = ["quality", "toxic"]
 
@@ -62,3 +62,39 @@ def test_edge_rows(spark):
     assert out.count() == 0
     kept = x.keep_mixed(docs, labels(spark), COLUMNS, {})
     assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
+def domain_docs(spark, n=1600):
+    """Documents that are clearly in one of the four domains, with ids, labels and 60 words each."""
+    rng = np.random.default_rng(3)
+    rows, marks = [], []
+    for i in range(n):
+        q, t = (i >> 1) & 1, i & 1
+        words = [f"{'good' if q else 'junk'}{k}" for k in rng.integers(0, 30, 30)] + \
+            [f"{'vile' if t else 'kind'}{k}" for k in rng.integers(0, 30, 30)]
+        rows.append((i, " ".join(words), "en", "src", 1))
+        marks.append((i, q, t))
+    return spark.createDataFrame(rows, DOCS).repartition(3), labels(spark, marks)
+
+
+def test_stage_meets_the_targets(spark):
+    docs, marks = domain_docs(spark)
+    for wanted in (0.1, 0.3):
+        factors = {"quality1_toxic0": 1.0, "quality1_toxic1": wanted, "quality0_toxic0": wanted, "quality0_toxic1": 0.0}
+        kept = x.keep_mixed(docs, marks, COLUMNS, factors)
+        rates, fit = x.mix(docs, marks, COLUMNS, factors=factors)
+        expected = {r.doc_id: r.copies for r in rates.collect()}
+        got = kept.groupBy("doc_id").count().collect()
+        assert kept.columns == docs.columns and {r.doc_id: r["count"] for r in got} == {i: c for i, c in expected.items() if c}
+        p = rates.selectExpr("doc_id", *[f"p[{k}] p{k}" for k in range(4)], "n_tokens", "copies").toPandas()
+        totals = (p.n_tokens * p.copies).to_numpy() @ p[[f"p{k}" for k in range(4)]].to_numpy()
+        assert np.all(np.abs(totals - fit.target) <= 0.04 * fit.start), (wanted, totals, fit.target, fit.start)
+
+
+def test_stage_rows_with_one_id(spark):
+    docs, marks = domain_docs(spark, 400)
+    text = " ".join(f"good{k} kind{k}" for k in range(30))
+    more = spark.createDataFrame([(0, text, "en", "b", 1), (None, text, "en", "c", 1)], DOCS)
+    kept = x.keep_mixed(docs.union(more), marks.where("doc_id > 0"), COLUMNS, {"quality0_toxic0": 0.0, "quality0_toxic1": 0.0})
+    rows = {(r.doc_id, r.source) for r in kept.collect()}
+    assert (0, "b") in rows and (0, "src") not in rows and (None, "c") in rows
