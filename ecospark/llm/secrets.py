@@ -137,25 +137,96 @@ class _TooLong(Exception):
     pass
 
 
+#: Bytes of input for a zstd decoder at a time: its output has no bound of its own (128 KB for four bytes at most).
+_FEED = 1024
+_DAMAGED = (zlib.error, OSError, ValueError, EOFError, zstandard.ZstdError)
+
+
+def _decoder(head: bytes):
+    """A decoder for compressed data (gzip, zlib, bzip2, zstd) that begins so, None if it is none."""
+    if head[:2] == b"\x1f\x8b" or (len(head) > 2 and head[0] & 0x0F == 8 and head[0] < 0x80 and (head[0] << 8 | head[1]) % 31 == 0):
+        return zlib.decompressobj(47)
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj()
+    return None
+
+
+def _pieces(one, data: bytes, size: int):
+    """What a decoder gives for ``data``, in pieces of about ``size``."""
+    if isinstance(one, bz2.BZ2Decompressor):
+        yield one.decompress(data, size)
+        while not one.eof and not one.needs_input:
+            yield one.decompress(b"", size)
+    elif hasattr(one, "unconsumed_tail"):
+        yield (out := one.decompress(data, size))
+        while not one.eof and (one.unconsumed_tail or len(out) == size):  # a full piece may leave output in the decoder
+            yield (out := one.decompress(one.unconsumed_tail, size))
+    else:
+        at = 0
+        while at < len(data) and not one.eof:
+            yield one.decompress(data[at:at + _FEED])
+            at += _FEED
+        one.after = data[at:] if one.eof else b""
+
+
+class _Feed:
+    """One zstd frame: a decoder with what follows the frame."""
+
+    def __init__(self, one):
+        self.one, self.after = one, b""
+
+    @property
+    def eof(self):
+        return self.one.eof
+
+    @property
+    def unused_data(self):
+        return self.one.unused_data + self.after
+
+    def decompress(self, data):
+        return self.one.decompress(data)
+
+
+def inflated(chunks, size: int = 1 << 20):
+    """The content of all members of compressed chunks in pieces; what follows the last member comes as it is.
+    Damaged data is an error, as is data that ends inside a member (EOFError, after the pieces before it)."""
+    chunks, rest = iter(chunks), b""
+    while True:
+        while len(rest) < 4 and (more := next(chunks, b"")):
+            rest += more
+        one = _decoder(rest)
+        if one is None:
+            if rest:
+                yield rest
+                yield from chunks
+            return
+        one = _Feed(one) if rest[:4] == b"\x28\xb5\x2f\xfd" else one
+        while True:
+            yield from filter(None, _pieces(one, rest, size))
+            if one.eof:
+                rest = one.unused_data
+                break
+            if not (rest := next(chunks, b"")):
+                raise EOFError
+
+
 def inflate(data: bytes, most: int) -> bytes | None:
-    """The content of compressed data (gzip, zlib, bzip2, zstd), None if it is none; too much of it is an error."""
-    try:
-        if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 0x0F == 8 and (data[0] << 8 | data[1]) % 31 == 0):
-            one = zlib.decompressobj(47)
-            out = one.decompress(data, most + 1)
-        elif data[:3] == b"BZh":
-            one = bz2.BZ2Decompressor()
-            out = one.decompress(data, most + 1)
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(most + 1)
-        else:
-            return None
-    except (zlib.error, OSError, ValueError, EOFError, zstandard.ZstdError):
+    """The content of compressed data (all its members), None if it is none; too much of it is an error."""
+    if _decoder(data) is None:
         return None
-    if len(out) > most:
-        raise _TooLong
-    return out
+    out, size = [], 0
+    try:
+        for piece in inflated([data], min(most + 1, 1 << 20)):
+            out.append(piece)
+            size += len(piece)
+            if size > most:
+                raise _TooLong
+    except _DAMAGED:
+        # a member that is damaged or cut: what comes before it counts
+        return b"".join(out) if out else None
+    return b"".join(out)
 
 
 def _base64_layers(layer: Layer, most: int) -> tuple[list[Layer], int]:

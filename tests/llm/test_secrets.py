@@ -77,3 +77,13 @@ def test_edge_rows(spark):
 def test_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     check(s.scan_documents(docs), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, zstandard.compress])
+def test_all_members_are_read(pack):
+    clean, half = pack(b"nothing here\n" * 40), len(SECRET) // 2
+    assert s.scan(b64(clean))[1:] == ([], 1, 0)
+    for data in (clean + pack(SECRET.encode()), pack(b"") + clean + pack(SECRET[:half].encode()) + pack(SECRET[half:].encode()),
+                 clean + SECRET.encode(), clean + gzip.compress(SECRET.encode())):
+        run = b64(data)
+        assert s.scan(run)[1:] == ([(0, 0, len(run))], 1, 0) and s.redacted(run) == "[SECRET]"
