@@ -6,8 +6,10 @@ unwrapped in turn until nothing new appears.  A worklist holds the open layers;
 before in the same document is not opened again, so that encodings which reproduce themselves end.  Each character
 of a layer knows the characters of the document it came from; a secret in a layer is reported there.
 
-Escapes map character by character; base64 and compressed data map to the whole encoded run.  A layer is only
-opened if it is text: UTF-8 without control characters other than white space.  ``max_layer`` bounds the bytes that
+Escapes map character by character; base64 and compressed data map to the whole encoded run, which may go on over
+lines of one length and may begin after a prefix of the alphabet.  Bytes and escapes that are no character become
+U+FFFD; decoded bytes without twelve printable ASCII characters in a row, too few for a secret, are not opened unless
+all of them are text.  Broken members give what precedes the damage and count in ``n_unopened``.  ``max_layer`` bounds the bytes that
 one compressed run may grow to (a guard against decompression bombs); such a run is not opened but counted in
 ``n_unopened``, and the run's place stays in the result of none of the kinds.
 
@@ -44,6 +46,18 @@ _ESCAPE = re.compile(_UNIT)
 _ESCAPES = re.compile("(?:" + re.sub(r"\((?!\?)", "(?:", _UNIT) + ")+")
 _NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_RUN = r"[A-Za-z0-9+/_-]"
+#: Base64 over several lines, also with line ends written as escapes; lines may be indented.
+_LINE_END = r"(?:\r?\n|(?:\\r)?\\n)[\x20\t]*"
+_END = re.compile(_LINE_END)
+_WRAPPED = re.compile(rf"(?<!{_RUN}){_RUN}{{4,}}(?:{_LINE_END}{_RUN}+)+={{0,2}}")
+#: Characters after which base64 may begin in a run.
+_BREAK = re.compile(r"[+/_-]")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17\x72\x45\x38\x50\x90)|\x28\xb5\x2f\xfd")
+#: The least that a secret, or an encoding of one, can be.
+_PLAIN = re.compile(rb"[\t\r\n\x20-\x7e]{12,}")
+#: What stands for bytes and escapes that are no character.
+_STRAY = "\ufffd"
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
 
@@ -84,33 +98,32 @@ def _text(data: bytes) -> str | None:
     return None if _CONTROL.search(text) else text
 
 
-def _url(run: str) -> list[tuple[str, int, int]] | None:
-    """Characters of a run of URL escapes with their places in it."""
-    text = _text(bytes.fromhex(run.replace("%", "")))
-    if text is None:
-        return None
+def _url(run: str) -> list[tuple[str, int, int]]:
+    """Characters of a run of URL escapes with their places in it; a stray byte is one character."""
     out, at = [], 0
-    for ch in text:
-        out.append((ch, at, at := at + 3 * len(ch.encode())))
+    for ch in bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape"):
+        stray = 0xDC80 <= ord(ch) <= 0xDCFF
+        out.append((_STRAY if stray else ch, at, at := at + 3 * (1 if stray else len(ch.encode()))))
     return out
 
 
-def _escape(run: str) -> list[tuple[str, int, int]] | None:
-    """Characters of a run of character escapes with their places in it; surrogate pairs are one character."""
+def _escape(run: str) -> list[tuple[str, int, int]]:
+    """Characters of a run of character escapes with their places in it; surrogate pairs are one character, and so is
+    an escape that stands for none."""
     out, high = [], None
     for m in _ESCAPE.finditer(run):
         start, digits = m.start(), m[1] or m[2] or m[3] or m[4] or m[6]
         code = int(digits, 16) if digits else int(m[5]) if m[5] else ord(_NAMED[m[7]])
         if high and 0xDC00 <= code < 0xE000:
-            code, start = 0x10000 + (high[0] - 0xD800 << 10) + code - 0xDC00, high[1]
+            code, start, high = 0x10000 + (high[0] - 0xD800 << 10) + code - 0xDC00, high[1], None
+        elif high:
+            out.append((_STRAY, high[1], start))
             high = None
-        elif high or code > 0x10FFFF or 0xDC00 <= code < 0xE000:
-            return None
         if 0xD800 <= code < 0xDC00:
             high = code, start
         else:
-            out.append((chr(code), start, m.end()))
-    return None if high or _CONTROL.search("".join(c for c, _, _ in out)) else out
+            out.append((_STRAY if code > 0x10FFFF or 0xDC00 <= code < 0xE000 else chr(code), start, m.end()))
+    return out + ([(_STRAY, high[1], len(run))] if high else [])
 
 
 def _unescaped(layer: Layer, runs: re.Pattern, decode) -> Layer | None:
@@ -189,16 +202,18 @@ class _Feed:
         return self.one.decompress(data)
 
 
-def inflated(chunks, size: int = 1 << 20):
-    """The content of all members of compressed chunks in pieces; what follows the last member comes as it is.
-    Damaged data is an error, as is data that ends inside a member (EOFError, after the pieces before it)."""
+def inflated(chunks, size: int = 1 << 20, left: list | None = None):
+    """The content of all members of compressed chunks in pieces; what follows the last member comes as it is, or
+    the number of its bytes at hand goes to ``left``.  Damaged data is an error, as is data that ends inside a member (EOFError, after the pieces before it)."""
     chunks, rest = iter(chunks), b""
     while True:
         while len(rest) < 4 and (more := next(chunks, b"")):
-            rest += more
+            rest = bytes(rest) + bytes(more)
         one = _decoder(rest)
         if one is None:
-            if rest:
+            if left is not None:
+                left.append(len(rest))
+            elif rest:
                 yield rest
                 yield from chunks
             return
@@ -212,40 +227,105 @@ def inflated(chunks, size: int = 1 << 20):
                 raise EOFError
 
 
-def inflate(data: bytes, most: int) -> bytes | None:
-    """The content of compressed data (all its members), None if it is none; too much of it is an error."""
-    if _decoder(data) is None:
+class _Chunks:
+    """``data`` from ``at`` on in chunks; ``fed`` is the place behind the last one."""
+
+    def __init__(self, data: bytes, at: int):
+        self.data, self.fed = memoryview(data), at
+
+    def __iter__(self):
+        while self.fed < len(self.data):
+            start, self.fed = self.fed, min(self.fed + (1 << 16), len(self.data))
+            yield self.data[start:self.fed]
+
+
+def _member(data: bytes, at: int, most: int) -> tuple[bytes, int, bool] | None:
+    """The content of the members from ``at`` on, the place behind them, and whether they are whole; None if there
+    are none."""
+    if _decoder(data[at:at + 4]) is None:
         return None
-    out, size = [], 0
+    out, size, left, chunks = [], 0, [], _Chunks(data, at)
     try:
-        for piece in inflated([data], min(most + 1, 1 << 20)):
+        for piece in inflated(chunks, min(most + 1, 1 << 20), left):
             out.append(piece)
-            size += len(piece)
-            if size > most:
+            if (size := size + len(piece)) > most:
                 raise _TooLong
-    except _DAMAGED:
-        # a member that is damaged or cut: what comes before it counts
-        return b"".join(out) if out else None
-    return b"".join(out)
+        return b"".join(out), chunks.fed - left[0], True
+    except _DAMAGED as e:
+        # two bytes of any data look like zlib now and then: only what gives text is taken for a broken member
+        content, end = b"".join(out), len(data) if isinstance(e, EOFError) else at
+        return (content, end, False) if _MAGIC.match(data, at) or _PLAIN.search(content) else None
+
+
+def unpacked(data: bytes, starts: list[int], most: int) -> tuple[bytes, int, int]:
+    """``data`` with its compressed members replaced by their content, again and again; the number of replaced
+    members, and of broken ones.  zlib, of which two bytes are all that mark it, is tried at ``starts``."""
+    done = broken = 0
+    while True:
+        parts, end, last, found = [], 0, 0, 0
+        for at in sorted({m.start() for m in _MAGIC.finditer(data)}.union(starts)):
+            if at >= end and (member := _member(data, at, most)):
+                content, end, whole = member
+                parts += [data[last:at], content]
+                last, found, broken = end, found + 1, broken + (not whole)
+        if not found:
+            return data, done, broken
+        inner = b"".join([*parts, data[last:]])
+        if len(inner) > most:
+            raise _TooLong
+        if inner == data:
+            return data, done, broken
+        data, starts, done = inner, [0], done + found
+
+
+def _encoded(text: str):
+    """(start, end, run, places in it where base64 may begin) of the base64 runs, then of the blocks of lines."""
+    for m in _BASE64.finditer(text):
+        run = m[0].rstrip("=")
+        yield m.start(), m.end(), run, [0, *(x.end() for x in _BREAK.finditer(run))]
+    for m in _WRAPPED.finditer(text):
+        cuts = [(x.start() + m.start(), x.end() + m.start()) for x in _END.finditer(m[0])]
+        first, last = [m.start(), *(b for _, b in cuts)], [*(a for a, _ in cuts), m.end()]
+        lines = [text[a:b].rstrip("=") for a, b in zip(first, last)]
+        size, k = [len(x) for x in lines], 0
+        while k < len(lines):
+            n = k + 1
+            while n < len(lines) and size[n] == size[k]:
+                n += 1
+            stop = n + (n < len(lines) and size[n] < size[k])  # a shorter line ends the block
+            # the first line may stand behind other text
+            for start in {k, k - (k == 1)} if size[k] >= 16 else ():
+                if stop - start > 1:
+                    run, at = "".join(lines[start:stop]), np.cumsum([0, *size[start:stop - 1]]).tolist()
+                    yield first[start], last[stop - 1], run, [*at, *(x.end() for x in _BREAK.finditer(run))]
+            k = n
 
 
 def _base64_layers(layer: Layer, most: int) -> tuple[list[Layer], int]:
-    """Layers of the base64 runs that hold text or compressed text, and the number of runs that are too long."""
-    found, too_long = [], 0
-    for m in _BASE64.finditer(layer.text):
-        body = m[0].rstrip("=").translate(_STANDARD)
-        if len(body) % 4 == 1:
-            continue
-        data = binascii.a2b_base64(body + "=" * (-len(body) % 4))
-        try:
-            while (inner := inflate(data, most)) is not None and inner != data:  # compressed data may be compressed again
-                data = inner
-        except _TooLong:
-            too_long += 1
-            continue
-        if text := _text(data):
-            found.append(Layer(text, *layer.place(m.start(), m.end())))
-    return found, too_long
+    """Layers of the base64 runs that hold text or compressed text, and the number of runs that are too long or broken.
+
+    A run may begin before its base64 does (a path, a key's name), so it is read from its first four characters, and
+    compressed data is looked for everywhere in it."""
+    found, whole, failed = [], [], []
+    for start, end, run, starts in _encoded(layer.text):
+        body, ok, bad = run.translate(_STANDARD), False, False
+        for k in range(4):
+            piece = body[k:] if len(body[k:]) % 4 != 1 else body[k:-1]
+            data = binascii.a2b_base64(piece + "=" * (-len(piece) % 4))
+            try:
+                data, members, broken = unpacked(data, [(x - k) // 4 * 3 for x in starts if x % 4 == k], most)
+            except _TooLong:
+                bad = True
+                continue
+            ok, bad = ok or members > broken, bad or broken > 0
+            text = _text(data) if k == 0 or members else None
+            if text is None and _PLAIN.search(data):
+                text = data.decode("utf-8", "replace")
+            if text:
+                found.append(Layer(text, *layer.place(start, end)))
+        (failed if bad else whole if ok else []).append((start, end))
+    # a line of a block that is whole is no broken run, nor is a block's line besides the broken block
+    return found, sum(not any(a <= x and y <= b and (a, b) != (x, y) for a, b in whole + failed) for x, y in failed)
 
 
 _STANDARD = str.maketrans("-_", "+/")

@@ -87,3 +87,46 @@ def test_all_members_are_read(pack):
                  clean + SECRET.encode(), clean + gzip.compress(SECRET.encode())):
         run = b64(data)
         assert s.scan(run)[1:] == ([(0, 0, len(run))], 1, 0) and s.redacted(run) == "[SECRET]"
+
+
+def wrapped(data, width, end="\n"):
+    run = b64(data)
+    return end.join(run[k:k + width] for k in range(0, len(run), width))
+
+
+CLEAR = b"".join(b"%d nothing to see %d\n" % (k * k, k ** 5) for k in range(60)) + SECRET.encode()
+
+
+@pytest.mark.parametrize("width, end", [(64, "\n"), (76, "\r\n"), (76, "\n  "), (70, "\\n")])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, zstandard.compress])
+def test_base64_over_lines(pack, width, end):
+    run = wrapped(pack(CLEAR), width, end)
+    for before, after in (("", ""), ("data: ", "."), ("-----BEGIN X-----\n", "\n-----END X-----\n"), ("some words\n", "\nthe next line")):
+        _, every, _, unopened = s.scan(before + run + after)
+        assert any(k == 0 and a <= len(before) and b >= len(before + run) for a, k, b in every), (before, every)
+        assert not unopened and run[-8:] not in s.redacted(before + run + after)
+    split = wrapped(b"x" * 40 + SECRET.encode() + b"y" * 40, 64)
+    assert "[SECRET]" in s.redacted(split)
+
+
+@pytest.mark.parametrize("prefix", ["path/", "key_", "id-", "a/b/c/", "key=", "x", "xy", "xyz"])
+def test_base64_after_a_prefix(prefix):
+    for data in (SECRET.encode(), gzip.compress(SECRET.encode()), bz2.compress(SECRET.encode())) + \
+            ((zlib.compress(SECRET.encode()),) if prefix[-1] in "/_-=" else ()):
+        assert "[SECRET]" in s.redacted(prefix + b64(data)), (prefix, data)
+
+
+def test_stray_bytes_do_not_hide_a_layer():
+    for stray in (b"\x00", b"\xff", b"\x01\xfe"):
+        data = b"some text " + stray + b" " + SECRET.encode() + stray
+        for run in (b64(data), b64(gzip.compress(data)), urllib.parse.quote(data, safe=""), "".join(f"&#{c};" for c in data),
+                    "\\ud800" + "".join(f"\\u{c:04x}" for c in data) + "\\udc00"):
+            assert "[SECRET]" in s.redacted(run), run
+    every = s.scan("%ff%70assword = hunter2hunter2 %00")[1]
+    assert every == [(3, 0, 30)]
+
+
+def test_broken_members_are_counted():
+    for pack in (gzip.compress, bz2.compress, zstandard.compress):
+        run = b64(pack(CLEAR)[:-9])
+        assert s.scan(run)[3] == 1 and s.scan(wrapped(pack(CLEAR)[:-9], 76))[3] == 1
