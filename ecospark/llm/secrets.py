@@ -9,9 +9,12 @@ of a layer knows the characters of the document it came from; a secret in a laye
 Escapes map character by character; base64 and compressed data map to the whole encoded run, which may go on over
 lines of one length and may begin after a prefix of the alphabet.  Bytes and escapes that are no character become
 U+FFFD; decoded bytes without twelve printable ASCII characters in a row, too few for a secret, are not opened unless
-all of them are text.  Broken members give what precedes the damage and count in ``n_unopened``.  ``max_layer`` bounds the bytes that
-one compressed run may grow to (a guard against decompression bombs); such a run is not opened but counted in
-``n_unopened``, and the run's place stays in the result of none of the kinds.
+all of them are text.  Broken members give what precedes the damage and count in ``n_unopened``.
+
+``max_layer`` bounds the bytes of a layer in memory.  A compressed run that grows beyond it is read as a stream, in
+windows cut where no secret and no encoded run can be, each a layer.  Time grows with the content.  Where a window has
+no such place (one unbroken run of ``max_layer`` bytes) it is scanned in parts and the run counts in ``n_unopened``;
+redaction replaces every run that counts there.
 
 Edge cases: a null or empty text has no secrets.  Very long texts are one row each.  Equal rows get equal results;
 equal spans of one kind are reported once.  An empty table gives an empty result.  Extra columns are left out.
@@ -22,6 +25,7 @@ from __future__ import annotations
 import binascii
 import bz2
 import hashlib
+import itertools
 import re
 import zlib
 from collections import deque
@@ -56,6 +60,11 @@ _BREAK = re.compile(r"[+/_-]")
 _MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17\x72\x45\x38\x50\x90)|\x28\xb5\x2f\xfd")
 #: The least that a secret, or an encoding of one, can be.
 _PLAIN = re.compile(rb"[\t\r\n\x20-\x7e]{12,}")
+#: Bytes of a window at least, where its content allows it.
+_WINDOW = 8 << 20
+#: Where content may be cut: behind characters that are in no secret and no encoded run, between words, at line ends.
+_CUT = re.compile(rb"[^A-Za-z0-9+/_=.%\\&#;{}:\"'\x20\t\r\n-]|(?<=[A-Za-z0-9])\x20(?=[A-Za-z0-9])"
+                  rb"|(?<![A-Za-z0-9+/_=-]{4})(?<![A-Za-z0-9+/_=-]{3}\r)\n")
 #: What stands for bytes and escapes that are no character.
 _STRAY = "\ufffd"
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
@@ -147,7 +156,7 @@ def _unescaped(layer: Layer, runs: re.Pattern, decode) -> Layer | None:
 
 
 class _TooLong(Exception):
-    pass
+    """Data, with the places where zlib may start, whose content is beyond the bound."""
 
 
 #: Bytes of input for a zstd decoder at a time: its output has no bound of its own (128 KB for four bytes at most).
@@ -249,7 +258,7 @@ def _member(data: bytes, at: int, most: int) -> tuple[bytes, int, bool] | None:
         for piece in inflated(chunks, min(most + 1, 1 << 20), left):
             out.append(piece)
             if (size := size + len(piece)) > most:
-                raise _TooLong
+                raise _TooLong(data, [at])
         return b"".join(out), chunks.fed - left[0], True
     except _DAMAGED as e:
         # two bytes of any data look like zlib now and then: only what gives text is taken for a broken member
@@ -264,7 +273,11 @@ def unpacked(data: bytes, starts: list[int], most: int) -> tuple[bytes, int, int
     while True:
         parts, end, last, found = [], 0, 0, 0
         for at in sorted({m.start() for m in _MAGIC.finditer(data)}.union(starts)):
-            if at >= end and (member := _member(data, at, most)):
+            try:
+                member = _member(data, at, most) if at >= end else None
+            except _TooLong:
+                raise _TooLong(data, starts) from None
+            if member:
                 content, end, whole = member
                 parts += [data[last:at], content]
                 last, found, broken = end, found + 1, broken + (not whole)
@@ -272,12 +285,93 @@ def unpacked(data: bytes, starts: list[int], most: int) -> tuple[bytes, int, int
             return data, done, broken
         inner = b"".join([*parts, data[last:]])
         if len(inner) > most:
-            raise _TooLong
+            raise _TooLong(data, starts)
         if inner == data:
             return data, done, broken
         data, starts, done = inner, [0], done + found
 
 
+def _deeper(pieces):
+    """The pieces of a stream, inflated as long as its beginning is compressed."""
+    heads = set()
+    while True:
+        head = b""
+        for piece in pieces:
+            head += piece
+            if len(head) >= 4:
+                break
+        pieces = itertools.chain([head], pieces)
+        try:
+            one = _decoder(head)
+            if one is None or head in heads:
+                return pieces
+            next(filter(None, inflated([head])), b"")
+        except EOFError:
+            pass
+        except _DAMAGED:
+            return pieces
+        heads.add(head)
+        pieces = inflated(pieces)
+
+
+def _stream(data: bytes, starts: list[int], lost: list):
+    """``data`` with its members replaced by their content, in pieces; ``lost`` gets an entry for a broken member."""
+    last = end = 0
+    for at in sorted({m.start() for m in _MAGIC.finditer(data)}.union(starts)):
+        if at < end or _decoder(data[at:at + 4]) is None:
+            continue
+        left, chunks, given = [], _Chunks(data, at), False
+        try:
+            for piece in _deeper(inflated(chunks, left=left)):
+                if not given:
+                    yield data[last:at]
+                given, last = True, at
+                yield piece
+        except _DAMAGED:
+            if given or _MAGIC.match(data, at):
+                lost.append(at)
+            continue
+        if left:
+            last = end = chunks.fed - left[0]
+    yield data[last:]
+
+
+def _windows(pieces, most: int, lost: list):
+    """A stream cut where no secret and no encoded run can be; ``lost`` gets an entry where there is no such place
+    in ``most`` bytes."""
+    held, known, step = bytearray(), 0, min(most, 1 << 20)
+    for piece in (x[k:k + step] for x in pieces for k in range(0, len(x), step)):
+        held += piece
+        while len(held) >= min(most, _WINDOW):
+            cut, stop = 0, len(held) - 1
+            while not cut and stop > known:
+                start = max(known, stop - (1 << 16))
+                cut = max((m.end() for m in _CUT.finditer(held, start, stop)), default=0)
+                stop = start
+            if not cut and len(held) < most:
+                known = max(0, len(held) - 32)
+                break
+            if not cut:
+                lost.append(len(held))
+            yield bytes(held[:cut or len(held)])
+            del held[:cut or max(1, len(held) - min(most // 2, 4096))]
+            known = 0
+    if held:
+        yield bytes(held)
+
+
+def windows(data: bytes, starts: list[int], most: int, lost: list):
+    """The content of data that is beyond ``most``, in windows that hold no more than that at a time."""
+    for window in _windows(_stream(data, starts, lost), most, lost):
+        try:
+            inner, _, broken = unpacked(window, [], most)
+        except _TooLong as e:
+            yield from windows(*e.args, most, lost)
+        else:
+            lost += [0] * broken
+            yield inner
+
+
 def _encoded(text: str):
     """(start, end, run, places in it where base64 may begin) of the base64 runs, then of the blocks of lines."""
     for m in _BASE64.finditer(text):
@@ -301,62 +395,83 @@ def _encoded(text: str):
             k = n
 
 
-def _base64_layers(layer: Layer, most: int) -> tuple[list[Layer], int]:
-    """Layers of the base64 runs that hold text or compressed text, and the number of runs that are too long or broken.
+def _base64_layers(layer: Layer, most: int, show) -> tuple[list[Layer], list[tuple[int, int]]]:
+    """Layers of the base64 runs that hold text or compressed text, and the places of the runs that could not be read
+    to their end.  Content beyond ``most`` is given to ``show`` window by window.
 
     A run may begin before its base64 does (a path, a key's name), so it is read from its first four characters, and
     compressed data is looked for everywhere in it."""
     found, whole, failed = [], [], []
     for start, end, run, starts in _encoded(layer.text):
-        body, ok, bad = run.translate(_STANDARD), False, False
+        body, ok, lost, place = run.translate(_STANDARD), False, [], layer.place(start, end)
         for k in range(4):
             piece = body[k:] if len(body[k:]) % 4 != 1 else body[k:-1]
             data = binascii.a2b_base64(piece + "=" * (-len(piece) % 4))
             try:
                 data, members, broken = unpacked(data, [(x - k) // 4 * 3 for x in starts if x % 4 == k], most)
-            except _TooLong:
-                bad = True
+            except _TooLong as e:
+                before = len(lost)
+                for window in windows(*e.args, most, lost):
+                    if _PLAIN.search(window):
+                        show(Layer(window.decode("utf-8", "replace"), *place))
+                ok = ok or len(lost) == before
                 continue
-            ok, bad = ok or members > broken, bad or broken > 0
+            ok = ok or members > broken
+            lost += [0] * broken
             text = _text(data) if k == 0 or members else None
             if text is None and _PLAIN.search(data):
                 text = data.decode("utf-8", "replace")
             if text:
-                found.append(Layer(text, *layer.place(start, end)))
-        (failed if bad else whole if ok else []).append((start, end))
+                found.append(Layer(text, *place))
+        (failed if lost else whole if ok else []).append((start, end))
     # a line of a block that is whole is no broken run, nor is a block's line besides the broken block
-    return found, sum(not any(a <= x and y <= b and (a, b) != (x, y) for a, b in whole + failed) for x, y in failed)
+    return found, [layer.place(x, y) for x, y in failed if not any(a <= x and y <= b and (a, b) != (x, y) for a, b in whole + failed)]
 
 
 _STANDARD = str.maketrans("-_", "+/")
 
 
-def scan(text: str, max_layer: int = 64 << 20) -> tuple[list, list, int, int]:
-    """Base spans, all spans, opened layers and unopened runs of a text; spans are (start, kind, end), sorted."""
+def _scanned(text: str, max_layer: int) -> tuple[list, list, int, list]:
+    """Base spans, all spans, opened layers, and the places of runs that could not be read to their end."""
     base = find(text)
     every = {(s, k, e) for s, e, k in base}
-    seen, work, opened, unopened = set(), deque([Layer(text, None, None)]), 0, 0
-    while work:
-        layer = work.popleft()
-        if layer.first is not None:
-            every.update((a, k, b) for s, e, k in find(layer.text) for a, b in [layer.place(s, e)])
-        inner = []
-        if "%" in layer.text:
-            inner.append(_unescaped(layer, _URL, _url))
-        if "\\" in layer.text or "&" in layer.text:
-            inner.append(_unescaped(layer, _ESCAPES, _escape))
-        runs, too_long = _base64_layers(layer, max_layer)
-        unopened += too_long
-        for new in [x for x in inner if x] + runs:
-            # the same content of another place of the document is another layer, not a cycle
-            key = hashlib.blake2b(new.text.encode("utf-8", "replace"), digest_size=16).digest(), new.place(0, len(new.text))
-            if new.text != layer.text and key not in seen:
+    seen, opened, unopened = set(), 0, []
+
+    def drain(work):
+        nonlocal opened, unopened
+        while work:
+            layer = work.popleft()
+            if layer.first is not None:
+                every.update((a, k, b) for s, e, k in find(layer.text) for a, b in [layer.place(s, e)])
+            inner = []
+            if "%" in layer.text:
+                inner.append(_unescaped(layer, _URL, _url))
+            if "\\" in layer.text or "&" in layer.text:
+                inner.append(_unescaped(layer, _ESCAPES, _escape))
+
+            def fresh(new):
+                nonlocal opened
+                # the same content of another place of the document is another layer, not a cycle
+                key = hashlib.blake2b(new.text.encode("utf-8", "replace"), digest_size=16).digest(), new.place(0, len(new.text))
+                if new.text == layer.text or key in seen:
+                    return False
                 seen.add(key)
-                work.append(new)
                 opened += 1
+                return True
+            # a window is drained before the next one is made
+            runs, places = _base64_layers(layer, max_layer, lambda new: fresh(new) and drain(deque([new])))
+            unopened += places
+            work.extend(new for new in [x for x in inner if x] + runs if fresh(new))
+    drain(deque([Layer(text, None, None)]))
     return sorted((s, k, e) for s, e, k in base), sorted(every), opened, unopened
 
 
+def scan(text: str, max_layer: int = 64 << 20) -> tuple[list, list, int, int]:
+    """Base spans, all spans, opened layers and unopened runs of a text; spans are (start, kind, end), sorted."""
+    base, every, opened, unopened = _scanned(text, max_layer)
+    return base, every, opened, len(unopened)
+
+
 def listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
@@ -378,11 +493,13 @@ def scan_documents(docs: DataFrame, max_layer: int = 64 << 20, id_col: str = "do
 
 
 def redacted(text: str | None, mark: str = "[SECRET]", max_layer: int = 64 << 20) -> str | None:
-    """The text with every secret's place replaced by ``mark``; overlapping places are one."""
+    """The text with every secret's place replaced by ``mark``, and every run's that could not be read to its end;
+    overlapping places are one."""
     if not text:
         return text
     out, at = [], 0
-    for start, _, end in scan(text, max_layer)[1]:
+    _, every, _, unopened = _scanned(text, max_layer)
+    for start, end in sorted({(a, b) for a, _, b in every}.union(unopened)):
         if start >= at:
             out += [text[at:start], mark]
         at = max(at, end)

@@ -130,3 +130,24 @@ def test_broken_members_are_counted():
     for pack in (gzip.compress, bz2.compress, zstandard.compress):
         run = b64(pack(CLEAR)[:-9])
         assert s.scan(run)[3] == 1 and s.scan(wrapped(pack(CLEAR)[:-9], 76))[3] == 1
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, zstandard.compress])
+def test_content_beyond_the_bound_is_read(pack):
+    noise = b"".join(b"line %d, nothing\n" % k for k in range(900))
+    for hidden in (SECRET.encode(), b64(SECRET.encode()).encode(), wrapped(gzip.compress(SECRET.encode()), 64).encode()):
+        for data in (noise + hidden, hidden + b"\n" + noise, noise + b"'" + hidden + b"'\n" + noise):
+            for run in (b64(pack(data)), b64(gzip.compress(pack(data))), b64(pack(noise) + pack(data))):
+                every, opened, unopened = s.scan("a " + run, max_layer=1000)[1:]
+                assert (2, 0, 2 + len(run)) in every and opened > 10 and not unopened
+                assert s.redacted("a " + run, max_layer=1000) == "a [SECRET]"
+    for cut in range(900, 1100, 7):
+        run = b64(pack(b"x," * (cut // 2) + b" " * (cut % 2) + SECRET.encode() + noise))
+        assert (0, 0, len(run)) in s.scan(run, max_layer=1000)[1]
+
+
+def test_runs_that_were_not_opened_are_replaced():
+    run = b64(gzip.compress(b"z" * 50_000 + SECRET.encode()))
+    assert s.scan(run, max_layer=1000)[3] == 1 and s.redacted(f"a {run} b", max_layer=1000) == "a [SECRET] b"
+    plain = b64(gzip.compress(b"".join(b"line %d, nothing\n" % k for k in range(4000))))
+    assert s.scan(plain, max_layer=1000)[1] == [] and s.redacted(plain, max_layer=1000) == plain
