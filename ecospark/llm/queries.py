@@ -103,11 +103,14 @@ MIX_WEIGHTS = {"quality1_toxic0": 0.85, "quality1_toxic1": 0.05, "quality0_toxic
 
 @register("op9_soft_mixing")
 def op9_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates of every document whose expected tokens meet the wanted share of each label domain."""
-    out, _ = soft_mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["quality", "toxic"],
+    """Rates of every document whose expected tokens meet the wanted share of each label domain; the targets and what
+    the fit reached stand in every row."""
+    out, fit = soft_mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["quality", "toxic"],
                              weights=MIX_WEIGHTS)
-    return out.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{n}") for k, n in
-                                              enumerate(soft_mixing.domains_of(["quality", "toxic"]))), "rate", "copies")
+    names = soft_mixing.domains_of(["quality", "toxic"])
+    return out.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{n}") for k, n in enumerate(names)), "rate", "copies",
+                      *(F.lit(float(fit.target[k])).alias(f"target_{n}") for k, n in enumerate(names)),
+                      *(F.lit(float(fit.reached[k])).alias(f"reached_{n}") for k, n in enumerate(names)))
 
 
 @register("op10_token_orc")

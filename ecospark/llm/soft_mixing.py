@@ -10,7 +10,7 @@ gradient descent from r = 1::
 
 where y carries r on by its last move (Nesterov's momentum, started anew where the error grows).  The step is safe
 at length one: with these weights the quadratic form's matrix has rows that sum to one.  A round is one Spark
-aggregation of as many sums as there are domains.  A document's rate follows from its posteriors and the
+job that gives as many sums a partition as there are domains.  A document's rate follows from its posteriors and the
 coefficients of the rounds so far, so rounds keep no state but those few numbers and survive lost executors.
 
 It learns from at most ``TRAIN_ROWS`` labelled documents (by a hash of the id); posteriors and sums cover all rows.
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import itertools
 import uuid
+import warnings
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -42,6 +43,8 @@ from ecospark.llm.toxicity_ftrl import SLOTS, Ftrl, plain_word
 #: Labelled documents used for training at most, for each label column.
 TRAIN_ROWS = 5000
 LEADS = (4, 5, 7)
+#: Rounds in which a fit that goes on lowers its error by a tenth.
+STILL = 20
 
 
 def word_slots(word: str) -> list[int]:
@@ -148,12 +151,14 @@ def posteriors(docs: DataFrame, labels: DataFrame, columns: list[str], train_row
 
 @dataclass
 class Fit:
-    """Momentum and coefficients of the rounds, and the expected totals before, as wanted, and reached."""
+    """Momentum and coefficients of the rounds, and the expected totals before, as wanted, and reached; ``met`` says
+    of each domain whether that is within the tolerance."""
 
     rounds: list[tuple[float, np.ndarray]]
     start: np.ndarray
     target: np.ndarray
     reached: np.ndarray
+    met: np.ndarray | None = None
 
     def rates(self, p: np.ndarray) -> np.ndarray:
         r = last = np.ones(len(p))
@@ -176,34 +181,39 @@ def _totals(members: DataFrame, k: int, rounds: list) -> np.ndarray:
             p = _matrix(f["p"], k)
             total += (fit.rates(p) * f["n_tokens"].to_numpy(np.float64)) @ p
         yield pd.DataFrame({"k": np.arange(k), "total": total})
-    rows = members.select("n_tokens", "p").mapInPandas(part, "k int, total double").groupBy("k").agg(F.sum("total").alias("t")).collect()
+    # one number a domain and partition: a shuffle for them would cost the driver more than the numbers do
     out = np.zeros(k)
-    for r in rows:
-        out[r["k"]] = r["t"]
+    for r in members.select("n_tokens", "p").mapInPandas(part, "k int, total double").collect():
+        out[r["k"]] += r["total"]
     return out
 
 
 def fit_rates(members: DataFrame, k: int, weights: np.ndarray | None = None, factors: np.ndarray | None = None,
-              rounds: int = 40, tolerance: float = 1e-3) -> Fit:
+              rounds: int | None = None, tolerance: float = 1e-3) -> Fit:
     """Fit rates to targets: ``weights`` are shares of all tokens (they are normalised), ``factors`` multiply each
-    domain's present total.  Ends when every domain is within ``tolerance`` of its target, or after ``rounds``."""
+    domain's present total.  Ends when every domain is within ``tolerance`` of its target (for a target of zero,
+    within ten times the tolerance of its present total), when ``STILL`` rounds lower the error by less than a tenth,
+    or after ``rounds`` if given."""
     start = _totals(members, k, [])
     target = start * factors if factors is not None else start.sum() * np.asarray(weights, float) / np.sum(weights)
     scale = np.maximum(start, 1e-9)
     done: list[tuple[float, np.ndarray]] = []
     reached = before = start
-    error, age = np.inf, 0
-    while len(done) < rounds:
+    error, age, errors = np.inf, 0, []
+    while True:
         gap = np.where(start > 0, reached - target, 0.0)
-        if np.all(np.abs(gap) <= tolerance * np.maximum(target, 1.0)):
-            break
+        met = np.abs(gap) <= tolerance * np.maximum(np.where(target > 0, target, 10 * start), 1.0)
         now = float((gap * gap / scale).sum())
+        errors.append(now)
+        still = len(errors) > STILL and min(errors[-STILL:]) > 0.9 * min(errors[:-STILL])
+        if met.all() or still or len(done) == rounds:
+            break
         age = age + 1 if now < error else 0
         error, momentum = now, max(0.0, (age - 1) / (age + 2))
         ahead = gap + momentum * np.where(start > 0, reached - before, 0.0)
         done.append((momentum, ahead / scale))
         before, reached = reached, _totals(members, k, done)
-    return Fit(done, start, target, reached)
+    return Fit(done, start, target, reached, met)
 
 
 def with_rates(members: DataFrame, k: int, fit: Fit) -> DataFrame:
@@ -219,7 +229,7 @@ def with_rates(members: DataFrame, k: int, fit: Fit) -> DataFrame:
 
 
 def mix(docs: DataFrame, labels: DataFrame, columns: list[str], weights: dict[str, float] | None = None,
-        factors: dict[str, float] | None = None, rounds: int = 40, **settings) -> tuple[DataFrame, Fit]:
+        factors: dict[str, float] | None = None, rounds: int | None = None, **settings) -> tuple[DataFrame, Fit]:
     """Rates of every document (doc_id, n_tokens, p, rate, copies) and the fit.  Domains without a weight get none;
     domains without a factor stay as they are."""
     names = domains_of(columns)
@@ -233,7 +243,10 @@ def keep_mixed(docs: DataFrame, labels: DataFrame, columns: list[str], factors:
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, each as often as its copies say: not at all, once, or repeatedly.  Rows with
     the same id and different texts have copies of their own."""
-    rates, _ = mix(docs, labels, columns, factors=factors, id_col=id_col, text_col=text_col, keyed=True)
+    rates, fit = mix(docs, labels, columns, factors=factors, id_col=id_col, text_col=text_col, keyed=True)
+    for name, target, reached, met in zip(domains_of(columns), fit.target, fit.reached, fit.met):
+        if not met:
+            warnings.warn(f"{name}: {reached:.0f} expected tokens, target {target:.0f}")
     copies = rates.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.max("copies").alias("_copies"))
     copies = materialize(copies.where("_copies > 0"), "copies")
     key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))

@@ -1,5 +1,6 @@
 import numpy as np
 from ecospark.llm import soft_mixing as x
+from ecospark.llm import queries
 from fixtures import DOCS, SF, clashing, edge_docs, edge_rows, labels, needs_data, no_docs, no_labels
 
 COLUMNS = ["quality", "toxic"]
@@ -98,3 +99,26 @@ def test_stage_rows_with_one_id(spark):
     kept = x.keep_mixed(docs.union(more), marks.where("doc_id > 0"), COLUMNS, {"quality0_toxic0": 0.0, "quality0_toxic1": 0.0})
     rows = {(r.doc_id, r.source) for r in kept.collect()}
     assert (0, "b") in rows and (0, "src") not in rows and (None, "c") in rows
+
+
+def test_a_fit_goes_on_until_its_error_stands_still(spark):
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 400)
+    members = spark.createDataFrame([(i, 100, [float(v) for v in p[i]]) for i in range(400)],
+                                    "doc_id long, n_tokens long, p array<double>").coalesce(1)
+    fit = x.fit_rates(members, 3, factors=np.array([1.0, 0.1, 0.0]))
+    assert len(fit.rounds) > 40 or fit.met.all()
+    assert fit.met.tolist() == [bool(v) for v in np.abs(fit.reached - fit.target) <=
+                                [1e-3 * fit.target[0], 1e-3 * fit.target[1], 1e-2 * fit.start[2]]]
+    few = x.fit_rates(members, 3, factors=np.array([1.0, 0.1, 0.0]), rounds=2)
+    assert len(few.rounds) == 2 and not few.met.all()
+
+
+@needs_data
+def test_query_meets_its_targets(spark):
+    out = queries.QUERIES["op9_soft_mixing"](spark, SF).toPandas()
+    total = out.n_tokens.sum()
+    for name, weight in queries.MIX_WEIGHTS.items():
+        target, reached = out[f"target_{name}"][0], out[f"reached_{name}"][0]
+        assert np.isclose(target, total * weight) and abs(reached - target) <= 1e-3 * target
+        assert np.isclose((out.rate * out.n_tokens * out[f"p_{name}"]).sum(), reached)
