@@ -6,7 +6,7 @@ each, and the distance of two signatures is the number of codes that differ.  Al
 are found by pigeonhole: the codes are split into ``CHUNKS`` chunks, and since ``FAR`` is less than twice their
 number, one chunk differs in at most one code.  Enumerating that error - each chunk with each one code left out -
 gives the keys of a document, and every pair within the distance shares a key.  Two documents that link (similarity
-0.75) differ in more than ``FAR`` of 64 codes with a chance of about 4 in a million.
+0.75) differ in more than ``FAR`` of 64 codes with a chance of about 15 in a million.
 
 Rows that share a key are compared by distance in tiles of bounded size, in numpy.  Of the pairs within the distance
 only the nearest of each row is reported, and reported pairs are merged into clusters; rounds of this go on between
