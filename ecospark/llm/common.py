@@ -45,6 +45,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` wrote and that nothing reads any more."""
+    spark = df.sparkSession
+    jvm, top = spark._jvm, scratch(spark)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.toUri().getPath().startswith(jvm.org.apache.hadoop.fs.Path(top).toUri().getPath() + "/"):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def partitions_for(source: DataFrame, growth: float = 1.0, target: int = 64 << 20) -> int:
+    """Number of partitions for ``growth`` times the bytes of ``source``: ``target`` bytes each, and not fewer than
+    the session's shuffle partitions."""
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size if size < 1 << 60 else 0  # rows without files have no size
+    return max(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(known * growth) // target))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

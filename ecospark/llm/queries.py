@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecospark.llm import (bit_sliced_search, near_duplicates, quality_embeddings, quality_rules, secrets, sentencepiece_codec, sharding, soft_mixing,
-                          token_orc, toxicity_ftrl)
+from ecospark.llm import (bit_sliced_search, conversation_repair, golay_simhash, heap_clustering, near_duplicates, quality_embeddings,
+                          quality_rules, secrets, sentencepiece_codec, sharding, soft_mixing, token_orc, toxicity_ftrl)
 from ecospark.llm.common import table
 from ecospark.llm.hashed_words import remainder
 
@@ -117,3 +117,52 @@ def op9_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document written as ORC and indexed from the files."""
     return token_orc.encode_and_index(table(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=2)
+
+
+@register("op11_golay_simhash")
+def op11_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 64-bit fingerprints differ in two bits or fewer."""
+    return golay_simhash.components_of(table(spark, sf_dir, "documents"))
+
+
+@register("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation."""
+    rows, present, copies = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.audit(rows, present, copies)
+
+
+def _clustering_sql(k: int = 8, rounds: int = 10, seed: int = 3, dim: int = 64, scale: int = 1024) -> str:
+    """The rounds one after the other; ``n`` numbers rows, since ids may repeat."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT n, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT v.n, m.c, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(v.v, m.m)])::BIGINT AS d
+    FROM v CROSS JOIN m{r} m) GROUP BY n)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (
+  SELECT c, p, sum(x)::BIGINT AS s, count(*)::BIGINT AS k
+  FROM (SELECT a.c, unnest(v.v) AS x, unnest(range(1, {dim + 1})) AS p FROM a{r} a JOIN v USING (n)) GROUP BY c, p),
+m{r + 1} AS MATERIALIZED (
+  SELECT m.c, coalesce(w.m, m.m) AS m FROM m{r} m
+  LEFT JOIN (SELECT c, list((s - ((s % k) + k) % k) // k ORDER BY p) AS m FROM s{r} GROUP BY c) w USING (c))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = {dim} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+m0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, vec_id, v) - 1 AS c, v AS m FROM (
+    SELECT sha256('{seed}:' || vec_id) AS h, vec_id, v FROM v WHERE vec_id IS NOT NULL ORDER BY h, vec_id, v LIMIT {k})),
+{",".join(s.strip() for s in steps)}
+SELECT v.vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.m, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (n) JOIN m{rounds} m USING (c)"""
+
+
+@register("op13_heap_clustering", _clustering_sql())
+def op13_heap_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight exact integer centroids after ten rounds, and the cluster of every vector."""
+    return heap_clustering.cluster(table(spark, sf_dir, "embeddings"))
