@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import tempfile
 import uuid
@@ -67,6 +68,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare_names(df: DataFrame, n: int) -> list[str]:
+    """Column names that ``df`` does not have, whatever its letters' case."""
+    taken = {c.lower() for c in df.columns}
+    return list(itertools.islice((c for k in itertools.count() if (c := f"own_{k}") not in taken), n))
+
+
 def documents_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` (long) and ``text`` (a null text is empty) of a document table; other columns are left out, so
     that no name of theirs can clash."""

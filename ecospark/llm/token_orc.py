@@ -1,7 +1,7 @@
 """Token ids in ORC files: integer run-length encoding, row indexes and a Bloom filter on the document id.
 
-Texts are dealt by ranges of the document id, encoded, and each range is written as one ORC file in ascending id
-order.  ORC keeps the ids of a document as a list of integers under its run-length encoding; the footer has the
+Texts are encoded, the ids are dealt by ranges of the document id, and each range is written as one ORC file in
+ascending id order.  ORC keeps the ids of a document as a list of integers under its run-length encoding; the footer has the
 statistics of every stripe, and row indexes and Bloom filters on ``doc_id`` let a reader skip stripes and row
 groups without reading them.  Stripes are read in parallel.  The number of tokens before a document follows from
 per-file sums, so no task sees more than one range.
@@ -10,8 +10,9 @@ Words between white space are encoded apart, which the tokenizer allows (its nor
 look across white space), and the ids of equal words are remembered in each Python worker.  A word with a special
 token's opening or without that guarantee is encoded by the library as it stands.
 
-Edge cases: a null or empty text has no ids of its own, only the end id.  Equal document ids keep all their rows;
-their order among each other is that of the texts.  An empty table gives files without rows and an empty result.
+Edge cases: a null or empty text has no ids of its own, only the end id.  Equal document ids keep all their rows,
+ordered by the checksum and number of their ids, in the files as in ``start``; they may lie in several ranges.  A row
+without an id comes first.  An empty table gives files without rows and an empty result.
 Extra columns are left out before writing.  Very long texts are one row each.
 """
 
@@ -20,15 +21,15 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecospark.llm.common import arrow_map, documents_of, materialize, scratch_path, slices
+from ecospark.llm.common import arrow_map, documents_of, drop_scratch, materialize, partitions_for, scratch_path, slices
 
 #: Words remembered in one Python worker; beyond it, those that were met once are forgotten.
 CACHE_WORDS = 500_000
@@ -37,6 +38,38 @@ ORC_OPTIONS = {"orc.create.index": "true", "orc.row.index.stride": "10000", "orc
                "orc.bloom.filter.fpp": "0.01", "orc.stripe.size": str(32 << 20), "compression": "zstd"}
 
 
+class IdTable(dict):
+    """Row numbers of words, with the ids of all rows end to end."""
+
+    def __init__(self):
+        super().__init__()
+        self.first, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def add(self, words: list[str], flat: np.ndarray, size: np.ndarray) -> None:
+        """Words that are not in the table yet."""
+        self.update(zip(words, range(len(self.first), len(self.first) + len(words))))
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+
+    def rows(self, words) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64)
+
+    def ids(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the rows end to end, and the number of each."""
+        size = self.size[rows]
+        ends = np.cumsum(size)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[rows] - ends + size, size)
+        return self.flat[place], size
+
+    def keep(self, words: list[str]) -> None:
+        """Forget all other words."""
+        flat, size = self.ids(self.rows(words))
+        self.clear()
+        self.first = self.size = np.zeros(0, np.int64)
+        self.flat = self.flat[:0]
+        self.add(words, flat, size)
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer file; equal words are encoded once."""
 
@@ -50,11 +83,15 @@ class WordEncoder:
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for t, i in names.items() if t.endswith(_END)]] = True
-        #: Ids of words, and the words that were met again in a later call.
-        self.seen: dict[str, bytes] = {}
+        #: Words, and those that were met again in a later call; parts of words.
+        self.seen, self.parts = IdTable(), self._no_parts()
         self.again: set[str] = set()
-        #: Ids of parts of words.
-        self.parts: dict[str, bytes] = {}
+
+    @staticmethod
+    def _no_parts() -> IdTable:
+        parts = IdTable()
+        parts.add(["\n"], np.zeros(0, np.uint32), np.zeros(1, np.int64))  # parts words and has no ids
+        return parts
 
     def _splits_at_space(self) -> bool:
         """Whether white space always parts words: it is dropped by the pre-tokenizer and starts no token."""
@@ -72,70 +109,70 @@ class WordEncoder:
         return all(lower(w) == w.lower() and [w.lower()[a:b] for _, (a, b) in pieces(w.lower())] == _PARTS.findall(w.lower())
                    for w in words)
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words without white space, many in a call; the library tells the word of each id."""
-        new = {}
+    def _encode_words(self, words: list[str], into: IdTable) -> None:
+        """Words without white space, many in a call; the library tells the word of each id."""
         lines = [words[i:i + 256] for i in range(0, len(words), 256)]
         for line, e in zip(lines, self.tokenizer.encode_batch(lines, is_pretokenized=True, add_special_tokens=False)):
-            ids = array("I", e.ids).tobytes()
-            cuts = (4 * np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(line) + 1))).tolist()
-            new.update(zip(line, map(ids.__getitem__, map(slice, cuts, cuts[1:]))))
-        return new
-
-    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of parts that the pre-tokenizer does not cut: the last id of each carries the end mark of a word."""
-        new = {}
-        lines = [parts[i:i + 256] for i in range(0, len(parts), 256)]
+            cuts = np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(line) + 1))
+            into.add(line, np.array(e.ids, np.uint32), np.diff(cuts))
+
+    def _encode_parts(self, parts: list[str]) -> None:
+        """Parts that the pre-tokenizer does not cut: the last id of each carries the end mark of a word."""
+        lines, held = [parts[i:i + 256] for i in range(0, len(parts), 256)], []
         for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
-            cuts = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
-            if len(cuts) != len(line) + 1:
-                new.update(self._encode_words(line))
-                continue
-            new.update(zip(line, map(ids.tobytes().__getitem__, map(slice, cuts, cuts[1:]))))
-        return new
+            cuts = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+            if len(cuts) == len(line) + 1:
+                held.append((line, ids, np.diff(cuts)))
+            else:
+                self._encode_words(line, self.parts)
+        if held:
+            self.parts.add([p for line, _, _ in held for p in line], *(np.concatenate([h[c] for h in held]) for c in (1, 2)))
 
     def _remember(self, words: list[str]) -> None:
         """Encode words.  Those of Latin letters are cut as the tokenizer's pattern cuts them, and their parts are
         remembered as well: 'Word,' and 'WORD' share the part 'word'."""
         plain = [w for w in words if w.isascii() or not _OTHER.search(w)] if self.latin else []
-        cut = [_PARTS.findall(w.lower()) for w in plain]
-        wanted = set().union(*cut)
-        if len(self.parts) > CACHE_WORDS // 2:
-            self.parts = {p: self.parts[p] for p in wanted if p in self.parts}
-        if missing := wanted.difference(self.parts):
-            self.parts.update(self._encode_parts(list(missing)))
-        ids = self.parts.__getitem__
-        self.seen.update(zip(plain, [b"".join(map(ids, c)) for c in cut]))
+        if plain:
+            cut = _PARTS.findall("\n".join(plain).lower())
+            wanted = set(cut)
+            if len(self.parts) > CACHE_WORDS // 2:
+                kept, self.parts = self.parts, self._no_parts()
+                kept.keep([p for p in wanted if p in kept and p != "\n"])
+                self.parts.add(list(kept), kept.flat, kept.size)
+            if missing := wanted.difference(self.parts):
+                self._encode_parts(list(missing))
+            rows = self.parts.rows(cut)
+            flat, size = self.parts.ids(rows)
+            self.seen.add(plain, flat, np.add.reduceat(size, np.concatenate([[0], np.flatnonzero(rows == 0) + 1])))
         if len(plain) < len(words):
-            self.seen.update(self._encode_words(list(set(words).difference(plain))))
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as native unsigned 32-bit integers."""
-        if not self.apart:
-            return self._ids(texts)
-        cut = [None if _ODD.search(t) or any(s in t for s in self.special) else t.split() for t in texts]
-        words = set().union(*(c for c in cut if c))
+            self._encode_words(list(set(words).difference(plain)), self.seen)
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        whole = [not self.apart or bool(_ODD.search(t)) or any(s in t for s in self.special) for t in texts]
+        cut = [[] if w else t.split() for t, w in zip(texts, whole)]
+        words = set().union(*cut)
         if len(self.seen) > CACHE_WORDS:  # words that were met in one call only go
             kept = self.again if len(self.again) < CACHE_WORDS // 2 else words.intersection(self.again)
-            self.seen, self.again = {w: self.seen[w] for w in kept}, kept
+            self.seen.keep(list(kept))
+            self.again = kept
         missing = words.difference(self.seen)
         self.again |= words - missing
         if missing:
             self._remember(list(missing))
-        ids = self.seen.__getitem__
-        return [self._ids([t])[0] if c is None else b"".join(map(ids, c)) for t, c in zip(texts, cut)]
+        flat, size = self.seen.ids(self.seen.rows(chain.from_iterable(cut)))
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, cut)])]
+        odd = iter(self.tokenizer.encode_batch_fast([t for t, w in zip(texts, whole) if w], add_special_tokens=False))
+        return [np.array(next(odd).ids, np.uint32) if w else flat[a:b] for w, a, b in zip(whole, ends, ends[1:])]
 
 
 #: The end mark of a word in the vocabularies of this family.
 _END = "</w>"
 _LETTERS = "".join(chr(c) for c in range(0x180) if unicodedata.category(chr(c))[0] == "L")
 _DIGITS = "".join(chr(c) for c in range(0x180) if unicodedata.category(chr(c))[0] == "N")
-#: How such tokenizers cut a lower-case word; and characters outside the range on which that was tried.
-_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}]+")
+#: How such tokenizers cut lower-case words, here in lines; and characters outside the range on which that was tried.
+_PARTS = re.compile(f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\n]+")
 _OTHER = re.compile("[^\x21-\u017f]")
 #: Separators that Python's str.split() takes for white space and the tokenizers do not.
 _ODD = re.compile("[\x1c-\x1f]")
@@ -147,23 +184,38 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = 2, files: int | None = None,
-                 id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write ``doc_id, ids`` of every document as ORC files in ascending id order; ``files`` is the number of
-    ranges (the session's shuffle partitions by default)."""
-    tail = b"" if end_id is None else array("I", [end_id]).tobytes()
+def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_crc32 and ids (little-endian, two bytes each where the vocabulary allows)."""
+    tail = [] if end_id is None else [np.array([end_id], np.uint32)]
 
     def per_batch(batch):
         enc = encoder(tokenizer_path)
+        kind = "<u2" if len(enc.ends) <= 1 << 16 and (end_id or 0) < 1 << 16 else "<u4"
         for part in slices(batch, "text"):
-            rows = [x + tail for x in enc.encode_many(part.column("text").to_pylist())]
-            offsets = pa.array(np.cumsum([0, *(len(r) // 4 for r in rows)]), pa.int32())
-            ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(rows), np.int32)))
+            rows = [np.concatenate([x, *tail]) for x in enc.encode_many(part.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array([len(r) for r in rows], pa.int64()), pa.array([zlib.crc32(r.astype("<u4").tobytes()) for r in rows], pa.int64()),
+                 pa.array([r.astype(kind).tobytes() for r in rows], pa.binary())], ["doc_id", "n_tokens", "ids_crc32", "ids"])
+
+    return arrow_map(documents_of(docs, id_col, text_col), per_batch, "doc_id long, n_tokens long, ids_crc32 long, ids binary")
+
+
+def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = 2, files: int | None = None,
+                 id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Write ``doc_id, ids`` of every document as ORC files in ascending id order; ``files`` is the number of
+    ranges (by the bytes of the ids by default).  Texts are encoded where they are read; ids are dealt."""
+    def per_batch(batch):
+        for part in slices(batch, "ids"):
+            size = part.column("n_tokens").to_numpy()
+            data = [b.as_buffer() for b in part.column("ids")]
+            flat = [np.frombuffer(d, f"<u{len(d) // n}" if n else "<u2") for d, n in zip(data, size.tolist())]
+            ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *size]), pa.int32()), pa.array(np.concatenate(flat).astype(np.int32)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
 
-    parts = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = documents_of(docs, id_col, text_col).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = materialize(encoded(docs, tokenizer_path, end_id, id_col, text_col), "token-rows")
+    dealt = rows.repartitionByRange(files or partitions_for(rows, 2), "doc_id", "ids_crc32").sortWithinPartitions("doc_id", "ids_crc32", "n_tokens")
     arrow_map(dealt, per_batch, "doc_id long, ids array<int>").write.options(**ORC_OPTIONS).orc(path)
+    drop_scratch(rows)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -201,8 +253,9 @@ def encode_and_index(docs: DataFrame, tokenizer_path: str, end_id: int | None =
 
 
 def with_starts(index: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of an index whose files hold disjoint ranges of doc_id."""
-    files = index.groupBy("file").agg(F.min("doc_id").alias("first"), F.sum("n_tokens").alias("tokens"))
+    """doc_id, start, n_tokens, ids_crc32 of an index whose files hold disjoint ranges of doc_id and ids_crc32, in the
+    order in which the files have their rows."""
+    files = index.groupBy("file").agg(F.min(F.struct("doc_id", "ids_crc32")).alias("first"), F.sum("n_tokens").alias("tokens"))
     before = files.selectExpr("file", "sum(tokens) OVER (ORDER BY first, file ROWS BETWEEN UNBOUNDED PRECEDING "
                               "AND 1 PRECEDING) AS before")
     run = index.selectExpr("*", "sum(n_tokens) OVER (PARTITION BY file ORDER BY doc_id, ids_crc32, n_tokens "
