@@ -3,7 +3,7 @@
 A document is the mean of learned vectors: one for each hashed word, character n-gram of a word, and pair of
 neighbouring words (a word followed by itself has a slot of its own).  A softmax layer on the mean gives the class
 probabilities.  Vectors and layer are trained together by stochastic gradient descent in numpy on a bounded sample
-of labelled documents (``TRAIN_ROWS``, by a hash of the id).
+of labelled documents (``TRAIN_ROWS``, by a hash of the id); tasks turn their texts into slots and counts.
 
 With the layer known, a vector matters only by its part in the difference of the two outputs, so scoring broadcasts
 one number a slot and adds them up; words are looked up once a worker.
@@ -17,13 +17,14 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ecospark.llm.common import arrow_map, documents_of, slices
-from ecospark.llm.hashed_words import WordTable, labelled_sample, pair_slots, word_hash
+from ecospark.llm.hashed_words import WordTable, labelled_features, pair_slots, word_hash
 
 #: Labelled documents used for training at most.
 TRAIN_ROWS = 5000
@@ -56,32 +57,41 @@ def _pairs(hashes: np.ndarray) -> np.ndarray:
     return np.where(hashes[:-1] == hashes[1:], _TWICE, slots)
 
 
-def train(sample: list[tuple[str, int]], epochs: int = 6, rate: float = 0.5, seed: int = 5) -> Model:
+#: Words whose slots are held at once.
+WORDS_HELD = 50_000
+
+
+@lru_cache(maxsize=WORDS_HELD)
+def _slots(word: str) -> np.ndarray:
+    return np.array(word_slots(word), np.int64)
+
+
+def features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of a text, each once, and how often it has them; long texts are counted in parts."""
+    words = text.split()
+    total = np.zeros(SLOTS, np.int64)
+    for at in range(0, len(words), WORDS_HELD):
+        part = words[at:at + WORDS_HELD + 1]  # with the word that the last pair ends in
+        pairs = _pairs(np.array([word_hash(w) for w in part], np.uint64))
+        total += np.bincount(np.concatenate([*map(_slots, part[:WORDS_HELD]), pairs]), minlength=SLOTS)
+    place = np.flatnonzero(total)
+    return place, total[place]
+
+
+def train(sample: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 6, rate: float = 0.5, seed: int = 5) -> Model:
+    """``sample`` has the slots, counts and label of each document."""
     rng = np.random.default_rng(seed)
     model = Model(rng.uniform(-1, 1, (SLOTS, DIM)) / DIM, np.zeros((2, DIM)), np.zeros(2))
-    share = float(np.mean([y > 0 for _, y in sample])) if sample else 0.5
+    share = float(np.mean([y > 0 for _, _, y in sample])) if sample else 0.5
     model.bias[1] = np.log((share + 1e-3) / (1 - share + 1e-3))
     if not 0 < share < 1:
         return model
-    slots: dict[str, list[int]] = {}
-    rows = []
-    for text, label in sample:
-        words = text.split()
-        for w in words:
-            if w not in slots:
-                slots[w] = word_slots(w)
-        every = [s for w in words for s in slots[w]]
-        if not every:
-            continue
-        pairs = _pairs(np.array([word_hash(w) for w in words], np.uint64))
-        place, count = np.unique(np.concatenate([np.array(every), pairs]), return_counts=True)
-        rows.append((place.astype(np.int32), (count / count.sum()).astype(np.float32), int(label > 0)))
-        if len(slots) > 500_000:
-            slots.clear()
+    rows = [(place, count, int(label > 0)) for place, count, label in sample if len(place)]
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for k in rng.permutation(len(rows)):
-            place, part, label = rows[k]
+            place, count, label = rows[k]
+            part = (count / count.sum()).astype(np.float32)
             pace = rate * (1 - done / steps)
             done += 1
             vectors = model.vectors[place]
@@ -128,7 +138,7 @@ _scorers: dict[str, Scorer] = {}
 def _scoring(plain: DataFrame, labels: DataFrame, keep, label: str, train_rows: int):
     """A function from texts to scores, for use in tasks."""
     weights = plain.sparkSession.sparkContext.broadcast(
-        train(labelled_sample(plain, labels, label, train_rows, keep)).compact())
+        train(*labelled_features(plain, labels, [label], train_rows, features, keep)).compact())
     key = uuid.uuid4().hex
 
     def score(texts: list[str]) -> np.ndarray:

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 from ecospark.llm import quality_embeddings, toxicity_ftrl
-from ecospark.llm.hashed_words import WordTable, labelled_sample, remainder
+from ecospark.llm.hashed_words import WordTable, labelled_features, labelled_sample, remainder
 from fixtures import clashing, edge_docs, edge_rows, labels, no_docs, no_labels
 
 ROOT = "/root/testdata/sf0.01"
@@ -87,3 +87,46 @@ def test_samples_are_bounded_and_whole(spark):
     assert labelled_sample(edge_docs(spark), no_labels(spark), "quality", 3) == []
     table = WordTable(lambda w: (len(w), 1))
     assert [x.tolist() for x in table.rows(["a b a", "", "b"])] == [[0, 1, 0], [], [1]]
+
+
+def test_features_of_labelled_rows_are_those_of_their_texts(spark):
+    """Two label columns in one pass; each has the rows that its own sample has."""
+    got = labelled_features(edge_docs(spark), labels(spark), ["quality", "toxic"], 4, quality_embeddings.features)
+    for column, rows in zip(("quality", "toxic"), got):
+        want = [(*quality_embeddings.features(t), y) for t, y in labelled_sample(edge_docs(spark), labels(spark), column, 4)]
+        key = lambda r: (r[2], r[0].tolist(), r[1].tolist())
+        assert sorted(map(key, rows)) == sorted(map(key, want))
+    assert labelled_features(edge_docs(spark), no_labels(spark), ["quality"], 3, quality_embeddings.features) == [[]]
+
+
+def test_long_texts_are_counted_in_parts(monkeypatch):
+    text = " ".join(f"w{i % 7} w" for i in range(500))
+    whole = quality_embeddings.features(text)
+    words = text.split()
+    hashes = np.array([quality_embeddings.word_hash(w) for w in words], np.uint64)
+    plain = np.bincount([s for w in words for s in quality_embeddings.word_slots(w)] + quality_embeddings._pairs(hashes).tolist(),
+                        minlength=quality_embeddings.SLOTS)
+    monkeypatch.setattr(quality_embeddings, "WORDS_HELD", 64)
+    for place, count in (whole, quality_embeddings.features(text)):
+        assert (plain[place] == count).all() and count.sum() == plain.sum()
+
+
+def test_training_follows_a_plain_loop():
+    """Two steps of gradient descent written out."""
+    q = quality_embeddings
+    sample = [(np.array([1, 5]), np.array([1, 3]), 1), (np.array([5, 9]), np.array([2, 2]), 0)]
+    got = q.train(sample, epochs=1, rate=0.5, seed=5)
+    rng = np.random.default_rng(5)
+    vectors, layer, bias = rng.uniform(-1, 1, (q.SLOTS, q.DIM)) / q.DIM, np.zeros((2, q.DIM)), np.array([0.0, 0.0])
+    for n, k in enumerate(rng.permutation(2)):
+        place, count, label = sample[k]
+        part, pace = count / count.sum(), 0.5 * (1 - n / 2)
+        mean = sum(w * vectors[s] for w, s in zip(part, place))
+        p = np.exp(layer @ mean + bias)
+        p /= p.sum()
+        p[label] -= 1
+        back = p @ layer
+        layer, bias = layer - pace * np.outer(p, mean), bias - pace * 0.1 * p
+        for w, s in zip(part, place):
+            vectors[s] -= pace * 20 * w * back
+    assert np.allclose(got.vectors, vectors, atol=1e-6) and np.allclose(got.layer, layer, atol=1e-6) and np.allclose(got.bias, bias, atol=1e-6)
