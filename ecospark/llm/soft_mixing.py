@@ -10,8 +10,8 @@ gradient descent from r = 1::
 
 where y carries r on by its last move (Nesterov's momentum, started anew where the error grows).  The step is safe
 at length one: with these weights the quadratic form's matrix has rows that sum to one.  A round is one Spark
-job that gives as many sums a partition as there are domains.  A document's rate follows from its posteriors and the
-coefficients of the rounds so far, so rounds keep no state but those few numbers and survive lost executors.
+job that gives as many sums as there are domains.  A document's rate follows from its posteriors, the rates that were
+last written (every ``STORED`` rounds) and the coefficients of the rounds since, so rounds survive lost executors.
 
 It learns from at most ``TRAIN_ROWS`` labelled documents (by a hash of the id); posteriors and sums cover all rows.
 
@@ -30,14 +30,13 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ecospark.llm.common import arrow_map, documents_of, materialize, slices
-from ecospark.llm.hashed_words import WordTable, labelled_sample, word_hash
+from ecospark.llm.common import arrow_map, documents_of, drop_scratch, materialize, slices, spare_names
+from ecospark.llm.hashed_words import CACHE_WORDS, labelled_features, word_hash
 from ecospark.llm.toxicity_ftrl import SLOTS, Ftrl, plain_word
 
 #: Labelled documents used for training at most, for each label column.
@@ -60,61 +59,72 @@ def shape_slots(words: int, distinct: int) -> list[int]:
     return [word_hash(f"len{words.bit_length()}") % SLOTS, word_hash(f"new{10 * distinct // max(1, words)}") % SLOTS]
 
 
-def train(sample: list[tuple[str, int]], epochs: int = 4, seed: int = 9) -> tuple[np.ndarray, np.ndarray, float]:
-    """Slots with a weight, their weights, and the bias.  A feature's value is the number of distinct words that
-    have it."""
-    model, rows, known = Ftrl(), [], {}
-    for text, label in sample:
-        every = text.split()
-        words = set(every)
-        for w in words:
-            if w not in known:
-                known[w] = word_slots(w)
-        slots = [s for w in words for s in known[w]] + shape_slots(len(every), len(words))
-        at, count = np.unique(np.array(slots, np.int64), return_counts=True)
-        rows.append((at, count.astype(np.float64), int(label > 0)))
-        if len(known) > 500_000:
-            known.clear()
+def features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of a text, each once, and the number of distinct words that have them."""
+    every = text.split()
+    words = set(every)
+    slots = [s for w in words for s in word_slots(w)] + shape_slots(len(every), len(words))
+    return np.unique(np.array(slots, np.int64), return_counts=True)
+
+
+def train(sample: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 4, seed: int = 9) -> tuple[np.ndarray, np.ndarray, float]:
+    """Slots with a weight, their weights, and the bias, from the slots, counts and label of each document."""
+    model = Ftrl()
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
-        for k in rng.permutation(len(rows)):
-            model.learn(*rows[k])
+        for k in rng.permutation(len(sample)):
+            at, count, label = sample[k]
+            model.learn(at, count.astype(np.float64), int(label > 0))
     weights = model.weights(np.arange(SLOTS))
     at = np.flatnonzero(weights)
     return at, weights[at].astype(np.float32), model.bias()
 
 
 class Scorer:
-    """Probabilities of each label column; made once in each Python worker."""
+    """Probabilities of each label column; made once in each Python worker.  The weights of a word's slots are added
+    up once; beyond ``CACHE_WORDS`` words those that were met in one call only are forgotten."""
 
     def __init__(self, models: list[tuple[np.ndarray, np.ndarray, float]]):
-        #: Weights of a slot in all models; slots without one are left out.
-        self.by_slot: dict[int, list[float]] = {}
+        self.by_slot = np.zeros((SLOTS, len(models)), np.float32)
         for k, (at, w, _) in enumerate(models):
-            for slot, weight in zip(at.tolist(), w.tolist()):
-                self.by_slot.setdefault(slot, [0.0] * len(models))[k] = weight
-        self.none = (0.0,) * len(models) + (0,)
+            self.by_slot[at, k] = w
         self.bias = np.array([b for _, _, b in models])
-        self.table = WordTable(self._describe)
-
-    def _sum(self, slots: list[int]) -> list[float] | None:
-        found = [w for w in map(self.by_slot.get, slots) if w]
-        return [sum(x) for x in zip(*found)] if found else None
-
-    def _describe(self, word: str) -> tuple:
-        found = self._sum(word_slots(word))
-        return (*found, 0) if found else self.none
+        self.row: dict[str, int] = {}
+        self.again: set[str] = set()
+        self.values = np.zeros((0, len(models)))
+
+    def _describe(self, words: list[str]) -> np.ndarray:
+        """The sum of the weights of ``word_slots`` of each word."""
+        data = [plain_word(w).encode("utf-8", "surrogatepass") for w in words]
+        size = np.fromiter(map(len, data), np.int64)
+        ends = [w[-2:].encode("utf-8", "surrogatepass") for w in words]
+        out = self.by_slot[np.array([crc32(d, 61) for d in data], np.int64) % SLOTS].astype(np.float64)
+        out += self.by_slot[np.array([crc32(d, 36) for d in ends], np.int64) % SLOTS]
+        for n in LEADS:
+            longer = np.flatnonzero(size > n)
+            out[longer] += self.by_slot[np.array([crc32(data[k][:n], n) for k in longer.tolist()], np.int64) % SLOTS]
+        return out
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens and, for each text and label column, the probability of label 1."""
-        rows = self.table.rows(texts)
+        words = [t.split() for t in texts]
+        distinct = [set(w) for w in words]
+        every = set().union(*distinct)
+        if len(self.row) > CACHE_WORDS:
+            kept = list(self.again if len(self.again) < CACHE_WORDS // 2 else every & self.again)
+            self.values = self.values[np.fromiter(map(self.row.__getitem__, kept), np.int64, len(kept))]
+            self.row, self.again = dict(zip(kept, range(len(kept)))), set(kept)
+        fresh = list(every.difference(self.row))
+        self.again |= every.difference(fresh)
+        if fresh:
+            self.row.update(zip(fresh, range(len(self.row), len(self.row) + len(fresh))))
+            self.values = np.concatenate([self.values, self._describe(fresh)])
         out = np.tile(self.bias, (len(texts), 1))
-        for n, at in enumerate(rows):
-            distinct = np.unique(at)
-            if len(distinct):
-                out[n] += self.table.values[distinct].sum(0)
-            out[n] += self._sum(shape_slots(len(at), len(distinct))) or 0.0
-        return np.array([len(x) for x in rows], np.int64), 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+        for n, (w, d) in enumerate(zip(words, distinct)):
+            if d:
+                out[n] += self.values[np.fromiter(map(self.row.__getitem__, d), np.int64, len(d))].sum(0)
+            out[n] += self.by_slot[shape_slots(len(w), len(d))].sum(0)
+        return np.array([len(w) for w in words], np.int64), 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
 _scorers: dict[str, Scorer] = {}
@@ -131,7 +141,7 @@ def posteriors(docs: DataFrame, labels: DataFrame, columns: list[str], train_row
     hash of the text."""
     plain = documents_of(docs, id_col, text_col)
     models = docs.sparkSession.sparkContext.broadcast(
-        [train(labelled_sample(plain, labels, c, train_rows, keep)) for c in columns])
+        [train(sample) for sample in labelled_features(plain, labels, columns, train_rows, features, keep)])
     key, combos = uuid.uuid4().hex, list(itertools.product((0, 1), repeat=len(columns)))
     if keyed:
         plain = plain.withColumn("text_key", F.xxhash64("text"))
@@ -160,32 +170,75 @@ class Fit:
     reached: np.ndarray
     met: np.ndarray | None = None
 
-    def rates(self, p: np.ndarray) -> np.ndarray:
-        r = last = np.ones(len(p))
-        for momentum, c in self.rounds:
+    def rates(self, p: np.ndarray, since: int = 0, r=None, last=None) -> np.ndarray:
+        return self.moves(p, since, r, last)[0]
+
+    def moves(self, p: np.ndarray, since: int = 0, r=None, last=None) -> tuple[np.ndarray, np.ndarray]:
+        """The rates and those of the round before; ``r`` and ``last`` are those after ``since`` rounds."""
+        if r is None:
+            r = last = np.ones(len(p))
+        for momentum, c in self.rounds[since:]:
             r, last = np.maximum(0.0, r + momentum * (r - last) - p @ c), r
-        return r
+        return r, last
+
+
+def _matrix(column: pa.ListArray, k: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+
+
+#: Rounds after which rates are stored, so that a round takes up to that many moves a row whatever their number.
+STORED = 8
+
+
+class _Rates:
+    """The rows of a fit, with the rates after the rounds that are stored."""
+
+    def __init__(self, members: DataFrame, k: int):
+        self.rows, self.k, self.since = members.select("n_tokens", "p"), k, 0
+
+    def _moves(self, fit: Fit, batch: pa.RecordBatch, since: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        p = _matrix(batch.column("p"), self.k)
+        stored = [batch.column(c).to_numpy() for c in ("rate", "last")] if since else [None, None]
+        return p, *fit.moves(p, since, *stored)
+
+    def totals(self, rounds: list) -> np.ndarray:
+        """Expected tokens of each domain at the rates of the given rounds.  Sums of tasks are added up as decimals,
+        whose sum does not depend on their order."""
+        fit, since, k = Fit(rounds, None, None, None), self.since, self.k
+
+        def run(batches):
+            total = np.zeros(k)
+            for batch in batches:
+                p, rate, _ = self._moves(fit, batch, since)
+                total += (rate * batch.column("n_tokens").to_numpy().astype(np.float64)) @ p
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], [f"t{c}" for c in range(k)])
+        parts = self.rows.mapInArrow(run, ", ".join(f"t{c} double" for c in range(k)))
+        found = parts.agg(*[F.sum(F.col(f"t{c}").cast("decimal(38,9)")).alias(f"t{c}") for c in range(k)]).first()
+        return np.array([float(x or 0) for x in found])
 
+    def store(self, rounds: list) -> None:
+        fit, since = Fit(list(rounds), None, None, None), self.since
 
-def _matrix(column, k: int) -> np.ndarray:
-    return np.array(column.tolist(), np.float64).reshape(len(column), k)
+        def per_batch(batch):
+            _, rate, last = self._moves(fit, batch, since)
+            yield pa.RecordBatch.from_arrays([batch.column("n_tokens"), batch.column("p"), pa.array(rate), pa.array(last)],
+                                             ["n_tokens", "p", "rate", "last"])
+        after = materialize(arrow_map(self.rows, per_batch, "n_tokens long, p array<double>, rate double, last double"), "rates")
+        self.drop()
+        self.rows, self.since = after, len(rounds)
 
+    def drop(self) -> None:
+        if self.since:
+            drop_scratch(self.rows)
 
-def _totals(members: DataFrame, k: int, rounds: list) -> np.ndarray:
-    """Expected tokens of each domain at the rates of the given rounds."""
-    fit = Fit(rounds, None, None, None)
+    def __reduce__(self):  # tasks need the number of domains only
+        return _Rates._of, (self.k,)
 
-    def part(frames):
-        total = np.zeros(k)
-        for f in frames:
-            p = _matrix(f["p"], k)
-            total += (fit.rates(p) * f["n_tokens"].to_numpy(np.float64)) @ p
-        yield pd.DataFrame({"k": np.arange(k), "total": total})
-    # one number a domain and partition: a shuffle for them would cost the driver more than the numbers do
-    out = np.zeros(k)
-    for r in members.select("n_tokens", "p").mapInPandas(part, "k int, total double").collect():
-        out[r["k"]] += r["total"]
-    return out
+    @classmethod
+    def _of(cls, k: int) -> _Rates:
+        out = cls.__new__(cls)
+        out.k = k
+        return out
 
 
 def fit_rates(members: DataFrame, k: int, weights: np.ndarray | None = None, factors: np.ndarray | None = None,
@@ -194,7 +247,8 @@ def fit_rates(members: DataFrame, k: int, weights: np.ndarray | None = None, fac
     domain's present total.  Ends when every domain is within ``tolerance`` of its target (for a target of zero,
     within ten times the tolerance of its present total), when ``STILL`` rounds lower the error by less than a tenth,
     or after ``rounds`` if given."""
-    start = _totals(members, k, [])
+    rates = _Rates(members, k)
+    start = rates.totals([])
     target = start * factors if factors is not None else start.sum() * np.asarray(weights, float) / np.sum(weights)
     scale = np.maximum(start, 1e-9)
     done: list[tuple[float, np.ndarray]] = []
@@ -212,7 +266,10 @@ def fit_rates(members: DataFrame, k: int, weights: np.ndarray | None = None, fac
         error, momentum = now, max(0.0, (age - 1) / (age + 2))
         ahead = gap + momentum * np.where(start > 0, reached - before, 0.0)
         done.append((momentum, ahead / scale))
-        before, reached = reached, _totals(members, k, done)
+        if len(done) % STORED == 0:
+            rates.store(done)
+        before, reached = reached, rates.totals(done)
+    rates.drop()
     return Fit(done, start, target, reached, met)
 
 
@@ -220,7 +277,7 @@ def with_rates(members: DataFrame, k: int, fit: Fit) -> DataFrame:
     """``members`` with rate and copies: the rate rounded by a hash of the id so that its mean is the rate.  Where
     there is no id, text_key serves."""
     def per_batch(batch):
-        rates = fit.rates(_matrix(batch.column("p").to_pandas(), k))
+        rates = fit.rates(_matrix(batch.column("p"), k))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates)], [*batch.schema.names, "rate"])
     out = arrow_map(members, per_batch, StructType([*members.schema.fields, StructField("rate", DoubleType())]))
     by = F.coalesce("doc_id", "text_key") if "text_key" in members.columns else F.col("doc_id")
@@ -247,8 +304,9 @@ def keep_mixed(docs: DataFrame, labels: DataFrame, columns: list[str], factors:
     for name, target, reached, met in zip(domains_of(columns), fit.target, fit.reached, fit.met):
         if not met:
             warnings.warn(f"{name}: {reached:.0f} expected tokens, target {target:.0f}")
-    copies = rates.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.max("copies").alias("_copies"))
-    copies = materialize(copies.where("_copies > 0"), "copies")
-    key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    out = docs.join(copies, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")
+    of, key, n, nth = spare_names(docs, 4)
+    copies = rates.groupBy(F.col("doc_id").alias(of), F.col("text_key").alias(key)).agg(F.max("copies").alias(n))
+    copies = materialize(copies.where(F.col(n) > 0), "copies")
+    mine = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    out = docs.join(copies, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(of)) & (mine == F.col(key)))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col(n))).alias(nth)).drop(nth)

@@ -122,3 +122,34 @@ def test_query_meets_its_targets(spark):
         target, reached = out[f"target_{name}"][0], out[f"reached_{name}"][0]
         assert np.isclose(target, total * weight) and abs(reached - target) <= 1e-3 * target
         assert np.isclose((out.rate * out.n_tokens * out[f"p_{name}"]).sum(), reached)
+
+
+def test_scores_are_sums_over_distinct_words(monkeypatch):
+    """Whatever words the table has forgotten in between."""
+    rng = np.random.default_rng(6)
+    models = [(np.sort(rng.choice(x.SLOTS, 400_000, replace=False)), rng.normal(size=400_000).astype(np.float32), 0.1 * k) for k in (1, 2)]
+    texts = ["Good day, GOOD day", "", "a bb ccc dddd eeeee ffffff gggggggg", "x" * 500] + [f"w{k} v{k} good" for k in range(40)]
+    want = []
+    for t in texts:
+        slots = [s for w in set(t.split()) for s in x.word_slots(w)] + x.shape_slots(len(t.split()), len(set(t.split())))
+        dense = np.zeros((2, x.SLOTS))
+        for k, (at, w, _) in enumerate(models):
+            dense[k, at] = w
+        want.append(1 / (1 + np.exp(-(dense[:, slots].sum(1) + [0.1, 0.2]))))
+    monkeypatch.setattr(x, "CACHE_WORDS", 12)
+    scorer = x.Scorer(models)
+    for k in range(0, len(texts), 3):
+        for _ in range(2):
+            assert np.allclose(scorer(texts[k:k + 3])[1], want[k:k + 3], atol=1e-5)
+
+
+def test_stored_rates_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 200)
+    members = spark.createDataFrame([(i, 50 + i, [float(v) for v in p[i]]) for i in range(200)],
+                                    "doc_id long, n_tokens long, p array<double>").repartition(3)
+    fits = []
+    for stored in (1, 3, 1000):
+        monkeypatch.setattr(x, "STORED", stored)
+        fits.append(x.fit_rates(members, 3, factors=np.array([1.0, 0.2, 0.5]), rounds=12))
+    assert all(np.allclose(f.reached, fits[0].reached) and len(f.rounds) == len(fits[0].rounds) for f in fits)
