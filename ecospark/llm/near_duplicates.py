@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ecospark.llm.common import arrow_map, documents_of, materialize, slices
+from ecospark.llm.common import arrow_map, documents_of, materialize, slices, spare_names
 
 SHINGLE, CODES, CHUNKS, BITS = 5, 64, 16, 16
 WIDTH = CODES // CHUNKS
@@ -419,12 +419,13 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component: the one with its smallest id, with all columns.  Rows without words or without
     an id stay.  Of rows that share an id the one with the smallest text stays."""
+    of, stays, nth = spare_names(docs, 3)
     found = materialize(components_of(docs, id_col, text_col).where("doc_id IS NOT NULL")
                         .groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-                        .where("NOT kept OR n > 1").selectExpr("doc_id AS _found", "kept AS _kept"), "dropped")
-    same = F.col(f"`{id_col}`") == F.col("_found")
+                        .where("NOT kept OR n > 1").select(F.col("doc_id").alias(of), F.col("kept").alias(stays)), "dropped")
+    same = F.col(f"`{id_col}`") == F.col(of)
     rows = docs.join(found, same, "left_anti")
-    again = docs.join(found.where("_kept"), same, "left_semi")
+    again = docs.join(found.where(F.col(stays)), same, "left_semi")
     first = Window.partitionBy(f"`{id_col}`").orderBy(F.col(f"`{text_col}`").asc_nulls_first())
-    again = again.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    again = again.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(nth)
     return rows.unionByName(again)

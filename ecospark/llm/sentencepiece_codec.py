@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2 as proto
 
@@ -295,7 +296,9 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
 
 
 def with_ids(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
-    """All columns of the rows, then n_tokens, ids and lossless: whether decoding the ids gives the text back."""
+    """All columns of the rows, then n_tokens, ids and lossless: whether decoding the ids gives the text back.  A
+    column of the rows that has one of these names is replaced."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c == text_col or c.lower() not in ("n_tokens", "ids", "lossless")])
     place = docs.columns.index(text_col)
     schema = StructType([*docs.schema.fields, StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType())),
                          StructField("lossless", BooleanType())])

@@ -31,7 +31,7 @@ def no_docs(spark):
 def clashing(spark):
     """The edge rows with extra columns whose names the operators use inside."""
     df = edge_docs(spark)
-    for c in ("key", "rep", "size", "shard", "row", "score", "ids", "n", "comp", "label", "rate", "p", "first", "same"):
+    for c in ("n_tokens", "lossless", "own_0", "own_1", "own_2", "_id", "_key", "_copies", "_copy", "_found", "_kept", "_nth", "key", "rep", "size", "shard", "row", "score", "ids", "n", "comp", "label", "rate", "p", "first", "same"):
         df = df.withColumn(c, df.lang)
     return df
 

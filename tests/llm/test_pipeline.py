@@ -35,14 +35,18 @@ def test_stages(spark):
     assert hidden.columns == COLUMNS and {str(i) for i in got} == want
     for i, r in got.items():
         assert r.text == secrets.redacted(rows[i].text) and r.n_chars == len(r.text)
-    assert any("[SECRET]" in r.text for r in got.values())
+    planted = f"token = {42:08x}beef of the base, and AKIA{7:016d}"
+    extra = spark.createDataFrame([(1, planted, "en", "src", 1), (2, "nothing here", "en", "src", 12)], docs.schema)
+    shown = {r.doc_id: r.text for r in stage["secret scans"](spark, extra, SF).collect()}
+    assert "beef" not in shown[1] and "AKIA" not in shown[1] and shown[2] == "nothing here"
 
     mixed = materialize(stage["mixing to target weights"](spark, hidden, SF), "t")
     rates, _ = soft_mixing.mix(hidden, marks, ["quality", "toxic"], factors=corpus_pipeline.MIX_FACTORS)
     assert mixed.columns == COLUMNS
-    assert {r.doc_id for r in mixed.collect()} == {r.doc_id for r in rates.collect() if r.rate >= 0.5}
+    copies = {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert copies == {r.doc_id: r.copies for r in rates.collect() if r.copies}
     clean = {r.doc_id for r in marks.collect() if r.quality == 1 and r.toxic == 0} & set(got)
-    assert len(clean - {r.doc_id for r in mixed.collect()}) <= 0.02 * len(clean)
+    assert len(clean - set(copies)) <= 0.05 * len(clean)
 
     encoded = stage["SentencePiece encoding"](spark, mixed, SF).collect()
     library = sentencepiece.SentencePieceProcessor(model_file=corpus_pipeline.PIECE_MODEL)
