@@ -7,12 +7,12 @@ a negative component adds the complements.  The best rows are then read from the
 downward: rows with the bit come first as long as they are not too many, and the rows tied at the boundary are
 resolved by the smaller id.  Scores are read off the slices.
 
-Rows are numbered and cut into blocks of ``BLOCK`` rows; queries are cut into packs of ``PACK``.  A unit of work is
-one block and one pack, and units are spread by a join on the pack number.  A block's best rows for a query are
+Rows are numbered and cut into blocks of ``BLOCK`` rows; queries are cut into packs of ``PACK``.  Packs are copied for
+every block, and a block's slices are made once for all packs that follow it.  A block's best rows for a query are
 merged with those of the other blocks by rank.
 
-Edge cases: vectors that are null, hold a null or a non-finite component, or a component beyond ``LIMIT`` after
-quantisation, take no part; an empty vector neither.  A query is compared with vectors of its own length.  Its own
+Edge cases: vectors that are null or hold a null or a non-finite component take no part; an empty vector neither.  A
+component beyond ``LIMIT`` after quantisation, or a score that does not fit a long, is an error.  A query is compared with vectors of its own length.  Its own
 row is left out by position, so other rows with the same id or vector count, and rows that share an id are queries of
 their own.  Ties go to the smaller id.  A null id
 is no query and sorts last.  Fewer than k rows give fewer ranks.  An empty table gives an empty result.  Extra
@@ -26,21 +26,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ecospark.llm.common import arrow_map, materialize
+from ecospark.llm.common import materialize, partitions_for
 
 BLOCK, PACK, SCALE = 49_152, 64, 256
-#: Greatest magnitude of a quantised component: sums of products stay within 64 bits.
-LIMIT = 1 << 23
+#: Greatest magnitude of a quantised component; differences of two stay within 64 bits.
+LIMIT = 1 << 62
 _LAST_ID = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id and v, the components as integers, of the vectors that take part."""
     x = F.col(f"`{vector_col}`").cast("array<double>")
-    v = F.transform(x, lambda e: F.floor(e * SCALE))
-    sound = F.forall(x, lambda e: F.coalesce(F.abs(e) * SCALE < LIMIT, F.lit(False)))  # NaN is greater than any number
-    return vectors.where(sound & (F.size(x) > 0)).select(F.col(f"`{id_col}`").cast("long").alias("vec_id"),
-                                                        v.cast("array<int>").alias("v"))
+    v = F.transform(x, lambda e: F.when(F.abs(e) * SCALE < float(LIMIT), F.floor(e * SCALE)).otherwise(
+        F.raise_error(F.lit(f"a component beyond {LIMIT // SCALE}")).cast("long")))
+    sound = F.forall(x, lambda e: F.coalesce(F.abs(e) < float("inf"), F.lit(False)))  # NaN is greater than any number
+    return vectors.where(sound & (F.size(x) > 0)).select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), v.alias("v"))
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
@@ -58,12 +58,12 @@ class Index:
     def __init__(self, ids: np.ndarray, rows: np.ndarray, values: np.ndarray):
         self.ids, self.rows, self.count = ids, rows, len(ids)
         self.low = values.min(0).astype(np.int64)
-        shifted = (values - self.low).astype(np.uint32)
+        shifted = (values - self.low).astype(np.uint64)
         self.digits = max(1, int(shifted.max()).bit_length())
         self.words = -(-self.count // 64)
         self.slices = np.empty((values.shape[1], self.digits, self.words), np.uint64)
         for s in range(self.digits):
-            self.slices[:, s] = self._bitmap((shifted >> np.uint32(s) & np.uint32(1)).T)
+            self.slices[:, s] = self._bitmap((shifted >> np.uint64(s) & np.uint64(1)).T)
         self.every = self._bitmap(np.ones((1, self.count), np.uint32))[0]
 
     def _bitmap(self, bits: np.ndarray) -> np.ndarray:
@@ -76,9 +76,9 @@ class Index:
 
     def product(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Slices of the inner products of all rows with a query, less a constant."""
-        constant = int(query.astype(np.int64) @ self.low)
+        constant = sum(a * b for a, b in zip(query.tolist(), self.low.tolist()))
         full = (1 << self.digits) - 1
-        open_: list[list[np.ndarray]] = [[] for _ in range(70)]
+        open_: list[list[np.ndarray]] = [[] for _ in range(160)]
         for d in np.flatnonzero(query):
             q = int(query[d])
             slices = self.slices[d]
@@ -148,7 +148,7 @@ def _add(open_: list[list[np.ndarray]], weight: int, bitmap: np.ndarray) -> None
 def _packed(frame: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     frame = frame.combine_chunks()
     ids = frame["vec_id"].fill_null(_LAST_ID).to_numpy()
-    values = frame["v"].combine_chunks().flatten().to_numpy().reshape(-1, dim) if frame.num_rows else np.zeros((0, dim), np.int32)
+    values = frame["v"].combine_chunks().flatten().to_numpy().reshape(-1, dim) if frame.num_rows else np.zeros((0, dim), np.int64)
     return ids, frame["row"].to_numpy(), values
 
 
@@ -163,7 +163,7 @@ def top_k(vectors: DataFrame, queries, k: int = 5, id_col: str = "vec_id", vecto
     def pack_rows(key, frame):
         ids, at, values = _packed(frame, key[0].as_py())
         return pa.table({"dim": [key[0].as_py()], "block": [key[1].as_py()], "ids": [ids.astype("<i8").tobytes()],
-                         "rows": [at.astype("<i8").tobytes()], "vals": [values.astype("<i4").tobytes()]},
+                         "rows": [at.astype("<i8").tobytes()], "vals": [values.astype("<i8").tobytes()]},
                         schema=pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("rows", pa.binary()),
                                           ("vals", pa.binary())]))
 
@@ -175,27 +175,37 @@ def top_k(vectors: DataFrame, queries, k: int = 5, id_col: str = "vec_id", vecto
         return pa.table({"dim": [key[0].as_py()], "pack": [key[1].as_py()],
                          "qids": [frame["query_id"].to_numpy().astype("<i8").tobytes()],
                          "own": [frame["own"].to_numpy().astype("<i8").tobytes()],
-                         "qvals": [frame["v"].combine_chunks().flatten().to_numpy().astype("<i4").tobytes()]},
+                         "qvals": [frame["v"].combine_chunks().flatten().to_numpy().astype("<i8").tobytes()]},
                         schema=pa.schema([("dim", pa.int32()), ("pack", pa.int64()), ("qids", pa.binary()), ("own", pa.binary()),
                                           ("qvals", pa.binary())]))
 
     packs = materialize(chosen.select("dim", "pack", "query_id", "own", "v").groupBy("dim", "pack").applyInArrow(
         pack_queries, "dim int, pack long, qids binary, own binary, qvals binary"), "packs")
-    # every pack meets every block of its length: a block is repeated for each pack, then joined on the pack
-    numbers = packs.groupBy("dim").agg(F.collect_list("pack").alias("packs"))
-    units = blocks.join(numbers, "dim").withColumn("pack", F.explode("packs")).drop("packs").repartition(
-        int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block", "pack").join(packs, ["dim", "pack"])
-
-    def search(batch):
-        for i in range(batch.num_rows):
-            get = lambda c, kind: np.frombuffer(batch.column(c)[i].as_buffer(), kind)
-            dim = batch.column("dim")[i].as_py()
-            index = Index(get("ids", "<i8"), get("rows", "<i8"), get("vals", "<i4").reshape(-1, dim))
-            out = [(q, v, s, own) for q, own, x in zip(get("qids", "<i8").tolist(), get("own", "<i8").tolist(),
-                                                  get("qvals", "<i4").reshape(-1, dim)) for v, s in index.best(x, own, k)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(4)],
-                                             ["query_id", "vec_id", "score", "own"])
-    found = arrow_map(units.select("dim", "ids", "rows", "vals", "qids", "own", "qvals"), search,
-                      "query_id long, vec_id long, score long, own long")
+    # every pack meets every block of its length: packs, which are small, are copied for the blocks; a block is copied
+    # only for as many lanes of packs as it takes to keep the partitions busy
+    parts, count = partitions_for(blocks, 2), blocks.count()
+    lanes = max(1, min(packs.count(), -(-parts // max(1, count))))
+    numbers = blocks.groupBy("dim").agg(F.collect_list("block").alias("blocks"))
+    void = lambda *names: [F.lit(None).cast("binary").alias(n) for n in names]
+    left = blocks.select("dim", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("lane"), F.lit(-1).cast("long").alias("pack"),
+                         "ids", "rows", "vals", *void("qids", "own", "qvals"))
+    right = packs.join(numbers, "dim").select("dim", F.explode("blocks").alias("block"), F.pmod("pack", F.lit(lanes)).cast("long").alias("lane"), "pack",
+                                              *void("ids", "rows", "vals"), "qids", "own", "qvals")
+    units = left.unionByName(right).repartition(parts, "dim", "block", "lane").sortWithinPartitions("dim", "block", "lane", "pack")
+
+    def search(batches):
+        index = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                get = lambda c, kind: np.frombuffer(batch.column(c)[i].as_buffer(), kind)
+                dim = batch.column("dim")[i].as_py()
+                if batch.column("pack")[i].as_py() < 0:  # a block comes before its packs
+                    index = Index(get("ids", "<i8"), get("rows", "<i8"), get("vals", "<i8").reshape(-1, dim))
+                    continue
+                out = [(q, v, s, own) for q, own, x in zip(get("qids", "<i8").tolist(), get("own", "<i8").tolist(),
+                                                      get("qvals", "<i8").reshape(-1, dim)) for v, s in index.best(x, own, k)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(4)],
+                                                 ["query_id", "vec_id", "score", "own"])
+    found = units.mapInArrow(search, "query_id long, vec_id long, score long, own long")
     return found.selectExpr("query_id", "CAST(row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS INT) AS rank",
                             "vec_id", "score").where(F.col("rank") <= k)

@@ -15,7 +15,7 @@ inside a cluster, and a large group of copies costs a row a copy instead of all
 the rows of its largest cluster on one side only: the work grows with the rows outside of it.
 
 Within a cluster the full sets decide.  Clusters are cut into blocks, every two blocks meet in a tile, and a tile
-confirms its pairs within the distance on the full sets, skipping those whose ends are joined already by confirmed
+confirms its pairs on the full sets, skipping those whose ends are joined already by confirmed
 links; it reports a link for every two parts that it joined.  The links of all tiles have the components of all links.
 
 Edge cases: a null text, an empty one or one without words has an empty set, links with nothing and is its own
@@ -289,16 +289,14 @@ def _nearest(tiles: DataFrame, both_sides: bool) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """rep, its whole set and its signature, for the representatives that take part in a pair."""
+    """rep and its whole set, for the representatives that take part in a pair."""
     def per_batch(batch):
         for part in slices(batch, "text"):
             sets = [shingle_set(t) for t in part.column("text").to_pylist()]
             keep = [k for k, s in enumerate(sets) if len(s)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(keep, pa.int32())), pa.array([sets[k].tobytes() for k in keep], pa.binary()),
-                 pa.array([signature(sets[k]) for k in keep], pa.binary())], ["rep", "shingles", "sig"])
-    return arrow_map(docs.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), per_batch,
-                     "rep long, shingles binary, sig binary")
+                [part.column("doc_id").take(pa.array(keep, pa.int32())), pa.array([sets[k].tobytes() for k in keep], pa.binary())], ["rep", "shingles"])
+    return arrow_map(docs.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), per_batch, "rep long, shingles binary")
 
 
 class _Common:
@@ -337,7 +335,6 @@ def _confirmed(clusters: DataFrame, sets: DataFrame) -> DataFrame:
             sets = [np.frombuffer(x.as_buffer(), np.uint64) for p in parts for x in p.column("shingles")]
             if len(sets) < 2:
                 continue
-            sig = np.frombuffer(b"".join([x for p in parts for x in p.column("sig").to_pylist()]), "<u2").reshape(-1, CODES)
             n, common, part, out = np.array([len(s) for s in sets]), _Common(sets), np.arange(len(sets)), []
             two = parts[0].column("left")[0].as_py() != parts[0].column("right")[0].as_py()
             for x in range(len(sets) - 1):
@@ -345,7 +342,6 @@ def _confirmed(clusters: DataFrame, sets: DataFrame) -> DataFrame:
                 y = y[(part[y] != part[x]) & (4 * np.minimum(n[y], n[x]) >= 3 * np.maximum(n[y], n[x]))]
                 if two:
                     y = y[col["block"][y] != col["block"][x]]
-                y = y[(sig[y] != sig[x]).sum(1) <= FAR]
                 if len(y):
                     both = common(x, y)
                     y = y[100 * both >= 75 * (n[x] + n[y] - both)]
@@ -361,16 +357,16 @@ def _confirmed(clusters: DataFrame, sets: DataFrame) -> DataFrame:
         "comp", "rep", "block", "least(block, other) AS left", "greatest(block, other) AS right").join(sets, "rep")
     parts = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, "comp", "left", "right").sortWithinPartitions("comp", "left", "right")
-    return dealt.select("comp", "left", "right", "rep", "block", "shingles", "sig").mapInArrow(run, "a long, b long")
+    return dealt.select("comp", "left", "right", "rep", "block", "shingles").mapInArrow(run, "a long, b long")
 
 
-def connected(edges: DataFrame, most: int = 60) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """node and comp, the smallest node reachable, for the ends of ``edges`` (a, b).
 
     Every round each node takes the smallest neighbour of its neighbours and edges move to it (large and small stars);
     rounds are written to the shared folder, and end when every edge points at a smallest node."""
     edges = materialize(edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b").distinct(), "cc")
-    for _ in range(most):
+    while True:
         both = edges.unionByName(edges.selectExpr("b AS a", "a AS b"))
         low = both.groupBy("a").agg(F.min("b").alias("low")).selectExpr("a", "least(a, low) AS low")
         large = both.where("b > a").join(low, "a").selectExpr("b AS a", "low AS b").where("a <> b").distinct()
@@ -385,7 +381,6 @@ def connected(edges: DataFrame, most: int = 60) -> DataFrame:
         if not loose:
             return edges.selectExpr("a AS node", "b AS comp").unionByName(
                 edges.selectExpr("b AS node", "b AS comp").distinct())
-    raise RuntimeError("components did not settle")
 
 
 def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -107,6 +107,16 @@ def _text(data: bytes) -> str | None:
     return None if _CONTROL.search(text) else text
 
 
+def _wide(data: bytes) -> str | None:
+    """UTF-16 text of which half or more is Latin; None for other data."""
+    for zeros, codec in ((data[1::2], "utf-16-le"), (data[::2], "utf-16-be")):
+        if len(zeros) >= 4 and 2 * zeros.count(0) >= len(zeros):
+            text = data[:len(data) // 2 * 2].decode(codec, "replace").lstrip("\ufeff")
+            if not _CONTROL.search(text):
+                return text
+    return None
+
+
 def _url(run: str) -> list[tuple[str, int, int]]:
     """Characters of a run of URL escapes with their places in it; a stray byte is one character."""
     out, at = [], 0
@@ -135,6 +145,16 @@ def _escape(run: str) -> list[tuple[str, int, int]]:
     return out + ([(_STRAY, high[1], len(run))] if high else [])
 
 
+#: An escape that was escaped again and again: the first character and the unit that repeats.
+_CHAIN = re.compile(r"%(?:25){2,}|&(?:amp;){2,}|\\(?:u005[Cc]){2,}|\\(?:x5[Cc]){2,}")
+
+
+def _chain(run: str) -> list[tuple[str, int, int]]:
+    """A chain with one unit left.  What the layers between would show of it is a shorter part of it."""
+    cut = len(run) - {"%": 2, "&": 4}.get(run[0], 5 if run[1] == "u" else 3)
+    return [(run[0], 0, cut), *((run[k], k, k + 1) for k in range(cut, len(run)))]
+
+
 def _unescaped(layer: Layer, runs: re.Pattern, decode) -> Layer | None:
     """The layer with every decodable run of escapes replaced; None if there is none."""
     parts, first, last, at = [], [], [], 0
@@ -419,6 +439,8 @@ def _base64_layers(layer: Layer, most: int, show) -> tuple[list[Layer], list[tup
             ok = ok or members > broken
             lost += [0] * broken
             text = _text(data) if k == 0 or members else None
+            if text is None:
+                text = _wide(data)
             if text is None and _PLAIN.search(data):
                 text = data.decode("utf-8", "replace")
             if text:
@@ -444,10 +466,13 @@ def _scanned(text: str, max_layer: int) -> tuple[list, list, int, list]:
             if layer.first is not None:
                 every.update((a, k, b) for s, e, k in find(layer.text) for a, b in [layer.place(s, e)])
             inner = []
-            if "%" in layer.text:
-                inner.append(_unescaped(layer, _URL, _url))
-            if "\\" in layer.text or "&" in layer.text:
-                inner.append(_unescaped(layer, _ESCAPES, _escape))
+            if _CHAIN.search(layer.text):  # all its layers in one pass
+                inner.append(_unescaped(layer, _CHAIN, _chain))
+            else:
+                if "%" in layer.text:
+                    inner.append(_unescaped(layer, _URL, _url))
+                if "\\" in layer.text or "&" in layer.text:
+                    inner.append(_unescaped(layer, _ESCAPES, _escape))
 
             def fresh(new):
                 nonlocal opened

@@ -46,6 +46,14 @@ def test_edge_rows(spark, monkeypatch):
     assert best == [i for i, _ in sorted(scores.items(), key=lambda x: (-x[1], x[0]))][:4]
 
 
+def test_great_components_take_part_and_greater_ones_are_an_error(spark):
+    rows = [(0, [2.0, 1.0]), (1, [40000.0, 1.0]), (2, [3.0, -float(1 << 30)]), (3, [-float(1 << 40), 5.0])]
+    out = b.top_k(vectors(spark, rows), F.col("vec_id") == 0, 3).collect()
+    assert sorted((r["query_id"], r["rank"], r["score"]) for r in out) == brute(rows, 3, lambda i: i == 0)
+    with pytest.raises(Exception, match="a component beyond"):
+        b.top_k(vectors(spark, [(0, [1e30, 1.0])]), F.col("vec_id") == 0).count()
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert b.top_k(empty, F.col("vec_id") % 2 == 0).count() == 0

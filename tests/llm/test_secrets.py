@@ -151,3 +151,23 @@ def test_runs_that_were_not_opened_are_replaced():
     assert s.scan(run, max_layer=1000)[3] == 1 and s.redacted(f"a {run} b", max_layer=1000) == "a [SECRET] b"
     plain = b64(gzip.compress(b"".join(b"line %d, nothing\n" % k for k in range(4000))))
     assert s.scan(plain, max_layer=1000)[1] == [] and s.redacted(plain, max_layer=1000) == plain
+
+
+def test_escapes_that_were_escaped_again_take_one_pass():
+    """A chain costs a few layers whatever its length, and what it hides is found with its place in the document."""
+    import time
+    for lead, unit, tail in (("%", "25", "61"), ("&", "amp;", "#97;"), ("\\", "u005c", "u0061"), ("\\", "x5C", "x61")):
+        for depth in (1, 2, 3, 50_000):
+            text = f"pre p{lead}{unit * depth}{tail}ssword = hunter2hunter2 end"
+            began = time.time()
+            base, every, opened, unopened = s.scan(text)
+            assert not unopened and time.time() - began < 5
+            start, end = text.index("p" + lead), text.index(" end")
+            assert (start, 0, end) in every and opened <= 4, (lead, depth)
+
+
+@pytest.mark.parametrize("codec", ["utf-16-le", "utf-16-be", "utf-16"])
+def test_wide_text_in_base64(codec):
+    run = base64.b64encode("the password = hunter2hunter2 is wide".encode(codec)).decode()
+    text = f"see {run} end"
+    assert (4, 0, 4 + len(run)) in s.scan(text)[1]
