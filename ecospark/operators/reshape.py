@@ -42,22 +42,27 @@ def explode_wide(df: DataFrame, ids: Sequence[str], cols: Sequence[str] | None =
                          [(rename or str)(c) for c in cols], names_to, values_to, keep)
 
 
-def explode_cells(df: DataFrame, ids: Sequence[Column], cells: Column, names: Sequence[str], names_to: str,
-                  values_to: str, keep: Callable[[Column], Column] | None = None) -> DataFrame:
-    """``ids`` plus one row for each kept element of the array ``cells``, named by its position in ``names``.
-
-    The names travel as one string literal that the optimizer folds into a constant array, so the plan does not
-    grow with their number.  A cell beyond the last name has a NULL name.
+def explode_cells(df: DataFrame, ids: Sequence[Column], cells: Column, names: Sequence[str] | Sequence[Sequence[str]], names_to: str,
+                  values_to: str, keep: Callable[[Column], Column] | None = None, head: Column | None = None) -> DataFrame:
+    """``ids`` plus one row for each kept element of the array ``cells``, named by its position in ``names``; with
+    ``head``, in the list of ``names`` that it numbers.
+
+    Cells are unpacked and filtered in one generated loop, with no call for a cell.  The names travel as one string
+    literal a list that the optimizer folds into a constant array, so the plan does not grow with their number.  A cell
+    beyond the last name has a NULL name.
     """
-    sep = next(chr(c) for c in range(1, 32) if not any(chr(c) in n for n in names))
-    labels = F.split(F.lit(sep.join(names)), re.escape(sep))
-    numbered = F.transform(cells, lambda v, i: F.struct(i.alias("i"), v.alias("v")))
+    lists = [names] if head is None else names
+    sep = next(chr(c) for c in range(1, 32) if not any(chr(c) in n for names in lists for n in names))
+    labels = [F.split(F.lit(sep.join(names)), re.escape(sep)) for names in lists]
+    place = [] if len(labels) == 1 else [head.alias("__list")]
+    long = df.select(*ids, *place, F.posexplode(cells).alias("__at", "__cell"))
     if keep is not None:
-        numbered = F.filter(numbered, lambda s: keep(s["v"]))
-    long = df.select(*ids, F.explode(numbered).alias("__cell"))
-    kept = [c for c in long.columns if c != "__cell"]
-    return long.select(*[F.col(f"`{c}`") for c in kept], F.try_element_at(labels, F.col("__cell.i") + 1).alias(names_to),
-                       F.col("__cell.v").alias(values_to))
+        long = long.where(keep(F.col("__cell")))
+    name = F.try_element_at(labels[0], F.col("__at") + 1)
+    for k, label in enumerate(labels[1:], start=1):
+        name = F.when(F.col("__list") == k, F.try_element_at(label, F.col("__at") + 1)).otherwise(name)
+    kept = [c for c in long.columns if c not in ("__list", "__at", "__cell")]
+    return long.select(*[F.col(f"`{c}`") for c in kept], name.alias(names_to), F.col("__cell").alias(values_to))
 
 
 def pivot_fixed(df: DataFrame, keys: Sequence[str], names_from: str, values_from: str,

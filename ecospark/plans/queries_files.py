@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ecospark import functions as ef
 from ecospark.operators import aggregates, filters
+from ecospark.plans import attributes
 from ecospark.plans import testdata as td
+from ecospark.plans import trait_rules as tr
 from ecospark.plans.catalog import register
 from ecospark.session import checkpoint_dir
 from ecospark.sources import delimited, sinks
@@ -25,7 +27,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 def _write_lines(lines, header: str, path: str) -> None:
     """One text column as lines, each file beginning with ``header``."""
-    lines.toDF(header).write.option("header", True).option("sep", "\x01").option("quote", "\x00") \
+    lines.toDF(header).write.option("header", True).option("sep", "\ufdd0").option("quote", "\x00") \
         .option("escapeQuotes", False).option("emptyValue", "").option("nullValue", "") \
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
@@ -71,20 +73,73 @@ def european_file(spark: SparkSession, sf_dir: str):
 
 @register("fread_file", """
 SELECT CASE WHEN n_nationkey % 4 = 1 THEN NULL WHEN n_nationkey % 4 = 2 THEN '' ELSE n_name END AS nation,
-       CASE WHEN n_nationkey % 5 = 0 THEN 'note "' || n_name || '"' ELSE 'plain' END AS note, c_custkey AS key
+       CASE WHEN n_nationkey % 5 = 0 THEN 'note "' || n_name || '"' ELSE 'plain' END AS note, CAST(c_custkey AS VARCHAR) AS key,
+       NULL::BIGINT AS rank
 FROM customer JOIN nation ON n_nationkey = c_nationkey
-UNION ALL SELECT 'Nation', 'note', NULL FROM region""")
+UNION ALL SELECT 'Nation', 'note', 'key', NULL FROM region
+UNION ALL SELECT '', '', '', NULL FROM region
+UNION ALL SELECT chr(1) || ' ' || s_name, NULL, CAST(s_suppkey AS VARCHAR), s_suppkey % 7 FROM supplier""")
 def fread_file(spark: SparkSession, sf_dir: str):
-    """Tab-separated lines where only NA is missing, blanks stay, quotes are undone, and rows that repeat the
-    header's text are data."""
+    """Tab-separated lines where only NA is missing, blanks stay, quotes are undone, rows that repeat the
+    header's text and rows of blank cells are data, control characters are text, and files with other headers are read
+    by name."""
     c = td.table(spark, sf_dir, "customer").join(td.table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
     nation = F.when(F.col("n_nationkey") % 4 == 1, F.lit("NA")).when(F.col("n_nationkey") % 4 == 2, F.lit("")).otherwise(F.col("n_name"))
     note = F.when(F.col("n_nationkey") % 5 == 0, F.concat(F.lit('"note ""'), F.col("n_name"), F.lit('"""'))).otherwise(F.lit("plain"))
     lines = c.select(F.concat_ws("\t", nation, note, F.col("c_custkey").cast("string")).alias("value"))
-    again = td.table(spark, sf_dir, "region").select(F.lit("Nation\tnote\tkey").alias("value"))
+    r = td.table(spark, sf_dir, "region")
+    lines = lines.unionByName(r.select(F.lit("Nation\tnote\tkey").alias("value"))).unionByName(r.select(F.lit("\t\t").alias("value")))
     path = _scratch(spark, "fread")
-    _write_lines(lines.unionByName(again), "Nation\tnote\tkey", path)
-    return delimited.read_fread(spark, path).withColumn("key", F.col("key").try_cast("bigint"))
+    _write_lines(lines, "Nation\tnote\tkey", f"{path}/a")
+    other = td.table(spark, sf_dir, "supplier").select(F.concat_ws("\t", "s_suppkey", F.col("s_suppkey") % 7, F.concat(F.lit("\x01 "), "s_name")))
+    _write_lines(other, "key\trank\tNation", f"{path}/b")
+    return delimited.read_fread(spark, [f"{path}/a", f"{path}/b"])
+
+
+@register("typed_file", """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice > 150000 END AS flag,
+       CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS price,
+       CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate AS DATE) END AS day,
+       CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'odd' ELSE CAST(o_custkey AS VARCHAR) END AS late,
+       '0' || CAST(o_custkey AS VARCHAR) AS code, NULL::BOOLEAN AS nothing,
+       CASE WHEN o_orderkey % 11 = 0 THEN o_orderpriority || chr(10) || 'second, line' ELSE o_orderpriority END AS note
+FROM orders""")
+def typed_file(spark: SparkSession, sf_dir: str):
+    """Columns of a comma file get the type that all cells have - logical, integer, double, date - and stay
+    text for one odd cell in the last row or for leading zeros; a quoted cell goes over two lines."""
+    o = td.table(spark, sf_dir, "orders")
+    last = o.agg(F.max("o_orderkey").alias("last"))
+    k = F.col("o_orderkey")
+    rows = o.join(last, k == F.col("last"), "left").select(
+        k.alias("id"), F.when(k % 7 != 0, F.when(F.col("o_totalprice") > 150000, "TRUE").otherwise("FALSE")).alias("flag"),
+        F.when(k % 5 != 0, F.col("o_totalprice")).alias("price"), F.when(k % 3 != 0, F.col("o_orderdate").cast("date").cast("string")).alias("day"),
+        F.when(F.col("last").isNotNull(), "odd").otherwise(F.col("o_custkey").cast("string")).alias("late"),
+        F.concat(F.lit("0"), F.col("o_custkey").cast("string")).alias("code"), F.lit(None).cast("string").alias("nothing"),
+        F.when(k % 11 == 0, F.concat("o_orderpriority", F.lit("\nsecond, line"))).otherwise(F.col("o_orderpriority")).alias("note"))
+    path = _scratch(spark, "typed")
+    rows.write.option("header", True).option("nullValue", "NA").option("escape", '"').csv(path)
+    return delimited.read_csv(spark, path)
+
+
+@register("larval_sheet", f"""
+WITH g AS (SELECT p_brand, p_type, p_size, count(*) AS n FROM part GROUP BY ALL),
+s AS (SELECT *, row_number() OVER (ORDER BY p_brand, p_type, p_size) AS place FROM g)
+SELECT DISTINCT p_brand AS higher_taxon, p_type || chr(10) || CAST(p_size AS VARCHAR) AS family,
+       {", ".join(f"CASE WHEN (p_size + n) % {k} <> 0 THEN CAST((p_size * {k} + n) % 11 AS DOUBLE) / 10 END AS score_{k}" for k in range(4, 29))}
+FROM s WHERE place NOT BETWEEN {tr.LARVAL_JUNK_ROWS[0]} AND {tr.LARVAL_JUNK_ROWS[1]}""")
+def larval_sheet(spark: SparkSession, sf_dir: str):
+    """A landed sheet with a title line, a header row, all 25 scores, text in score cells, family names
+    over two lines, and junk rows in the middle.  A sheet has a row for each brand, type and size, however many parts."""
+    s = td.table(spark, sf_dir, "part").groupBy("p_brand", "p_type", "p_size").agg(F.count(F.lit(1)).alias("n"))
+    s = s.withColumn("at", F.row_number().over(Window.orderBy("p_brand", "p_type", "p_size")))
+    scores = [F.when((F.col("p_size") + F.col("n")) % k != 0, (F.pmod(F.col("p_size") * k + F.col("n"), F.lit(11)) / 10).cast("string"))
+              .otherwise(F.lit("n/a")) for k in range(4, 29)]
+    line = F.concat_ws(",", "p_brand", F.concat(F.lit('"'), "p_type", F.lit("\n"), F.col("p_size").cast("string"), F.lit(' "')), F.lit('"a, ""b"""'), *scores, F.lit("extra"))
+    head = ",".join(["Higher Taxon", "Family", "Note", *[f"Score {k}" for k in range(4, 29)], "Extra"])
+    top = spark.createDataFrame([(-1, "A sheet" + "," * 28), (0, head)], "at int, value string")
+    path = _scratch(spark, "larval")
+    top.unionByName(s.select("at", line.alias("value"))).coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
+    return attributes.tidy_larval_niche(attributes.land_larval_sheet(spark, path)).drop("_ord")
 
 
 @register("ordered_csv", """

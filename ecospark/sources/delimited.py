@@ -1,17 +1,21 @@
 """Delimited-file readers with the missing-value conventions of the original tools.
 
-Every reader reads strings first (a declared all-STRING schema or the header), then types columns with
-lenient casts, so one bad cell becomes NULL rather than failing the whole scan.
+Every reader scans strings and then gives a column the type that all of its cells have (``types.typed``: one aggregate
+over the whole file); with ``typed=False`` columns stay text.
 
-* readr (``read_tsv`` / ``read_csv`` / ``read_csv2``): ``NA`` and empty cells are missing.
-* data.table ``fread``: only ``NA`` is missing; a quoted empty string stays ''.
+* readr (``read_tsv`` / ``read_csv`` / ``read_csv2``): ``NA`` and empty cells are missing.  A quoted cell may hold line
+  breaks, so a file is one task; files above ``ONE_TASK`` bytes are an error unless the caller says that their records
+  are lines (``multi_line=False``), which lets Spark split them.
+* data.table ``fread``: only ``NA`` is missing; a blank cell of a text column stays ''.  Lines are records.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,13 +23,27 @@ from ecospark.functions.numeric import count_cell, european_double
 from ecospark.operators.columns import clean_names
 from ecospark.operators.reshape import explode_cells
 from ecospark.session import materialize
+from ecospark.sources import types
 
 ORD = "_ord"
+#: Bytes of a file that one task may read, where records can go over several lines.
+ONE_TASK = 512 << 20
+#: Different headers of the files of one read.
+MOST_HEADERS = 200
 
 
-def _read(spark: SparkSession, path: str | Sequence[str], sep: str, header: bool, schema=None) -> DataFrame:
+def _records_over_lines(spark: SparkSession, path, multi_line: bool | None) -> bool:
+    if multi_line is None:
+        largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0  # sizes only
+        if largest > ONE_TASK:
+            raise ValueError(f"{path}: a file of {largest} bytes; say multi_line=False if its records are lines, or True to read it in one task")
+        return True
+    return multi_line
+
+
+def _read(spark: SparkSession, path: str | Sequence[str], sep: str, header: bool, schema=None, multi_line: bool | None = None) -> DataFrame:
     reader = spark.read.option("sep", sep).option("header", header).option("nullValue", "NA") \
-        .option("quote", '"').option("escape", '"').option("multiLine", False)
+        .option("quote", '"').option("escape", '"').option("multiLine", _records_over_lines(spark, path, multi_line))
     if schema is not None:
         return reader.schema(schema).csv(path)
     df = reader.option("inferSchema", False).csv(path)
@@ -44,51 +62,64 @@ def _blank_to_null(df: DataFrame) -> DataFrame:
                        for c, t in df.dtypes])
 
 
-def read_tsv(spark: SparkSession, path, schema=None, clean: bool = False) -> DataFrame:
-    """readr ``read_tsv``."""
-    df = _blank_to_null(_read(spark, path, "\t", True, schema))
+def _readr(df: DataFrame, clean: bool, typed: bool, grammar: types.Grammar = types.PLAIN) -> DataFrame:
+    df = _blank_to_null(df)
+    if typed:
+        df = types.typed(df, grammar)
     return df.toDF(*clean_names(df.columns)) if clean else df
 
 
-def read_csv(spark: SparkSession, path, schema=None, clean: bool = False) -> DataFrame:
+def read_tsv(spark: SparkSession, path, schema=None, clean: bool = False, typed: bool = True, multi_line: bool | None = None) -> DataFrame:
+    """readr ``read_tsv``."""
+    return _readr(_read(spark, path, "\t", True, schema, multi_line), clean, typed and schema is None)
+
+
+def read_csv(spark: SparkSession, path, schema=None, clean: bool = False, typed: bool = True, multi_line: bool | None = None) -> DataFrame:
     """readr ``read_csv`` (S2); also the landing format for spreadsheet sheets."""
-    df = _blank_to_null(_read(spark, path, ",", True, schema))
-    return df.toDF(*clean_names(df.columns)) if clean else df
+    return _readr(_read(spark, path, ",", True, schema, multi_line), clean, typed and schema is None)
 
 
 def read_sheet(spark: SparkSession, path) -> DataFrame:
-    """A landed spreadsheet sheet (S4) with its columns numbered ``c1``, ``c2``, ...: quoting as in ``read_csv``; blank
-    cells stay as the file has them."""
+    """A landed spreadsheet sheet (S4) with its columns numbered ``c1``, ``c2``, ...: quoting as in ``read_csv``, cells
+    over several lines included; blank cells stay as the file has them, and all columns stay text, since the first rows
+    of a sheet may be titles."""
     df = _read(spark, path, ",", True)
     return df.toDF(*[f"c{i}" for i in range(1, len(df.columns) + 1)])
 
 
-def read_csv2(spark: SparkSession, path, numeric: Sequence[str] = (), clean: bool = True) -> DataFrame:
+def read_csv2(spark: SparkSession, path, numeric: Sequence[str] = (), clean: bool = True, typed: bool = True,
+              multi_line: bool | None = None) -> DataFrame:
     """readr ``read_csv2`` (S3): ';' separated, ',' decimal mark, '.' thousands mark.
 
-    ``numeric`` names (after cleaning) are parsed as European decimals; everything else stays STRING.
+    ``numeric`` names (after cleaning) are parsed as European decimals whatever their cells are, junk becoming NULL.
     """
-    df = _blank_to_null(_read(spark, path, ";", True))
+    df = _blank_to_null(_read(spark, path, ";", True, None, multi_line))
     if clean:
         df = df.toDF(*clean_names(df.columns))
     num = set(numeric)
-    return df.select(*[european_double(c).alias(c) if c in num else F.col(c) for c in df.columns])
+    df = df.select(*[european_double(c).alias(c) if c in num else F.col(f"`{c}`") for c in df.columns])
+    return types.typed(df, types.EUROPEAN) if typed else df
 
 
-def read_fread(spark: SparkSession, path, sep: str = "\t", clean: bool = True) -> DataFrame:
-    """data.table ``fread`` (S5): only ``NA`` is missing; blank cells stay ''.
+def read_fread(spark: SparkSession, path, sep: str = "\t", clean: bool = True, typed: bool = True) -> DataFrame:
+    """data.table ``fread`` (S5): only ``NA`` is missing; blank cells of text columns stay ''.
 
     Tab-separated files are read as text lines split on the tab (Spark's CSV reader cannot tell an unquoted
-    blank from ``NA``); a field wrapped in double quotes loses the quotes and ``""`` becomes ``"``.  Quoted
-    fields holding tabs or line breaks need the CSV path (``sep`` other than a tab).
+    blank from ``NA``); a field wrapped in double quotes loses the quotes and ``""`` becomes ``"``.  Every file has a
+    header of its own: columns are taken by name, in the order of the first file and then of their appearance, and are
+    NULL where a file has no such column.  Quoted fields holding tabs or line breaks need the CSV path (``sep`` other
+    than a tab).
     """
     if sep != "\t":
         df = _read(spark, path, sep, True)
-        return df.toDF(*clean_names(df.columns)) if clean else df
-    lines, names = _lines(spark, path)
-    fields = F.split(F.col("value"), "\t", -1)
-    cols = [_fread_cell(F.try_element_at(fields, F.lit(i))).alias(n) for i, n in enumerate(names, start=1)]
-    df = lines.select(*cols)
+    else:
+        lines, heads = _lines(spark, path)
+        fields = F.split(F.col("value"), "\t", -1)
+        names = list(dict.fromkeys(n for head in heads for n in head))
+        df = lines.select(*[_fread_cell(F.try_element_at(fields, _by_head([h.index(n) + 1 if n in h else None for h in heads], "int"))).alias(n)
+                            for n in names])
+    if typed:
+        df = types.typed(df, types.LEADING_ZEROS)
     return df.toDF(*clean_names(df.columns)) if clean else df
 
 
@@ -99,19 +130,57 @@ def _fread_cell(raw: Column) -> Column:
     return F.when(raw != F.lit("NA"), unquoted)
 
 
-def _lines(spark: SparkSession, path) -> tuple[DataFrame, list[str]]:
-    """The text lines of tab-separated files without the first line of each file, and the names in the first file's
-    header (one row on the driver).
-
-    The header goes by its place: the files are read as one-column CSV whose separator is no character of text, so
-    Spark drops the first line of a file and nothing that merely equals it.  Blank lines are skipped."""
-    header = spark.read.text(path).first()
-    if header is None:
+def _by_head(values: Sequence, to: str) -> Column:
+    """The value of a line's header."""
+    if len(set(values)) == 1:
+        return F.lit(values[0]).cast(to)
+    out = F.lit(None).cast(to)
+    for k, v in enumerate(values):
+        out = F.when(F.col("__head") == k, F.lit(v).cast(to)).otherwise(out)
+    return out
+
+
+def _first_lines(scan: DataFrame, first: bool) -> DataFrame:
+    """The first line of every file, or all others, by place: a task has the lines of a block in order, and the block
+    that starts a file starts with its header.  Batches are passed on whole, no line is looked at."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file, start = batch.column("__file").to_numpy(), batch.column("__start").to_numpy()
+            new = np.ones(len(file), bool)
+            new[1:] = (file[1:] != file[:-1]) | (start[1:] != start[:-1])
+            new[0] = before != (file[0], start[0])
+            before = file[-1], start[-1]
+            yield batch.filter(pa.array((new & (start == 0)) == first))
+    return scan.mapInArrow(run, scan.schema)
+
+
+def _lines(spark: SparkSession, path) -> tuple[DataFrame, list[list[str]]]:
+    """The text lines of tab-separated files (``value``) without the first line of each file, the number of the file's
+    header (``__head``), and the names in the headers, that of the first file first.
+
+    Headers are found and left out by their place in the file.  Empty lines are skipped; lines of blank cells are not."""
+    scan = spark.read.text(path).select("value", F.xxhash64("_metadata.file_path").alias("__file"),
+                                        F.col("_metadata.file_block_start").alias("__start"), F.col("_metadata.file_path").alias("__path"))
+    found = _first_lines(scan, True).groupBy("value").agg(F.min("__path").alias("path"), F.collect_list("__file").alias("files"))
+    heads = found.select("value", "path").orderBy("path").limit(MOST_HEADERS + 1).collect()
+    if not heads:
         raise ValueError(f"{path}: empty file")
-    names = [_unquote_text(h) for h in header.value.split("\t")]
-    lines = spark.read.schema("value string").option("header", True).option("sep", "\x01").option("quote", "") \
-        .option("escape", "").csv(path)
-    return lines, [n if n else f"__{i}" for i, n in enumerate(names, start=1)]
+    if len(heads) > MOST_HEADERS:
+        raise ValueError(f"{path}: more than {MOST_HEADERS} different headers")
+    lines = _first_lines(scan.select("value", "__file", "__start"), False).where(F.col("value") != "")
+    if len(heads) == 1:
+        lines = lines.select("value", F.lit(0).alias("__head"))
+    else:
+        number = F.lit(0)
+        for k, h in enumerate(heads):
+            number = F.when(F.col("value") == h["value"], k).otherwise(number)
+        of = found.select(number.alias("__head"), F.explode("files").alias("__file"))
+        lines = lines.join(of, "__file").select("value", "__head")
+    names = [[_unquote_text(n) for n in h["value"].removeprefix("\ufeff").split("\t")] for h in heads]
+    return lines, [[n if n else f"__{i}" for i, n in enumerate(head, start=1)] for head in names]
 
 
 def read_wide_counts(spark: SparkSession, path, id_col: str, names_to: str = "sample", values_to: str = "read_count",
@@ -120,20 +189,22 @@ def read_wide_counts(spark: SparkSession, path, id_col: str, names_to: str = "sa
     (BIGINT) for every cell above zero.
 
     A line is split once and its cells are kept as one array, so neither the plan nor the work for a cell grows with
-    the number of samples.  Blank, ``NA`` and unreadable cells count as missing; ``12.0`` and ``1e+05`` are counts.
+    the number of samples.  Every file's cells are named by its own header.  Blank, ``NA`` and unreadable cells count as missing; ``12.0`` and ``1e+05`` are counts.
     """
-    lines, names = _lines(spark, path)
-    if id_col not in names:
+    lines, heads = _lines(spark, path)
+    if any(id_col not in head for head in heads):
         raise ValueError(f"{path}: no column {id_col!r}")
-    at = names.index(id_col)
+    places = [head.index(id_col) for head in heads]
     fields = F.split(F.col("value"), "\t", -1)
-    cells = F.concat(F.slice(fields, 1, at), F.slice(fields, at + 2, len(names) - at - 1)) if at else \
-        F.slice(fields, 2, len(names) - 1)
-    labels = clean_names(names) if clean else list(names)
-    del labels[at]
+    at, width = _by_head(places, "int"), _by_head([len(h) for h in heads], "int")
+    after = F.slice(fields, at + 2, width - at - 1)
+    cells = after if not any(places) else F.concat(F.slice(fields, F.lit(1), at), after)
+    labels = [(clean_names(head) if clean else list(head)) for head in heads]
+    for label, place in zip(labels, places):
+        del label[place]
     # almost all cells are plain zeros or blanks: they go as text, and only the rest is read as numbers, row by row
-    long = explode_cells(lines, [_fread_cell(F.try_element_at(fields, F.lit(at + 1))).alias(id_col)], cells, labels,
-                         names_to, values_to, keep=lambda v: ~v.isin("0", "", "NA"))
+    long = explode_cells(lines, [_fread_cell(F.try_element_at(fields, at + 1)).alias(id_col)], cells, labels,
+                         names_to, values_to, keep=lambda v: ~v.isin("0", "", "NA"), head=F.col("__head"))
     return long.withColumn(values_to, count_cell(values_to)).filter(F.col(values_to) > 0)
 
 
