@@ -55,7 +55,9 @@ def explode_cells(df: DataFrame, ids: Sequence[Column], cells: Column, names: Se
     sep = next(chr(c) for c in range(1, 32) if not any(chr(c) in n for names in lists for n in names))
     labels = [F.split(F.lit(sep.join(names)), re.escape(sep)) for names in lists]
     place = [] if len(labels) == 1 else [head.alias("__list")]
-    long = df.select(*ids, *place, F.posexplode(cells).alias("__at", "__cell"))
+    # what a row has once is computed below the explode; beside it, it would be computed for every cell
+    df = df.select(*ids, *place, cells.alias("__cells"))
+    long = df.select(*[F.col(f"`{c}`") for c in df.columns[:-1]], F.posexplode("__cells").alias("__at", "__cell"))
     if keep is not None:
         long = long.where(keep(F.col("__cell")))
     name = F.try_element_at(labels[0], F.col("__at") + 1)
