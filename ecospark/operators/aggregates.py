@@ -29,7 +29,7 @@ def missing_by_group(df: DataFrame, group: str, count_col: str = "n_missing") ->
     """Per group: rows with any missing cell and their total missing cells, largest first."""
     return (df.filter(F.col(count_col) > 0).groupBy(group)
             .agg(F.count(F.lit(1)).alias("n_missing_families"),
-                 F.sum(count_col).cast("bigint").alias("total_missing_traits"))
+                 F.sum(count_col).cast("bigint").alias("total_missing_attributes"))
             .orderBy(F.desc_nulls_last("n_missing_families"), F.asc_nulls_last(group)))
 
 

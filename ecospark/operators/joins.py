@@ -195,6 +195,37 @@ def patch(x: DataFrame, y: DataFrame, by: Sequence[str], null_safe: bool = True)
                            for c in x.columns])
 
 
+def patch_chain(x: DataFrame, patches: Sequence[DataFrame], by: Sequence[str], null_safe: bool = True) -> DataFrame:
+    """``rows_patch`` by one table after the other (J7) with one aggregate and one join.
+
+    The tables become one table with their rank; per key and column the first value that is present, by rank, is what
+    the chain would have filled in.  The same aggregate counts the rows of each table under a key, and a key that a
+    table has twice fails the job.  Columns that a table lacks are missing in it; the result equals
+    ``patch(patch(x, y1, by), y2, by)`` and so on.
+    """
+    by, patches = list(by), list(patches)
+    extra = list(dict.fromkeys(c for y in patches for c in y.columns if c not in by))
+    missing = [c for c in extra if c not in x.columns]
+    if missing:
+        raise ValueError(f"patch: columns {missing} are not in x")
+    if not patches:
+        return x
+    types = dict(x.dtypes)
+    ktmp, vtmp = [f"__pk{i}" for i in range(len(by))], {c: f"__pv{i}" for i, c in enumerate(extra)}
+    ranked = [y.select(F.lit(rank).alias("__rank"), *[F.col(k).alias(t) for k, t in zip(by, ktmp)],
+                       *[(F.col(c) if c in y.columns else F.lit(None)).cast(types[c]).alias(vtmp[c]) for c in extra])
+              for rank, y in enumerate(patches)]
+    best = [F.min(F.when(F.col(v).isNotNull(), F.struct("__rank", v))).alias(v) for v in vtmp.values()]
+    twice = reduce(lambda a, b: a | b, [F.col(f"__n{rank}") > 1 for rank in range(len(patches))])
+    fill = reduce(DataFrame.unionByName, ranked).groupBy(*ktmp).agg(
+        *best, *[F.count(F.when(F.col("__rank") == rank, 1)).alias(f"__n{rank}") for rank in range(len(patches))])
+    # in a filter, so that no projection of other columns can leave the check out
+    fill = fill.filter(F.when(twice, F.raise_error(F.lit(f"patch: y keys {by} are not unique")).cast("boolean")).otherwise(F.lit(True)))
+    fill = fill.select(*ktmp, *[F.col(f"{v}.{v}").alias(v) for v in vtmp.values()])
+    joined = x.join(fill, _cond([x[k] for k in by], [fill[t] for t in ktmp], null_safe), "left")
+    return joined.select(*[F.coalesce(F.col(c), F.col(vtmp[c])).alias(c) if c in vtmp else F.col(c) for c in x.columns])
+
+
 def null_key_report(left: DataFrame, right: DataFrame, on: KeySpec | str) -> DataFrame:
     """One-row diagnostic before a null-safe join: rows whose keys are all NULL on each side and the number of
     (left, right) pairs those rows will produce, since NA matches NA (SURVEY 4.3.3).  One aggregate over the

@@ -121,13 +121,13 @@ def fill_window(df: DataFrame, cols: Sequence[str], group_by: Sequence[str], ord
 def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The first row of each group: the one with the smallest ``order_by`` per group.
 
-    Ties on ``order_by`` are broken by the remaining columns, so the result is deterministic.
+    Ties on ``order_by`` are broken by the remaining columns, so the result is deterministic.  Spark limits a group
+    before the shuffle: a task sends one row of each of its groups on, however hot a group is.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(order_key(order_by).alias("__o"), *[F.col(c) for c in rest])
-    return (df.groupBy(*keys).agg(F.min(packed).alias("__first"))
-            .select(*keys, *[F.col(f"__first.{c}").alias(c) for c in rest]))
+    rest = [c for c in df.columns if c not in [*keys, *order_by]]
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in order_by] + [F.col(f"`{c}`").asc_nulls_first() for c in rest]
+    nth = F.row_number().over(Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order))
+    return df.withColumn("__nth", nth).where(F.col("__nth") == 1).drop("__nth").select(*keys, *[c for c in df.columns if c not in keys])
 
 
 def with_group_extremes(df: DataFrame, keys: Sequence[str], mins: Sequence[str] = (),

@@ -5,7 +5,7 @@ returns a lazily planned DataFrame; nothing is collected.  Sources carry an ``_o
 row order matters later (the back-fill orders rows the way R would have them after the full joins).
 
 Trait sources are per-family tables (hundreds to thousands of rows); the cluster taxonomy joined in
-``compile_traits`` is the large input and is only ever reduced (``distinct``) before it is joined.
+``compile_attributes`` is the large input and is only ever reduced (``distinct``) before it is joined.
 """
 
 from __future__ import annotations
@@ -171,7 +171,7 @@ def tidy_soil_niche(raw: DataFrame) -> DataFrame:
 def tidy_expert_general(raw: DataFrame) -> DataFrame:
     """General expert table: drop sequencing columns, numeric lengths, at least one category, no
     Ichneumonidae (NA family dropped too, as ``!=`` does)."""
-    df = raw.drop(*[c for c in ("n_otu", "n_obs", "reads", "in_iba") if c in raw.columns])
+    df = raw.drop(*[c for c in ("n_otu", "n_obs", "reads", "in_checklist") if c in raw.columns])
     df = df.withColumns({"length_min": _numeric(df, "length_min"), "length_max": _numeric(df, "length_max")})
     df = df.filter(F.col("main_feeding_niche").isNotNull() | F.col("main_feeding_habitat").isNotNull())
     return df.filter(F.col("family") != F.lit(tr.EXPERT_EXCLUDED_FAMILY))
@@ -260,8 +260,8 @@ def backfill_sizes(merged: DataFrame, orders: Sequence[str] = tr.BACKFILL_ORDERS
 
 
 # ------------------------------------------------------------------------------------------ C10
-def compile_traits(body: DataFrame, larval: DataFrame, feeding: DataFrame, soil: DataFrame | None,
-                   taxonomy: DataFrame, experts: Sequence[DataFrame] = (), recipe: TraitRecipe = CURRENT) -> DataFrame:
+def compile_attributes(body: DataFrame, larval: DataFrame, feeding: DataFrame, soil: DataFrame | None,
+                       taxonomy: DataFrame, experts: Sequence[DataFrame] = (), recipe: TraitRecipe = CURRENT) -> DataFrame:
     """Merged, rule-filled, back-filled trait table joined to the checklist of sequenced families,
     flagged ``in_checklist``, then patched by the expert tables in priority order.
 
@@ -279,8 +279,7 @@ def compile_traits(body: DataFrame, larval: DataFrame, feeding: DataFrame, soil:
     families = taxa.select(*fam_cols).distinct()
     out = joins.natural_join(attributes, families, how="full", strategy="native")
     out = joins.mark_join(out, families, [("family", "family")], "in_checklist")
-    for y in experts:
-        out = joins.patch(out, y, KEYS)
+    out = joins.patch_chain(out, experts, KEYS)
     return out.drop(*[c for c in out.columns if c.startswith("_ord")])
 
 
@@ -302,6 +301,6 @@ def complete_case_families(all_attributes: DataFrame) -> DataFrame:
     return filters.drop_na(all_attributes.drop("sub_family")).select("family")
 
 
-def complete_traits(all_attributes: DataFrame) -> DataFrame:
+def complete_attributes(all_attributes: DataFrame) -> DataFrame:
     """``drop_na(-sub_family)``."""
     return filters.drop_na_except(all_attributes, ["sub_family"])

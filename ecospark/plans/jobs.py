@@ -60,7 +60,7 @@ def trait_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
         attributes.tidy_expert_mites(_renamed(cfg, _sheet(spark, cfg["expert_mites"]))),
         attributes.tidy_expert_spiders(_renamed(cfg, delimited.read_csv2(spark, cfg["expert_spiders"]))),
     ]
-    all_attributes = attributes.compile_traits(body, larval, feeding, soil, taxonomy, experts)
+    all_attributes = attributes.compile_attributes(body, larval, feeding, soil, taxonomy, experts)
     # hand-off table, read back by everything downstream (cuts the lineage of the compilation)
     all_attributes = sinks.handoff(all_attributes, _out(cfg, "all_attributes.parquet"))
     sinks.write_csv_r(all_attributes, _out(cfg, "all_attributes.csv"), _row_order(all_attributes))
@@ -79,7 +79,7 @@ def _row_order(df: DataFrame) -> list:
 
 def trait_job_v1(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     """The older trait compilation (C24): taxonomy (TSV), body_mass (;-CSV), feeding (sheet), larval (sheet);
-    no soil or expert tables, no phylum filter, keys trimmed after the joins.  Output: all_traits_v1."""
+    no soil or expert tables, no phylum filter, keys trimmed after the joins.  Output: all_attributes_v1."""
     recipe = attributes.V1
     taxonomy = columns.clean_columns(delimited.read_tsv(spark, cfg["taxonomy"]))
     body = attributes.tidy_body_size(
@@ -87,16 +87,16 @@ def trait_job_v1(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
                                   "_ord"), recipe)
     larval = attributes.tidy_larval_niche(attributes.land_larval_sheet(spark, cfg["larval"]), recipe)
     feeding = attributes.tidy_feeding_niche(_sheet(spark, cfg["feeding"]), recipe)
-    out = attributes.compile_traits(body, larval, feeding, None, taxonomy, [], recipe)
-    out = sinks.handoff(out, _out(cfg, "all_traits_v1.parquet"))
-    sinks.write_csv_r(out, _out(cfg, "all_traits_v1.csv"), _row_order(out))
+    out = attributes.compile_attributes(body, larval, feeding, None, taxonomy, [], recipe)
+    out = sinks.handoff(out, _out(cfg, "all_attributes_v1.parquet"))
+    sinks.write_csv_r(out, _out(cfg, "all_attributes_v1.csv"), _row_order(out))
     return out
 
 
 def occurrence_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     """Occurrence assembly (C13-C19).  Inputs: taxonomy, clusters (wide counts), seq_meta, malaise_meta,
     trap_meta (all tab-separated, read like ``fread``), all_attributes (parquet hand-off), classification
-    (parquet: taxon_key, name, rank, id).  Outputs: occurrence_traits, niche_richness (parquet)."""
+    (parquet: taxon_key, name, rank, id).  Outputs: occurrence_attributes, niche_richness (parquet)."""
     taxonomy = delimited.read_fread(spark, cfg["taxonomy"])
     counts = delimited.read_wide_counts(spark, cfg["clusters"], "cluster", "sample_id_ngi", clean=True)
     long = occ.read_counts_long(taxonomy, counts, wide=False)
@@ -106,8 +106,8 @@ def occurrence_job(spark: SparkSession, cfg: Mapping[str, str]) -> DataFrame:
     o = occ.occurrences(long, meta)
     all_attributes = spark.read.parquet(cfg["all_attributes"])
     subs = occ.subfamily_lookup(spark.read.parquet(cfg["classification"]))
-    all_data = occ.occurrence_traits(o, subs, occ.feeding_lookup(all_attributes))
-    all_data = sinks.handoff(all_data, _out(cfg, "occurrence_traits.parquet"))
+    all_data = occ.occurrence_attributes(o, subs, occ.feeding_lookup(all_attributes))
+    all_data = sinks.handoff(all_data, _out(cfg, "occurrence_attributes.parquet"))
     richness = occ.niche_richness(all_data)
     sinks.write_table(richness, _out(cfg, "niche_richness.parquet"))
     return richness
@@ -117,8 +117,8 @@ def summary_job(spark: SparkSession, cfg: Mapping[str, str], trap: str = "trapID
                 sample: str = "sampleID_LAB") -> DataFrame:
     """Reads and samples per family joined to the missing-trait report (C20-C22).  Inputs: all_attributes
     (parquet), taxonomy (TSV, first column = cluster), clusters (TSV, wide), seq_meta, malaise_meta (TSV).
-    Outputs: missing_traits_seq.csv, missing_traits_summary.csv (per family, as shipped) and
-    missing_traits_by_order.csv (as coded)."""
+    Outputs: missing_attributes_seq.csv, missing_attributes_summary.csv (per family, as shipped) and
+    missing_attributes_by_order.csv (as coded)."""
     taxonomy = columns.rename_ordinal(delimited.read_tsv(spark, cfg["taxonomy"]), 1, "cluster")
     counts = delimited.read_wide_counts(spark, cfg["clusters"], "cluster", sample)
     meta = joins.natural_join(delimited.read_tsv(spark, cfg["seq_meta"]),
@@ -127,15 +127,15 @@ def summary_job(spark: SparkSession, cfg: Mapping[str, str], trap: str = "trapID
     reads = summaries.family_reads(counts, taxonomy.withColumnRenamed("Family", "family"), meta, sample=sample,
                                    reads="read_count", trap=trap, sort=False).withColumnRenamed("family", "Family")
     all_attributes = spark.read.parquet(cfg["all_attributes"]).withColumnRenamed("family", "Family")
-    missing = summaries.missing_traits(all_attributes, key_cols=("higher_taxon", "Family"), flag="in_checklist")
-    seq = summaries.missing_traits_seq(missing, reads, flag="in_checklist")
-    sinks.write_csv_r(seq, _out(cfg, "missing_traits_seq.csv"), _row_order(seq))
+    missing = summaries.missing_attributes(all_attributes, key_cols=("higher_taxon", "Family"), flag="in_checklist")
+    seq = summaries.missing_attributes_seq(missing, reads, flag="in_checklist")
+    sinks.write_csv_r(seq, _out(cfg, "missing_attributes_seq.csv"), _row_order(seq))
     # as shipped (D2): every family, zero-missing ones included, so counted on the unfiltered selection
     report = all_attributes.select("higher_taxon", "Family", *summaries.TRAIT_REPORT_COLS, "in_checklist")
     by_family = summaries.missing_summary_by_family(report, ("higher_taxon", "Family"))
-    sinks.write_csv_r(by_family, _out(cfg, "missing_traits_summary.csv"), _row_order(by_family))
+    sinks.write_csv_r(by_family, _out(cfg, "missing_attributes_summary.csv"), _row_order(by_family))
     by_order = summaries.missing_summary_by_order(missing)
-    sinks.write_csv_r(by_order, _out(cfg, "missing_traits_by_order.csv"),
+    sinks.write_csv_r(by_order, _out(cfg, "missing_attributes_by_order.csv"),
                       [F.desc_nulls_last(by_order.columns[1]), F.asc_nulls_last(by_order.columns[0])])
     return seq
 

@@ -79,7 +79,7 @@ def subfamily_lookup(classification: DataFrame, ranks: Sequence[str] = tr.CLASSI
     return wide.drop("taxon_key")
 
 
-def occurrence_traits(occ: DataFrame, subfamilies: DataFrame, feeding: DataFrame,
+def occurrence_attributes(occ: DataFrame, subfamilies: DataFrame, feeding: DataFrame,
                       families: Sequence[str] = tr.SUBFAMILY_FAMILIES) -> DataFrame:
     """Three families get attributes by (family, subfamily) after a (family, genus) sub-family lookup; all
     others (NA family included) by family alone, fanning out over the family's niches (D14).

@@ -150,19 +150,19 @@ def trait_compile(spark: SparkSession, sf_dir: str):
     body, larval, feeding = _trait_inputs(spark, sf_dir, attributes.CURRENT)
     soil = attributes.tidy_soil_niche(tt.soil_raw(spark, sf_dir))
     expert = attributes.tidy_expert_general(tt.expert_general(spark, sf_dir))
-    return attributes.compile_traits(body, larval, feeding, soil, tt.taxonomy(spark, sf_dir), [expert])
+    return attributes.compile_attributes(body, larval, feeding, soil, tt.taxonomy(spark, sf_dir), [expert])
 
 
-@register("all_traits_v1", trait_sql(attributes.V1, with_soil=False, with_expert=False))
-def all_traits_v1(spark: SparkSession, sf_dir: str):
+@register("all_attributes_v1", trait_sql(attributes.V1, with_soil=False, with_expert=False))
+def all_attributes_v1(spark: SparkSession, sf_dir: str):
     """The older recipe as a configuration: trim after the joins, no recode / distinct of body sizes,
     opposite Blattodea mapping, no soil or expert data, no phylum filter, no class column."""
     body, larval, feeding = _trait_inputs(spark, sf_dir, attributes.V1)
-    return attributes.compile_traits(body, larval, feeding, None, tt.taxonomy(spark, sf_dir), [], attributes.V1)
+    return attributes.compile_attributes(body, larval, feeding, None, tt.taxonomy(spark, sf_dir), [], attributes.V1)
 
 
 # ------------------------------------------------------------------------------------ trait reports
-def compiled_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def compiled_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The compiled table that the reports are made of, compiled from the given tables on every call."""
     return trait_compile(spark, sf_dir)
 
@@ -177,7 +177,7 @@ FROM ct WHERE higher_taxon IS NOT NULL AND family IS NOT NULL AND length_min IS
   AND mycetophagous IS NOT NULL AND coprophagous IS NOT NULL AND saproxylic IS NOT NULL AND roots IS NOT NULL""")
 def trait_completeness(spark: SparkSession, sf_dir: str):
     """Complete cases of the compiled table except ``sub_family`` (``drop_na(-sub_family)``)."""
-    ct = attributes.complete_traits(compiled_traits(spark, sf_dir))
+    ct = attributes.complete_attributes(compiled_attributes(spark, sf_dir))
     return ct.select("higher_taxon", "family", "length_min", "length_max", "main_feeding_niche",
                      "main_feeding_habitat", "in_checklist")
 
@@ -274,7 +274,7 @@ def niche_richness(spark: SparkSession, sf_dir: str):
     then distinct clusters per (feeding niche, week, trap) for insect samples."""
     taxo, o = _occurrence_inputs(spark, sf_dir)
     subs = occ.subfamily_lookup(_classification(taxo))
-    all_data = occ.occurrence_traits(o, subs, _feeding(spark, sf_dir), tt.SUBFAMILY_FAMILIES_TD)
+    all_data = occ.occurrence_attributes(o, subs, _feeding(spark, sf_dir), tt.SUBFAMILY_FAMILIES_TD)
     return occ.niche_richness(all_data)
 
 
@@ -303,13 +303,13 @@ def occurrence_rows(spark: SparkSession, sf_dir: str):
     """Every row of the occurrence table with its sample, week, trap, sub-family and niche."""
     taxo, o = _occurrence_inputs(spark, sf_dir)
     subs = occ.subfamily_lookup(_classification(taxo))
-    rows = occ.occurrence_traits(o, subs, _feeding(spark, sf_dir), tt.SUBFAMILY_FAMILIES_TD)
+    rows = occ.occurrence_attributes(o, subs, _feeding(spark, sf_dir), tt.SUBFAMILY_FAMILIES_TD)
     return rows.select("cluster", "class", "family", "genus", "sample_id_ngi", "lab_sample_type", "trap_id", "week_year",
                        "subfamily", "feeding_niche")
 
 
 # ----------------------------------------------------------------------------- missing-trait reports
-_ALL_TRAITS_TD_SQL = """atr AS (
+_ALL_ATTRIBUTES_TD_SQL = """atr AS (
   SELECT tm.higher_taxon, tm.family, tm.length_min, tm.length_max, tm.niche AS main_feeding_niche,
          CASE WHEN tm.ord % 3 = 0 THEN NULL ELSE 'Plants' END AS main_feeding_habitat,
          EXISTS (SELECT 1 FROM taxa WHERE taxa.family IS NOT DISTINCT FROM tm.family AND taxa.phylum = 'Arthropoda')
@@ -320,7 +320,7 @@ mt AS (
                       OR main_feeding_habitat IS NULL)"""
 
 
-def _all_traits_td(spark, sf_dir):
+def _all_attributes_td(spark, sf_dir):
     t = td.tm(spark, sf_dir)
     at = t.select("higher_taxon", "family", "length_min", "length_max",
                   F.col("niche").alias("main_feeding_niche"),
@@ -339,16 +339,16 @@ _FR_SQL = """fr AS (
   GROUP BY family)"""
 
 
-@register("missing_traits_report", td.with_views(f""", {_ALL_TRAITS_TD_SQL}, {_FR_SQL}
+@register("missing_attributes_report", td.with_views(f""", {_ALL_ATTRIBUTES_TD_SQL}, {_FR_SQL}
 SELECT mt.*, fr.n_otu, fr.n_obs, fr.reads
 FROM mt LEFT JOIN fr ON mt.family IS NOT DISTINCT FROM fr.family WHERE mt.in_checklist""", "tm", "taxa", "cl", "traps"))
-def missing_traits_report(spark: SparkSession, sf_dir: str):
+def missing_attributes_report(spark: SparkSession, sf_dir: str):
     """Families with a missing trait, joined to reads / clusters / traps per family, sequenced only;
     family totals repeat over duplicate (order, family) rows (D13)."""
-    missing = summaries.missing_traits(_all_traits_td(spark, sf_dir), flag="in_checklist")
+    missing = summaries.missing_attributes(_all_attributes_td(spark, sf_dir), flag="in_checklist")
     reads = summaries.family_reads(td.cl(spark, sf_dir), td.taxa(spark, sf_dir), td.traps(spark, sf_dir),
                                    sort=False)
-    return summaries.missing_traits_seq(missing, reads, flag="in_checklist")
+    return summaries.missing_attributes_seq(missing, reads, flag="in_checklist")
 
 
 _NMISS = ("CAST((higher_taxon IS NULL) AS INTEGER) + CAST((family IS NULL) AS INTEGER) "
@@ -357,20 +357,20 @@ _NMISS = ("CAST((higher_taxon IS NULL) AS INTEGER) + CAST((family IS NULL) AS IN
           "+ CAST((main_feeding_habitat IS NULL) AS INTEGER) + CAST((in_checklist IS NULL) AS INTEGER)")
 
 
-@register("missing_summary_by_family", td.with_views(f""", {_ALL_TRAITS_TD_SQL}
+@register("missing_summary_by_family", td.with_views(f""", {_ALL_ATTRIBUTES_TD_SQL}
 SELECT higher_taxon, family, {_NMISS} AS n_missing FROM atr""", "tm", "taxa"))
 def missing_summary_by_family(spark: SparkSession, sf_dir: str):
     """C22 as shipped: every family row with its count of missing cells (keys and flag included, D12)."""
-    return summaries.missing_summary_by_family(_all_traits_td(spark, sf_dir))
+    return summaries.missing_summary_by_family(_all_attributes_td(spark, sf_dir))
 
 
-@register("missing_summary_by_order", td.with_views(f""", {_ALL_TRAITS_TD_SQL}
-SELECT higher_taxon, count(*) AS n_missing_families, CAST(sum(n) AS BIGINT) AS total_missing_traits
+@register("missing_summary_by_order", td.with_views(f""", {_ALL_ATTRIBUTES_TD_SQL}
+SELECT higher_taxon, count(*) AS n_missing_families, CAST(sum(n) AS BIGINT) AS total_missing_attributes
 FROM (SELECT higher_taxon, {_NMISS} AS n FROM mt) x WHERE n > 0
 GROUP BY higher_taxon ORDER BY n_missing_families DESC, higher_taxon""", "tm", "taxa"))
 def missing_summary_by_order(spark: SparkSession, sf_dir: str):
     """C22 as coded: per order, families with missing attributes and their total missing cells, largest first."""
-    missing = summaries.missing_traits(_all_traits_td(spark, sf_dir), flag="in_checklist")
+    missing = summaries.missing_attributes(_all_attributes_td(spark, sf_dir), flag="in_checklist")
     return summaries.missing_summary_by_order(missing)
 
 

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from ecospark.plans import testdata as td
 from ecospark.plans import testdata_attributes as tt
 from ecospark.plans import attributes
 from ecospark.plans.catalog import register
+from ecospark.session import checkpoint_dir
+from ecospark.sources import tables
 
 _ORD = tt._case_sql("p_brand", tt.ORDER_NAMES)
 
@@ -141,9 +145,7 @@ def expert_patches(spark: SparkSession, sf_dir: str):
         "higher_taxon", "family", *_PATCH_COLS)
     mites = attributes.tidy_expert_mites(_mites_raw(spark, sf_dir))
     spiders = attributes.tidy_expert_spiders(_spiders_raw(spark, sf_dir))
-    for y in (general, mites, spiders):
-        x = joins.patch(x, y, attributes.KEYS)
-    return x
+    return joins.patch_chain(x, [general, mites, spiders], attributes.KEYS)
 
 
 # --------------------------------------------------------------------------------- trait-table reports
@@ -154,7 +156,7 @@ def _ct_sql(body: str) -> str:
 @register("missing_life_history", _ct_sql("SELECT higher_taxon, family, larva_aquatic, in_checklist FROM ct WHERE in_checklist"))
 def missing_life_history(spark: SparkSession, sf_dir: str):
     """C11: life-history columns (regex selected) of sequenced families."""
-    return attributes.missing_life_history(qc.compiled_traits(spark, sf_dir))
+    return attributes.missing_life_history(qc.compiled_attributes(spark, sf_dir))
 
 
 _PATTERN_COLS = ["main_feeding_niche", "length_min", "length_max", *qc.SCORES,
@@ -165,7 +167,7 @@ _PATTERN_COLS = ["main_feeding_niche", "length_min", "length_max", *qc.SCORES,
     "SELECT " + ", ".join(f"{c} IS NULL AS {c}" for c in _PATTERN_COLS) + ", count(*) AS n FROM ct GROUP BY ALL"))
 def trait_missing_patterns(spark: SparkSession, sf_dir: str):
     """Missingness patterns of the trait columns of the compiled table."""
-    return attributes.trait_missing_patterns(qc.compiled_traits(spark, sf_dir))
+    return attributes.trait_missing_patterns(qc.compiled_attributes(spark, sf_dir))
 
 
 @register("complete_case_families", _ct_sql(
@@ -173,7 +175,7 @@ def trait_missing_patterns(spark: SparkSession, sf_dir: str):
         f"{c} IS NOT NULL" for c in ["higher_taxon", "family", "mass_reference", "in_checklist", *_PATTERN_COLS])))
 def complete_case_families(spark: SparkSession, sf_dir: str):
     """Families whose columns, the sub-family aside, are all there."""
-    return attributes.complete_case_families(qc.compiled_traits(spark, sf_dir))
+    return attributes.complete_case_families(qc.compiled_attributes(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------------- occurrence steps
@@ -257,14 +259,31 @@ def subfamily_lookup(spark: SparkSession, sf_dir: str):
     return occ.subfamily_lookup(qc._classification(tt.taxonomy(spark, sf_dir))).distinct()
 
 
-@register("occurrence_traits", qc.NICHE_SQL[:qc.NICHE_SQL.index("\ng AS (") + 1] + """d AS (SELECT * FROM a UNION ALL SELECT * FROM b)
+@register("classification_files", td.with_views(f"""
+SELECT DISTINCT replace(family, ' ', '') AS family, split_part(genus, '_', 1) AS subfamily, genus, false AS lost FROM taxa
+WHERE replace(family, ' ', '') IN ({_SUBFAM_IN}) AND genus IS NOT NULL
+UNION ALL SELECT NULL, NULL, NULL, true FROM region""", "taxa"))
+def classification_files(spark: SparkSession, sf_dir: str):
+    """A folder of saved classification tables, a few of them broken: the others are read and bound, and a
+    row stands for each file that is lost."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/classification-{uuid.uuid4().hex}"
+    qc._classification(tt.taxonomy(spark, sf_dir)).repartition(8, "taxon_key").write.parquet(f"{path}/sound")
+    broken = td.table(spark, sf_dir, "region").select("r_regionkey", F.concat(F.lit("PAR1"), "r_name").alias("value"))
+    broken.write.partitionBy("r_regionkey").text(f"{path}/broken")  # a file a region that begins like a table and ends there
+    found = tables.read_table_list(spark, path, "taxon_key string, rank string, name string, id long")
+    good = occ.subfamily_lookup(found.where("error IS NULL").drop("file", "error")).distinct()
+    lost = found.where("error IS NOT NULL").select(*[F.lit(None).cast("string").alias(c) for c in good.columns])
+    return good.withColumn("lost", F.lit(False)).unionByName(lost.withColumn("lost", F.lit(True)))
+
+
+@register("occurrence_attributes", qc.NICHE_SQL[:qc.NICHE_SQL.index("\ng AS (") + 1] + """d AS (SELECT * FROM a UNION ALL SELECT * FROM b)
 SELECT class, feeding_niche, count(*) AS n_rows, count(DISTINCT {'x': cluster}) AS n_clusters FROM d GROUP BY ALL""")
-def occurrence_traits(spark: SparkSession, sf_dir: str):
+def occurrence_attributes(spark: SparkSession, sf_dir: str):
     """Occurrences with attributes - three families by (family, subfamily), the rest by
     family with fan-out (D14); summarised per (class, niche) so the whole table is compared."""
     taxo, o = qc._occurrence_inputs(spark, sf_dir)
     subs = occ.subfamily_lookup(qc._classification(taxo))
-    all_data = occ.occurrence_traits(o, subs, qc._feeding(spark, sf_dir), tt.SUBFAMILY_FAMILIES_TD)
+    all_data = occ.occurrence_attributes(o, subs, qc._feeding(spark, sf_dir), tt.SUBFAMILY_FAMILIES_TD)
     return all_data.groupBy("class", "feeding_niche").agg(
         F.count(F.lit(1)).alias("n_rows"), ef.distinct_with_null("cluster").alias("n_clusters"))
 

@@ -204,7 +204,7 @@ def row_missing_count(spark: SparkSession, sf_dir: str):
     CAST((length_min IS NULL) AS INTEGER) + CAST((length_max IS NULL) AS INTEGER)
     + CAST((niche IS NULL) AS INTEGER) + CAST((family IS NULL) AS INTEGER) AS n_missing
   FROM tm)
-SELECT higher_taxon, count(*) AS n_missing_families, CAST(sum(n_missing) AS BIGINT) AS total_missing_traits
+SELECT higher_taxon, count(*) AS n_missing_families, CAST(sum(n_missing) AS BIGINT) AS total_missing_attributes
 FROM m WHERE n_missing > 0 GROUP BY higher_taxon
 ORDER BY n_missing_families DESC, higher_taxon""", "tm"))
 def missing_by_group(spark: SparkSession, sf_dir: str):

@@ -42,14 +42,14 @@ def family_reads(counts: DataFrame, taxonomy: DataFrame, sample_traps: DataFrame
 TRAIT_REPORT_COLS = ("length_min", "length_max", "main_feeding_niche", "main_feeding_habitat")
 
 
-def missing_traits(all_attributes: DataFrame, trait_cols: Sequence[str] = TRAIT_REPORT_COLS,
-                   key_cols: Sequence[str] = ("higher_taxon", "family"), flag: str = "in_iba") -> DataFrame:
+def missing_attributes(all_attributes: DataFrame, trait_cols: Sequence[str] = TRAIT_REPORT_COLS,
+                   key_cols: Sequence[str] = ("higher_taxon", "family"), flag: str = "in_checklist") -> DataFrame:
     """C21 first half: families with at least one missing trait among the ``main|length`` columns."""
     sel = all_attributes.select(*key_cols, *trait_cols, flag)
     return keep_any_missing(sel, matching(sel, ["main", "length"]))
 
 
-def missing_traits_seq(missing: DataFrame, reads: DataFrame, flag: str = "in_iba") -> DataFrame:
+def missing_attributes_seq(missing: DataFrame, reads: DataFrame, flag: str = "in_checklist") -> DataFrame:
     """Missing-trait families joined to their read totals, kept only when the flag is TRUE.
 
     Rows that only have reads have no flag and go with the flag filter, so the full join is a LEFT join.

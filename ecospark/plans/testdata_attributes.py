@@ -111,7 +111,7 @@ def expert_general(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("k") % 2 == 0, F.lit("Predator")).alias("main_feeding_niche"),
                     F.when(F.col("k") % 5 == 0, F.lit("Soil")).alias("main_feeding_habitat"),
                     F.col("n").alias("n_otu"), F.col("n").alias("n_obs"), F.col("n").alias("reads"),
-                    F.lit("TRUE").alias("in_iba"))
+                    F.lit("TRUE").alias("in_checklist"))
 
 
 def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,7 +111,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     seq = jobs.summary_job(spark, sum_cfg)
     got = {r.Family: (r.n_otu, r.n_obs, r.reads) for r in seq.collect()}
     assert got.get("Muscidae", (None,))[0] in (None, 2)
-    reads = {r.Family: r for r in spark.read.option("header", True).csv(os.path.join(out, "missing_traits_summary.csv"))
+    reads = {r.Family: r for r in spark.read.option("header", True).csv(os.path.join(out, "missing_attributes_summary.csv"))
              .collect()}
     assert reads["Carabidae"].n_missing == "0" and reads["Miridae"].n_missing == "3"
 

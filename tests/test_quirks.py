@@ -33,7 +33,7 @@ def test_d17_isotomidae_reassigned_before_checklist_join(spark):
     body, larval, feeding = _sources(spark, [("Poduromorpha", "Isotomidae")])
     taxonomy = spark.createDataFrame([("Arthropoda", "Collembola", "Entomobryomorpha", "Isotomidae")],
                                      "phylum string, class string, order string, family string")
-    out = attributes.compile_traits(body, larval, feeding, None, taxonomy)
+    out = attributes.compile_attributes(body, larval, feeding, None, taxonomy)
     assert rows(out, "higher_taxon", "family", "class", "in_checklist") == [
         ("Entomobryomorpha", "Isotomidae", "Collembola", True)]
 
@@ -44,7 +44,7 @@ def test_d13_family_totals_repeat_over_duplicate_keys(spark):
                                     "higher_taxon string, family string, length_min double, in_checklist boolean")
     reads = spark.createDataFrame([("Ichneumonidae", 3743, 199, 51514066)],
                                   "family string, n_otu long, n_obs long, reads long")
-    seq = summaries.missing_traits_seq(missing, reads, flag="in_checklist")
+    seq = summaries.missing_attributes_seq(missing, reads, flag="in_checklist")
     assert seq.count() == 2 and seq.agg(F.sum("reads")).first()[0] == 2 * 51514066
 
 
@@ -60,5 +60,5 @@ def test_uncleaned_taxonomy_headers_still_join_on_family(spark):
     body, larval, feeding = _sources(spark, [("Coleoptera", "Carabidae")])
     taxonomy = spark.createDataFrame([("Arthropoda", "Insecta", "Coleoptera", "Carabidae")],
                                      "Phylum string, Class string, Order string, Family string")
-    out = attributes.compile_traits(body, larval, feeding, None, taxonomy)
+    out = attributes.compile_attributes(body, larval, feeding, None, taxonomy)
     assert rows(out, "higher_taxon", "family", "class", "in_checklist") == [("Coleoptera", "Carabidae", "Insecta", True)]

@@ -68,11 +68,11 @@ def test_occurrence_branches(spark):
     feeding = spark.createDataFrame([("Braconidae", None, "P"), ("Braconidae", "Alysiinae", "Q"),
                                      ("Carabidae", None, "Predator"), ("Carabidae", "x", "Phytophagous")],
                                     "family string, subfamily string, feeding_niche string")
-    out = occ.occurrence_traits(o, subs, feeding)
+    out = occ.occurrence_attributes(o, subs, feeding)
     assert set(out.columns) >= {"sub_family", "subfamily", "feeding_niche"}
     assert rows(out, "cluster", "feeding_niche") == [("c1", "P"), ("c2", "Phytophagous"), ("c2", "Predator"),
                                                      ("c3", None)]
-    ref = occurrence_traits_split(o, subs, feeding)
+    ref = occurrence_attributes_split(o, subs, feeding)
     cols = sorted(ref.columns)
     assert sorted(out.columns) == cols
     assert rows(out, *cols) == rows(ref, *cols)
@@ -107,7 +107,7 @@ def test_land_larval_sheet(spark, tmp_path):
     assert rows(tidy.filter(F.col("family") == "F10"), "higher_taxon", "family", "score_5") == [("O1", "F10", 0.0)]
 
 
-def occurrence_traits_split(occ, subfamilies, feeding,
+def occurrence_attributes_split(occ, subfamilies, feeding,
                             families=tr.SUBFAMILY_FAMILIES):
     """C18 as three parts that are joined on different keys and put together again: the reference form."""
     sub = filters.filter_in(occ, "family", families)

@@ -17,11 +17,11 @@ def test_sample_rows(spark):
     by_family = summaries.missing_summary_by_family(at)
     assert rows(by_family) == [("Blattodea", "Blaberidae", 2), ("Coleoptera", "Carabidae", 0),
                                ("Hymenoptera", "Ichneumonidae", 1)]
-    missing = summaries.missing_traits(at, flag="in_checklist")
+    missing = summaries.missing_attributes(at, flag="in_checklist")
     assert rows(missing, "family") == [("Blaberidae",), ("Ichneumonidae",)]
     reads = spark.createDataFrame([("Blaberidae", 1, 1, 10), ("Ichneumonidae", 3743, 199, 51514066)],
                                   "family string, n_otu long, n_obs long, reads long")
-    seq = summaries.missing_traits_seq(missing, reads, flag="in_checklist")
+    seq = summaries.missing_attributes_seq(missing, reads, flag="in_checklist")
     assert rows(seq, "family", "n_otu", "n_obs", "reads") == [("Blaberidae", 1, 1, 10),
                                                              ("Ichneumonidae", 3743, 199, 51514066)]
 
@@ -40,7 +40,7 @@ def test_pattern_frequencies(spark):
     as_int = {tuple(int(x) for x in r[:4]): r.n for r in got.collect()}
     assert as_int == patterns
     assert at.count() == 373
-    by_order = summaries.missing_summary_by_order(summaries.missing_traits(at, flag="in_checklist"))
+    by_order = summaries.missing_summary_by_order(summaries.missing_attributes(at, flag="in_checklist"))
     assert by_order.agg(F.sum("n_missing_families")).first()[0] == 373
     # every missing cell is counted once: 304*4 + 56*2 + 7*2 + 5 + 1*3
-    assert by_order.agg(F.sum("total_missing_traits")).first()[0] == 304 * 4 + 56 * 2 + 7 * 2 + 5 + 3
+    assert by_order.agg(F.sum("total_missing_attributes")).first()[0] == 304 * 4 + 56 * 2 + 7 * 2 + 5 + 3
