@@ -21,7 +21,6 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -29,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecospark.llm.common import arrow_map, documents_of, drop_scratch, materialize, partitions_for, scratch_path, slices
+from ecospark.llm.common import arrow_map, documents_of, drop_scratch, materialize, partitions_for, scratch_path, slices, worker_cache
 
 #: Words remembered in one Python worker; beyond it, those that were met once are forgotten.
 CACHE_WORDS = 500_000
@@ -39,21 +38,33 @@ ORC_OPTIONS = {"orc.create.index": "true", "orc.row.index.stride": "10000", "orc
 
 
 class IdTable(dict):
-    """Row numbers of words, with the ids of all rows end to end."""
+    """Row numbers of words, which get one when they are looked up, with the ids of all rows."""
 
     def __init__(self):
         super().__init__()
+        self.words: list[str] = []
         self.first, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def add(self, words: list[str], flat: np.ndarray, size: np.ndarray) -> None:
-        """Words that are not in the table yet."""
-        self.update(zip(words, range(len(self.first), len(self.first) + len(words))))
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
-        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self.words)
+        self.words.append(word)
+        return n
+
+    def fresh(self) -> list[str]:
+        """The words that were looked up and have no ids yet."""
+        return self.words[len(self.first):]
 
     def rows(self, words) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64)
 
+    def put(self, words: list[str], flat: np.ndarray, size: np.ndarray) -> None:
+        """The ids of fresh words end to end, and the number of each."""
+        rows, more = self.rows(words), len(self.words) - len(self.first)
+        if more:
+            self.first, self.size = (np.concatenate([x, np.zeros(more, np.int64)]) for x in (self.first, self.size))
+        self.first[rows], self.size[rows] = len(self.flat) + np.cumsum(size) - size, size
+        self.flat = np.concatenate([self.flat, flat])
+
     def ids(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the rows end to end, and the number of each."""
         size = self.size[rows]
@@ -61,13 +72,11 @@ class IdTable(dict):
         place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[rows] - ends + size, size)
         return self.flat[place], size
 
-    def keep(self, words: list[str]) -> None:
-        """Forget all other words."""
-        flat, size = self.ids(self.rows(words))
-        self.clear()
-        self.first = self.size = np.zeros(0, np.int64)
-        self.flat = self.flat[:0]
-        self.add(words, flat, size)
+    def kept(self, rows: np.ndarray) -> IdTable:
+        """A table of these rows only."""
+        out, words = IdTable(), [self.words[k] for k in rows.tolist()]
+        out.put(words, *self.ids(rows))
+        return out
 
 
 class WordEncoder:
@@ -83,15 +92,9 @@ class WordEncoder:
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for t, i in names.items() if t.endswith(_END)]] = True
-        #: Words, and those that were met again in a later call; parts of words.
-        self.seen, self.parts = IdTable(), self._no_parts()
-        self.again: set[str] = set()
-
-    @staticmethod
-    def _no_parts() -> IdTable:
-        parts = IdTable()
-        parts.add(["\n"], np.zeros(0, np.uint32), np.zeros(1, np.int64))  # parts words and has no ids
-        return parts
+        #: Words, and which of them were met again in a later call; parts of words.
+        self.seen, self.parts = IdTable(), IdTable()
+        self.again = np.zeros(0, bool)
 
     def _splits_at_space(self) -> bool:
         """Whether white space always parts words: it is dropped by the pre-tokenizer and starts no token."""
@@ -114,7 +117,7 @@ class WordEncoder:
         lines = [words[i:i + 256] for i in range(0, len(words), 256)]
         for line, e in zip(lines, self.tokenizer.encode_batch(lines, is_pretokenized=True, add_special_tokens=False)):
             cuts = np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(line) + 1))
-            into.add(line, np.array(e.ids, np.uint32), np.diff(cuts))
+            into.put(line, np.array(e.ids, np.uint32), np.diff(cuts))
 
     def _encode_parts(self, parts: list[str]) -> None:
         """Parts that the pre-tokenizer does not cut: the last id of each carries the end mark of a word."""
@@ -127,24 +130,23 @@ class WordEncoder:
             else:
                 self._encode_words(line, self.parts)
         if held:
-            self.parts.add([p for line, _, _ in held for p in line], *(np.concatenate([h[c] for h in held]) for c in (1, 2)))
+            self.parts.put([p for line, _, _ in held for p in line], *(np.concatenate([h[c] for h in held]) for c in (1, 2)))
 
     def _remember(self, words: list[str]) -> None:
         """Encode words.  Those of Latin letters are cut as the tokenizer's pattern cuts them, and their parts are
         remembered as well: 'Word,' and 'WORD' share the part 'word'."""
         plain = [w for w in words if w.isascii() or not _OTHER.search(w)] if self.latin else []
         if plain:
-            cut = _PARTS.findall("\n".join(plain).lower())
-            wanted = set(cut)
             if len(self.parts) > CACHE_WORDS // 2:
-                kept, self.parts = self.parts, self._no_parts()
-                kept.keep([p for p in wanted if p in kept and p != "\n"])
-                self.parts.add(list(kept), kept.flat, kept.size)
-            if missing := wanted.difference(self.parts):
-                self._encode_parts(list(missing))
+                self.parts = IdTable()
+            cut = _PARTS.findall("\n".join(plain).lower())
             rows = self.parts.rows(cut)
+            if fresh := self.parts.fresh():
+                self._encode_parts([p for p in fresh if p != "\n"])  # which parts words and has no ids
+                self.parts.put([], np.zeros(0, np.uint32), np.zeros(0, np.int64))
             flat, size = self.parts.ids(rows)
-            self.seen.add(plain, flat, np.add.reduceat(size, np.concatenate([[0], np.flatnonzero(rows == 0) + 1])))
+            ends = np.flatnonzero(rows == self.parts["\n"]) + 1 if len(plain) > 1 else []
+            self.seen.put(plain, flat, np.add.reduceat(size, np.concatenate([[0], ends]).astype(np.int64)))
         if len(plain) < len(words):
             self._encode_words(list(set(words).difference(plain)), self.seen)
 
@@ -152,16 +154,16 @@ class WordEncoder:
         """Ids of each text."""
         whole = [not self.apart or bool(_ODD.search(t)) or any(s in t for s in self.special) for t in texts]
         cut = [[] if w else t.split() for t, w in zip(texts, whole)]
-        words = set().union(*cut)
         if len(self.seen) > CACHE_WORDS:  # words that were met in one call only go
-            kept = self.again if len(self.again) < CACHE_WORDS // 2 else words.intersection(self.again)
-            self.seen.keep(list(kept))
-            self.again = kept
-        missing = words.difference(self.seen)
-        self.again |= words - missing
-        if missing:
-            self._remember(list(missing))
-        flat, size = self.seen.ids(self.seen.rows(chain.from_iterable(cut)))
+            again = np.flatnonzero(self.again)
+            self.seen = self.seen.kept(again if len(again) < CACHE_WORDS // 2 else again[:0])
+            self.again = np.zeros(len(self.seen), bool)
+        rows = self.seen.rows(chain.from_iterable(cut))
+        self.again[rows[rows < len(self.again)]] = True
+        if fresh := self.seen.fresh():
+            self._remember(fresh)
+            self.again = np.concatenate([self.again, np.zeros(len(fresh), bool)])
+        flat, size = self.seen.ids(rows)
         ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, cut)])]
         odd = iter(self.tokenizer.encode_batch_fast([t for t, w in zip(texts, whole) if w], add_special_tokens=False))
         return [np.array(next(odd).ids, np.uint32) if w else flat[a:b] for w, a, b in zip(whole, ends, ends[1:])]
@@ -178,10 +180,9 @@ _OTHER = re.compile("[^\x21-\u017f]")
 _ODD = re.compile("[\x1c-\x1f]")
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str) -> WordEncoder:
     """The encoder of a tokenizer file, made once in each Python worker."""
-    return WordEncoder(path)
+    return worker_cache(f"encoder {path}", lambda: WordEncoder(path))
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
