@@ -46,6 +46,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_held: dict[str, object] = {}
+
+
+def worker_cache(key: str, make):
+    """What an operator remembers in a Python worker.  Workers are used by one operator after the other; only the one
+    at work keeps what it remembers, so that a worker's memory does not grow with the operators it has served."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def drop_scratch(df: DataFrame) -> None:
     """Delete the files of a table that ``materialize`` wrote and that nothing reads any more."""
     spark = df.sparkSession

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ecospark.llm.common import arrow_map, documents_of, materialize, slices, spare_names
+from ecospark.llm.common import arrow_map, documents_of, materialize, slices, spare_names, worker_cache
 
 SHINGLE, CODES, CHUNKS, BITS = 5, 64, 16, 16
 WIDTH = CODES // CHUNKS
@@ -61,13 +61,11 @@ class _Words(dict):
         return h
 
 
-_words = _Words()
-
-
 def shingle_set(text: str) -> np.ndarray:
     """Sorted distinct hashes of the five-word shingles of a text."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the six ASCII spaces only
-    h = np.array([_words[w] for w in words], np.uint64)
+    known = worker_cache("words of shingles", _Words)
+    h = np.array([known[w] for w in words], np.uint64)
     if not len(h):
         return h
     n = max(1, len(h) - SHINGLE + 1)

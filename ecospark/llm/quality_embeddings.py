@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ecospark.llm.common import arrow_map, documents_of, slices
+from ecospark.llm.common import arrow_map, documents_of, slices, worker_cache
 from ecospark.llm.hashed_words import WordTable, labelled_features, pair_slots, word_hash
 
 #: Labelled documents used for training at most.
@@ -132,9 +132,6 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scoring(plain: DataFrame, labels: DataFrame, keep, label: str, train_rows: int):
     """A function from texts to scores, for use in tasks."""
     weights = plain.sparkSession.sparkContext.broadcast(
@@ -142,10 +139,8 @@ def _scoring(plain: DataFrame, labels: DataFrame, keep, label: str, train_rows:
     key = uuid.uuid4().hex
 
     def score(texts: list[str]) -> np.ndarray:
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(*weights.value)
-        return _scorers[key](texts)
+        scorer = worker_cache(key, lambda: Scorer(*weights.value))
+        return scorer(texts)
     return score
 
 

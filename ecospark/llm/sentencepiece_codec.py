@@ -19,7 +19,6 @@ import re
 import struct
 import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from ecospark.llm.common import arrow_map, documents_of, slices
+from ecospark.llm.common import arrow_map, documents_of, slices, worker_cache
 
 MARK = "▁"
 _MARK = MARK.encode()
@@ -242,11 +241,12 @@ class Codec:
 _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
-@lru_cache(maxsize=4)
 def codec(path: str) -> Codec:
     """The codec of a model file, made once in each Python worker."""
-    with open(path, "rb") as f:
-        return Codec(f.read())
+    def made() -> Codec:
+        with open(path, "rb") as f:
+            return Codec(f.read())
+    return worker_cache(f"codec {path}", made)
 
 
 def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ecospark.llm.common import arrow_map, documents_of, drop_scratch, materialize, slices, spare_names
+from ecospark.llm.common import arrow_map, documents_of, drop_scratch, materialize, slices, spare_names, worker_cache
 from ecospark.llm.hashed_words import CACHE_WORDS, labelled_features, word_hash
 from ecospark.llm.toxicity_ftrl import SLOTS, Ftrl, plain_word
 
@@ -127,9 +127,6 @@ class Scorer:
         return np.array([len(w) for w in words], np.int64), 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def domains_of(columns: list[str]) -> list[str]:
     """Names of the combinations of label values, in the order of the posteriors: ``quality1_toxic0`` and so on."""
     return ["_".join(f"{c}{v}" for c, v in zip(columns, values)) for values in itertools.product((0, 1), repeat=len(columns))]
@@ -147,11 +144,9 @@ def posteriors(docs: DataFrame, labels: DataFrame, columns: list[str], train_row
         plain = plain.withColumn("text_key", F.xxhash64("text"))
 
     def per_batch(batch):
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(models.value)
+        scorer = worker_cache(key, lambda: Scorer(models.value))
         for part in slices(batch, "text"):
-            tokens, one = _scorers[key](part.column("text").to_pylist())
+            tokens, one = scorer(part.column("text").to_pylist())
             p = np.stack([np.prod(np.where(np.array(v), one, 1 - one), axis=1) for v in combos], axis=1)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * len(combos), pa.int32()), pa.array(p.ravel()))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(tokens), lists] + [part.column(c) for c in ["text_key"] * keyed],

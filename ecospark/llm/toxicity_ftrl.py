@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ecospark.llm.common import arrow_map, documents_of, slices
+from ecospark.llm.common import arrow_map, documents_of, slices, worker_cache
 from ecospark.llm.hashed_words import WordTable, labelled_sample, pair_slots, word_hash
 
 #: Labelled documents used for training at most.
@@ -132,9 +132,6 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def score_documents(docs: DataFrame, labels: DataFrame, keep=None, label: str = "toxic", train_rows: int = TRAIN_ROWS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score of every document; ``keep`` is a condition on doc_id for rows that may be learned from."""
@@ -143,10 +140,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, keep=None, label: str =
     key = uuid.uuid4().hex
 
     def per_batch(batch):
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(*weights.value)
-        scorer = _scorers[key]
+        scorer = worker_cache(key, lambda: Scorer(*weights.value))
         for part in slices(batch, "text"):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scorer(part.column("text").to_pylist()))],
                                              ["doc_id", "score"])
