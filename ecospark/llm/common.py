@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import itertools
 import re
 import tempfile
@@ -53,11 +55,22 @@ def worker_cache(key: str, make):
     """What an operator remembers in a Python worker.  Workers are used by one operator after the other; only the one
     at work keeps what it remembers, so that a worker's memory does not grow with the operators it has served."""
     if key not in _held:
-        _held.clear()
+        if _held:
+            _held.clear()
+            _returned()
         _held[key] = make()
     return _held[key]
 
 
+def _returned() -> None:
+    """Give freed memory back to the system: Spark counts what a worker holds, used or not."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def drop_scratch(df: DataFrame) -> None:
     """Delete the files of a table that ``materialize`` wrote and that nothing reads any more."""
     spark = df.sparkSession

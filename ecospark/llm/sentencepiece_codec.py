@@ -33,7 +33,7 @@ from ecospark.llm.common import arrow_map, documents_of, slices, worker_cache
 MARK = "▁"
 _MARK = MARK.encode()
 #: Segments remembered in one Python worker; beyond it the memory is started anew.
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 250_000
 
 
 class CharMap:
