@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ecospark import functions as ef
 from ecospark.operators import joins
 from ecospark.plans import occurrences as occ
+from ecospark.plans import oracle_rules as orules
 from ecospark.plans import summaries, attributes
 from ecospark.plans import testdata as td
 from ecospark.plans import testdata_attributes as tt
@@ -30,36 +31,25 @@ def _ns(a: str, b: str, keys) -> str:
     return " AND ".join(f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in keys)
 
 
-def _fill_rule_sql(target: str, rules) -> str:
-    parts = []
-    for conds, value in rules:
-        test = " AND ".join(f"{c} > {t}" for c, t in conds)
-        parts.append(f"WHEN {target} IS NULL AND {test} THEN '{value}'")
-    return f"CASE {' '.join(parts)} ELSE {target} END"
-
-
-def _override_sql(target: str, rules) -> str:
-    parts = " ".join(f"WHEN {c} = '{v}' THEN '{new}'" for c, v, new in rules)
-    return f"CASE {parts} ELSE {target} END"
-
-
 def trait_sql(recipe: attributes.TraitRecipe, with_soil: bool, with_expert: bool) -> str:
     """Oracle SQL for the trait compilation analogue (current recipe or the older one)."""
     trim = recipe.trim_before_join
 
+    older = recipe is attributes.V1
+
     def t(col):
         return f"rtrim({col}, {WS})" if trim else col
 
     ords = ["ord_body", "ord_larval", "ord_feeding"] + (["ord_soil"] if with_soil else [])
     body_cols = "higher_taxon, family, length_min, length_max, mass_reference"
-    body_ht = _recode_sql("raw_order", tr.HIGHER_TAXON_SYNONYMS) if recipe.body_recode else "raw_order"
+    body_ht = orules.ORDER_SYNONYMS.format("raw_order") if recipe.body_recode else "raw_order"
     body_sel = f"SELECT {body_ht} AS higher_taxon, family, length_min, length_max, mass_reference, ord FROM body"
     body_t = (f"SELECT {body_cols}, min(ord) AS ord FROM ({body_sel}) b GROUP BY ALL"
               if recipe.body_distinct else body_sel)
-    larval_t = (f"SELECT {_recode_sql(t('higher_taxon'), recipe.larval_synonyms)} AS higher_taxon, "
-                f"{_recode_sql(t('family'), tr.FAMILY_SYNONYMS)} AS family, {', '.join(SCORES)}, min(ord) AS ord "
+    larval_t = (f"SELECT {(orules.ORDER_SYNONYMS_OLDER if older else orules.ORDER_SYNONYMS).format(t('higher_taxon'))} AS higher_taxon, "
+                f"{orules.FAMILY_SYNONYMS.format(t('family'))} AS family, {', '.join(SCORES)}, min(ord) AS ord "
                 f"FROM larval GROUP BY ALL")
-    feed_sel = (f"SELECT {_recode_sql(t('raw_order'), recipe.feeding_synonyms)} AS higher_taxon, {t('family')} AS family, "
+    feed_sel = (f"SELECT {(orules.FEEDING_SYNONYMS_OLDER if older else orules.ORDER_SYNONYMS).format(t('raw_order'))} AS higher_taxon, {t('family')} AS family, "
                 f"sub_family, main_feeding_niche, main_feeding_habitat, ord FROM feeding")
     feeding_t = (f"SELECT higher_taxon, family, sub_family, main_feeding_niche, "
                  f"main_feeding_habitat, min(ord) AS ord FROM ({feed_sel}) f GROUP BY ALL"
@@ -85,14 +75,14 @@ def trait_sql(recipe: attributes.TraitRecipe, with_soil: bool, with_expert: bool
     keys_trim = "" if trim else (f"SELECT * REPLACE (rtrim(higher_taxon, {WS}) AS higher_taxon, "
                                  f"rtrim(family, {WS}) AS family) FROM {merged}")
     src = "trimmed" if not trim else merged
-    rules = (f"SELECT * REPLACE ({_fill_rule_sql('main_feeding_niche', tr.NICHE_FILL)} "
-             f"AS main_feeding_niche, {_fill_rule_sql('main_feeding_habitat', tr.HABITAT_FILL)} "
+    rules = (f"SELECT * REPLACE ({orules.NICHE_FILL} "
+             f"AS main_feeding_niche, {orules.HABITAT_FILL} "
              f"AS main_feeding_habitat) FROM {src}")
-    over = (f"SELECT * REPLACE ({_override_sql('main_feeding_niche', recipe.niche_overrides)} "
+    over = (f"SELECT * REPLACE ({orules.NICHE_OVERRIDES_OLDER if older else orules.NICHE_OVERRIDES} "
             f"AS main_feeding_niche) FROM r1")
-    ht_over = (f"SELECT * REPLACE ({_override_sql('higher_taxon', recipe.higher_taxon_overrides)} AS higher_taxon) "
-               f"FROM r2" if recipe.higher_taxon_overrides else "SELECT * FROM r2")
-    orders_in = ", ".join(f"'{o}'" for o in tr.BACKFILL_ORDERS)
+    ht_over = (f"SELECT * REPLACE ({orules.ORDER_OVERRIDES} AS higher_taxon) "
+               f"FROM r2" if not older else "SELECT * FROM r2")
+    orders_in = orules.BACKFILL_ORDERS
     order_by = ", ".join(f"{o} ASC NULLS LAST" for o in ords)
 
     def fill(c):
@@ -150,7 +140,7 @@ def trait_compile(spark: SparkSession, sf_dir: str):
     body, larval, feeding = _trait_inputs(spark, sf_dir, attributes.CURRENT)
     soil = attributes.tidy_soil_niche(tt.soil_raw(spark, sf_dir))
     expert = attributes.tidy_expert_general(tt.expert_general(spark, sf_dir))
-    return attributes.compile_attributes(body, larval, feeding, soil, tt.taxonomy(spark, sf_dir), [expert])
+    return attributes.compile_attributes(body, larval, feeding, soil, tt.checklist_taxonomy(spark, sf_dir), [expert])
 
 
 @register("all_attributes_v1", trait_sql(attributes.V1, with_soil=False, with_expert=False))
@@ -158,7 +148,7 @@ def all_attributes_v1(spark: SparkSession, sf_dir: str):
     """The older recipe as a configuration: trim after the joins, no recode / distinct of body sizes,
     opposite Blattodea mapping, no soil or expert data, no phylum filter, no class column."""
     body, larval, feeding = _trait_inputs(spark, sf_dir, attributes.V1)
-    return attributes.compile_attributes(body, larval, feeding, None, tt.taxonomy(spark, sf_dir), [], attributes.V1)
+    return attributes.compile_attributes(body, larval, feeding, None, tt.checklist_taxonomy(spark, sf_dir), [], attributes.V1)
 
 
 # ------------------------------------------------------------------------------------ trait reports
@@ -225,9 +215,9 @@ g AS (
   SELECT feeding_niche, week_year, trap_id, count(DISTINCT {{'x': cluster}}) AS n_OTU
   FROM (SELECT * FROM a UNION ALL SELECT * FROM b) d
   WHERE class = 'Insecta' AND lab_sample_type = 'sample' GROUP BY ALL)
-SELECT CASE WHEN feeding_niche IN ({', '.join(f"'{v}'" for v in tr.NICHE_LEVELS)}) THEN feeding_niche END
+SELECT CASE WHEN feeding_niche IN ({orules.NICHE_LEVELS}) THEN feeding_niche END
          AS feeding_niche, week_year, trap_id, n_OTU
-FROM g WHERE feeding_niche IS NOT NULL AND NOT regexp_matches(feeding_niche, '{tr.NICHE_EXCLUDE}')""",
+FROM g WHERE feeding_niche IS NOT NULL AND NOT regexp_matches(feeding_niche, 'General|Parasite')""",
                           "cl", "taxa", "tm")
 
 

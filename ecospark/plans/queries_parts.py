@@ -24,12 +24,12 @@ _ORD = tt._case_sql("p_brand", tt.ORDER_NAMES)
 
 # ------------------------------------------------------------------------------- expert tables + patches
 def _mites_raw(spark, sf_dir):
-    p = td.table(spark, sf_dir, "part").filter(F.col("p_type") == "PROMO")
+    p = tt._parts(spark, sf_dir, "mites")
     s = F.col("p_size")
     tick = lambda c: F.when(c, F.lit("x"))
     return p.select(
         F.concat(F.lit("Acari, "), tt._map("p_brand", tt.ORDER_NAMES)).alias("higher_taxon"),
-        tt._fam().alias("family"),
+        tt._fam("mites").alias("family"),
         F.when(s % 4 != 0, (s / 10).cast("string")).alias("length_min"),
         F.when(s % 6 != 0, (s / 5).cast("string")).alias("length_max"),
         tick(s < 10).alias("length_1"), tick(s.between(5, 20)).alias("length_1_5"),
@@ -40,14 +40,14 @@ def _mites_raw(spark, sf_dir):
 
 
 _MITES_SQL = f"""mraw AS (
-  SELECT 'Acari, ' || {_ORD} AS higher_taxon, replace(p_name, ' ', '') AS family,
+  SELECT 'Acari, ' || {_ORD} AS higher_taxon, {tt._fam_sql('mites')} AS family,
          CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_size / 10 END AS length_min,
          CASE WHEN p_size % 6 = 0 THEN NULL ELSE p_size / 5 END AS length_max,
          CASE WHEN p_size < 10 THEN 'x' END AS length_1, CASE WHEN p_size BETWEEN 5 AND 20 THEN 'x' END AS length_1_5,
          CASE WHEN p_size BETWEEN 15 AND 30 THEN 'x' END AS length_5_10, CASE WHEN p_size > 25 THEN 'x' END AS length_10,
          CASE WHEN p_size % 3 = 0 THEN NULL ELSE 'Saprophagous' END AS main_feeding_niche,
          CASE WHEN p_size % 5 = 0 THEN 'Soil' END AS main_feeding_habitat, p_partkey AS ord
-  FROM part WHERE p_type = 'PROMO'),
+  FROM {tt._parts_sql('mites')}),
 m1 AS (
   SELECT higher_taxon, family, length_min, length_max, length_1, length_1_5, length_5_10, length_10,
          main_feeding_niche, main_feeding_habitat, min(ord) AS ord FROM mraw GROUP BY ALL),
@@ -86,9 +86,8 @@ def expert_mites(spark: SparkSession, sf_dir: str):
 
 
 def _spiders_raw(spark, sf_dir):
-    p = td.table(spark, sf_dir, "part").filter(F.col("p_type") == "LARGE")
-    g = p.groupBy("p_brand", "p_name").agg(F.min("p_size").alias("mn"), F.max("p_size").alias("mx"))
-    return g.select(tt._map("p_brand", tt.ORDER_NAMES).alias("higher_taxon"), tt._fam().alias("family"),
+    g = tt._parts(spark, sf_dir, "spiders").groupBy("p_brand", "p_name", "own").agg(F.min("p_size").alias("mn"), F.max("p_size").alias("mx"))
+    return g.select(tt._map("p_brand", tt.ORDER_NAMES).alias("higher_taxon"), tt._fam("spiders").alias("family"),
                     (F.col("mn") / 2).alias("length_min"), F.when(F.col("mx") % 3 != 0, F.col("mx").cast("double"))
                     .alias("lenght_max"), F.lit("Predator").alias("main_feeding_niche"),
                     F.when(F.col("mn") % 2 == 0, F.lit("Plants")).alias("main_feeding_habitat"),
@@ -96,11 +95,11 @@ def _spiders_raw(spark, sf_dir):
 
 
 _SPIDERS_SQL = f"""spiders AS (
-  SELECT {_ORD} AS higher_taxon, replace(p_name, ' ', '') AS family, min(p_size) / 2 AS length_min,
+  SELECT {_ORD} AS higher_taxon, {tt._fam_sql('spiders')} AS family, min(p_size) / 2 AS length_min,
          CASE WHEN max(p_size) % 3 = 0 THEN NULL ELSE CAST(max(p_size) AS DOUBLE) END AS length_max,
          'Predator' AS main_feeding_niche,
          CASE WHEN min(p_size) % 2 = 0 THEN 'Plants' END AS main_feeding_habitat
-  FROM part WHERE p_type = 'LARGE' GROUP BY p_brand, p_name)"""
+  FROM {tt._parts_sql('spiders')} GROUP BY p_brand, p_name, own)"""
 
 
 def _patch_base(spark, sf_dir):
@@ -114,7 +113,7 @@ def _patch_base(spark, sf_dir):
 
 
 _BASE_SQL = f"""base AS (
-  SELECT {_ORD} AS higher_taxon, replace(p_name, ' ', '') AS family,
+  SELECT {_ORD} AS higher_taxon, {tt._fam_sql()} AS family,
          CASE WHEN min(p_partkey) % 2 = 0 THEN NULL ELSE CAST(min(p_size) AS DOUBLE) END AS length_min,
          CASE WHEN min(p_partkey) % 3 = 0 THEN NULL ELSE CAST(min(p_size) * 2 AS DOUBLE) END AS length_max,
          CASE WHEN min(p_partkey) % 5 = 0 THEN NULL ELSE 'Phytophagous' END AS main_feeding_niche,
