@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -127,6 +128,56 @@ def left_join(left: DataFrame, right: DataFrame, on: KeySpec | str, null_safe: b
     return join(left, right, on, "left", null_safe, suffixes)
 
 
+#: Column of a stored table that holds the text of its keys.
+STORED_KEY = "__stored_key"
+
+
+@dataclass(frozen=True)
+class Stored:
+    """A table of ``sinks.handoff_bucketed``: its rows, bucketed by ``STORED_KEY``; the keys; and, for keys with more rows
+    than a bucket should hold, the texts of the parts they are cut into (at most twice as many as there are buckets)."""
+
+    table: DataFrame
+    on: tuple[str, ...]
+    parts: tuple[tuple[str, str], ...]
+
+
+def null_safe_key(columns: Sequence[Column], types: Sequence[str]) -> Column:
+    """One text, never NULL, that is equal for two rows exactly if all their keys match, a missing key matching a missing
+    one.  Each value is led by its length, so that no two lists of values give the same text; ``-0.0`` is ``0.0``."""
+    def part(c, dtype):
+        text = (c + F.lit(0.0) if dtype in ("double", "float") else c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+    return F.concat(F.lit("="), *[part(c, t) for c, t in zip(columns, types)])
+
+
+def join_stored(left: DataFrame, stored: Stored, how: str = "left") -> DataFrame:
+    """``left`` joined (left, inner or full) by the keys of a table that was handed off in buckets: the stored side is
+    read bucket by bucket and never shuffled, whatever joins follow.
+
+    Missing keys match each other.  Keys come once, then the other columns of ``left`` and of the stored table, which
+    must not share names.  Keys of ``left`` are cast to the stored types.  A row of ``left`` with a key that was cut is copied
+    once for each part, and each part has rows, so no row is without a partner that has one."""
+    if how not in ("left", "inner", "full"):
+        raise ValueError(f"unsupported join type {how!r}")
+    on, table = list(stored.on), stored.table
+    types = dict(table.dtypes)
+    rest_l = [c for c in left.columns if c not in on]
+    rest_r = [c for c in table.columns if c not in [*on, STORED_KEY]]
+    if set(rest_l) & set(rest_r):
+        raise ValueError(f"columns on both sides: {sorted(set(rest_l) & set(rest_r))}")
+    cast = [F.col(f"`{k}`").cast(types[k]) for k in on]
+    l = left.select(*[c.alias(f"__lk{i}") for i, c in enumerate(cast)], *[F.col(f"`{c}`") for c in rest_l],
+                    null_safe_key(cast, [types[k] for k in on]).alias("__left_key"))
+    if stored.parts:
+        parts = left.sparkSession.createDataFrame(list(stored.parts), "__of string, __part string")
+        l = l.join(F.broadcast(parts), l["__left_key"] == parts["__of"], "left")
+        l = l.withColumn("__left_key", F.coalesce("__part", "__left_key")).drop("__of", "__part")
+    j = l.join(table, l["__left_key"] == table[STORED_KEY], how)
+    return j.select(*[F.coalesce(F.col(f"__lk{i}"), F.col(f"`{k}`")).alias(k) for i, k in enumerate(on)],
+                    *[F.col(f"`{c}`") for c in [*rest_l, *rest_r]])
+
+
 def common_keys(left: DataFrame, right: DataFrame) -> list[str]:
     keys = [c for c in left.columns if c in set(right.columns)]
     if not keys:

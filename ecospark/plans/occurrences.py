@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ecospark import functions as ef
-from ecospark.functions.nulls import distinct_with_null
 from ecospark.operators import columns, filters, joins, reshape
+from ecospark.operators.distinct import distinct_counts
 from ecospark.plans import trait_rules as tr
 from ecospark.session import materialize
 
@@ -109,7 +109,7 @@ def niche_richness(all_data: DataFrame, levels: Sequence[str] = tr.NICHE_LEVELS,
     """Distinct clusters (NA counted) per (feeding niche, week, trap) for insect samples; niches matching
     ``exclude`` removed; values outside ``levels`` become NA (rows kept)."""
     df = all_data.filter((F.col("class") == F.lit(insect_class)) & (F.col("lab_sample_type") == F.lit("sample")))
-    g = df.groupBy("feeding_niche", "week_year", "trap_id").agg(distinct_with_null("cluster").alias("n_OTU"))
+    g = distinct_counts(df, ["feeding_niche", "week_year", "trap_id"], {"n_OTU": "cluster"})
     g = filters.drop_na(g, ["feeding_niche"])
     g = g.filter(~ef.detect("feeding_niche", exclude))
     # report order of the grouped summary (group keys ascending, NA last); the result is small

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ecospark.operators import filters, joins
 from ecospark.plans import testdata as td
 from ecospark.plans.catalog import register
+from ecospark.sources import sinks
 
 
 def _size_source(spark, sf_dir):
@@ -92,6 +93,16 @@ def natural_full_join(spark: SparkSession, sf_dir: str):
     return joins.natural_join(o, c, how="full")
 
 
+# ---------------------------------------------------------------------------------------- stored_full_join
+@register("stored_full_join", f"""WITH {_ORD_SQL}
+SELECT coalesce(o.custkey, c.custkey) AS custkey, o.o_orderkey, o.o_totalprice, c.c_name, c.c_acctbal
+FROM c FULL OUTER JOIN o ON o.custkey IS NOT DISTINCT FROM c.custkey""")
+def stored_full_join(spark: SparkSession, sf_dir: str):
+    """The orders handed off in buckets of their null-safe key, then joined without being shuffled again."""
+    o, c = _orders_customers(spark, sf_dir)
+    return joins.join_stored(c, sinks.handoff_bucketed(o, ["custkey"]), "full")
+
+
 # -------------------------------------------------------------------------------------- left_join_null_key
 _LOOKUP_SQL = """lk AS (
   SELECT family, sub_family, min(niche) AS niche FROM tm WHERE niche IS NOT NULL GROUP BY family, sub_family),

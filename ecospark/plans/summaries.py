@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ecospark.functions.nulls import distinct_with_null
 from ecospark.operators.aggregates import frequency_table, missing_by_group, with_missing_count
 from ecospark.operators.columns import matching
+from ecospark.operators.distinct import distinct_counts
 from ecospark.operators.filters import keep_any_missing
 from ecospark.operators.joins import left_join, natural_join
 
@@ -25,17 +25,15 @@ def family_reads(counts: DataFrame, taxonomy: DataFrame, sample_traps: DataFrame
     The filter removes every row that exists only on the taxonomy or metadata side, so the plan is
     ``counts LEFT JOIN traps LEFT JOIN taxonomy`` with the count filter pushed into the scan.  The per-sample
     and per-cluster tables are broadcast when their size allows (checked by the planner), so the count table
-    is shuffled once, by the final aggregate, after its map-side partial aggregation.  (An explicit
+    is shuffled once, combined in its tasks to bit words per family (``distinct_counts``).  (An explicit
     (cluster, sample) pre-aggregation would add a full shuffle and combine nothing: a count matrix has one
     cell per pair.)
     """
     occ = counts.filter(F.col(reads) > 0).select(cluster, sample, reads)
     occ = left_join(occ, sample_traps.select(sample, trap), [sample])
     occ = left_join(occ, taxonomy.select(cluster, family), [cluster])
-    out = (occ.groupBy(family)
-           .agg(distinct_with_null(cluster).alias("n_otu"),
-                distinct_with_null(trap).alias("n_obs"),
-                F.sum(reads).cast("bigint").alias("reads")))
+    out = distinct_counts(occ, [family], {"n_otu": cluster, "n_obs": trap}, {"reads": reads})
+    out = out.withColumn("reads", F.col("reads").cast("bigint"))
     return out.orderBy(F.asc_nulls_last(family)) if sort else out
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ecospark.operators.joins import STORED_KEY, Stored, null_safe_key
+from ecospark.session import checkpoint_dir, materialize
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """``write.csv``: header, missing written as ``NA`` (the R row-name column is not reproduced)."""
@@ -28,6 +32,55 @@ def handoff(df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def handoff_bucketed(df: DataFrame, on: Sequence[str], buckets: int | None = None) -> Stored:
+    """Hand-off of a table that is joined again and again (K3): stored in the shared folder, bucketed and sorted by the
+    null-safe key of ``on``, so that ``joins.join_stored`` reads it in place.
+
+    ``df`` is evaluated once and written; a key with more rows than an even bucket is cut into as many parts as it
+    fills buckets, so a hot key does not land in one task.  Such keys are fewer than ``buckets`` (default: the session's
+    shuffle partitions).  The entry is in the session's catalog; ``drop_handoff`` removes it and the files."""
+    spark = df.sparkSession
+    types, n = dict(df.dtypes), buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = null_safe_key([F.col(f"`{k}`") for k in on], [types[k] for k in on])
+    rows = materialize(df.withColumn(STORED_KEY, key), "handoff")
+    counts = rows.groupBy(STORED_KEY).count()
+    even = -(-(rows.count()) // n)
+    hot = {r[0]: -(-r[1] // even) for r in counts.where(F.col("count") > even).collect()} if even else {}  # fewer than n
+    cut = F.lit(None)
+    if hot:
+        of = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+        cut = F.pmod(F.monotonically_increasing_id(), of[F.col(STORED_KEY)].cast("long"))
+    # the scan of a written table gives the same numbers in every attempt of a task
+    named = rows.withColumn(STORED_KEY, F.coalesce(F.concat(F.lit("~"), cut.cast("string"), F.col(STORED_KEY)), F.col(STORED_KEY)))
+    name = f"handoff_{uuid.uuid4().hex}"
+    (named.repartition(n, STORED_KEY).write.bucketBy(n, STORED_KEY).sortBy(STORED_KEY).format("parquet")
+     .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
+    drop_files(rows)
+    table = spark.table(name)
+    texts = [r[0] for r in table.select(STORED_KEY).where(F.col(STORED_KEY).startswith("~")).distinct().collect()] if hot else []
+    return Stored(table, tuple(on), tuple((t[t.index("="):], t) for t in texts))
+
+
+def drop_files(df: DataFrame) -> None:
+    """Delete the files that ``df`` is read from, if they lie in the shared folder."""
+    spark = df.sparkSession
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    top = path_of(checkpoint_dir(spark)).toUri().getPath().rstrip("/") + "/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = path_of(folder)
+        if path.toUri().getPath().startswith(top):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_handoff(stored: Stored) -> None:
+    """Remove a table of ``handoff_bucketed``: its entry in the catalog and its files."""
+    spark = stored.table.sparkSession
+    folders = {f.rsplit("/", 1)[0].rsplit("/", 1)[1] for f in stored.table.inputFiles()}
+    drop_files(stored.table)
+    for name in folders:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def _r_text(c: str, dtype: str) -> Column:
     """One value as R's ``write.csv`` prints it; NULL stays NULL (written as a bare NA)."""
     col = F.col(c)
