@@ -145,7 +145,7 @@ def posteriors(docs: DataFrame, labels: DataFrame, columns: list[str], train_row
 
     def per_batch(batch):
         scorer = worker_cache(key, lambda: Scorer(models.value))
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", 1_000_000):  # a worker holds the words of that many bytes as objects
             tokens, one = scorer(part.column("text").to_pylist())
             p = np.stack([np.prod(np.where(np.array(v), one, 1 - one), axis=1) for v in combos], axis=1)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * len(combos), pa.int32()), pa.array(p.ravel()))
