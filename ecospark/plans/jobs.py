@@ -153,14 +153,18 @@ JOBS = {"attributes": trait_job, "attributes_v1": trait_job_v1, "occurrences": o
 
 
 def main(argv: list[str]) -> int:
-    from ecospark.session import get_spark
+    from ecospark.session import drop_materialized, get_spark
 
     if len(argv) != 2 or argv[0] not in JOBS:
         print(__doc__)
         return 2
     with open(argv[1]) as f:
         cfg = json.load(f)
-    JOBS[argv[0]](get_spark(), cfg)
+    spark = get_spark()
+    try:
+        JOBS[argv[0]](spark, cfg)
+    finally:
+        drop_materialized(spark)
     return 0
 
 

@@ -19,17 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one test-data table; the (immutable) scan plan is reused within a session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    cached = _TABLES.get(key)
-    if cached is None or cached.sparkSession is not spark:
-        cached = _TABLES[key] = spark.read.parquet(path)
-    return cached
+    """Scan of one test-data table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _null_when(cond, value):

@@ -63,12 +63,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Folders that ``materialize`` wrote in this Python process and that are still there.
+_written: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet under the shared checkpoint folder and reading it back.
 
-    Survives executor loss (the files live on the shared store), unlike cached or locally checkpointed data.
+    Survives executor loss (the files live on the shared store), unlike cached or locally checkpointed data.  The files
+    stay until ``drop_materialized``, since later plans read them.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _written.append(path)
     return spark.read.parquet(path)
+
+
+def drop_materialized(spark: SparkSession, since: int = 0) -> int:
+    """Delete what ``materialize`` wrote after the first ``since`` tables, once no plan reads it any more (jobs do this when
+    their outputs are written); returns how many folders went."""
+    gone = _written[since:]
+    for path in gone:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    del _written[since:]
+    return len(gone)
+
+
+def materialized() -> int:
+    """Number of tables that ``materialize`` wrote and that were not dropped."""
+    return len(_written)
