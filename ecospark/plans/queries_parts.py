@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ecospark import functions as ef
 from ecospark.operators import joins
+from ecospark.operators.distinct import distinct_counts
 from ecospark.plans import occurrences as occ
 from ecospark.plans import queries_composite as qc
 from ecospark.plans import testdata as td
@@ -283,6 +283,8 @@ def occurrence_attributes(spark: SparkSession, sf_dir: str):
     taxo, o = qc._occurrence_inputs(spark, sf_dir)
     subs = occ.subfamily_lookup(qc._classification(taxo))
     all_data = occ.occurrence_attributes(o, subs, qc._feeding(spark, sf_dir), tt.SUBFAMILY_FAMILIES_TD)
-    return all_data.groupBy("class", "feeding_niche").agg(
-        F.count(F.lit(1)).alias("n_rows"), ef.distinct_with_null("cluster").alias("n_clusters"))
+    # a task combines its rows by bit words of clusters; a table of single clusters grew to a GB a task
+    found = distinct_counts(all_data.withColumn("__one", F.lit(1)), ["class", "feeding_niche"], {"n_clusters": "cluster"},
+                            {"n_rows": "__one"})
+    return found.select("class", "feeding_niche", "n_rows", "n_clusters")
 

@@ -43,3 +43,9 @@ def test_long_ends_and_several_keys(spark):
 def test_no_expand_and_combined_before_the_shuffle(spark, name):
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "gid" not in plan and "partial_bit_or" in plan  # gid: the copy number of an Expand for distinct counts
+
+
+def test_occurrence_attributes_combines_words(spark):
+    """A task's table holds a word of clusters and not each cluster: its memory stays small."""
+    plan = entry.queries()["occurrence_attributes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bit_or" in plan and "count(distinct" not in plan
