@@ -14,18 +14,23 @@ NUMERIC_TEXT = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 
 def lenient_double(c: ColumnOrName) -> Column:
     """String (or number) -> DOUBLE; non-numeric text -> NULL.  NaN/Inf never appear (R's NA contract)."""
-    col = _c(c)
-    s = col.cast("string")
-    value = F.when(s.rlike(NUMERIC_TEXT), s.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)  # '1e999' reads as infinite
+    return _number_below(_c(c).cast("string"), float("inf"))  # '1e999' reads as infinite
+
+
+def _number_below(s: Column, limit: float) -> Column:
+    """A number's text -> DOUBLE where it is nearer to zero than ``limit``.  The grammar is tried once a cell: under a
+    second condition it would be run again for each use of the value."""
+    value = s.try_cast("double")
+    return F.when(s.rlike(NUMERIC_TEXT) & (F.abs(value) < F.lit(limit)), value)
 
 
 def count_cell(c: ColumnOrName) -> Column:
     """A cell of a count matrix -> BIGINT: ``12``, ``12.0``, ``1e+05`` and ``"12"`` are counts (fractions are cut
     off); blank, ``NA`` and other text are NULL."""
     s = F.btrim(_c(c).cast("string"), F.lit('" '))
-    value = lenient_double(s)
-    return F.coalesce(s.try_cast("bigint"), F.when(F.abs(value) < 9.0e18, value).cast("bigint"))
+    # a cast that fails costs an exception, and no text with a dot or a letter is a whole number to it
+    whole = F.when(~s.rlike("[.A-Za-z]"), s.try_cast("bigint"))
+    return F.coalesce(whole, _number_below(s, 9.0e18).cast("bigint"))
 
 
 def european_double(c: ColumnOrName) -> Column:

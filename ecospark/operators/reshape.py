@@ -43,9 +43,10 @@ def explode_wide(df: DataFrame, ids: Sequence[str], cols: Sequence[str] | None =
 
 
 def explode_cells(df: DataFrame, ids: Sequence[Column], cells: Column, names: Sequence[str] | Sequence[Sequence[str]], names_to: str,
-                  values_to: str, keep: Callable[[Column], Column] | None = None, head: Column | None = None) -> DataFrame:
+                  values_to: str, keep: Callable[[Column], Column] | None = None, head: Column | None = None, placed: bool = False) -> DataFrame:
     """``ids`` plus one row for each kept element of the array ``cells``, named by its position in ``names``; with
-    ``head``, in the list of ``names`` that it numbers.
+    ``head``, in the list of ``names`` that it numbers.  With ``placed`` the elements are structs of a position (from
+    zero) and a cell, for matrices whose empty cells are left out.
 
     Cells are unpacked and filtered in one generated loop, with no call for a cell.  The names travel as one string
     literal a list that the optimizer folds into a constant array, so the plan does not grow with their number.  A cell
@@ -57,7 +58,8 @@ def explode_cells(df: DataFrame, ids: Sequence[Column], cells: Column, names: Se
     place = [] if len(labels) == 1 else [head.alias("__list")]
     # what a row has once is computed below the explode; beside it, it would be computed for every cell
     df = df.select(*ids, *place, cells.alias("__cells"))
-    long = df.select(*[F.col(f"`{c}`") for c in df.columns[:-1]], F.posexplode("__cells").alias("__at", "__cell"))
+    each = F.inline if placed else F.posexplode
+    long = df.select(*[F.col(f"`{c}`") for c in df.columns[:-1]], each("__cells").alias("__at", "__cell"))
     if keep is not None:
         long = long.where(keep(F.col("__cell")))
     name = F.try_element_at(labels[0], F.col("__at") + 1)

@@ -43,7 +43,7 @@ def wide_tsv_counts(spark: SparkSession, sf_dir: str):
     cell = li.groupBy("l_partkey", F.pmod("l_orderkey", F.lit(WIDE_SAMPLES)).cast("int").alias("s")).agg(
         F.sum("l_quantity").cast("bigint").alias("n"))
     shape = F.when(F.col("n") % 3 == 0, F.concat(F.col("n").cast("string"), F.lit(".0"))) \
-        .when(F.col("n") % 3 == 1, F.format_string("%de+00", F.col("n"))).otherwise(F.col("n").cast("string"))
+        .when(F.col("n") % 3 == 1, F.concat(F.col("n").cast("string"), F.lit("e+00"))).otherwise(F.col("n").cast("string"))
     # a line is made of its counts, each preceded by the blank cells since the last one
     blank = F.element_at(F.array(F.lit("0"), F.lit(""), F.lit("NA")), F.pmod("l_partkey", F.lit(3)).cast("int") + 1)
     last = F.lag("s", 1, -1).over(Window.partitionBy("l_partkey").orderBy("s"))

@@ -188,26 +188,85 @@ def read_wide_counts(spark: SparkSession, path, id_col: str, names_to: str = "sa
     """A wide tab-separated count matrix straight to long rows (S5, R3): ``id_col``, ``names_to``, ``values_to``
     (BIGINT) for every cell above zero.
 
-    A line is split once and its cells are kept as one array, so neither the plan nor the work for a cell grows with
-    the number of samples.  Every file's cells are named by its own header.  Blank, ``NA`` and unreadable cells count as missing; ``12.0`` and ``1e+05`` are counts.
+    The cells that hold something are found in the bytes of the lines and kept as one array a line, so neither the plan nor
+    the work for a cell grows with the number of samples.  Every file's cells are named by its own header.  Blank, ``NA`` and unreadable cells count as missing; ``12.0`` and ``1e+05`` are counts.
     """
     lines, heads = _lines(spark, path)
     if any(id_col not in head for head in heads):
         raise ValueError(f"{path}: no column {id_col!r}")
     places = [head.index(id_col) for head in heads]
-    fields = F.split(F.col("value"), "\t", -1)
-    at, width = _by_head(places, "int"), _by_head([len(h) for h in heads], "int")
-    after = F.slice(fields, at + 2, width - at - 1)
-    cells = after if not any(places) else F.concat(F.slice(fields, F.lit(1), at), after)
     labels = [(clean_names(head) if clean else list(head)) for head in heads]
+    # almost all cells are plain zeros or blanks: they are left out by their bytes, and only the rest become strings
+    found = _placed_cells(lines, places, [len(head) for head in heads])
     for label, place in zip(labels, places):
         del label[place]
-    # almost all cells are plain zeros or blanks: they go as text, and only the rest is read as numbers, row by row
-    long = explode_cells(lines, [_fread_cell(F.try_element_at(fields, at + 1)).alias(id_col)], cells, labels,
-                         names_to, values_to, keep=lambda v: ~v.isin("0", "", "NA"), head=F.col("__head"))
+    long = explode_cells(found, [_fread_cell(F.col("__id")).alias(id_col)], F.col("__cells"), labels, names_to, values_to,
+                         head=F.col("__head"), placed=True)
     return long.withColumn(values_to, count_cell(values_to)).filter(F.col(values_to) > 0)
 
 
+#: Bytes of lines that are searched at a time.
+SEARCHED = 1 << 20
+
+
+def _placed_cells(lines: DataFrame, places: Sequence[int], widths: Sequence[int]) -> DataFrame:
+    """``__head``, ``__id`` (the cell at the header's place, NULL in a line that ends before) and ``__cells``: the position
+    and text of every other cell of a line that is not ``0``, blank or ``NA``.  Cells beyond the header are left out, and
+    positions do not count the id.  Cells are found by the tabs in the bytes of many lines at once."""
+    place_of, width_of = np.array(places, np.int64), np.array(widths, np.int64)
+
+    # helpers travel with the function: workers may lack this package
+    def strings(data: np.ndarray, start: np.ndarray, size: np.ndarray, missing: np.ndarray | None = None) -> pa.Array:
+        """The pieces of ``data`` as strings."""
+        ends = np.concatenate([[0], np.cumsum(size)])
+        picked = data[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])]
+        valid = None if missing is None else pa.py_buffer(np.packbits(~missing, bitorder="little").tobytes())
+        return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(picked), valid).cast(pa.string())
+
+    def cells_of(data: np.ndarray, ends: np.ndarray, place: np.ndarray, width: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        """Ids and placed cells of lines, given as their bytes and the offsets of their ends (the first is 0)."""
+        tabs = np.flatnonzero(data == 9)
+        inner = np.searchsorted(tabs, ends)  # tabs before each line
+        count = np.diff(inner) + 1  # cells of a line
+        first = np.concatenate([[0], np.cumsum(count)])
+        start, stop = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
+        after = np.ones(first[-1], bool)  # cells that follow a tab
+        after[first[:-1]] = False
+        start[first[:-1]], start[after] = ends[:-1], tabs + 1
+        stop[first[1:] - 1] = ends[1:]
+        before = np.ones(first[-1], bool)
+        before[first[1:] - 1] = False
+        stop[before] = tabs
+        size = stop - start
+        one, two = (data[np.minimum(start + k, len(data) - 1)] if len(data) else np.zeros(len(start), np.uint8) for k in (0, 1))
+        full = np.flatnonzero((size > 0) & ~((size == 1) & (one == ord("0"))) & ~((size == 2) & (one == ord("N")) & (two == ord("A"))))
+        line = np.searchsorted(first, full, "right") - 1
+        at = full - first[line]
+        kept = (at != place[line]) & (at < width[line])
+        full, line, at = full[kept], line[kept], at[kept]
+        at -= at > place[line]
+        lists = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(count)))])
+        short = place >= count
+        of = np.where(short, 0, first[:-1] + np.where(short, 0, place))
+        ids = strings(data, start[of], np.where(short, 0, size[of]), short)
+        cells = pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), strings(data, start[full], size[full])], ["at", "cell"])
+        return ids, pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), cells)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column("value").cast(pa.large_binary())
+            ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
+            at = 0
+            while at < len(text):
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + SEARCHED, "right")) - 1)
+                head = batch.column("__head").slice(at, to - at)
+                yield pa.RecordBatch.from_arrays([head, *cells_of(
+                    np.frombuffer(text.buffers()[2] or b"", np.uint8)[ends[at]:ends[to]], ends[at:to + 1] - ends[at],
+                    place_of[head.to_numpy()], width_of[head.to_numpy()])], ["__head", "__id", "__cells"])
+                at = to
+    return lines.select("value", "__head").mapInArrow(run, "__head int, __id string, __cells array<struct<at: int, cell: string>>")
+
+
 def _unquote_text(s: str) -> str:
     return s[1:-1].replace('""', '"') if len(s) >= 2 and s[0] == s[-1] == '"' else s
 

@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,3 +153,28 @@ def test_sheet_keeps_quoted_text(spark, tmp_path):
     p = tmp_path / "s.csv"
     p.write_text('x,y,z\n"Dip ""x"", y",Fam,1\n')
     assert rows(delimited.read_sheet(spark, str(p))) == [('Dip "x", y', "Fam", "1")]
+
+
+def test_wide_counts_equal_python_and_leave_blanks_out(spark, tmp_path, monkeypatch):
+    """Cells by their bytes against splitting in Python; what is empty never becomes a row of an explode."""
+    monkeypatch.setattr(delimited, "SEARCHED", 200)
+    rnd = random.Random(3)
+    texts = ["0", "", "NA", "N", "A", "NB", "AN", "00", "7", "12.0", "3e+02", "é", '"5"', "-1"]
+    want = []
+    for n, head in enumerate((["cluster", "s1", "s2", "s3"], ["s2", "cluster", "sé"], ["x", "y", "z", "cluster"])):
+        lines = ["\t".join(head)]
+        for k in range(80):
+            cells = [rnd.choice(texts) for _ in range(rnd.randint(1, 6))]
+            if "cluster" in head[:len(cells)]:
+                cells[head.index("cluster")] = f"ç{n}-{k}"
+            if not any(cells):
+                continue
+            lines.append("\t".join(cells))
+            name = cells[head.index("cluster")] if head.index("cluster") < len(cells) else None
+            worth = {"00": 0, "7": 7, "12.0": 12, "3e+02": 300, '"5"': 5}
+            want += [(name, s, worth[c]) for s, c in zip(head, cells) if s != "cluster" and worth.get(c)]
+        (tmp_path / f"f{n}.tsv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    df = delimited.read_wide_counts(spark, str(tmp_path / "*.tsv"), "cluster")
+    assert rows(df) == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode" not in plan and "split(value" not in plan
