@@ -24,6 +24,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ecospark.session import materialize
+
 log = logging.getLogger(__name__)
 
 KeySpec = Sequence[str | tuple[str, str]]
@@ -48,7 +50,8 @@ def join(left: DataFrame, right: DataFrame, on: KeySpec | str, how: str = "inner
     strategy (full joins only): ``split`` = LEFT JOIN + LEFT ANTI (skew-splittable, for inputs that grow with
     the data); ``native`` = one FULL OUTER join (one shuffle per side, for tables with a proven size bound,
     e.g. per-family reference tables, and for long chains where re-using each input twice would multiply
-    the plan).
+    the plan); ``marked`` = as ``split``, but the right side is written once with a mark whether ``left`` has its
+    key, so that rows without a partner (a hot missing key, mostly) are never shuffled or sorted beside a large left.
     """
     pairs = _pairs(on)
     how = {"left_outer": "left", "outer": "full", "full_outer": "full", "right_outer": "right",
@@ -98,6 +101,12 @@ def join(left: DataFrame, right: DataFrame, on: KeySpec | str, how: str = "inner
         j = l.join(r, cond, "full")
         return j.select(*[F.coalesce(F.col(k), F.col(t)).alias(k) for k, t in zip(lkeys, rtmp)],
                         *out_cols[len(lkeys):])
+    if strategy == "marked":
+        marked = materialize(mark_join(r, l, list(zip(rtmp, lkeys)), "__partner", null_safe), "marked")
+        partners = materialize(marked.where("__partner").drop("__partner"), "partners")
+        matched_or_left = l.join(partners, _cond([l[k] for k in lkeys], [partners[t] for t in rtmp], null_safe), "left").select(*out_cols)
+        right_only = marked.where("NOT __partner")
+        return matched_or_left.unionByName(_without_left(right_only, l, lkeys, rtmp, [lnames[c] for c in lrest], [rnames[c] for c in rrest]))
     if strategy != "split":
         raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -107,13 +116,15 @@ def join(left: DataFrame, right: DataFrame, on: KeySpec | str, how: str = "inner
     lk = l.select(*[F.col(k).alias(t) for k, t in zip(lkeys, ltmp)]).distinct()
     cond2 = _cond([r[t] for t in rtmp], [lk[t] for t in ltmp], null_safe)
     right_only = r.join(lk, cond2, "left_anti")
+    return matched_or_left.unionByName(_without_left(right_only, l, lkeys, rtmp, [lnames[c] for c in lrest], [rnames[c] for c in rrest]))
+
+
+def _without_left(rows: DataFrame, l: DataFrame, lkeys: Sequence[str], rtmp: Sequence[str], lrest: Sequence[str],
+                  rrest: Sequence[str]) -> DataFrame:
+    """Rows of the right side of a full join that have no partner: the left side's other columns are missing."""
     ltypes = dict(l.dtypes)
-    right_only = right_only.select(
-        *[F.col(t).alias(k) for k, t in zip(lkeys, rtmp)],
-        *[F.lit(None).cast(ltypes[lnames[c]]).alias(lnames[c]) for c in lrest],
-        *[F.col(rnames[c]) for c in rrest],
-    )
-    return matched_or_left.unionByName(right_only)
+    return rows.select(*[F.col(t).alias(k) for k, t in zip(lkeys, rtmp)],
+                       *[F.lit(None).cast(ltypes[c]).alias(c) for c in lrest], *[F.col(c) for c in rrest])
 
 
 def full_join(left: DataFrame, right: DataFrame, on: KeySpec | str, null_safe: bool = True,

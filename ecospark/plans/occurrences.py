@@ -59,7 +59,7 @@ def occurrences(counts_long: DataFrame, meta: DataFrame) -> DataFrame:
 
     The full join reads the counts twice (all rows, and the keys for the rows that only the metadata has), so the
     long counts are written once to the shared folder first."""
-    return joins.natural_join(materialize(counts_long, "counts-long"), meta, how="full")
+    return joins.natural_join(materialize(counts_long, "counts-long"), meta, how="full", strategy="marked")
 
 
 def feeding_lookup(all_attributes: DataFrame) -> DataFrame:
@@ -88,6 +88,9 @@ def occurrence_attributes(occ: DataFrame, subfamilies: DataFrame, feeding: DataF
     pass: every occurrence row belongs to exactly one branch, so two conditional LEFT joins give the same rows
     while the (large) occurrence table is scanned and shuffled once instead of once per branch.
     """
+    # the lookups are written first: their size is known when the join is planned, and the large table is not shuffled
+    # for a side that turns out to be small
+    subfamilies, feeding = materialize(subfamilies, "subfamilies"), materialize(feeding, "feeding")
     o = occ.withColumn("__special", ef.is_in("family", families))
     s = subfamilies.select(F.col("family").alias("__s_family"), F.col("genus").alias("__s_genus"),
                            F.col("subfamily").alias("__s_sub"))

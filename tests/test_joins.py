@@ -106,3 +106,26 @@ def test_null_key_report_partial_nulls(spark):
     r = joins.null_key_report(x, y, ["h", "f"]).first()
     # only rows whose keys are all NULL count; (NULL, f1) is a partial NULL key
     assert (r.left_null_key_rows, r.right_null_key_rows, r.null_key_pairs) == (1, 0, 0)
+
+
+def test_marked_full_join_keeps_lone_rows_out_of_the_left_join(spark, monkeypatch):
+    """Same rows as the split join; rows of the right side without a partner, here a hot missing key, never meet the left."""
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("l", 4)], "k string, v int")
+    right = spark.createDataFrame([("a", 7, 1), ("a", 8, 2), ("b", 9, 3), ("r", 5, 4)] + [(None, n, n) for n in range(50)], "k string, w int, x int")
+    both = left.unionByName(spark.createDataFrame([(None, 6)], "k string, v int"))
+    written = {}
+    monkeypatch.setattr(joins, "materialize", lambda df, name: written.setdefault(name, df))
+    for l in (left, both):
+        written.clear()
+        assert rows(joins.natural_join(l, right, strategy="marked")) == rows(joins.natural_join(l, right))
+        assert written["partners"].count() == (3 if l is left else 53)
+
+
+def test_occurrences_join_counts_with_partners_only(spark, monkeypatch):
+    from ecospark.plans import occurrences as occ
+    names = []
+    monkeypatch.setattr(joins, "materialize", lambda df, name: names.append(name) or df, raising=False)
+    counts = spark.createDataFrame([("c1", "P1", 3)], "cluster string, sample_id_ngi string, read_count int")
+    meta = spark.createDataFrame([("P1", 1), (None, 2), (None, 3)], "sample_id_ngi string, week_year int")
+    assert rows(occ.occurrences(counts, meta), "cluster", "week_year") == [(None, 2), (None, 3), ("c1", 1)]
+    assert names == ["marked", "partners"]
