@@ -6,9 +6,10 @@ statistics of every stripe, and row indexes and Bloom filters on ``doc_id`` let
 groups without reading them.  Stripes are read in parallel.  The number of tokens before a document follows from
 per-file sums, so no task sees more than one range.
 
-Words between white space are encoded apart, which the tokenizer allows (its normalizer and pre-tokenizer never
-look across white space), and the ids of equal words are remembered in each Python worker.  A word with a special
-token's opening or without that guarantee is encoded by the library as it stands.
+Words between ASCII white space are encoded apart, which the tokenizer allows (its normalizer and pre-tokenizer never
+look across white space), and the ids of equal words are remembered in each Python worker.  Words are found and equal
+ones numbered in the bytes of a batch, so that Python looks at a word once a batch.  A text with a special token or a
+NUL, or without that guarantee, is encoded by the library as it stands.
 
 Edge cases: a null or empty text has no ids of its own, only the end id.  Equal document ids keep all their rows,
 ordered by the checksum and number of their ids, in the files as in ``start``; they may lie in several ranges.  A row
@@ -18,13 +19,14 @@ Extra columns are left out before writing.  Very long texts are one row each.
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,10 +86,14 @@ class WordEncoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.apart = self._splits_at_space()
+        #: The library's model behind a plainer pre-tokenizer, for parts that are lowered and cut.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         self.latin = self.apart and self._cuts_like_pattern()
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)
@@ -102,15 +108,18 @@ class WordEncoder:
         return probe == ["a", "b", "c"] and not any(re.search(r"\s", t) for t in self.special)
 
     def _cuts_like_pattern(self) -> bool:
-        """Whether the pre-tokenizer cuts lower-case Latin words as ``_PARTS`` does and the normalizer only lowers
-        their letters, tried on every character of the range, and the model ends words with ``_END``."""
+        """Whether the pre-tokenizer cuts lower-case Latin words as ``_PARTS`` does, the normalizer only lowers their
+        letters and ``bare`` has the same ids for the parts, tried on every character of the range, and the model ends
+        words with ``_END``."""
         if getattr(self.tokenizer.model, "end_of_word_suffix", None) != _END or not self.tokenizer.normalizer:
             return False
         chars = [chr(c) for c in range(0x21, 0x180) if not chr(c).isspace()]
         words = [f"{a}{c}{b}" for c in chars for a, b in (("", ""), ("a", "'s"), ("'d", "1"), ("!", "x"))] + ["don't", "'rex", "a'll2"]
         lower, pieces = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str
-        return all(lower(w) == w.lower() and [w.lower()[a:b] for _, (a, b) in pieces(w.lower())] == _PARTS.findall(w.lower())
-                   for w in words)
+        cuts = [_PARTS.findall(w.lower()) for w in words]
+        return all(lower(w) == w.lower() and [w.lower()[a:b] for _, (a, b) in pieces(w.lower())] == c for w, c in zip(words, cuts)) and (
+            [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+            == [e.ids for e in self.bare.encode_batch([" ".join(c) for c in cuts], add_special_tokens=False)])
 
     def _encode_words(self, words: list[str], into: IdTable) -> None:
         """Words without white space, many in a call; the library tells the word of each id."""
@@ -122,7 +131,7 @@ class WordEncoder:
     def _encode_parts(self, parts: list[str]) -> None:
         """Parts that the pre-tokenizer does not cut: the last id of each carries the end mark of a word."""
         lines, held = [parts[i:i + 256] for i in range(0, len(parts), 256)], []
-        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+        for line, e in zip(lines, self.bare.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
             cuts = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
             if len(cuts) == len(line) + 1:
@@ -135,7 +144,7 @@ class WordEncoder:
     def _remember(self, words: list[str]) -> None:
         """Encode words.  Those of Latin letters are cut as the tokenizer's pattern cuts them, and their parts are
         remembered as well: 'Word,' and 'WORD' share the part 'word'."""
-        plain = [w for w in words if w.isascii() or not _OTHER.search(w)] if self.latin else []
+        plain = [w for w in words if w.isascii() and w.isprintable() or not _OTHER.search(w)] if self.latin else []
         if plain:
             if len(self.parts) > CACHE_WORDS // 2:
                 self.parts = IdTable()
@@ -150,23 +159,74 @@ class WordEncoder:
         if len(plain) < len(words):
             self._encode_words(list(set(words).difference(plain)), self.seen)
 
-    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        whole = [not self.apart or bool(_ODD.search(t)) or any(s in t for s in self.special) for t in texts]
-        cut = [[] if w else t.split() for t, w in zip(texts, whole)]
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and the number of each."""
+        texts = texts.cast(pa.large_string())
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        data = texts.buffers()[2].slice(ends[0], ends[-1] - ends[0]).to_pybytes() if ends[-1] > ends[0] else b""
+        ends = ends - ends[0]
+        whole = np.full(len(texts), not self.apart)
+        for mark in (*self.special, "\0"):
+            if mark.encode() in data:
+                whole |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        starts, stops = _words(data, ends, whole)
+        numbers, examples = _numbered(data, starts, stops - starts)
         if len(self.seen) > CACHE_WORDS:  # words that were met in one call only go
             again = np.flatnonzero(self.again)
             self.seen = self.seen.kept(again if len(again) < CACHE_WORDS // 2 else again[:0])
             self.again = np.zeros(len(self.seen), bool)
-        rows = self.seen.rows(chain.from_iterable(cut))
+        rows = self.seen.rows(data[a:b].decode() for a, b in zip(starts[examples].tolist(), stops[examples].tolist()))
         self.again[rows[rows < len(self.again)]] = True
         if fresh := self.seen.fresh():
             self._remember(fresh)
             self.again = np.concatenate([self.again, np.zeros(len(fresh), bool)])
-        flat, size = self.seen.ids(rows)
-        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, cut)])]
-        odd = iter(self.tokenizer.encode_batch_fast([t for t, w in zip(texts, whole) if w], add_special_tokens=False))
-        return [np.array(next(odd).ids, np.uint32) if w else flat[a:b] for w, a, b in zip(whole, ends, ends[1:])]
+        flat, size = self.seen.ids(rows[numbers])
+        ends = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, ends)]
+        if not whole.any():
+            return flat, np.diff(ends)
+        odd = iter(self.tokenizer.encode_batch_fast(texts.filter(pa.array(whole)).to_pylist(), add_special_tokens=False))
+        each = [np.array(next(odd).ids, np.uint32) if w else flat[a:b] for w, a, b in zip(whole, ends, ends[1:])]
+        return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        flat, size = self.encode_column(pa.array(texts, pa.large_string()))
+        return [flat[b - n:b] for n, b in zip(size, np.cumsum(size))]
+
+
+def _words(data: bytes, ends: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of the texts that lie end to end start and stop; those of ``whole`` texts are left out."""
+    inside = _INSIDE[np.frombuffer(data, np.uint8)]
+    for k in np.flatnonzero(whole):
+        inside[ends[k]:ends[k + 1]] = False
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    edges = ends[(ends > 0) & (ends < len(data))]  # a word ends with its text
+    first[edges], last[edges - 1] = inside[edges], inside[edges - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def _numbered(data: bytes, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every word, the same for equal ones (of up to ``_COMPARED`` bytes), and an example of each number.
+    Eight bytes at a time are compared as one integer; words have no NUL, which fills up the last eight."""
+    def number(keys: np.ndarray) -> np.ndarray:
+        return pa.array(keys).dictionary_encode().indices.to_numpy().astype(np.int64)
+
+    eights = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))
+    numbers, n, at = np.zeros(len(starts), np.int64), 1, 0
+    rest = np.arange(len(starts))
+    while len(rest) and at < _COMPARED:
+        block = number(eights[starts[rest] + at] & _FIRST[np.minimum(size[rest] - at, 8)])
+        block = number(numbers[rest] << 32 | block) if at else block
+        numbers[rest] = n + block
+        n, at = n + int(block.max()) + 1, at + 8
+        rest = rest[size[rest] > at]
+    numbers[rest] = n + np.arange(len(rest))
+    examples = np.full(n + len(rest), -1)
+    examples[numbers] = np.arange(len(starts))
+    used = examples >= 0
+    return (np.cumsum(used) - 1)[numbers], examples[used]
 
 
 #: The end mark of a word in the vocabularies of this family.
@@ -175,28 +235,36 @@ _LETTERS = "".join(chr(c) for c in range(0x180) if unicodedata.category(chr(c))[
 _DIGITS = "".join(chr(c) for c in range(0x180) if unicodedata.category(chr(c))[0] == "N")
 #: How such tokenizers cut lower-case words, here in lines; and characters outside the range on which that was tried.
 _PARTS = re.compile(f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\n]+")
-_OTHER = re.compile("[^\x21-\u017f]")
-#: Separators that Python's str.split() takes for white space and the tokenizers do not.
-_ODD = re.compile("[\x1c-\x1f]")
+_OTHER = re.compile("[^\x21-\x84\x86-\x9f\xa1-\u017f]")
+#: Bytes that belong to words, which ASCII white space parts; other white space stays in a word, for the library to see.
+_INSIDE = np.array([chr(c) not in "\t\n\v\f\r " for c in range(256)])
+#: The first n of eight bytes; how many bytes of a word are compared.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_COMPARED = 64
 
 
 def encoder(path: str) -> WordEncoder:
-    """The encoder of a tokenizer file, made once in each Python worker."""
+    """The encoder of a tokenizer file, made once in each Python worker.  A task has one core: the library's own threads
+    would share it and cost more than they do."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return worker_cache(f"encoder {path}", lambda: WordEncoder(path))
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_crc32 and ids (little-endian, two bytes each where the vocabulary allows)."""
-    tail = [] if end_id is None else [np.array([end_id], np.uint32)]
-
     def per_batch(batch):
         enc = encoder(tokenizer_path)
         kind = "<u2" if len(enc.ends) <= 1 << 16 and (end_id or 0) < 1 << 16 else "<u4"
         for part in slices(batch, "text"):
-            rows = [np.concatenate([x, *tail]) for x in enc.encode_many(part.column("text").to_pylist())]
+            flat, size = enc.encode_column(part.column("text"))
+            if end_id is not None:
+                flat, size = np.insert(flat, np.cumsum(size), end_id), size + 1
+            ends = np.concatenate([[0], np.cumsum(size)])
+            wide, ids = flat.astype("<u4").data, flat.astype(kind)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(r) for r in rows], pa.int64()), pa.array([zlib.crc32(r.astype("<u4").tobytes()) for r in rows], pa.int64()),
-                 pa.array([r.astype(kind).tobytes() for r in rows], pa.binary())], ["doc_id", "n_tokens", "ids_crc32", "ids"])
+                [part.column("doc_id"), pa.array(size, pa.int64()), pa.array([zlib.crc32(wide[a:b]) for a, b in zip(ends, ends[1:])], pa.int64()),
+                 pa.Array.from_buffers(pa.binary(), len(size), [None, pa.array(ends * ids.itemsize, pa.int32()).buffers()[1], pa.py_buffer(ids)])],
+                ["doc_id", "n_tokens", "ids_crc32", "ids"])
 
     return arrow_map(documents_of(docs, id_col, text_col), per_batch, "doc_id long, n_tokens long, ids_crc32 long, ids binary")
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from ecospark.llm import token_orc as t
 from ecospark.llm.common import scratch_path
 from fixtures import SF, clashing, edge_rows, needs_data, no_docs
@@ -21,6 +22,28 @@ def test_words_equal_the_library():
         assert got == [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_bytes_of_words_equal_the_library():
+    rng = random.Random(1)
+    marks = ["\0", "\x01", "\x1d", "\x7f", "\x85", "\xa0", "\u2003", "\u3000", "\ufeff", "H\u0331", "h\u0331", "\u0308", "ﬁ", "K", "'", "<|endoftext|>"]
+    long = ["x" * n + c for n in (7, 8, 15, 16, 40, 63, 64) for c in "aB"] + ["日本語" * 5, "Größe", "größe", "12:30"]
+    texts = ["", "join", "ed", " ", "\t"] + ["".join(rng.choice(LETTERS[:3] + long + marks) for _ in range(rng.randint(0, 12))) for _ in range(1500)]
+    enc = t.WordEncoder(TOKENIZER)
+    want = [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in enc.encode_many(texts)] == want
+    flat, size = enc.encode_column(pa.array(["cut off", *texts]).slice(1))  # of any string type, from any offset
+    assert flat.tolist() == [i for x in want for i in x] and size.tolist() == [len(x) for x in want]
+
+
+def test_a_word_is_looked_up_once_a_batch(monkeypatch):
+    looked, rows = [], t.IdTable.rows
+    monkeypatch.setattr(t.IdTable, "rows", lambda self, words: rows(self, looked.extend(words := list(words)) or words))
+    enc = t.WordEncoder(TOKENIZER)
+    texts = ["the words of one text and the words of a considerably-longer-hyphenated one"] * 500
+    got = enc.encode_many(texts)
+    assert got[0].tolist() == got[-1].tolist() == enc.tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert len(looked) < 100
+
+
 def test_the_memory_is_trimmed(monkeypatch):
     monkeypatch.setattr(t, "CACHE_WORDS", 20)
     enc = t.WordEncoder(TOKENIZER)
