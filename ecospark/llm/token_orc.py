@@ -7,9 +7,9 @@ groups without reading them.  Stripes are read in parallel.  The number of token
 per-file sums, so no task sees more than one range.
 
 Words between ASCII white space are encoded apart, which the tokenizer allows (its normalizer and pre-tokenizer never
-look across white space), and the ids of equal words are remembered in each Python worker.  Words are found and equal
-ones numbered in the bytes of a batch, so that Python looks at a word once a batch.  A text with a special token or a
-NUL, or without that guarantee, is encoded by the library as it stands.
+look across white space), and the ids of equal words are remembered in each Python worker.  Words are found and numbered
+in the bytes of a batch; those of ASCII are lowered and cut there as the tokenizer's pattern cuts them.  A text with a
+special token or a NUL, or without that guarantee, is encoded by the library as it stands.
 
 Edge cases: a null or empty text has no ids of its own, only the end id.  Equal document ids keep all their rows,
 ordered by the checksum and number of their ids, in the files as in ``start``; they may lie in several ranges.  A row
@@ -34,6 +34,8 @@ from ecospark.llm.common import arrow_map, documents_of, drop_scratch, materiali
 
 #: Words remembered in one Python worker; beyond it, those that were met once are forgotten.
 CACHE_WORDS = 500_000
+#: Bytes of a word that are compared; longer words are encoded wherever they stand.
+COMPARED = 64
 #: ORC settings: index rows, Bloom filter on the id, stripes for parallel reads.
 ORC_OPTIONS = {"orc.create.index": "true", "orc.row.index.stride": "10000", "orc.bloom.filter.columns": "doc_id",
                "orc.bloom.filter.fpp": "0.01", "orc.stripe.size": str(32 << 20), "compression": "zstd"}
@@ -70,16 +72,96 @@ class IdTable(dict):
     def ids(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the rows end to end, and the number of each."""
         size = self.size[rows]
-        ends = np.cumsum(size)
-        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[rows] - ends + size, size)
-        return self.flat[place], size
-
-    def kept(self, rows: np.ndarray) -> IdTable:
-        """A table of these rows only."""
-        out, words = IdTable(), [self.words[k] for k in rows.tolist()]
-        out.put(words, *self.ids(rows))
+        return self.flat[_ranges(self.first[rows], size)], size
+
+
+class WordTable:
+    """Numbers of words, found by their bytes, with the ids of all words.  Eight bytes at a time are looked up as one
+    integer in sorted arrays: a word of eight bytes or fewer has the number of its block, a longer one that of the pair
+    of what came before and the next block.  Words have no NUL, which fills up the last block."""
+
+    def __init__(self):
+        self.blocks, self.pairs = ((np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2))
+        self.again, self.size, self.first = np.zeros(0, bool), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _grown(self, more: int) -> np.ndarray:
+        """New numbers; a word without ids has the size -1."""
+        n = len(self.size)
+        self.again, self.first = (np.concatenate([x, np.zeros(more, x.dtype)]) for x in (self.again, self.first))
+        self.size = np.concatenate([self.size, np.full(more, -1)])
+        return np.arange(n, n + more)
+
+    def _found(self, name: str, keys: np.ndarray) -> np.ndarray:
+        """The numbers of keys; unknown keys get new ones."""
+        known, numbers = getattr(self, name)
+        coded = pa.array(keys).dictionary_encode()
+        keys = coded.dictionary.to_numpy()
+        at = np.searchsorted(known, keys)
+        new = np.ones(len(keys), bool)
+        inner = np.flatnonzero(at < len(known))
+        new[inner] = known[at[inner]] != keys[inner]
+        out = np.zeros(len(keys), np.int64)
+        out[~new] = numbers[at[~new]]
+        if new.any():
+            order = np.flatnonzero(new)[np.argsort(keys[new])]
+            out[order] = self._grown(len(order))
+            setattr(self, name, (np.insert(known, at[order], keys[order]), np.insert(numbers, at[order], out[order])))
+        return out[coded.indices.to_numpy()]
+
+    def numbers(self, data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The number of each word of a text in bytes; words of more than ``COMPARED`` bytes have one of their own."""
+        before = len(self.size)
+        eights = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+        short = np.flatnonzero(size <= COMPARED)
+        steps = [short] + [short[size[short] > at] for at in range(8, COMPARED, 8)]
+        found = self._found("blocks", np.concatenate([eights[starts[w] + 8 * k] & _FIRST[np.minimum(size[w] - 8 * k, 8)]
+                                                      for k, w in enumerate(steps)]))
+        found = np.split(found, np.cumsum([len(w) for w in steps])[:-1])
+        out = np.zeros(len(starts), np.int64)
+        out[short] = found[0]
+        for w, block in zip(steps[1:], found[1:]):
+            if len(w):
+                out[w] = self._found("pairs", (out[w] << 32 | block).astype(np.uint64))
+        rest = np.flatnonzero(size > COMPARED)
+        out[rest] = self._grown(len(rest))
+        self.again[out[out < before]] = True
         return out
 
+    def put(self, numbers: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+        """The ids of words end to end, and the number of each."""
+        self.first[numbers], self.size[numbers] = len(self.flat) + np.cumsum(size) - size, size
+        self.flat = np.concatenate([self.flat, flat])
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words end to end, and the number of each."""
+        size = self.size[numbers]
+        return self.flat[_ranges(self.first[numbers], size)], size
+
+    def forget(self, most: int) -> None:
+        """Keep the words that were met in more than one call, and what they begin with; nothing if those are many."""
+        keep, (pairs, numbers) = self.again & (self.size >= 0), self.pairs
+        for _ in range(COMPARED // 8):
+            ours = pairs[keep[numbers]].astype(np.int64)
+            keep[ours >> 32] = keep[ours & 0xFFFFFFFF] = True
+        if keep.sum() >= most:
+            return self.__init__()
+        rows, place = np.flatnonzero(keep), np.cumsum(keep) - 1
+        size = self.size[rows]
+        flat = self.flat[_ranges(self.first[rows], np.maximum(size, 0))]
+        key = pairs[keep[numbers]].astype(np.int64)
+        self.pairs = (place[key >> 32] << 32 | place[key & 0xFFFFFFFF]).astype(np.uint64), place[numbers[keep[numbers]]]
+        known, numbers = self.blocks
+        self.blocks = known[keep[numbers]], place[numbers[keep[numbers]]]
+        self.again, self.size, self.flat = np.zeros(len(rows), bool), size, flat
+        self.first = np.cumsum(np.maximum(size, 0)) - np.maximum(size, 0)
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places from each first on, as many as its size."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+
 
 class WordEncoder:
     """Encodes texts with a tokenizer file; equal words are encoded once."""
@@ -98,9 +180,8 @@ class WordEncoder:
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for t, i in names.items() if t.endswith(_END)]] = True
-        #: Words, and which of them were met again in a later call; parts of words.
-        self.seen, self.parts = IdTable(), IdTable()
-        self.again = np.zeros(0, bool)
+        #: Words, those of ASCII in their parts; parts of other Latin words.
+        self.seen, self.parts = WordTable(), IdTable()
 
     def _splits_at_space(self) -> bool:
         """Whether white space always parts words: it is dropped by the pre-tokenizer and starts no token."""
@@ -121,43 +202,45 @@ class WordEncoder:
             [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
             == [e.ids for e in self.bare.encode_batch([" ".join(c) for c in cuts], add_special_tokens=False)])
 
-    def _encode_words(self, words: list[str], into: IdTable) -> None:
-        """Words without white space, many in a call; the library tells the word of each id."""
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words without white space, many in a call, end to end, and the number of each; the library tells
+        the word of each id."""
+        flat, size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         lines = [words[i:i + 256] for i in range(0, len(words), 256)]
         for line, e in zip(lines, self.tokenizer.encode_batch(lines, is_pretokenized=True, add_special_tokens=False)):
-            cuts = np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(line) + 1))
-            into.put(line, np.array(e.ids, np.uint32), np.diff(cuts))
-
-    def _encode_parts(self, parts: list[str]) -> None:
-        """Parts that the pre-tokenizer does not cut: the last id of each carries the end mark of a word."""
-        lines, held = [parts[i:i + 256] for i in range(0, len(parts), 256)], []
-        for line, e in zip(lines, self.bare.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            cuts = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
-            if len(cuts) == len(line) + 1:
-                held.append((line, ids, np.diff(cuts)))
-            else:
-                self._encode_words(line, self.parts)
-        if held:
-            self.parts.put([p for line, _, _ in held for p in line], *(np.concatenate([h[c] for h in held]) for c in (1, 2)))
-
-    def _remember(self, words: list[str]) -> None:
-        """Encode words.  Those of Latin letters are cut as the tokenizer's pattern cuts them, and their parts are
-        remembered as well: 'Word,' and 'WORD' share the part 'word'."""
-        plain = [w for w in words if w.isascii() and w.isprintable() or not _OTHER.search(w)] if self.latin else []
-        if plain:
+            flat.append(np.array(e.ids, np.uint32))
+            size.append(np.diff(np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(line) + 1))))
+        return np.concatenate(flat), np.concatenate(size)
+
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts that the pre-tokenizer does not cut: the last id of each carries the end mark of a word."""
+        lines = [" ".join(parts[i:i + 256]) for i in range(0, len(parts), 256)]
+        flat = np.concatenate([np.array(e.ids, np.uint32) for e in self.bare.encode_batch_fast(lines, add_special_tokens=False)])
+        size = np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
+        return (flat, size) if len(size) == len(parts) and size.sum() == len(flat) else self._encode_words(parts)
+
+    def _encode_others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words that were not cut.  Those of Latin letters are cut here, and their parts are remembered:
+        'Été,' and 'ÉTÉ' share the part 'été'."""
+        plain = np.array([self.latin and (w.isascii() and w.isprintable() or not _OTHER.search(w)) for w in words], bool)
+        each, size = [], np.zeros(len(words), np.int64)
+        if plain.any():
             if len(self.parts) > CACHE_WORDS // 2:
                 self.parts = IdTable()
-            cut = _PARTS.findall("\n".join(plain).lower())
+            cut = _PARTS.findall("\n".join([w for w, p in zip(words, plain) if p]).lower() + "\n")
             rows = self.parts.rows(cut)
             if fresh := self.parts.fresh():
-                self._encode_parts([p for p in fresh if p != "\n"])  # which parts words and has no ids
-                self.parts.put([], np.zeros(0, np.uint32), np.zeros(0, np.int64))
-            flat, size = self.parts.ids(rows)
-            ends = np.flatnonzero(rows == self.parts["\n"]) + 1 if len(plain) > 1 else []
-            self.seen.put(plain, flat, np.add.reduceat(size, np.concatenate([[0], ends]).astype(np.int64)))
-        if len(plain) < len(words):
-            self._encode_words(list(set(words).difference(plain)), self.seen)
+                fresh = [p for p in fresh if p != "\n"]  # which parts words and has no ids
+                self.parts.put(fresh, *self._encode_parts(fresh))
+            flat, number = self.parts.ids(rows)
+            ends = np.flatnonzero(rows == self.parts["\n"])
+            size[plain] = np.diff(np.cumsum(number)[ends], prepend=0)
+            each = np.split(flat, np.cumsum(size[plain])[:-1])
+        if not plain.all():
+            flat, size[~plain] = self._encode_words([w for w, p in zip(words, plain) if not p])
+            rest, each = iter(np.split(flat, np.cumsum(size[~plain])[:-1])), iter(each)
+            flat = np.concatenate([next(each if p else rest) for p in plain])
+        return flat, size
 
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and the number of each."""
@@ -169,18 +252,22 @@ class WordEncoder:
         for mark in (*self.special, "\0"):
             if mark.encode() in data:
                 whole |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
-        starts, stops = _words(data, ends, whole)
-        numbers, examples = _numbered(data, starts, stops - starts)
-        if len(self.seen) > CACHE_WORDS:  # words that were met in one call only go
-            again = np.flatnonzero(self.again)
-            self.seen = self.seen.kept(again if len(again) < CACHE_WORDS // 2 else again[:0])
-            self.again = np.zeros(len(self.seen), bool)
-        rows = self.seen.rows(data[a:b].decode() for a, b in zip(starts[examples].tolist(), stops[examples].tolist()))
-        self.again[rows[rows < len(self.again)]] = True
-        if fresh := self.seen.fresh():
-            self._remember(fresh)
-            self.again = np.concatenate([self.again, np.zeros(len(fresh), bool)])
-        flat, size = self.seen.ids(rows[numbers])
+        lowered, starts, stops, others = _words(data, ends, whole, self.latin)
+        if len(self.seen.size) > CACHE_WORDS:
+            self.seen.forget(CACHE_WORDS // 2)
+        numbers = self.seen.numbers(lowered, starts, stops - starts)
+        fresh, k = np.unique(numbers[at := np.flatnonzero(self.seen.size[numbers] < 0)], return_index=True)
+        if len(fresh):
+            k, other = at[k], others[at[k]]
+            if not other.all():
+                a, n = starts[k[~other]], (stops - starts)[k[~other]]
+                parts = np.full(n.sum() + len(n), ord(" "), np.uint8)
+                parts[_ranges(np.cumsum(n + 1) - n - 1, n)] = lowered[_ranges(a, n)]
+                self.seen.put(fresh[~other], *self._encode_parts(parts.tobytes().decode().split()))
+            if other.any():
+                words = [data[a:b].decode() for a, b in zip(starts[k[other]].tolist(), stops[k[other]].tolist())]
+                self.seen.put(fresh[other], *self._encode_others(words))
+        flat, size = self.seen.ids(numbers)
         ends = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, ends)]
         if not whole.any():
             return flat, np.diff(ends)
@@ -194,39 +281,33 @@ class WordEncoder:
         return [flat[b - n:b] for n, b in zip(size, np.cumsum(size))]
 
 
-def _words(data: bytes, ends: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of the texts that lie end to end start and stop; those of ``whole`` texts are left out."""
-    inside = _INSIDE[np.frombuffer(data, np.uint8)]
+def _words(data: bytes, ends: np.ndarray, whole: np.ndarray, cut: bool) -> tuple[np.ndarray, ...]:
+    """Words of the texts that lie end to end, without those of ``whole`` texts: the bytes, where words start and stop
+    in them, and which are as they stood.  The rest, if ``cut``, are of plain ASCII: lowered, and cut into runs of
+    letters, single digits and runs of other characters as ``_PARTS`` does."""
+    text, kind = (np.frombuffer(bytearray(x), np.uint8) for x in (data.lower() if cut else data, data.translate(_KINDS)))
     for k in np.flatnonzero(whole):
-        inside[ends[k]:ends[k + 1]] = False
-    first, last = inside.copy(), inside.copy()
-    first[1:] &= ~inside[:-1]
-    last[:-1] &= ~inside[1:]
+        kind[ends[k]:ends[k + 1]] = _BLANK
     edges = ends[(ends > 0) & (ends < len(data))]  # a word ends with its text
-    first[edges], last[edges - 1] = inside[edges], inside[edges - 1]
-    return np.flatnonzero(first), np.flatnonzero(last) + 1
-
-
-def _numbered(data: bytes, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A number for every word, the same for equal ones (of up to ``_COMPARED`` bytes), and an example of each number.
-    Eight bytes at a time are compared as one integer; words have no NUL, which fills up the last eight."""
-    def number(keys: np.ndarray) -> np.ndarray:
-        return pa.array(keys).dictionary_encode().indices.to_numpy().astype(np.int64)
-
-    eights = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))
-    numbers, n, at = np.zeros(len(starts), np.int64), 1, 0
-    rest = np.arange(len(starts))
-    while len(rest) and at < _COMPARED:
-        block = number(eights[starts[rest] + at] & _FIRST[np.minimum(size[rest] - at, 8)])
-        block = number(numbers[rest] << 32 | block) if at else block
-        numbers[rest] = n + block
-        n, at = n + int(block.max()) + 1, at + 8
-        rest = rest[size[rest] > at]
-    numbers[rest] = n + np.arange(len(rest))
-    examples = np.full(n + len(rest), -1)
-    examples[numbers] = np.arange(len(starts))
-    used = examples >= 0
-    return (np.cumsum(used) - 1)[numbers], examples[used]
+    starts, stops = _runs(kind > _BLANK, edges)
+    other = np.ones(len(starts), bool)
+    if cut:
+        other[:] = False
+        other[np.searchsorted(starts, np.flatnonzero(kind == _ODD), "right") - 1] = True
+        stay = _ranges(starts[other], (stops - starts)[other])
+        kind[stay], text[stay] = _ODD, np.frombuffer(data, np.uint8)[stay]
+        starts, stops = _runs(kind, edges)
+        other = kind[starts] == _ODD
+    return text, starts, stops, other
+
+
+def _runs(kind: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of one kind that is not blank start and stop; digits and what lies on both sides of an edge stay apart."""
+    parted = np.ones(len(kind) + 1, bool)
+    parted[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    parted[edges] = True
+    inside = kind > _BLANK
+    return np.flatnonzero(parted[:-1] & inside), np.flatnonzero(parted[1:] & inside) + 1
 
 
 #: The end mark of a word in the vocabularies of this family.
@@ -236,11 +317,13 @@ _DIGITS = "".join(chr(c) for c in range(0x180) if unicodedata.category(chr(c))[0
 #: How such tokenizers cut lower-case words, here in lines; and characters outside the range on which that was tried.
 _PARTS = re.compile(f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}\n]+")
 _OTHER = re.compile("[^\x21-\x84\x86-\x9f\xa1-\u017f]")
-#: Bytes that belong to words, which ASCII white space parts; other white space stays in a word, for the library to see.
-_INSIDE = np.array([chr(c) not in "\t\n\v\f\r " for c in range(256)])
-#: The first n of eight bytes; how many bytes of a word are compared.
+#: Kinds of bytes: white space that parts words, then what ``_PARTS`` tells apart in ASCII, and what is left to it or to the
+#: library: apostrophes, controls, other white space and all beyond ASCII.
+_BLANK, _LETTER, _SIGN, _ODD, _DIGIT = range(5)
+_KINDS = bytes([_BLANK if c in b"\t\n\v\f\r " else _ODD if c < 0x21 or c > 0x7e or c == ord("'") else _LETTER if chr(c).isalpha()
+                   else _DIGIT if chr(c).isdigit() else _SIGN for c in range(256)])
+#: The first n of eight bytes.
 _FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
-_COMPARED = 64
 
 
 def encoder(path: str) -> WordEncoder:

@@ -38,12 +38,46 @@ def test_a_word_is_looked_up_once_a_batch(monkeypatch):
     looked, rows = [], t.IdTable.rows
     monkeypatch.setattr(t.IdTable, "rows", lambda self, words: rows(self, looked.extend(words := list(words)) or words))
     enc = t.WordEncoder(TOKENIZER)
-    texts = ["the words of one text and the words of a considerably-longer-hyphenated one"] * 500
+    texts = ["the words' größe of one text and the words' größe of a considerably-longer-hyphenated-größe one"] * 500
     got = enc.encode_many(texts)
     assert got[0].tolist() == got[-1].tolist() == enc.tokenizer.encode(texts[0], add_special_tokens=False).ids
     assert len(looked) < 100
 
 
+def test_words_met_again_are_kept():
+    def numbers(words):
+        data = np.frombuffer("".join(words).encode(), np.uint8)
+        size = np.array([len(w.encode()) for w in words])
+        return table.numbers(data, np.cumsum(size) - size, size)
+
+    table, words = t.WordTable(), ["a", "b", "eightbyt", "eightbytes and more", "eightbytes and less", "eightbytes and more of it", "x" * 70, "x" * 70]
+    first = numbers([*words, "a"])
+    assert first[0] == first[-1] and len(set(first.tolist())) == len(words)  # words over COMPARED bytes are never compared
+    table.put(first[:-1], np.arange(8, dtype=np.uint32).repeat(2), np.full(8, 2))
+    assert (numbers(["b", "eightbytes and less"]) == first[[1, 4]]).all()
+    table.forget(100)
+    kept = numbers(words)
+    assert table.size[kept].tolist() == [-1, 2, 2, -1, 2, -1, -1, -1]  # "eightbyt" is what a kept word begins with
+    assert table.ids(numbers(["eightbytes and less", "b"]))[0].tolist() == [4, 4, 1, 1]
+    table.forget(1)
+    kept = numbers(words)
+    assert (table.size[kept] == -1).all()
+
+
+def test_tokenizers_of_other_kinds(tmp_path):
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    rng = random.Random(2)
+    texts = ["", *("".join(rng.choice(LETTERS) for _ in range(rng.randint(0, 30))) for _ in range(300))]
+    for name, pre, apart in (("never.json", None, False), ("space.json", pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]), True)):
+        tokenizer = Tokenizer.from_file(TOKENIZER)
+        tokenizer.pre_tokenizer = pre or pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        tokenizer.save(str(tmp_path / name))
+        enc = t.WordEncoder(str(tmp_path / name))
+        assert enc.apart == apart and not enc.latin
+        assert [x.tolist() for x in enc.encode_many(texts)] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_the_memory_is_trimmed(monkeypatch):
     monkeypatch.setattr(t, "CACHE_WORDS", 20)
     enc = t.WordEncoder(TOKENIZER)
